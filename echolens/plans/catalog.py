@@ -17,6 +17,7 @@ from ..operators import lift as L
 from ..schemas import EMOTIONS, THEME_DESC
 from . import reports as R
 from . import views as V
+from ..sources.tables import table as _table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -126,3 +127,278 @@ FROM u CROSS JOIN g
 @register("lift_cube17", _cube_sql())
 def q_lift_cube17(spark, sf):
     return round_doubles(L.lift_cube(V.replies(spark, sf), id_col="reply_id"))
+
+
+# ---------------------------------------------------------------------------
+# Shares and pivots (A04, A07-A11, R03, R04, R11, R12), engagement
+# ---------------------------------------------------------------------------
+
+def _pivot_sql(src: str, index: str, col: str, val: str, values, names=None) -> str:
+    names = names or values
+    cells = ", ".join(f"max(CASE WHEN {col} = '{v}' THEN {val} END) AS \"{n}\""
+                      for v, n in zip(values, names))
+    return f"SELECT {index}, {cells} FROM {src} GROUP BY {index}"
+
+
+def _row_norm_sql(src: str, index: str, cols) -> str:
+    tot = " + ".join(f'coalesce("{c}", 0)' for c in cols)
+    cells = ", ".join(f'round(cast("{c}" AS double) / ({tot}), 6) AS "{c}"' for c in cols)
+    return f"SELECT {index}, {cells} FROM {src}"
+
+
+_EMO5 = EMOTIONS + ["undefined"]
+_DESCS = [d for _, d in THEME_DESC]
+
+
+@register("prevalent_emotion_share", V.VIEWS_SQL + f""",
+c AS (SELECT country, prevalent_emotion, count(DISTINCT reply_id) AS n FROM replies
+      WHERE country IS NOT NULL AND prevalent_emotion IS NOT NULL GROUP BY 1, 2),
+w AS ({_pivot_sql('c', 'country', 'prevalent_emotion', 'n', _EMO5)})
+{_row_norm_sql('w', 'country', _EMO5)}
+""")
+def q_prevalent_emotion_share(spark, sf):
+    return round_doubles(R.prevalent_emotion_share(V.replies(spark, sf), id_col="reply_id"))
+
+
+@register("theme_share_by_country", V.VIEWS_SQL + f""",
+c AS (SELECT country, theme_desc, count(DISTINCT post_id) AS n
+      FROM posts JOIN {_theme_values_sql()} ON posts.theme = td.theme
+      WHERE country IS NOT NULL GROUP BY 1, 2),
+w AS ({_pivot_sql('c', 'country', 'theme_desc', 'n', _DESCS)})
+{_row_norm_sql('w', 'country', _DESCS)}
+""")
+def q_theme_share_by_country(spark, sf):
+    return round_doubles(R.theme_share_by_country(V.posts(spark, sf), id_col="post_id"))
+
+
+def _subtheme_values_sql() -> str:
+    from ..schemas import SUBTHEME_DESC
+    rows = ", ".join(f"({c}, '{d}')" for c, d in SUBTHEME_DESC)
+    return f"(VALUES {rows}) AS sd(subtheme, subtheme_desc)"
+
+
+@register("subtheme_vs_global", V.VIEWS_SQL + f""",
+gl AS (SELECT subtheme, cast(count(*) AS double) / sum(count(*)) OVER () AS "global"
+         FROM posts WHERE subtheme IS NOT NULL GROUP BY subtheme),
+per AS (SELECT prevalent_emotion, subtheme,
+               cast(count(*) AS double) / sum(count(*)) OVER (PARTITION BY prevalent_emotion) AS prop
+        FROM posts WHERE prevalent_emotion IN ('anger', 'sadness', 'optimism', 'joy')
+              AND subtheme IS NOT NULL GROUP BY 1, 2),
+w AS ({_pivot_sql('per', 'subtheme', 'prevalent_emotion', 'prop', EMOTIONS)})
+SELECT w.subtheme, sd.subtheme_desc, td.theme_desc,
+       {", ".join(f"round_even(w.{e} * 100, 2) AS {e}" for e in EMOTIONS)},
+       round_even(gl."global" * 100, 2) AS "global"
+FROM w JOIN {_subtheme_values_sql()} ON w.subtheme = sd.subtheme
+       JOIN gl ON w.subtheme = gl.subtheme
+       JOIN {_theme_values_sql()} ON td.theme = cast(floor(w.subtheme / 10) AS int)
+""")
+def q_subtheme_vs_global(spark, sf):
+    return R.subtheme_vs_global(V.posts(spark, sf))
+
+
+@register("engagement_by_label", V.VIEWS_SQL + """
+SELECT prevalent_emotion, round_even(avg(engagement), 1) AS engagement
+FROM posts WHERE prevalent_emotion IS NOT NULL GROUP BY prevalent_emotion
+""")
+def q_engagement_by_label(spark, sf):
+    return R.engagement_by_label(V.posts(spark, sf), ["engagement"])
+
+
+@register("global_theme_mix", V.VIEWS_SQL + f""",
+s AS (SELECT theme, cast(count(*) AS double) / sum(count(*)) OVER () AS prop
+      FROM posts WHERE theme IS NOT NULL GROUP BY theme)
+SELECT s.theme, td.theme_desc, round_even(prop * 100, 2) AS pct
+FROM s JOIN {_theme_values_sql()} ON s.theme = td.theme
+""")
+def q_global_theme_mix(spark, sf):
+    return R.global_theme_mix(V.posts(spark, sf))
+
+
+# ---------------------------------------------------------------------------
+# Accounts: engagement cut-off, cascade, theme mix, outlet rollup (A13, A14,
+# W04, R07, R09, R10, R11)
+# ---------------------------------------------------------------------------
+
+# Test-data cut-offs (accounts here have at most 25 posts and 93 replies;
+# the published cut-off of 484 applies to the full collection).
+MIN_POSTS, MIN_REPLIES = 15, 60
+
+
+@register("engaged_accounts", V.VIEWS_SQL + f"""
+SELECT account_id AS userId, count(post_id) AS n_posts FROM posts
+WHERE account_id IS NOT NULL GROUP BY account_id HAVING count(post_id) > {MIN_POSTS}
+""")
+def q_engaged_accounts(spark, sf):
+    return R.engaged_accounts(V.posts(spark, sf).withColumnRenamed("account_id", "userId"),
+                              "userId", "post_id", MIN_POSTS)
+
+
+def _cascade_sql() -> str:
+    cols = ", ".join(f"round({m}, 6) AS {m}" for m in EMOTIONS)
+    lifts = ", ".join(f"round({m}/g_{m}, 6) AS lift_{m}" for m in EMOTIONS)
+    steps, prev = [], []
+    for i, m in enumerate(EMOTIONS):
+        excl = (" WHERE " + " AND ".join(f"news_id NOT IN (SELECT news_id FROM t{j})" for j in prev)
+                if prev else "")
+        steps.append(f"""t{i} AS (SELECT *, '{m}' AS main_emotion,
+            6 - row_number() OVER (ORDER BY {m} DESC, news_id) AS rank_emotion, {m} AS score_emotion
+          FROM cand{excl} ORDER BY {m} DESC, news_id LIMIT 5)""")
+        prev.append(i)
+    return V.VIEWS_SQL + f""",
+g AS (SELECT {_mean_cols_sql('g_')} FROM replies),
+acc AS (SELECT continent, country, news_id, count(reply_id) AS n, {_mean_cols_sql()} FROM replies
+        WHERE continent IS NOT NULL AND country IS NOT NULL AND news_id IS NOT NULL GROUP BY 1, 2, 3),
+eng AS (SELECT account_id FROM posts WHERE account_id IS NOT NULL GROUP BY account_id
+        HAVING count(post_id) > {MIN_POSTS}),
+cand AS (SELECT acc.*, {lifts.replace('round(', 'round(acc.')} FROM acc CROSS JOIN g
+         WHERE news_id IN (SELECT account_id FROM eng) AND n > {MIN_REPLIES}),
+{", ".join(steps)},
+u AS (SELECT * FROM t0 UNION ALL SELECT * FROM t1 UNION ALL SELECT * FROM t2 UNION ALL SELECT * FROM t3)
+SELECT continent, country, news_id, n, {cols}, {", ".join(f"lift_{m}" for m in EMOTIONS)},
+       main_emotion, rank_emotion, round(score_emotion, 6) AS score_emotion
+FROM u
+"""
+
+
+def _cascade(spark, sf):
+    p = V.posts(spark, sf).withColumnRenamed("account_id", "userId")
+    return R.top_accounts_cascade(V.replies(spark, sf), p, 5, news_id="news_id",
+                                  post_account="userId", reply_id="reply_id", post_id="post_id",
+                                  min_posts=MIN_POSTS, min_replies=MIN_REPLIES)
+
+
+@register("top_accounts_cascade", _cascade_sql())
+def q_top_accounts_cascade(spark, sf):
+    return round_doubles(_cascade(spark, sf).select(
+        "continent", "country", "news_id", "n", *EMOTIONS, *[f"lift_{m}" for m in EMOTIONS],
+        "main_emotion", F.col("rank_emotion").cast("bigint").alias("rank_emotion"), "score_emotion"))
+
+
+def _mix_sql(group_sql: str, group: str, digits: int) -> str:
+    return f"""
+sh AS (SELECT {group}, theme, cast(count(*) AS double) / sum(count(*)) OVER (PARTITION BY {group}) AS prop
+       FROM ({group_sql}) x WHERE {group} IS NOT NULL AND theme IS NOT NULL GROUP BY 1, 2),
+shd AS (SELECT sh.*, td.theme_desc FROM sh JOIN {_theme_values_sql()} ON sh.theme = td.theme),
+mix AS (SELECT {group}, {", ".join(f"round_even(max(CASE WHEN theme_desc = '{d}' THEN prop END) * 100, {digits}) AS \"{d}\"" for d in _DESCS)}
+        FROM shd GROUP BY {group})"""
+
+
+@register("account_theme_mix", _cascade_sql().replace("\nSELECT continent, country, news_id, n,", ",\ntop_sel AS (SELECT continent, country, news_id, n,", 1).rstrip() + ")," + _mix_sql(
+    "SELECT account_id AS userId, theme FROM posts WHERE account_id IN (SELECT news_id FROM top_sel)", "userId", 1) + """
+SELECT mix.*, a.displayname, a.country, round(a.followersCount, 6) AS followersCount, a.description,
+       t.main_emotion, t.rank_emotion, t.score_emotion
+FROM mix JOIN accounts a ON mix.userId = a.userId JOIN top_sel t ON mix.userId = t.news_id
+""")
+def q_account_theme_mix(spark, sf):
+    top = _cascade(spark, sf)
+    p = V.posts(spark, sf).withColumnRenamed("account_id", "userId")
+    out = R.account_theme_mix(p, top, V.accounts(spark, sf), "userId", "news_id")
+    return round_doubles(out.withColumn("rank_emotion", F.col("rank_emotion").cast("bigint")))
+
+
+@register("group_theme_mix", _cascade_sql().replace("\nSELECT continent, country, news_id, n,", ",\ntop_sel AS (SELECT continent, country, news_id, n,", 1).rstrip() + ")," + _mix_sql(
+    "SELECT t.main_emotion, p.theme FROM posts p JOIN top_sel t ON p.account_id = t.news_id", "main_emotion", 1) + """
+SELECT * FROM mix
+""")
+def q_group_theme_mix(spark, sf):
+    top = _cascade(spark, sf)
+    p = V.posts(spark, sf).withColumnRenamed("account_id", "userId")
+    return R.group_theme_mix(p, top, "userId", "news_id")
+
+
+@register("outlet_rollup", V.VIEWS_SQL + """,
+per AS (SELECT news_id, count(reply_id) AS n FROM replies WHERE news_id IS NOT NULL GROUP BY news_id)
+SELECT a.media_outlet, sum(per.n)::BIGINT AS replies FROM per JOIN accounts a ON per.news_id = a.userId
+GROUP BY a.media_outlet
+""")
+def q_outlet_rollup(spark, sf):
+    return R.outlet_rollup(V.replies(spark, sf), V.accounts(spark, sf), "news_id", "userId",
+                           "media_outlet", "reply_id")
+
+
+# ---------------------------------------------------------------------------
+# Drill-down concentration (F09, W05, R16), polarity (R06), weekly
+# ---------------------------------------------------------------------------
+
+SEGMENT = {"continent": "AFRICA", "prevalent_emotion": "anger"}
+
+
+@register("concentration_top25", V.VIEWS_SQL + """,
+c AS (SELECT conversation_id, count(*) AS cnt FROM replies
+      WHERE continent = 'AFRICA' AND prevalent_emotion = 'anger' AND conversation_id IS NOT NULL
+      GROUP BY conversation_id),
+t AS (SELECT sum(cnt) AS tot FROM c),
+top AS (SELECT * FROM c ORDER BY cnt DESC, conversation_id LIMIT 25)
+SELECT conversation_id, cnt, round(cnt / tot, 6) AS share,
+       round(sum(cnt / tot) OVER (ORDER BY cnt DESC, conversation_id
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS cum_share,
+       row_number() OVER (ORDER BY cnt DESC, conversation_id) AS position
+FROM top CROSS JOIN t
+""")
+def q_concentration_top25(spark, sf):
+    return round_doubles(R.concentration(V.replies(spark, sf), SEGMENT, "conversation_id", 25))
+
+
+def nation_coordinates(spark, sf):
+    """Per-country coordinates derived from the nation key (the coordinate file is not shipped)."""
+    n = _table(spark, sf, "nation")
+    return n.select(F.col("n_name").alias("country"),
+                    ((F.col("n_nationkey") * 7) % 160 - 80).cast("double").alias("lat"),
+                    ((F.col("n_nationkey") * 37) % 360 - 180).cast("double").alias("lng"))
+
+
+@register("country_polarity", V.VIEWS_SQL + """,
+a AS (SELECT country, avg(joy + optimism) AS positive, avg(anger + sadness) AS negative,
+             count(reply_id) AS n FROM replies WHERE country IS NOT NULL GROUP BY country),
+co AS (SELECT n_name AS country, cast((n_nationkey * 7) % 160 - 80 AS double) AS lat,
+              cast((n_nationkey * 37) % 360 - 180 AS double) AS lng FROM nation)
+SELECT a.country, round(positive, 6) AS positive, round(negative, 6) AS negative, n,
+       round(positive - negative, 6) AS mean_emotion, round(n / 1000, 6) AS n_thousands, lat, lng
+FROM a JOIN co ON a.country = co.country
+""")
+def q_country_polarity(spark, sf):
+    return round_doubles(R.country_polarity(V.replies(spark, sf), nation_coordinates(spark, sf),
+                                            id_col="reply_id"))
+
+
+@register("weekly_reply_means", V.VIEWS_SQL + f"""
+SELECT dsw, {", ".join(f"round(avg({m}), 6) AS {m}" for m in EMOTIONS)}
+FROM replies WHERE dsw IS NOT NULL GROUP BY dsw
+""")
+def q_weekly_reply_means(spark, sf):
+    return round_doubles(R.weekly_means(V.replies(spark, sf)))
+
+
+@register("weekly_event_means", f"""
+WITH e AS (SELECT {V._dsw('cast(ts as date)')} AS dsw, value,
+                  cast(json_extract_string(props, '$.k') AS double) AS k FROM events)
+SELECT dsw, round(avg(value), 6) AS value, round(avg(k), 6) AS k, count(*) AS n
+FROM e WHERE dsw IS NOT NULL GROUP BY dsw
+""")
+def q_weekly_event_means(spark, sf):
+    from ..functions.calendar import week_ending_sunday
+    ev = _table(spark, sf, "events").select(
+        week_ending_sunday("ts").alias("dsw"), "value",
+        F.get_json_object("props", "$.k").cast("double").alias("k"))
+    out = R.weekly_means(ev, "dsw", ["value", "k"])
+    n = ev.filter(F.col("dsw").isNotNull()).groupBy("dsw").agg(F.count(F.lit(1)).alias("n"))
+    return round_doubles(out.join(n, "dsw"))
+
+
+# Frequent words of the test prose stand in for the topical keywords (which
+# never occur in it); the operator is the same.
+TEST_MAIN_KEYWORDS = ["the", "and", "of", "que", "der", "les"]
+TEST_LESS_FREQUENT = ["with", "para", "und", "pour", "that", "dans"]
+
+
+@register("weekly_keyword_counts", V.VIEWS_SQL + f""",
+pc AS (SELECT p.dsw, d.text AS content FROM posts p JOIN documents d ON p.post_id = d.doc_id),
+f AS (SELECT dsw, {", ".join(f"cast(instr(lower(content), '{k}') > 0 AS BIGINT) AS \"{k}\"" for k in dict.fromkeys(TEST_MAIN_KEYWORDS + TEST_LESS_FREQUENT))} FROM pc),
+s AS (SELECT dsw, {", ".join(f"sum(\"{k}\")::BIGINT AS \"{k}\"" for k in dict.fromkeys(TEST_MAIN_KEYWORDS + TEST_LESS_FREQUENT))}
+      FROM f WHERE dsw IS NOT NULL GROUP BY dsw)
+SELECT dsw, {", ".join(f'"{k}"' for k in TEST_MAIN_KEYWORDS)}, {" + ".join(f'"{k}"' for k in TEST_LESS_FREQUENT)} AS other FROM s
+""")
+def q_weekly_keyword_counts(spark, sf):
+    return R.weekly_keyword_volumes(V.posts_with_content(spark, sf), "content", "dsw",
+                                    TEST_MAIN_KEYWORDS + TEST_LESS_FREQUENT, TEST_MAIN_KEYWORDS,
+                                    TEST_LESS_FREQUENT)

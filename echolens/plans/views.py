@@ -184,3 +184,22 @@ replies AS (
   FROM replies_scored)"""
 
 VIEWS_SQL = "WITH " + POSTS_SQL.strip() + ",\n" + REPLIES_SQL.strip()
+
+
+def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Account profiles: one row per customer with its country and outlet."""
+    c = table(spark, sf_dir, "customer")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    return c.join(n, c.c_nationkey == n.n_nationkey).select(
+        F.col("c_custkey").alias("userId"), F.col("c_name").alias("displayname"),
+        F.col("n_name").alias("country"), F.col("c_acctbal").alias("followersCount"),
+        F.col("c_mktsegment").alias("description"), F.col("c_mktsegment").alias("media_outlet"))
+
+
+ACCOUNTS_SQL = """
+accounts AS (
+  SELECT c_custkey AS userId, c_name AS displayname, n_name AS country, c_acctbal AS followersCount,
+         c_mktsegment AS description, c_mktsegment AS media_outlet
+  FROM customer JOIN nation ON c_nationkey = n_nationkey)"""
+
+VIEWS_SQL = VIEWS_SQL + ",\n" + ACCOUNTS_SQL.strip()
