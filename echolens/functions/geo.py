@@ -20,5 +20,6 @@ def haversine_km(lat1, lng1, lat2, lng2) -> Column:
     p1, p2 = F.radians(_c(lat1)), F.radians(_c(lat2))
     dp = p2 - p1
     dl = F.radians(_c(lng2)) - F.radians(_c(lng1))
-    a = F.pow(F.sin(dp / 2), 2) + F.cos(p1) * F.cos(p2) * F.pow(F.sin(dl / 2), 2)
+    sp, sl = F.sin(dp / 2), F.sin(dl / 2)
+    a = sp * sp + F.cos(p1) * F.cos(p2) * (sl * sl)
     return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.least(F.lit(1.0), a)))

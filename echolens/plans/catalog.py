@@ -402,3 +402,336 @@ def q_weekly_keyword_counts(spark, sf):
     return R.weekly_keyword_volumes(V.posts_with_content(spark, sf), "content", "dsw",
                                     TEST_MAIN_KEYWORDS + TEST_LESS_FREQUENT, TEST_MAIN_KEYWORDS,
                                     TEST_LESS_FREQUENT)
+
+
+# ---------------------------------------------------------------------------
+# Dedupe, merge, work queue, reply -> post
+# ---------------------------------------------------------------------------
+
+from ..operators import dedupe as D  # noqa: E402
+from ..operators import search as SR  # noqa: E402
+from ..functions import text as TX  # noqa: E402
+
+
+def _reply_rows(spark, sf):
+    li = _table(spark, sf, "lineitem")
+    return li.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("reply_id"),
+                     F.col("l_shipdate").alias("date"), "l_partkey", "l_suppkey", "l_quantity")
+
+
+_FIRST_SQL = """
+WITH r AS (SELECT l_orderkey*10 + l_linenumber AS reply_id, l_shipdate AS date, l_partkey, l_suppkey,
+                  l_quantity FROM lineitem),
+n AS (SELECT *, row_number() OVER (PARTITION BY reply_id ORDER BY date, l_partkey, l_suppkey,
+                                   l_quantity) AS rn FROM r)
+SELECT reply_id, date, l_partkey, l_suppkey, l_quantity FROM n WHERE rn = 1
+"""
+
+
+@register("first_per_key", _FIRST_SQL)
+def q_first_per_key(spark, sf):
+    return D.first_per_key(_reply_rows(spark, sf), "reply_id",
+                           ["date", "l_partkey", "l_suppkey", "l_quantity"])
+
+
+@register("first_per_key_agg", _FIRST_SQL)
+def q_first_per_key_agg(spark, sf):
+    return D.first_per_key_agg(_reply_rows(spark, sf), "reply_id",
+                               ["date", "l_partkey", "l_suppkey", "l_quantity"])
+
+
+@register("upsert_first_wins", """
+WITH ex AS (SELECT event_id, ts, user_id, event_type, value FROM events WHERE ts < TIMESTAMP '2024-01-20'),
+inc AS (SELECT event_id, ts, user_id, event_type, value + 1000 AS value FROM events
+        WHERE ts >= TIMESTAMP '2024-01-10'
+        UNION ALL
+        SELECT event_id, ts, user_id, event_type, value + 2000 AS value FROM events
+        WHERE ts >= TIMESTAMP '2024-01-25'),
+fresh AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY value) AS rn FROM inc
+          WHERE event_id NOT IN (SELECT event_id FROM ex))
+SELECT event_id, ts, user_id, event_type, round(value, 6) AS value FROM ex
+UNION ALL
+SELECT event_id, ts, user_id, event_type, round(value, 6) AS value FROM fresh WHERE rn = 1
+""")
+def q_upsert_first_wins(spark, sf):
+    ev = _table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    ex = ev.filter(F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz"))
+    inc = (ev.filter(F.col("ts") >= F.lit("2024-01-10").cast("timestamp_ntz"))
+             .withColumn("value", F.col("value") + 1000)
+             .unionByName(ev.filter(F.col("ts") >= F.lit("2024-01-25").cast("timestamp_ntz"))
+                            .withColumn("value", F.col("value") + 2000)))
+    return round_doubles(D.upsert_first_wins(ex, inc, "event_id", order_by=["value"]))
+
+
+# Threads are bucketed by id so batch numbering runs in parallel.
+PENDING_BUCKETS = 4
+
+
+@register("pending_batches", f"""
+WITH posts AS (SELECT conv_id FROM conversations WHERE turn = 0),
+rc AS (SELECT conv_id, count(*) AS reply_count FROM conversations WHERE turn > 0 GROUP BY conv_id),
+collected AS (SELECT DISTINCT conv_id FROM conversations WHERE turn > 0 AND role = 'user'),
+todo AS (SELECT DISTINCT p.conv_id, p.conv_id % {PENDING_BUCKETS} AS bucket FROM posts p JOIN rc ON p.conv_id = rc.conv_id
+         WHERE rc.reply_count > 0 AND p.conv_id NOT IN (SELECT conv_id FROM collected)),
+nb AS (SELECT *, floor((row_number() OVER (PARTITION BY bucket ORDER BY conv_id) - 1) / 12)::BIGINT AS batch
+       FROM todo)
+SELECT bucket, batch, count(*) AS n_ids,
+       'conversation_id:' || string_agg(cast(conv_id AS varchar), ' OR ' ORDER BY conv_id) AS query
+FROM nb GROUP BY bucket, batch
+""")
+def q_pending_batches(spark, sf):
+    conv = _table(spark, sf, "conversations")
+    rc = conv.filter(F.col("turn") > 0).groupBy("conv_id").agg(F.count(F.lit(1)).alias("replyCount"))
+    posts = conv.filter(F.col("turn") == 0).select("conv_id").join(rc, "conv_id")
+    collected = conv.filter((F.col("turn") > 0) & (F.col("role") == "user")).select("conv_id")
+    return SR.pending_batches(posts, collected, "conv_id", "replyCount", 12,
+                              F.pmod(F.col("conv_id"), F.lit(PENDING_BUCKETS)))
+
+
+@register("reply_to_post_join", """
+WITH p AS (SELECT conv_id, role AS news_role, length(text) AS news_chars FROM conversations WHERE turn = 0),
+r AS (SELECT conv_id, turn, role, length(text) AS chars FROM conversations WHERE turn > 0)
+SELECT r.conv_id, r.turn, r.role, r.chars, p.news_role, p.news_chars FROM r JOIN p ON r.conv_id = p.conv_id
+""")
+def q_reply_to_post_join(spark, sf):
+    conv = _table(spark, sf, "conversations")
+    p = conv.filter(F.col("turn") == 0).select(
+        "conv_id", F.col("role").alias("news_role"), F.length("text").alias("news_chars"))
+    r = conv.filter(F.col("turn") > 0).select("conv_id", "turn", "role", F.length("text").alias("chars"))
+    return r.join(p, "conv_id")
+
+
+# ---------------------------------------------------------------------------
+# Account discovery: mentions and thresholds (A15, F06, F07), radius
+# ---------------------------------------------------------------------------
+
+@register("mention_threshold", f"""
+WITH m AS (SELECT unnest(regexp_extract_all(text, '@(\\w+)', 1)) AS account FROM documents),
+c AS (SELECT account, count(*) AS count FROM m WHERE account IS NOT NULL GROUP BY account),
+n AS (SELECT count(*) AS posts FROM documents)
+SELECT account, count FROM c, n WHERE count > ceil(posts / 5000)
+""")
+def q_mention_threshold(spark, sf):
+    docs = _table(spark, sf, "documents").select(TX.mentions("text").alias("mentioned"))
+    return R.mention_counts(docs, "mentioned", 5000)
+
+
+def _points(spark, sf):
+    c = _table(spark, sf, "customer")
+    return c.select(F.col("c_custkey").alias("point_id"),
+                    ((F.col("c_custkey") * 37) % 180 - 90 + F.col("c_nationkey") / 10).alias("latitude"),
+                    ((F.col("c_custkey") * 91) % 360 - 180 + F.col("c_nationkey") / 7).alias("longitude"))
+
+
+def _regions_sql() -> str:
+    from ..schemas import SEARCH_REGIONS
+    rows = ", ".join(f"('{n}', {la!r}, {lo!r}, {r!r})" for n, la, lo, r in SEARCH_REGIONS)
+    return f"(VALUES {rows}) AS rg(region, lat, lng, radius_km)"
+
+
+@register("radius_filter", f"""
+WITH pts AS (SELECT c_custkey AS point_id, (c_custkey * 37) % 180 - 90 + c_nationkey / 10 AS latitude,
+                    (c_custkey * 91) % 360 - 180 + c_nationkey / 7 AS longitude FROM customer),
+d AS (SELECT region, point_id, latitude, longitude, radius_km,
+             2 * 6371.0088 * asin(sqrt(least(1.0,
+               sin((radians(lat) - radians(latitude)) / 2) * sin((radians(lat) - radians(latitude)) / 2)
+               + cos(radians(latitude)) * cos(radians(lat)) * (sin((radians(lng) - radians(longitude)) / 2) * sin((radians(lng) - radians(longitude)) / 2)))))
+             AS distance_km
+      FROM pts CROSS JOIN {_regions_sql()})
+SELECT region, point_id, round(distance_km, 6) AS distance_km FROM d WHERE distance_km <= radius_km
+""")
+def q_radius_filter(spark, sf):
+    from ..sources.lookups import search_regions
+    out = SR.radius_filter(_points(spark, sf), search_regions(spark))
+    return round_doubles(out.select("region", "point_id", "distance_km"))
+
+
+# ---------------------------------------------------------------------------
+# Text functions
+# ---------------------------------------------------------------------------
+
+@register("masked_text", """
+SELECT doc_id, array_to_string(list_transform(string_split(text, ' '), lambda t:
+         CASE WHEN starts_with(t, '@') AND length(t) > 1 THEN '@user'
+              WHEN starts_with(t, 'http') THEN 'http' ELSE t END), ' ') AS masked
+FROM documents
+""")
+def q_masked_text(spark, sf):
+    d = _table(spark, sf, "documents")
+    return d.select("doc_id", TX.mask_handles_and_links("text").alias("masked"))
+
+
+@register("symbol_guard", f"""
+SELECT doc_id, len(regexp_extract_all(text, '{TX.SYMBOL_PATTERN}')) AS n_symbols,
+       len(regexp_extract_all(text, '{TX.SYMBOL_PATTERN}')) > 150 AS over_limit
+FROM documents
+""")
+def q_symbol_guard(spark, sf):
+    d = _table(spark, sf, "documents")
+    n = TX.symbol_count("text")
+    return d.select("doc_id", n.cast("bigint").alias("n_symbols"), (n > 150).alias("over_limit"))
+
+
+@register("keyword_flags", f"""
+SELECT doc_id, {", ".join(f"cast(instr(lower(text), '{k}') > 0 AS int) AS \"{TX.keyword_col_name(k)}\"" for k in dict.fromkeys(TEST_MAIN_KEYWORDS + TEST_LESS_FREQUENT))},
+       ({" OR ".join(f"instr(lower(text), '{k}') > 0" for k in dict.fromkeys(TEST_MAIN_KEYWORDS + TEST_LESS_FREQUENT))}) AS any_keyword
+FROM documents
+""")
+def q_keyword_flags(spark, sf):
+    kws = list(dict.fromkeys(TEST_MAIN_KEYWORDS + TEST_LESS_FREQUENT))
+    d = _table(spark, sf, "documents").select("doc_id", "text")
+    return TX.keyword_flags(d, "text", kws).withColumn("any_keyword", TX.any_keyword("text", kws)).drop("text")
+
+
+@register("link_posts", """
+WITH u AS (SELECT 'doc' AS kind, doc_id AS id, text AS content FROM documents
+           UNION ALL SELECT 'page' AS kind, page_id AS id, url AS content FROM pages)
+SELECT kind, id, len(string_split(content, ' ')) = 1 AND starts_with(content, 'http') AS link_only FROM u
+""")
+def q_link_posts(spark, sf):
+    d = _table(spark, sf, "documents").select(F.lit("doc").alias("kind"), F.col("doc_id").alias("id"),
+                                             F.col("text").alias("content"))
+    p = _table(spark, sf, "pages").select(F.lit("page").alias("kind"), F.col("page_id").alias("id"),
+                                         F.col("url").alias("content"))
+    return d.unionByName(p).select("kind", "id", TX.is_link_only("content").alias("link_only"))
+
+
+def _title_sql(html: str) -> str:
+    raw = f"regexp_extract({html}, '(?is)<title[^>]*>(.*?)</title>', 1)"
+    t = raw
+    for ent, ch in TX.HTML_ENTITIES:
+        t = f"replace({t}, '{ent}', '{ch.replace(chr(39), chr(39) * 2)}')"
+    for a, b in TX.TITLE_CHAR_MAP:
+        t = f"replace({t}, '{a}', '{b}')"
+    t = f"regexp_replace(regexp_replace({t}, '[{TX._WS}]+', ' ', 'g'), '^ | $', '', 'g')"
+    return f"CASE WHEN length({raw}) = 0 THEN '[no-title]' ELSE {t} END"
+
+
+@register("page_titles", f"""
+SELECT page_id, {_title_sql('html')} AS title FROM pages
+""")
+def q_page_titles(spark, sf):
+    return _table(spark, sf, "pages").select("page_id", TX.html_title("html").alias("title"))
+
+
+@register("headline_enrichment", f"""
+WITH posts AS (SELECT page_id AS post_id, url AS content FROM pages),
+heads AS (SELECT url, {_title_sql('html')} AS full_title FROM pages),
+links AS (SELECT * FROM posts WHERE len(string_split(content, ' ')) = 1 AND starts_with(content, 'http')),
+j AS (SELECT links.post_id, heads.full_title AS content FROM links JOIN heads ON links.content = heads.url)
+SELECT post_id, content FROM j WHERE content IS NOT NULL
+  AND ({" OR ".join(f"instr(lower(content), '{k}') > 0" for k in TEST_MAIN_KEYWORDS)})
+""")
+def q_headline_enrichment(spark, sf):
+    pg = _table(spark, sf, "pages")
+    posts = pg.select(F.col("page_id").alias("post_id"), F.col("url").alias("content"))
+    heads = pg.select("url", TX.html_title("html").alias("full_title"))
+    return R.headline_enrichment(posts, heads, keywords=TEST_MAIN_KEYWORDS).select("post_id", "content")
+
+
+# ---------------------------------------------------------------------------
+# Top-n per group and the city-style union
+# ---------------------------------------------------------------------------
+
+@register("top_n_per_group", """
+WITH c AS (SELECT c_custkey, c_name, n_name, c_acctbal,
+                  row_number() OVER (PARTITION BY n_name ORDER BY c_acctbal DESC, c_custkey) AS rn
+           FROM customer JOIN nation ON c_nationkey = n_nationkey)
+SELECT n_name, c_custkey, c_name, c_acctbal, rn FROM c WHERE rn <= 3
+""")
+def q_top_n_per_group(spark, sf):
+    from ..operators.ranking import top_n_per_group
+    c = _table(spark, sf, "customer").join(_table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    out = top_n_per_group(c, "n_name", [F.col("c_acctbal").desc(), F.col("c_custkey")], 3, rank_col="rn")
+    return out.select("n_name", "c_custkey", "c_name", "c_acctbal", "rn")
+
+
+def _city_rows(spark, sf):
+    c = _table(spark, sf, "customer").join(_table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    x = F.floor(F.abs(F.col("c_acctbal")) * 100).cast("long")
+    pop = F.concat((x / 1000).cast("long").cast("string"), F.lit("."), F.lpad((x % 1000).cast("string"), 3, "0"))
+    return c.select(F.col("c_custkey").cast("int").alias("Rank"),
+                    F.concat(F.col("c_name"), F.when(F.col("c_custkey") % 2 == 0, F.lit(" city")).otherwise(F.lit(""))).alias("City"),
+                    F.concat(F.lit(" "), F.col("n_name"), F.lit(" ")).alias("State"), pop.alias("2019"))
+
+
+@register("city_style_union", """
+WITH raw AS (SELECT cast(c_custkey AS int) AS Rank,
+                    c_name || CASE WHEN c_custkey % 2 = 0 THEN ' city' ELSE '' END AS City,
+                    trim(' ' || n_name || ' ') AS State,
+                    cast(floor(abs(c_acctbal) * 100) AS BIGINT) AS Population
+             FROM customer JOIN nation ON c_nationkey = n_nationkey),
+top3 AS (SELECT Rank, City, State, Population FROM
+           (SELECT *, row_number() OVER (PARTITION BY State ORDER BY Rank) AS rn FROM raw) WHERE rn <= 3),
+u AS (SELECT Rank, City, State, Population FROM raw WHERE Population > 800000
+      UNION SELECT * FROM top3)
+SELECT Rank, City, State, Population, replace(City, ' city', '') || ', ' || State AS loctag
+FROM u WHERE Population > 50000
+""")
+def q_city_style_union(spark, sf):
+    return R.city_selection(_city_rows(spark, sf), big=800000, min_pop=50000, per_state=3)
+
+
+# ---------------------------------------------------------------------------
+# Tokens, phrases, dictionary, subtheme and rule tagging
+# ---------------------------------------------------------------------------
+
+from ..operators import tokens as TK  # noqa: E402
+from ..operators import phrases as PH  # noqa: E402
+from ..operators import topics as TP  # noqa: E402
+
+
+def _en_docs(spark, sf):
+    d = _table(spark, sf, "documents").filter(F.col("lang") == "en").select("doc_id", "text", "source")
+    return TK.clean_tokens(d, "text", "tokens")
+
+
+@register("clean_tokens", f"""
+SELECT doc_id, len(tok) AS n_tokens, array_to_string(tok, ' ') AS tokens
+FROM (SELECT doc_id, {TK.clean_tokens_sql('text')} AS tok FROM documents WHERE lang = 'en')
+""")
+def q_clean_tokens(spark, sf):
+    return _en_docs(spark, sf).select("doc_id", F.size("tokens").cast("bigint").alias("n_tokens"),
+                                      F.array_join("tokens", " ").alias("tokens"))
+
+
+def _phrases_sql(min_count=5, threshold=10.0) -> str:
+    return f"""
+WITH d AS (SELECT doc_id, {TK.clean_tokens_sql('text')} AS tok FROM documents WHERE lang = 'en'),
+u AS (SELECT w, count(*) AS cnt FROM (SELECT unnest(tok) AS w FROM d WHERE len(tok) > 0) GROUP BY w),
+p AS (SELECT tok[i] AS word_a, tok[i + 1] AS word_b
+      FROM (SELECT tok, unnest(generate_series(1, len(tok) - 1)) AS i FROM d WHERE len(tok) > 1) x),
+pc AS (SELECT word_a, word_b, count(*) AS pair_count FROM p GROUP BY 1, 2),
+v AS (SELECT (SELECT count(*) FROM u) + (SELECT count(*) FROM pc) AS len_vocab),
+s AS (SELECT pc.word_a, pc.word_b, pair_count, ua.cnt AS count_a, ub.cnt AS count_b,
+             (pair_count - {min_count}) / ua.cnt / ub.cnt * len_vocab AS score
+      FROM pc JOIN u ua ON pc.word_a = ua.w JOIN u ub ON pc.word_b = ub.w CROSS JOIN v
+      WHERE pair_count > {min_count})
+SELECT word_a, word_b, word_a || '_' || word_b AS phrase, pair_count, count_a, count_b, round(score, 6) AS score
+FROM s WHERE score > {threshold}
+"""
+
+
+@register("phrases", _phrases_sql())
+def q_phrases(spark, sf):
+    return round_doubles(PH.learn_phrases(_en_docs(spark, sf), "tokens"))
+
+
+@register("phrase_merged_tokens")
+def q_phrase_merged_tokens(spark, sf):
+    docs = _en_docs(spark, sf)
+    bi = PH.learn_phrases(docs, "tokens")
+    d2 = PH.apply_phrases(docs, bi, "doc_id", "tokens")
+    tri = PH.learn_phrases(d2, "tokens")
+    d3 = PH.apply_phrases(d2, tri, "doc_id", "tokens")
+    return d3.select("doc_id", F.size("tokens").alias("n_tokens"), F.array_join("tokens", " ").alias("tokens"))
+
+
+@register("doc_freq_dictionary", f"""
+WITH d AS (SELECT doc_id, {TK.clean_tokens_sql('text')} AS tok FROM documents WHERE lang = 'en'),
+n AS (SELECT count(*) AS n_docs FROM d),
+df AS (SELECT w AS token, count(DISTINCT doc_id) AS df FROM (SELECT doc_id, unnest(tok) AS w FROM d) GROUP BY w)
+SELECT token, df FROM df, n WHERE df >= 0.0005 * n_docs AND df <= 0.33 * n_docs
+""")
+def q_doc_freq_dictionary(spark, sf):
+    return TP.doc_freq_dictionary(_en_docs(spark, sf), "tokens", "doc_id")
