@@ -735,3 +735,201 @@ SELECT token, df FROM df, n WHERE df >= 0.0005 * n_docs AND df <= 0.33 * n_docs
 """)
 def q_doc_freq_dictionary(spark, sf):
     return TP.doc_freq_dictionary(_en_docs(spark, sf), "tokens", "doc_id")
+
+
+def _themed_docs(spark, sf):
+    p = V.posts(spark, sf).select(F.col("post_id").alias("doc_id"), "theme")
+    return _en_docs(spark, sf).join(p, "doc_id")
+
+
+def _subtheme_sql() -> str:
+    from ..schemas import SUBTHEME_CODES, SUBTHEME_RULES
+    rules = {code: (th, kws) for th, code, kws in SUBTHEME_RULES}
+    flags = []
+    for code in SUBTHEME_CODES:
+        th, kws = rules[code]
+        lst = "[" + ", ".join(f"'{k}'" for k in kws) + "]"
+        flags.append(f"(theme = {th} AND list_has_any(tok, {lst}))")
+    case = "CASE " + " ".join(f"WHEN {f} THEN {c}" for f, c in zip(flags, SUBTHEME_CODES)) + " ELSE theme * 10 END"
+    n = " + ".join(f"cast({f} AS int)" for f in flags)
+    return V.VIEWS_SQL + f""",
+d AS (SELECT doc_id, {TK.clean_tokens_sql('text')} AS tok FROM documents WHERE lang = 'en'),
+t AS (SELECT d.doc_id, d.tok, p.theme FROM d JOIN posts p ON d.doc_id = p.post_id)
+SELECT doc_id, theme, cast({case} AS int) AS subtheme, ({n}) AS n_flags FROM t
+"""
+
+
+@register("subtheme_tags", _subtheme_sql())
+def q_subtheme_tags(spark, sf):
+    from ..schemas import SUBTHEME_CODES
+    out = TP.subtheme_flags(_themed_docs(spark, sf), "tokens", "theme")
+    n = None
+    for c in SUBTHEME_CODES:
+        v = F.col(f"subtheme{c}").cast("int")
+        n = v if n is None else n + v
+    return out.select("doc_id", "theme", "subtheme", n.alias("n_flags"))
+
+
+# Test rules, built from a rule over frequent tokens of the test prose:
+# per topic t two ordered keyword rules and a default.
+_RULE_POOL = ["ha", "er", "th", "re", "nd", "es", "en", "ed", "ing", "ti",
+              "ea", "st", "nt", "ble", "ly", "ther", "tion", "ou", "sh", "thon"]
+
+
+def test_topic_rules():
+    rows = []
+    for t in range(20):
+        rows.append((t, 1 + t % 8, "rule a", f"{_RULE_POOL[t % 20]}, {_RULE_POOL[(t + 1) % 20]}", "F", 1))
+        rows.append((t, 1 + (t + 3) % 8, "rule b", _RULE_POOL[(t + 7) % 20], "F", 2))
+        rows.append((t, 1 + (t + 5) % 8, "default", "", "T", 0))
+    return rows
+
+
+def _rule_sql() -> str:
+    vals = ", ".join(f"({t}, {th}, '{kw}', '{df}', {o})" for t, th, _, kw, df, o in test_topic_rules())
+    return f"""
+WITH rules AS (SELECT * FROM (VALUES {vals}) AS r(topic, theme_id, keywords, dflt, rule_order)),
+d AS (SELECT doc_id, cast(substr(source, 4) AS int) AS num_topic, {TK.clean_tokens_sql('text')} AS tok
+      FROM documents WHERE lang = 'en'),
+hits AS (SELECT d.doc_id, r.theme_id, r.rule_order FROM d JOIN rules r ON d.num_topic = r.topic
+         WHERE r.dflt = 'F' AND list_has_any(d.tok, string_split(replace(r.keywords, ' ', ''), ','))),
+last AS (SELECT doc_id, arg_max(theme_id, rule_order) AS theme FROM hits GROUP BY doc_id)
+SELECT d.doc_id, d.num_topic, coalesce(last.theme, df.theme_id) AS theme
+FROM d LEFT JOIN last ON d.doc_id = last.doc_id
+       LEFT JOIN (SELECT topic, theme_id FROM rules WHERE dflt = 'T') df ON d.num_topic = df.topic
+"""
+
+
+@register("rule_themes", _rule_sql())
+def q_rule_themes(spark, sf):
+    rules = spark.createDataFrame(test_topic_rules(),
+                                  "topic int, theme_id int, themes string, keywords string, default string, rule_order int")
+    docs = _en_docs(spark, sf).withColumn("num_topic", F.substring("source", 4, 10).cast("int"))
+    return TP.rule_themes(docs, rules, "tokens", "num_topic").select("doc_id", "num_topic", "theme")
+
+
+# ---------------------------------------------------------------------------
+# Topic model, coherence, scorer, classifier
+# rows-only: different inference than the published sampler, seeds fixed.
+# ---------------------------------------------------------------------------
+
+_LDA_CACHE: dict = {}
+
+
+def _lda(spark, sf, k: int = 20, max_iter: int = 10):
+    from ..schemas import LDA_SEED
+    ck = (spark.sparkContext.applicationId, sf, k, max_iter)
+    if ck not in _LDA_CACHE:
+        docs = _en_docs(spark, sf)
+        dic = TP.doc_freq_dictionary(docs, "tokens", "doc_id")
+        vocab = TP.vocabulary(dic)
+        bow = TP.bag_of_words(docs, vocab, "tokens", "bow")
+        model, data = TP.fit_lda(bow, k=k, seed=LDA_SEED, max_iter=max_iter)
+        _LDA_CACHE[ck] = (model, data, vocab)
+    return _LDA_CACHE[ck]
+
+
+@register("lda_prevalence")
+def q_lda_prevalence(spark, sf):
+    model, data, _ = _lda(spark, sf)
+    return TP.topic_prevalence(TP.dominant_topic(model, data, "doc_id"))
+
+
+@register("lda_topic_themes")
+def q_lda_topic_themes(spark, sf):
+    """Documents with dominant topic, weight, topic keywords, theme and subtheme."""
+    model, data, vocab = _lda(spark, sf)
+    dt = TP.dominant_topic(model, data, "doc_id")
+    terms = TP.topic_terms(model, TP.vocab_frame(spark, vocab), 10)
+    kw = terms.groupBy(F.col("topic").alias("num_topic")).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "word"))), lambda s: s["word"]),
+                     ", ").alias("topic_keywords"))
+    th = TP.topics_to_themes(dt.join(F.broadcast(kw), "num_topic", "left"), spark)
+    tagged = TP.subtheme_flags(th.join(data.select("doc_id", "tokens"), "doc_id"), "tokens", "theme")
+    return tagged.select("doc_id", "num_topic", F.round("topic_weight", 4).alias("topic_weight"),
+                         "topic_keywords", "theme", "subtheme")
+
+
+@register("theme_words")
+def q_theme_words(spark, sf):
+    model, _, vocab = _lda(spark, sf)
+    terms = TP.topic_terms(model, TP.vocab_frame(spark, vocab), 40)
+    from ..sources.lookups import topic_themes
+    tw = TP.theme_words(terms, topic_themes(spark), 40)
+    return tw.select("theme", F.size("words").alias("n_words"), F.array_join("words", " ").alias("words"))
+
+
+@register("top_docs_per_topic")
+def q_top_docs_per_topic(spark, sf):
+    from ..operators.ranking import top_n_per_group
+    model, data, _ = _lda(spark, sf)
+    dt = TP.dominant_topic(model, data, "doc_id")
+    return top_n_per_group(dt, "num_topic", [F.col("topic_weight").desc(), F.col("doc_id")], 10,
+                           rank_col="rank").select("num_topic", "rank", "doc_id",
+                                                   F.round("topic_weight", 4).alias("topic_weight"))
+
+
+def _top_words(model, spark, vocab, topn=20):
+    t = TP.topic_terms(model, TP.vocab_frame(spark, vocab), topn)
+    return t.select("topic", "rank", "word")
+
+
+@register("coherence")
+def q_coherence(spark, sf):
+    from ..operators.coherence import coherence_cv
+    model, data, vocab = _lda(spark, sf)
+    per, overall = coherence_cv(data, _top_words(model, spark, vocab), "tokens", "doc_id")
+    return per.select(F.col("topic").cast("int").alias("topic"), F.round("c_v", 6).alias("c_v")).unionByName(
+        overall.select(F.lit(-1).alias("topic"), F.round("c_v", 6).alias("c_v")))
+
+
+@register("coherence_sweep")
+def q_coherence_sweep(spark, sf):
+    from ..operators.coherence import coherence_cv
+    from ..schemas import COHERENCE_SWEEP
+    rows = []
+    for k in COHERENCE_SWEEP:
+        model, data, vocab = _lda(spark, sf, k=k, max_iter=5)
+        _, overall = coherence_cv(data, _top_words(model, spark, vocab), "tokens", "doc_id")
+        rows.append((k, float(overall.first()["c_v"])))
+    return spark.createDataFrame(rows, "k int, c_v double")
+
+
+def _labelled_docs(spark, sf):
+    d = _table(spark, sf, "documents").select("doc_id", "text")
+    lab = _table(spark, sf, "labels")
+    from ..operators.scoring import MODEL_LABELS
+    label = F.element_at(F.array(*[F.lit(x) for x in MODEL_LABELS]),
+                         (F.col("quality") * 2 + F.col("toxic") + 1).cast("int"))
+    return d.join(lab, "doc_id").select("doc_id", F.col("text").alias("content"), label.alias("label"))
+
+
+@register("emotion_scores")
+def q_emotion_scores(spark, sf):
+    from ..operators.scoring import score_with_model, train_text_scorer
+    model = train_text_scorer(_labelled_docs(spark, sf), "content", "label", num_features=1 << 16)
+    docs = _table(spark, sf, "documents").select("doc_id", F.col("text").alias("content"))
+    return score_with_model(docs, model, "doc_id", "content")
+
+
+_DOC_FEATURES = ["n_chars", "n_symbols", "n_tokens", "has_mention", "log_chars"]
+
+
+def _doc_features(spark, sf):
+    d = _table(spark, sf, "documents")
+    toks = TK.clean_tokens(d, "text", "tokens")
+    return toks.select("doc_id", F.col("n_chars").cast("double").alias("n_chars"),
+                       TX.symbol_count("text").cast("double").alias("n_symbols"),
+                       F.size("tokens").cast("double").alias("n_tokens"),
+                       (F.size(TX.mentions("text")) > 0).alias("has_mention"),
+                       F.log10(F.col("n_chars") + 1).alias("log_chars"))
+
+
+@register("account_classifier")
+def q_account_classifier(spark, sf):
+    from ..operators.scoring import predict_classifier, train_classifier
+    feats = _doc_features(spark, sf)
+    train = feats.join(_table(spark, sf, "labels").select("doc_id", "quality"), "doc_id")
+    model = train_classifier(train, _DOC_FEATURES, "quality")
+    return predict_classifier(model, feats, _DOC_FEATURES, "doc_id").select(
+        "doc_id", "pred", F.round("p_true", 6).alias("p_true"))
