@@ -12,24 +12,40 @@ def _c(x):
     return F.col(x) if isinstance(x, str) else x
 
 
+def _score_array(cols) -> Column:
+    return F.array(*[F.nanvl(_c(c).cast("double"), F.lit(None).cast("double")) for c in cols])
+
+
 def max_score(cols=ARGMAX_ORDER) -> Column:
     """Row maximum over the score columns, skipping nulls (NaN is treated as null)."""
-    return F.greatest(*[F.nanvl(_c(c), F.lit(None).cast("double")) for c in cols])
+    return F.array_max(_score_array(cols))
+
+
+def _best(cols) -> Column:
+    """Largest (score, -position, name) struct: the max score, ties to the first column.
+
+    One array expression, so the label stays small when the optimizer inlines
+    it into pushed-down filters.
+    """
+    return F.array_max(F.array(*[
+        F.struct(F.nanvl(_c(c).cast("double"), F.lit(None).cast("double")).alias("s"),
+                 F.lit(-i).alias("p"), F.lit(c).alias("name"))
+        for i, c in enumerate(cols)]))
 
 
 def argmax_label(cols=ARGMAX_ORDER) -> Column:
     """Name of the column holding the row maximum; ties go to the first in ``cols``."""
-    m = max_score(cols)
-    expr = None
-    for c in cols:
-        cond = _c(c) == m
-        expr = F.when(cond, F.lit(c)) if expr is None else expr.when(cond, F.lit(c))
-    return expr
+    b = _best(cols)
+    return F.when(b["s"].isNotNull(), b["name"])
 
 
 def prevalent_emotion(cols=ARGMAX_ORDER, threshold: float = PREVALENT_THRESHOLD) -> Column:
-    """Argmax label when the maximum is strictly above ``threshold``, else 'undefined'."""
-    return F.when(max_score(cols) > F.lit(threshold), argmax_label(cols)).otherwise(
+    """Argmax label when the maximum is strictly above ``threshold``, else 'undefined'.
+
+    Never null (a null maximum fails the threshold test).
+    """
+    b = _best(cols)
+    return F.when(F.coalesce(b["s"] > F.lit(threshold), F.lit(False)), b["name"]).otherwise(
         F.lit(UNDEFINED_LABEL))
 
 

@@ -34,13 +34,18 @@ def top_n(df: DataFrame, order_by, n: int) -> DataFrame:
 
 def cascade_top(df: DataFrame, id_col: str, measures, k: int = 5,
                 label_col: str = "main_emotion", rank_col: str = "rank_emotion",
-                score_col: str = "score_emotion") -> DataFrame:
+                score_col: str = "score_emotion", materialize: bool = True) -> DataFrame:
     """Exclusive cascaded top-k: for each measure in order, the ``k`` highest rows
     whose id was not already picked by an earlier measure.
 
     ``rank_col`` counts up to the highest value (k = highest); ties broken by
     id ascending.  With fewer than k candidates, fewer rows are returned.
     """
+    if materialize:
+        # the cascade re-reads its input once per measure: cut the lineage so
+        # the (one row per candidate) input is computed once
+        from ..session import cut_lineage
+        df = cut_lineage(df)
     picked = None
     parts = []
     for m in measures:

@@ -557,7 +557,7 @@ SELECT doc_id, array_to_string(list_transform(string_split(text, ' '), lambda t:
 FROM documents
 """)
 def q_masked_text(spark, sf):
-    d = _table(spark, sf, "documents")
+    d = _docs(spark, sf, "doc_id", "text")
     return d.select("doc_id", TX.mask_handles_and_links("text").alias("masked"))
 
 
@@ -567,7 +567,7 @@ SELECT doc_id, len(regexp_extract_all(text, '{TX.SYMBOL_PATTERN}')) AS n_symbols
 FROM documents
 """)
 def q_symbol_guard(spark, sf):
-    d = _table(spark, sf, "documents")
+    d = _docs(spark, sf, "doc_id", "text")
     n = TX.symbol_count("text")
     return d.select("doc_id", n.cast("bigint").alias("n_symbols"), (n > 150).alias("over_limit"))
 
@@ -579,7 +579,7 @@ FROM documents
 """)
 def q_keyword_flags(spark, sf):
     kws = list(dict.fromkeys(TEST_MAIN_KEYWORDS + TEST_LESS_FREQUENT))
-    d = _table(spark, sf, "documents").select("doc_id", "text")
+    d = _docs(spark, sf, "doc_id", "text")
     return TX.keyword_flags(d, "text", kws).withColumn("any_keyword", TX.any_keyword("text", kws)).drop("text")
 
 
@@ -681,8 +681,15 @@ from ..operators import phrases as PH  # noqa: E402
 from ..operators import topics as TP  # noqa: E402
 
 
+def _docs(spark, sf, *cols):
+    """Documents, spread over the cores when the file gives too few splits."""
+    from ..session import spread
+    d = _table(spark, sf, "documents")
+    return spread(d.select(*cols) if cols else d)
+
+
 def _en_docs(spark, sf):
-    d = _table(spark, sf, "documents").filter(F.col("lang") == "en").select("doc_id", "text", "source")
+    d = _docs(spark, sf, "doc_id", "text", "source", "lang").filter(F.col("lang") == "en").drop("lang")
     return TK.clean_tokens(d, "text", "tokens")
 
 
@@ -916,7 +923,7 @@ _DOC_FEATURES = ["n_chars", "n_symbols", "n_tokens", "has_mention", "log_chars"]
 
 
 def _doc_features(spark, sf):
-    d = _table(spark, sf, "documents")
+    d = _docs(spark, sf, "doc_id", "text", "n_chars")
     toks = TK.clean_tokens(d, "text", "tokens")
     return toks.select("doc_id", F.col("n_chars").cast("double").alias("n_chars"),
                        TX.symbol_count("text").cast("double").alias("n_symbols"),

@@ -27,6 +27,7 @@ def build_session(master: str | None = None, app: str = "echolens",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.shuffle.partitions": str(shuffle_partitions or 8),
         "spark.driver.memory": "16g",
+        "spark.sql.codegen.hugeMethodLimit": "8000",
     }
     for k, v in conf.items():
         b = b.config(k, v)
@@ -37,9 +38,18 @@ def build_session(master: str | None = None, app: str = "echolens",
 
 
 def ensure_utc(spark: SparkSession) -> None:
-    """Calendar keys are defined on UTC; align the session if it differs."""
+    """Calendar keys are defined on UTC; align the session if it differs.
+
+    Also caps generated methods at the JIT's size limit: a whole-stage
+    function above ~8 KB of bytecode is never JIT-compiled and runs
+    interpreted (10x slower); with the cap Spark falls back to per-operator
+    code for that subtree instead.  Wide score expressions inlined into
+    pushed-down filters hit exactly this.
+    """
     if spark.conf.get("spark.sql.session.timeZone", "UTC") not in ("UTC", "Etc/UTC", "GMT"):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+    if spark.conf.get("spark.sql.codegen.hugeMethodLimit", "65535") == "65535":
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -82,3 +92,14 @@ def bounded_rows(df: DataFrame, limit: int) -> int | None:
 def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` only when its row count is proven small; else leave it to the planner."""
     return F.broadcast(df) if bounded_rows(df, max_rows) is not None else df
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Guard for CPU-heavy per-row work (tokenising long texts) over few, large files.
+
+    When the scan yields fewer partitions than the cluster has cores (a
+    single-row-group file gives one task), round-robin it over the cores;
+    on a real dataset with many splits this is a no-op and adds no shuffle.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
