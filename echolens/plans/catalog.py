@@ -981,3 +981,238 @@ def q_stream_emotion_scores(spark, sf):
     st = SJ.file_stream(spark, sf, _schema_of(spark, sf, "documents"), glob="documents.parquet")
     docs = st.select("doc_id", F.col("text").alias("content"))
     return SJ.score_stream(docs, lambda b: score_with_model(b, model, "doc_id", "content"), "scores")
+
+
+# ---------------------------------------------------------------------------
+# Summaries, set operators, chunks, sorting
+# ---------------------------------------------------------------------------
+
+@register("summary_stats", """
+SELECT min(o_orderdate) AS first_date, max(o_orderdate) AS last_date,
+       sum(cast(round(o_totalprice * 100) AS BIGINT))::BIGINT AS total_cents, round(avg(o_totalprice), 6) AS mean_price,
+       round(max(o_totalprice), 6) AS max_price,
+       count(*) AS n_rows, count(DISTINCT o_custkey) AS n_accounts,
+       count_if(o_orderpriority IS NULL) AS null_priority
+FROM orders
+""")
+def q_summary_stats(spark, sf):
+    o = _table(spark, sf, "orders")
+    return round_doubles(o.agg(
+        F.min("o_orderdate").alias("first_date"), F.max("o_orderdate").alias("last_date"),
+        F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("total_cents"),
+        F.avg("o_totalprice").alias("mean_price"), F.max("o_totalprice").alias("max_price"),
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("o_custkey").alias("n_accounts"),
+        F.count_if(F.col("o_orderpriority").isNull()).alias("null_priority")))
+
+
+@register("posts_without_replies", """
+SELECT o_orderkey AS post_id, o_custkey AS account_id FROM orders
+WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)
+""")
+def q_posts_without_replies(spark, sf):
+    o = _table(spark, sf, "orders").select(F.col("o_orderkey").alias("post_id"),
+                                          F.col("o_custkey").alias("account_id"))
+    li = _table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("post_id"))
+    return D.difference(o, li, "post_id")
+
+
+@register("engaged_replies", V.VIEWS_SQL + f"""
+SELECT news_id, count(reply_id) AS n_replies FROM replies
+WHERE news_id IN (SELECT account_id FROM posts GROUP BY account_id HAVING count(post_id) > {MIN_POSTS})
+GROUP BY news_id
+""")
+def q_engaged_replies(spark, sf):
+    p = V.posts(spark, sf).withColumnRenamed("account_id", "userId")
+    eng = R.engaged_accounts(p, "userId", "post_id", MIN_POSTS).select(F.col("userId").alias("news_id"))
+    r = V.replies(spark, sf).join(eng, "news_id", "left_semi")
+    return r.groupBy("news_id").agg(F.count("reply_id").alias("n_replies"))
+
+
+@register("prevalent_value_counts", V.VIEWS_SQL + """
+SELECT prevalent_emotion, count(*) AS count FROM posts WHERE prevalent_emotion IS NOT NULL
+GROUP BY prevalent_emotion
+""")
+def q_prevalent_value_counts(spark, sf):
+    from ..operators.shares import value_counts
+    return value_counts(V.posts(spark, sf), "prevalent_emotion")
+
+
+@register("near_equal_chunks", """
+SELECT c_nationkey, c_custkey, ntile(4) OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS chunk
+FROM customer
+""")
+def q_near_equal_chunks(spark, sf):
+    from ..operators.ranking import near_equal_chunks
+    c = _table(spark, sf, "customer").select("c_nationkey", "c_custkey")
+    return near_equal_chunks(c, "c_custkey", 4, "c_nationkey")
+
+
+@register("head_and_tail", """
+(SELECT 'head' AS side, o_orderkey, round(o_totalprice, 6) AS o_totalprice FROM orders
+ ORDER BY o_totalprice DESC, o_orderkey LIMIT 10)
+UNION ALL
+(SELECT 'tail' AS side, o_orderkey, round(o_totalprice, 6) AS o_totalprice FROM orders
+ ORDER BY o_totalprice ASC, o_orderkey LIMIT 10)
+""")
+def q_head_and_tail(spark, sf):
+    from ..operators.ranking import top_n
+    o = _table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    h = top_n(o, [F.col("o_totalprice").desc(), F.col("o_orderkey")], 10).select(F.lit("head").alias("side"), "*")
+    t = top_n(o, [F.col("o_totalprice").asc(), F.col("o_orderkey")], 10).select(F.lit("tail").alias("side"), "*")
+    return round_doubles(h.unionByName(t))
+
+
+@register("repeatable_sample")
+def q_repeatable_sample(spark, sf):
+    from ..operators.ranking import repeatable_sample
+    return repeatable_sample(V.posts(spark, sf).select("post_id", "account_id", "country"), "post_id", 25, 99)
+
+
+# ---------------------------------------------------------------------------
+# Scores as softmax, link stems, profile features, bios, news flag (P20-P22,
+# P26, T15, F07, R18)
+# ---------------------------------------------------------------------------
+
+@register("softmax_scores", """
+WITH l AS (SELECT l_orderkey*10 + l_linenumber AS reply_id, l_linenumber,
+                  [l_quantity / 10, l_discount * 20, l_tax * 25, l_extendedprice / 20000] AS logits FROM lineitem),
+m AS (SELECT *, list_max(logits) AS mx FROM l),
+e AS (SELECT reply_id, l_linenumber, list_transform(logits, lambda x: exp(x - mx)) AS ex FROM m)
+SELECT reply_id, l_linenumber,
+       round_even(ex[1] / list_sum(ex), 3) AS anger, round_even(ex[2] / list_sum(ex), 3) AS joy,
+       round_even(ex[3] / list_sum(ex), 3) AS optimism, round_even(ex[4] / list_sum(ex), 3) AS sadness
+FROM e
+""")
+def q_softmax_scores(spark, sf):
+    from ..functions.emotions import softmax_rounded
+    li = _table(spark, sf, "lineitem")
+    logits = F.array(F.col("l_quantity") / 10, F.col("l_discount") * 20, F.col("l_tax") * 25,
+                     F.col("l_extendedprice") / 20000)
+    p = li.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("reply_id"), "l_linenumber",
+                  softmax_rounded(logits).alias("p"))
+    return p.select("reply_id", "l_linenumber", *[F.col("p")[i].alias(n) for i, n in
+                                                  enumerate(["anger", "joy", "optimism", "sadness"])])
+
+
+@register("link_stems", """
+SELECT page_id,
+       split_part(trim(trim(trim(url, 'https://'), 'http://'), 'www.'), '.', 1) AS stem_charset,
+       split_part(regexp_replace(url, '^(https?://)?(www\\.)?', ''), '.', 1) AS stem_prefix
+FROM pages
+""")
+def q_link_stems(spark, sf):
+    p = _table(spark, sf, "pages")
+    return p.select("page_id", TX.link_stem("url", "charset").alias("stem_charset"),
+                    TX.link_stem("url", "prefix").alias("stem_prefix"))
+
+
+AS_OF = "2002-01-01 00:00:00"
+
+
+@register("profile_features", "WITH " + V.PROFILES_SQL.strip() + f""",
+f AS (SELECT *, cast(floor(epoch_us(TIMESTAMP '{AS_OF}' - created) / 86400000000) AS BIGINT) AS age_in_days FROM profiles)
+SELECT userId, verified,
+       coalesce(split_part(trim(trim(trim(linkUrl, 'https://'), 'http://'), 'www.'), '.', 1) = username, false) AS usernameLink,
+       age_in_days,
+       round(statusesCount / (1 + age_in_days), 6) AS tweets_per_day,
+       round(mediaCount / (1 + statusesCount), 6) AS media_per_tweet,
+       round(listedCount / (1 + followersCount), 6) AS listed_per_followers,
+       round(favouritesCount / (1 + statusesCount), 6) AS favourites_per_tweet,
+       round(log10(1 + followersCount), 6) AS logFollowers, round(log10(1 + listedCount), 6) AS logListed,
+       location IS NOT NULL AS hasLocation, linkUrl IS NOT NULL AS hasLink, profileBannerUrl IS NOT NULL AS hasBanner
+FROM f
+""")
+def q_profile_features(spark, sf):
+    from ..functions.profile import PROFILE_FEATURES, with_profile_features
+    f = with_profile_features(V.profiles(spark, sf), AS_OF)
+    return round_doubles(f.select("userId", *PROFILE_FEATURES))
+
+
+def _bio_sql() -> str:
+    from ..schemas import BIO_EXTRA_STOPWORDS
+    stop = TK.default_stopwords() + BIO_EXTRA_STOPWORDS
+    lst = "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in stop) + "]"
+    return f"""
+SELECT doc_id, array_to_string(list_filter(string_split(lower(regexp_replace(coalesce(text, ''), '[^a-zA-Z0-9]+', ' ', 'g')), ' '),
+         lambda t: length(t) > 2 AND NOT regexp_full_match(t, '[0-9]+') AND NOT list_contains({lst}, t)), ' ') AS bio_tokens
+FROM documents
+"""
+
+
+@register("bio_tokens", _bio_sql())
+def q_bio_tokens(spark, sf):
+    d = _docs(spark, sf, "doc_id", "text")
+    return TK.bio_tokens(d, "text", "bio_tokens").select("doc_id", F.array_join("bio_tokens", " ").alias("bio_tokens"))
+
+
+@register("news_account_flag", """
+SELECT d.doc_id, (instr(d.text, 'news') > 0 OR instr(d.text, 'News') > 0) AND coalesce(l.quality = 1, false) AS news_like
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+""")
+def q_news_account_flag(spark, sf):
+    d = _table(spark, sf, "documents").select("doc_id", F.col("text").alias("description"))
+    lab = _table(spark, sf, "labels").select("doc_id", (F.col("quality") == 1).alias("verified"))
+    return d.join(lab, "doc_id").select("doc_id", R.news_like("description", "verified").alias("news_like"))
+
+
+@register("mentions_per_source", """
+WITH m AS (SELECT source, unnest(regexp_extract_all(text, '@(\\w+)', 1)) AS account FROM documents),
+c AS (SELECT source, account, count(*) AS count FROM m WHERE account IS NOT NULL GROUP BY 1, 2),
+n AS (SELECT source, count(*) AS posts FROM documents GROUP BY source)
+SELECT c.source, account, count FROM c JOIN n ON c.source = n.source WHERE count > ceil(posts / 1000)
+""")
+def q_mentions_per_source(spark, sf):
+    docs = _table(spark, sf, "documents").select("source", TX.mentions("text").alias("mentioned"))
+    return R.mention_counts(docs, "mentioned", 1000, region="source").select("source", "account", "count")
+
+
+# ---------------------------------------------------------------------------
+# Sinks: text-free monthly export and schema-enforced appends
+# ---------------------------------------------------------------------------
+
+from ..sources import sinks as SK  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+
+
+def _fresh(spark, name):
+    import uuid
+    return scratch_path(spark, f"sinks/{name}/{uuid.uuid4().hex[:12]}")
+
+
+@register("monthly_export", V.VIEWS_SQL + """
+SELECT post_id, account_id, date, country, round(engagement, 6) AS engagement,
+       round(anger, 6) AS anger, round(sadness, 6) AS sadness, round(optimism, 6) AS optimism, round(joy, 6) AS joy,
+       strftime(date, '%Y-%m') AS month_year
+FROM posts
+""")
+def q_monthly_export(spark, sf):
+    cols = ["post_id", "account_id", "date", "country", "engagement", "anger", "sadness", "optimism", "joy"]
+    p = V.posts(spark, sf)
+    path = _fresh(spark, "export")
+    SK.export_monthly(p, path, "date", cols)
+    schema = round_doubles(p.select(*cols)).schema
+    from pyspark.sql import types as T
+    back = (spark.read.schema(T.StructType(schema.fields + [T.StructField("month_year", T.StringType())]))
+            .option("header", True).csv(path))
+    return round_doubles(back)
+
+
+@register("incremental_append", """
+SELECT event_id, ts, user_id, event_type, round(value, 6) AS value FROM events
+""")
+def q_incremental_append(spark, sf):
+    from pyspark.sql import types as T
+    ev = _table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
+                           T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
+                           T.StructField("value", T.DoubleType())])
+    path = _fresh(spark, "append")
+    bounds = ["2024-01-10", "2024-01-20"]
+    ts = F.col("ts")
+    chunks = [ev.filter(ts < F.lit(bounds[0]).cast("timestamp_ntz")),
+              ev.filter((ts >= F.lit(bounds[0]).cast("timestamp_ntz")) & (ts < F.lit(bounds[1]).cast("timestamp_ntz"))),
+              ev.filter(ts >= F.lit(bounds[1]).cast("timestamp_ntz")),
+              ev.filter(ts.isNull())]
+    for c in chunks:
+        SK.append_parquet(c, path, schema)
+    return round_doubles(spark.read.schema(schema).parquet(path))

@@ -203,3 +203,43 @@ accounts AS (
   FROM customer JOIN nation ON c_nationkey = n_nationkey)"""
 
 VIEWS_SQL = VIEWS_SQL + ",\n" + ACCOUNTS_SQL.strip()
+
+
+def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Account profiles with counters, derived from customers and their orders."""
+    c = table(spark, sf_dir, "customer")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    o = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(
+        F.min("o_orderdate").alias("created"), F.count(F.lit(1)).alias("statusesCount"),
+        F.sum(F.when(F.col("o_orderstatus") == "F", 1).otherwise(0)).alias("mediaCount"),
+        F.count_distinct("o_orderpriority").alias("listedCount"))
+    j = c.join(n, c.c_nationkey == n.n_nationkey).join(o, c.c_custkey == o.o_custkey, "left")
+    return j.select(
+        F.col("c_custkey").alias("userId"), F.lower(F.replace("c_name", F.lit("#"), F.lit(""))).alias("username"),
+        F.col("created"), F.coalesce("statusesCount", F.lit(0)).cast("int").alias("statusesCount"),
+        F.coalesce("mediaCount", F.lit(0)).cast("int").alias("mediaCount"),
+        F.coalesce("listedCount", F.lit(0)).cast("int").alias("listedCount"),
+        F.floor(F.abs("c_acctbal")).cast("int").alias("followersCount"),
+        (F.col("c_custkey") % 100).cast("int").alias("favouritesCount"),
+        (F.col("c_acctbal") > 0).alias("verified"),
+        F.when(F.col("c_custkey") % 3 != 0, F.col("n_name")).alias("location"),
+        F.when(F.col("c_custkey") % 4 == 0, F.concat(F.lit("https://www."), F.lower(F.replace("c_name", F.lit("#"), F.lit(""))), F.lit(".com")))
+         .when(F.col("c_custkey") % 4 == 1, F.lit("https://sputnik.com")).alias("linkUrl"),
+        F.when(F.col("c_acctbal") < 0, F.lit("banner")).alias("profileBannerUrl"))
+
+
+PROFILES_SQL = """
+profiles AS (
+  SELECT c_custkey AS userId, lower(replace(c_name, '#', '')) AS username, o.created,
+         cast(coalesce(o.statusesCount, 0) AS int) AS statusesCount, cast(coalesce(o.mediaCount, 0) AS int) AS mediaCount,
+         cast(coalesce(o.listedCount, 0) AS int) AS listedCount, cast(floor(abs(c_acctbal)) AS int) AS followersCount,
+         cast(c_custkey % 100 AS int) AS favouritesCount, c_acctbal > 0 AS verified,
+         CASE WHEN c_custkey % 3 != 0 THEN n_name END AS location,
+         CASE WHEN c_custkey % 4 = 0 THEN 'https://www.' || lower(replace(c_name, '#', '')) || '.com'
+              WHEN c_custkey % 4 = 1 THEN 'https://sputnik.com' END AS linkUrl,
+         CASE WHEN c_acctbal < 0 THEN 'banner' END AS profileBannerUrl
+  FROM customer JOIN nation ON c_nationkey = n_nationkey
+  LEFT JOIN (SELECT o_custkey, min(o_orderdate) AS created, count(*) AS statusesCount,
+                    sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS mediaCount,
+                    count(DISTINCT o_orderpriority) AS listedCount
+             FROM orders GROUP BY o_custkey) o ON c_custkey = o.o_custkey)"""
