@@ -1216,3 +1216,22 @@ def q_incremental_append(spark, sf):
     for c in chunks:
         SK.append_parquet(c, path, schema)
     return round_doubles(spark.read.schema(schema).parquet(path))
+
+
+@register("bigrams_appended")
+def q_bigrams_appended(spark, sf):
+    """Bio tokens with the detected bigrams appended (min count 3)."""
+    d = TK.bio_tokens(_docs(spark, sf, "doc_id", "text"), "text", "tokens")
+    bi = PH.learn_phrases(d, "tokens", min_count=3)
+    out = PH.append_bigrams(d, bi, "doc_id", "tokens")
+    return out.select("doc_id", F.size("tokens").alias("n_tokens"),
+                      F.size(F.filter("tokens", lambda t: t.contains("_"))).alias("n_bigrams"))
+
+
+@register("dense_word_counts")
+def q_dense_word_counts(spark, sf):
+    """Bag of words over the dictionary, with dense counts for its ten most frequent words."""
+    docs = _en_docs(spark, sf)
+    vocab = TP.vocabulary(TP.doc_freq_dictionary(docs, "tokens", "doc_id"))
+    bow = TP.bag_of_words(docs, vocab, "tokens", "bow")
+    return TP.dense_counts(bow, vocab, vocab[:10]).drop("bow", "tokens", "text", "source")

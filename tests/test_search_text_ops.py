@@ -87,6 +87,8 @@ def test_phrases_vs_brute_force_and_greedy_merge(spark):
     ph = spark.createDataFrame([("new", "york"), ("york", "city")], "word_a string, word_b string")
     t = spark.createDataFrame([(1, ["new", "york", "city", "x", "york", "city"])], "doc_id long, tokens array<string>")
     assert PH.apply_phrases(t, ph, "doc_id").first().tokens == ["new_york", "city", "x", "york_city"]
+    # the shuffle path (phrase table too large to broadcast) gives the same tokens
+    assert PH.apply_phrases(t, ph, "doc_id", broadcast_rows=0).first().tokens == ["new_york", "city", "x", "york_city"]
 
 
 def test_dictionary_bounds(spark):
