@@ -19,12 +19,18 @@ from pyspark.sql import functions as F
 
 
 def first_per_key(df: DataFrame, key: str | list, order_by, drop_null_key: bool = False) -> DataFrame:
-    """Keep the first row per key by ``order_by`` (list of columns / Column); ties broken by them."""
+    """Keep the first row per key by ``order_by``; ties broken by the order columns.
+
+    With plain ascending column names this is the combinable ``min_by``
+    aggregate (skew-safe); arbitrary order expressions use a window.
+    """
     keys = [key] if isinstance(key, str) else list(key)
     src = df
     if drop_null_key:
         for k in keys:
             src = src.filter(F.col(k).isNotNull())
+    if all(isinstance(o, str) for o in order_by):
+        return first_per_key_agg(src, keys, list(order_by))
     order = [F.col(o) if isinstance(o, str) else o for o in order_by]
     w = Window.partitionBy(*keys).orderBy(*order)
     return src.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")

@@ -19,11 +19,30 @@ def _cols(xs):
 
 
 def top_n_per_group(df: DataFrame, group: str | list, order_by, n: int,
-                    rank_col: str | None = None) -> DataFrame:
-    """First ``n`` rows per group in ``order_by`` order (row_number, so exactly n when available)."""
+                    rank_col: str | None = None, salt_buckets: int = 32, salt_key=None) -> DataFrame:
+    """First ``n`` rows per group in ``order_by`` order (row_number, so exactly n when available).
+
+    Skew-safe two-phase top-k: rows are first ranked inside (group, salt)
+    slices and only each slice's top ``n`` survive, then the survivors
+    (at most n x salt_buckets per group) are ranked per group.  A group
+    holding a third of the table is thus sorted by ``salt_buckets`` tasks.
+    ``order_by`` must be a total order (end it with a unique key) for the
+    two phases to agree; ``salt_key`` (default: the order columns) picks the
+    slice.
+    """
     groups = [group] if isinstance(group, str) else list(group)
-    w = Window.partitionBy(*groups).orderBy(*_cols(order_by))
-    out = df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n)
+    order = _cols(order_by)
+    src = df
+    if salt_buckets and salt_buckets > 1:
+        key_cols = _cols(salt_key) if salt_key is not None else [
+            F.col(o) if isinstance(o, str) else o for o in order_by if isinstance(o, str)] or None
+        salt_src = key_cols if key_cols else [F.struct(*df.columns)]
+        salt = F.pmod(F.xxhash64(*salt_src), F.lit(salt_buckets))
+        src = (df.withColumn("_salt", salt)
+                 .withColumn("_rn1", F.row_number().over(Window.partitionBy(*groups, "_salt").orderBy(*order)))
+                 .filter(F.col("_rn1") <= n).drop("_rn1", "_salt"))
+    w = Window.partitionBy(*groups).orderBy(*order)
+    out = src.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n)
     return out.withColumnRenamed("_rn", rank_col) if rank_col else out.drop("_rn")
 
 

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import KM_PER_DEGREE, haversine_km
 from ..functions.text import any_keyword, id_query
+from ..session import bounded_rows
 
 
 def search_predicate(keywords=None, author: str | None = None, since: str | None = None,
@@ -80,7 +81,8 @@ def _region_cells(regions: DataFrame, cell_deg: float, lat: str, lng: str, radiu
 
 def radius_filter(points: DataFrame, regions: DataFrame, lat: str = "latitude", lng: str = "longitude",
                   region_lat: str = "lat", region_lng: str = "lng", radius: str = "radius_km",
-                  cell_deg: float = 2.0, distance_col: str = "distance_km") -> DataFrame:
+                  cell_deg: float = 2.0, distance_col: str = "distance_km",
+                  max_broadcast_regions: int = 64) -> DataFrame:
     """Points within each region's radius (a point may match several regions)."""
     n_lng = int(round(360 / cell_deg))
     pts = points.filter(F.col(lat).isNotNull() & F.col(lng).isNotNull()).select(
@@ -91,6 +93,9 @@ def radius_filter(points: DataFrame, regions: DataFrame, lat: str = "latitude",
         F.col("_cell_lat").cast("long").alias("_cell_lat"), F.col("_cell_lng").cast("long").alias("_cell_lng"))
     rl = f"_r_{region_lat}" if region_lat in points.columns else region_lat
     rg = f"_r_{region_lng}" if region_lng in points.columns else region_lng
+    # the cell table is bounded by regions x grid cells, independent of the data
+    if bounded_rows(regions, max_broadcast_regions) is not None:
+        cells = F.broadcast(cells)
     j = pts.join(cells, on=["_cell_lat", "_cell_lng"])
     d = haversine_km(F.col(lat), F.col(lng), F.col(rl), F.col(rg))
     return j.withColumn(distance_col, d).filter(F.col(distance_col) <= F.col(radius)).drop(
@@ -99,13 +104,14 @@ def radius_filter(points: DataFrame, regions: DataFrame, lat: str = "latitude",
 
 def pending_batches(posts: DataFrame, collected: DataFrame, key: str = "conversationId",
                     reply_count: str = "replyCount", size: int = 12, group: str | Column | None = None,
-                    prefix: str = "conversation_id:") -> DataFrame:
+                    prefix: str = "conversation_id:", bucket_width: int = 1024) -> DataFrame:
     """Work queue: posts with replies whose conversation has nothing collected yet,
     numbered into batches of ``size`` (ascending id) inside ``group``; one
-    search string per batch."""
-    todo = (posts.filter(F.col(reply_count) > 0).select(key, *(
-        [group.alias("_grp")] if isinstance(group, Column) else [F.col(group).alias("_grp")] if group else
-        [F.lit(0).alias("_grp")]))
+    search string per batch.  Without a group the ids are bucketed by id
+    range (``bucket_width``), so each numbering sort is bounded."""
+    grp = (group if isinstance(group, Column) else F.col(group) if group
+           else F.floor(F.col(key) / bucket_width))
+    todo = (posts.filter(F.col(reply_count) > 0).select(key, grp.alias("_grp"))
         .join(collected.select(key).filter(F.col(key).isNotNull()), on=key, how="left_anti")
         .dropDuplicates([key]))
     from pyspark.sql import Window

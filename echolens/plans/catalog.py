@@ -463,15 +463,16 @@ def q_upsert_first_wins(spark, sf):
     return round_doubles(D.upsert_first_wins(ex, inc, "event_id", order_by=["value"]))
 
 
-# Threads are bucketed by id so batch numbering runs in parallel.
-PENDING_BUCKETS = 4
+# Threads are bucketed by id range (width 32) so batch numbering runs in
+# parallel with a bounded sort per bucket.
+PENDING_BUCKET_WIDTH = 32
 
 
 @register("pending_batches", f"""
 WITH posts AS (SELECT conv_id FROM conversations WHERE turn = 0),
 rc AS (SELECT conv_id, count(*) AS reply_count FROM conversations WHERE turn > 0 GROUP BY conv_id),
 collected AS (SELECT DISTINCT conv_id FROM conversations WHERE turn > 0 AND role = 'user'),
-todo AS (SELECT DISTINCT p.conv_id, p.conv_id % {PENDING_BUCKETS} AS bucket FROM posts p JOIN rc ON p.conv_id = rc.conv_id
+todo AS (SELECT DISTINCT p.conv_id, p.conv_id // {PENDING_BUCKET_WIDTH} AS bucket FROM posts p JOIN rc ON p.conv_id = rc.conv_id
          WHERE rc.reply_count > 0 AND p.conv_id NOT IN (SELECT conv_id FROM collected)),
 nb AS (SELECT *, floor((row_number() OVER (PARTITION BY bucket ORDER BY conv_id) - 1) / 12)::BIGINT AS batch
        FROM todo)
@@ -485,7 +486,7 @@ def q_pending_batches(spark, sf):
     posts = conv.filter(F.col("turn") == 0).select("conv_id").join(rc, "conv_id")
     collected = conv.filter((F.col("turn") > 0) & (F.col("role") == "user")).select("conv_id")
     return SR.pending_batches(posts, collected, "conv_id", "replyCount", 12,
-                              F.pmod(F.col("conv_id"), F.lit(PENDING_BUCKETS)))
+                              F.floor(F.col("conv_id") / PENDING_BUCKET_WIDTH))
 
 
 @register("reply_to_post_join", """

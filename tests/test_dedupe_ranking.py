@@ -72,3 +72,12 @@ def test_repeatable_sample_any_partitioning(spark):
     a = [r.k for r in RK.repeatable_sample(df, "k", 25, 99).collect()]
     b = [r.k for r in RK.repeatable_sample(df.repartition(13), "k", 25, 99).collect()]
     assert a == b and len(a) == 25
+
+
+def test_salted_top_n_equals_plain_on_skew(spark):
+    rows = [(0 if i % 3 else i % 7, i, float((i * 37) % 101)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g int, id long, v double")
+    order = [F.col("v").desc(), F.col("id")]
+    a = RK.top_n_per_group(df, "g", order, 5, rank_col="r", salt_buckets=16).orderBy("g", "r").collect()
+    b = RK.top_n_per_group(df, "g", order, 5, rank_col="r", salt_buckets=0).orderBy("g", "r").collect()
+    assert [tuple(x) for x in a] == [tuple(x) for x in b]
