@@ -62,6 +62,19 @@ def group_means(df: DataFrame, keys, measures=EMOTIONS, id_col: str = "tweetId",
     return _means(g, measures)
 
 
+def _not_null(keys):
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).isNotNull()
+    return cond
+
+
+def _base_from(agg: DataFrame, measures, prefix: str) -> DataFrame:
+    """Row-weighted means from an aggregate of sums and counts (one row)."""
+    return agg.agg(*[F.try_divide(F.sum(f"_s_{m}"), F.sum(f"_c_{m}")).alias(f"{prefix}{m}")
+                     for m in measures])
+
+
 def emotion_lift(df: DataFrame, keys, measures=EMOTIONS, id_col: str = "tweetId",
                  baseline_keys=None, keep_means: bool = True, digits: int | None = None) -> DataFrame:
     """Lift of each measure for the groups ``keys``.
@@ -70,12 +83,20 @@ def emotion_lift(df: DataFrame, keys, measures=EMOTIONS, id_col: str = "tweetId"
     share the baseline keys (e.g. ``['dsm']`` for the same month).  Output:
     keys, n, the group means (``keep_means``), and ``lift_<m>`` for each
     measure, rounded half-even to ``digits`` when given.
+
+    One pass over ``df``: groups are aggregated with their null-key groups
+    kept, the baseline is rolled up from that aggregate (so it still covers
+    every row), and only then are null-key groups dropped.
     """
-    grp = group_means(df, keys, measures, id_col)
+    agg = df.groupBy(*keys).agg(*_sums(measures, id_col))
+    grp = _means(agg.filter(_not_null(keys)), measures)
     if not baseline_keys:
-        base = F.broadcast(global_means(df, measures).select(
-            *[F.col(m).alias(f"_g_{m}") for m in measures]))
+        base = F.broadcast(_base_from(agg, measures, "_g_"))
         joined = grp.crossJoin(base)
+    elif set(baseline_keys) <= set(keys):
+        b = _means(agg.filter(_not_null(baseline_keys)).groupBy(*baseline_keys).agg(*_resum(measures)),
+                   measures).select(*baseline_keys, *[F.col(m).alias(f"_g_{m}") for m in measures])
+        joined = grp.join(b, on=list(baseline_keys), how="inner")
     else:
         b = group_means(df, baseline_keys, measures, id_col).select(
             *baseline_keys, *[F.col(m).alias(f"_g_{m}") for m in measures])
@@ -90,9 +111,19 @@ def emotion_lift(df: DataFrame, keys, measures=EMOTIONS, id_col: str = "tweetId"
 
 def lift_vs_period(df: DataFrame, keys, period_keys, measures=EMOTIONS,
                    id_col: str = "tweetId") -> DataFrame:
-    """Group means next to the period-wide means (suffixes _group / _general) and their ratio."""
-    grp = group_means(df, keys, measures, id_col)
-    gen = group_means(df, period_keys, measures, id_col).drop("n")
+    """Group means next to the period-wide means (suffixes _group / _general) and their ratio.
+
+    When the period keys are among the group keys, both come from one
+    aggregate (null keys kept until the roll-up), i.e. one pass over ``df``.
+    """
+    if set(period_keys) <= set(keys):
+        agg = df.groupBy(*keys).agg(*_sums(measures, id_col))
+        grp = _means(agg.filter(_not_null(keys)), measures)
+        gen = _means(agg.filter(_not_null(period_keys)).groupBy(*period_keys).agg(*_resum(measures)),
+                     measures).drop("n")
+    else:
+        grp = group_means(df, keys, measures, id_col)
+        gen = group_means(df, period_keys, measures, id_col).drop("n")
     j = grp.select(*keys, "n", *[F.col(m).alias(f"{m}_group") for m in measures]).join(
         gen.select(*period_keys, *[F.col(m).alias(f"{m}_general") for m in measures]),
         on=list(period_keys), how="inner")
@@ -159,8 +190,8 @@ def lift_cube(df: DataFrame, sets: dict | None = None, measures=EMOTIONS,
                       [(F.col(f"_g_{k}") == 1) | F.col(k).isNotNull() for k in all_keys])
     rolled = rolled.filter(keep_row).withColumn("set_name", F.explode(names))
     means = _means(rolled.drop(*[f"_g_{k}" for k in all_keys]), measures)
-    base = F.broadcast(global_means(df, measures).select(
-        *[F.col(m).alias(f"_b_{m}") for m in measures]))
+    # the global baseline rolls up the finest aggregate: no second pass over df
+    base = F.broadcast(_base_from(fine, measures, "_b_"))
     return means.crossJoin(base).select(
         "set_name", *all_keys, "n", *measures,
         *[F.try_divide(F.col(m), F.col(f"_b_{m}")).alias(f"lift_{m}") for m in measures])
