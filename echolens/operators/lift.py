@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import EMOTIONS
+from ..session import cut_lineage
 
 
 def _sums(measures, id_col):
@@ -69,6 +70,24 @@ def _not_null(keys):
     return cond
 
 
+def _once(agg: DataFrame, materialize: bool) -> DataFrame:
+    """The group aggregate feeds both the groups and their baseline; with
+    ``materialize`` it is written once to the shared checkpoint folder (it
+    has one row per group, far smaller than the facts) instead of the facts
+    being scanned and joined once per consumer."""
+    return cut_lineage(agg) if materialize else agg
+
+
+def _null_flag(keys, name: str):
+    """Per-group flag 'some key is null', computed inside the aggregate.
+
+    Filtering on it (instead of on the keys) keeps the optimizer from pushing
+    the null filter below the aggregate, so the aggregate's exchange stays
+    identical for all its consumers and is computed once.
+    """
+    return F.max(~_not_null(keys)).alias(name)
+
+
 def _base_from(agg: DataFrame, measures, prefix: str) -> DataFrame:
     """Row-weighted means from an aggregate of sums and counts (one row)."""
     return agg.agg(*[F.try_divide(F.sum(f"_s_{m}"), F.sum(f"_c_{m}")).alias(f"{prefix}{m}")
@@ -76,7 +95,8 @@ def _base_from(agg: DataFrame, measures, prefix: str) -> DataFrame:
 
 
 def emotion_lift(df: DataFrame, keys, measures=EMOTIONS, id_col: str = "tweetId",
-                 baseline_keys=None, keep_means: bool = True, digits: int | None = None) -> DataFrame:
+                 baseline_keys=None, keep_means: bool = True, digits: int | None = None,
+                 materialize: bool = True) -> DataFrame:
     """Lift of each measure for the groups ``keys``.
 
     ``baseline_keys`` None -> global mean; else the mean over all rows that
@@ -88,13 +108,14 @@ def emotion_lift(df: DataFrame, keys, measures=EMOTIONS, id_col: str = "tweetId"
     kept, the baseline is rolled up from that aggregate (so it still covers
     every row), and only then are null-key groups dropped.
     """
-    agg = df.groupBy(*keys).agg(*_sums(measures, id_col))
-    grp = _means(agg.filter(_not_null(keys)), measures)
+    flags = [_null_flag(keys, "_nk")] + ([_null_flag(baseline_keys, "_nb")] if baseline_keys else [])
+    agg = _once(df.groupBy(*keys).agg(*_sums(measures, id_col), *flags), materialize)
+    grp = _means(agg.filter(~F.col("_nk")).drop("_nk", "_nb"), measures)
     if not baseline_keys:
         base = F.broadcast(_base_from(agg, measures, "_g_"))
         joined = grp.crossJoin(base)
     elif set(baseline_keys) <= set(keys):
-        b = _means(agg.filter(_not_null(baseline_keys)).groupBy(*baseline_keys).agg(*_resum(measures)),
+        b = _means(agg.filter(~F.col("_nb")).groupBy(*baseline_keys).agg(*_resum(measures)),
                    measures).select(*baseline_keys, *[F.col(m).alias(f"_g_{m}") for m in measures])
         joined = grp.join(b, on=list(baseline_keys), how="inner")
     else:
@@ -110,16 +131,17 @@ def emotion_lift(df: DataFrame, keys, measures=EMOTIONS, id_col: str = "tweetId"
 
 
 def lift_vs_period(df: DataFrame, keys, period_keys, measures=EMOTIONS,
-                   id_col: str = "tweetId") -> DataFrame:
+                   id_col: str = "tweetId", materialize: bool = True) -> DataFrame:
     """Group means next to the period-wide means (suffixes _group / _general) and their ratio.
 
     When the period keys are among the group keys, both come from one
     aggregate (null keys kept until the roll-up), i.e. one pass over ``df``.
     """
     if set(period_keys) <= set(keys):
-        agg = df.groupBy(*keys).agg(*_sums(measures, id_col))
-        grp = _means(agg.filter(_not_null(keys)), measures)
-        gen = _means(agg.filter(_not_null(period_keys)).groupBy(*period_keys).agg(*_resum(measures)),
+        agg = _once(df.groupBy(*keys).agg(*_sums(measures, id_col), _null_flag(keys, "_nk"),
+                                          _null_flag(period_keys, "_nb")), materialize)
+        grp = _means(agg.filter(~F.col("_nk")).drop("_nk", "_nb"), measures)
+        gen = _means(agg.filter(~F.col("_nb")).groupBy(*period_keys).agg(*_resum(measures)),
                      measures).drop("n")
     else:
         grp = group_means(df, keys, measures, id_col)
@@ -154,7 +176,7 @@ LIFT_SETS = {
 
 
 def lift_cube(df: DataFrame, sets: dict | None = None, measures=EMOTIONS,
-              id_col: str = "tweetId") -> DataFrame:
+              id_col: str = "tweetId", materialize: bool = True) -> DataFrame:
     """All lift key sets in one pass (pre-aggregate, then GROUPING SETS).
 
     Output: ``set_name``, the union of all key columns (null where a key is
@@ -168,8 +190,9 @@ def lift_cube(df: DataFrame, sets: dict | None = None, measures=EMOTIONS,
         for k in ks:
             if k not in all_keys:
                 all_keys.append(k)
-    # 1) finest grain: one row per distinct key combination
-    fine = df.groupBy(*all_keys).agg(*_sums(measures, id_col))
+    # 1) finest grain: one row per distinct key combination (read twice:
+    #    by the roll-up and by the global baseline, so computed once)
+    fine = _once(df.groupBy(*all_keys).agg(*_sums(measures, id_col)), materialize)
     # 2) roll up all sets at once; sets with the same keys (c2 and c41) are
     #    aggregated once and fanned out by name afterwards
     by_keys: dict[frozenset, list[str]] = {}

@@ -131,7 +131,8 @@ def account_emotions(replies: DataFrame, posts: DataFrame, news_id: str = "news_
                      post_account: str = "userId", reply_id: str = "tweetId",
                      post_id: str = "tweetId", min_posts: int = 484, min_replies: int = 484) -> DataFrame:
     """Per (continent, country, account): reply means, lifts and count, for engaged accounts."""
-    acc = L.emotion_lift(replies, ["continent", "country", news_id], EMOTIONS, reply_id)
+    # not materialised here: the cascade checkpoints its (filtered) input itself
+    acc = L.emotion_lift(replies, ["continent", "country", news_id], EMOTIONS, reply_id, materialize=False)
     eng = engaged_accounts(posts, post_account, post_id, min_posts).select(
         F.col(post_account).alias(news_id))
     return acc.join(eng, on=news_id, how="left_semi").filter(F.col("n") > min_replies)
