@@ -1236,3 +1236,18 @@ def q_dense_word_counts(spark, sf):
     vocab = TP.vocabulary(TP.doc_freq_dictionary(docs, "tokens", "doc_id"))
     bow = TP.bag_of_words(docs, vocab, "tokens", "bow")
     return TP.dense_counts(bow, vocab, vocab[:10]).drop("bow", "tokens", "text", "source")
+
+
+@register("search_posts", V.VIEWS_SQL + """
+SELECT p.post_id, d.source AS author, p.date
+FROM posts p JOIN documents d ON p.post_id = d.doc_id
+WHERE (instr(lower(d.text), 'the') > 0 OR instr(lower(d.text), 'que') > 0)
+  AND d.source = 'src3' AND p.date >= TIMESTAMP '1996-01-01' AND p.date < TIMESTAMP '2000-01-01'
+  AND d.lang IN ('en', 'es')
+""")
+def q_search_posts(spark, sf):
+    """Stored-post search: any keyword AND author AND since <= date < until AND language."""
+    p = V.posts_with_content(spark, sf).filter(F.col("lang").isin("en", "es"))
+    out = SR.search_posts(p, keywords=["the", "que"], author="src3", since="1996-01-01",
+                          until="2000-01-01", author_col="author")
+    return out.select("post_id", "author", "date")
