@@ -131,7 +131,8 @@ def emotion_lift(df: DataFrame, keys, measures=EMOTIONS, id_col: str = "tweetId"
 
 
 def lift_vs_period(df: DataFrame, keys, period_keys, measures=EMOTIONS,
-                   id_col: str = "tweetId", materialize: bool = True) -> DataFrame:
+                   id_col: str = "tweetId", materialize: bool = True,
+                   group_suffix: str = "_group") -> DataFrame:
     """Group means next to the period-wide means (suffixes _group / _general) and their ratio.
 
     When the period keys are among the group keys, both come from one
@@ -146,10 +147,10 @@ def lift_vs_period(df: DataFrame, keys, period_keys, measures=EMOTIONS,
     else:
         grp = group_means(df, keys, measures, id_col)
         gen = group_means(df, period_keys, measures, id_col).drop("n")
-    j = grp.select(*keys, "n", *[F.col(m).alias(f"{m}_group") for m in measures]).join(
+    j = grp.select(*keys, "n", *[F.col(m).alias(f"{m}{group_suffix}") for m in measures]).join(
         gen.select(*period_keys, *[F.col(m).alias(f"{m}_general") for m in measures]),
         on=list(period_keys), how="inner")
-    return j.select("*", *[F.try_divide(F.col(f"{m}_group"), F.col(f"{m}_general")).alias(f"lift_{m}")
+    return j.select("*", *[F.try_divide(F.col(f"{m}{group_suffix}"), F.col(f"{m}_general")).alias(f"lift_{m}")
                            for m in measures])
 
 

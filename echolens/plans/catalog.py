@@ -89,12 +89,12 @@ def q_lift_by_country(spark, sf):
 @register("lift_continent_month", V.VIEWS_SQL + f""",
 gen AS (SELECT dsm, {", ".join(f"avg({m}) AS {m}_general" for m in _EM)} FROM replies
         WHERE dsm IS NOT NULL GROUP BY dsm),
-grp AS (SELECT continent, dsm, count(reply_id) AS n, {", ".join(f"avg({m}) AS {m}_group" for m in _EM)}
+grp AS (SELECT continent, dsm, count(reply_id) AS n, {", ".join(f"avg({m}) AS {m}_continent" for m in _EM)}
         FROM replies WHERE continent IS NOT NULL AND dsm IS NOT NULL GROUP BY continent, dsm)
 SELECT grp.dsm, grp.continent, grp.n,
-       {", ".join(f"round({m}_group, 6) AS {m}_group" for m in _EM)},
+       {", ".join(f"round({m}_continent, 6) AS {m}_continent" for m in _EM)},
        {", ".join(f"round({m}_general, 6) AS {m}_general" for m in _EM)},
-       {", ".join(f"round({m}_group/{m}_general, 6) AS lift_{m}" for m in _EM)}
+       {", ".join(f"round({m}_continent/{m}_general, 6) AS lift_{m}" for m in _EM)}
 FROM grp JOIN gen ON grp.dsm = gen.dsm
 """)
 def q_lift_continent_month(spark, sf):
@@ -286,7 +286,7 @@ mix AS (SELECT {group}, {", ".join(f"round_even(max(CASE WHEN theme_desc = '{d}'
 @register("account_theme_mix", _cascade_sql().replace("\nSELECT continent, country, news_id, n,", ",\ntop_sel AS (SELECT continent, country, news_id, n,", 1).rstrip() + ")," + _mix_sql(
     "SELECT account_id AS userId, theme FROM posts WHERE account_id IN (SELECT news_id FROM top_sel)", "userId", 1) + """
 SELECT mix.*, a.displayname, a.country, round(a.followersCount, 6) AS followersCount, a.description,
-       t.main_emotion, t.rank_emotion, t.score_emotion
+       t.main_emotion, t.rank_emotion, round_even(t.score_emotion * 100, 1) AS score_emotion
 FROM mix JOIN accounts a ON mix.userId = a.userId JOIN top_sel t ON mix.userId = t.news_id
 """)
 def q_account_theme_mix(spark, sf):
@@ -1251,3 +1251,13 @@ def q_search_posts(spark, sf):
     out = SR.search_posts(p, keywords=["the", "que"], author="src3", since="1996-01-01",
                           until="2000-01-01", author_col="author")
     return out.select("post_id", "author", "date")
+
+
+@register("subtheme_totals", _subtheme_sql().replace(
+    "SELECT doc_id, theme, cast(", "SELECT subtheme, count(*) AS n_docs FROM (SELECT doc_id, theme, cast(", 1).rstrip()
+    + ") GROUP BY subtheme\n")
+def q_subtheme_totals(spark, sf):
+    """Documents per decoded subtheme (the subtheme totals of the topic report)."""
+    from ..schemas import SUBTHEME_CODES
+    out = TP.subtheme_flags(_themed_docs(spark, sf), "tokens", "theme")
+    return out.groupBy("subtheme").agg(F.count(F.lit(1)).alias("n_docs"))

@@ -46,7 +46,8 @@ def weekly_means(df: DataFrame, week: str = "dsw", measures=EMOTIONS) -> DataFra
 
 # R03 -----------------------------------------------------------------------
 def theme_share_by_country(posts: DataFrame, country: str = "country", theme: str = "theme",
-                           id_col: str = "tweetId", order_columns: bool = True) -> DataFrame:
+                           id_col: str = "tweetId", order_columns: bool = True,
+                           sort_by: str | None = "Preventive measures") -> DataFrame:
     """Share of distinct posts per theme inside each country; one column per theme description."""
     spark = posts.sparkSession
     named = posts.join(lookups.theme_desc(spark), on=theme, how="inner")
@@ -57,25 +58,26 @@ def theme_share_by_country(posts: DataFrame, country: str = "country", theme: st
     wide = S.row_normalise(wide, descs)
     if order_columns:
         wide = S.order_columns_by_total(wide, country, descs)
-    return wide
+    return wide.orderBy(F.col(f"`{sort_by}`").asc_nulls_first(), F.col(country)) if sort_by else wide
 
 
 # R04 -----------------------------------------------------------------------
 def prevalent_emotion_share(replies: DataFrame, country: str = "country",
-                            label: str = "prevalent_emotion", id_col: str = "tweetId") -> DataFrame:
+                            label: str = "prevalent_emotion", id_col: str = "tweetId",
+                            sort_by: str | None = "anger") -> DataFrame:
     """Share of distinct replies per prevalent emotion (incl. 'undefined') inside each country."""
     counts = replies.filter(F.col(country).isNotNull() & F.col(label).isNotNull()).groupBy(
         country, label).agg(F.count_distinct(id_col).alias("tweet_count"))
     vals = EMOTIONS + [UNDEFINED_LABEL]
-    wide = S.pivot_wide(counts, country, label, "tweet_count", vals)
-    return S.row_normalise(wide, vals)
+    wide = S.row_normalise(S.pivot_wide(counts, country, label, "tweet_count", vals), vals)
+    return wide.orderBy(F.col(sort_by).asc_nulls_first(), F.col(country)) if sort_by else wide
 
 
 # R05 -----------------------------------------------------------------------
 def lift_continent_month(replies: DataFrame, continent: str = "continent", month: str = "dsm",
                          id_col: str = "tweetId") -> DataFrame:
     """Continent x month means against that month's mean over all rows."""
-    return L.lift_vs_period(replies, [continent, month], [month], EMOTIONS, id_col)
+    return L.lift_vs_period(replies, [continent, month], [month], EMOTIONS, id_col, group_suffix="_continent")
 
 
 # R06 -----------------------------------------------------------------------
@@ -160,8 +162,9 @@ def account_theme_mix(posts: DataFrame, top: DataFrame, accounts: DataFrame,
                       account_id: str = "userId", news_id: str = "news_id",
                       info=("displayname", "country", "followersCount", "description")) -> DataFrame:
     """Theme mix (%) of the cascade's accounts with account info and their pick."""
+    # the score is reported like the theme columns: percent, one decimal, half-even
     picked = top.select(F.col(news_id).alias(account_id), "main_emotion", "rank_emotion",
-                        F.bround("score_emotion", 1 + 5).alias("score_emotion"))
+                        F.bround(F.col("score_emotion") * 100, 1).alias("score_emotion"))
     mix = theme_mix(posts.join(picked.select(account_id), on=account_id, how="left_semi"), account_id)
     return (mix.join(accounts.select(account_id, *info), on=account_id)
                .join(picked, on=account_id))
