@@ -336,7 +336,8 @@ SELECT conversation_id, cnt, round(cnt / tot, 6) AS share,
 FROM top CROSS JOIN t
 """)
 def q_concentration_top25(spark, sf):
-    return round_doubles(R.concentration(V.replies(spark, sf), SEGMENT, "conversation_id", 25))
+    out = R.concentration(V.replies(spark, sf), SEGMENT, "conversation_id", 25)
+    return round_doubles(out.withColumn("position", F.col("position").cast("bigint")))
 
 
 def nation_coordinates(spark, sf):
@@ -497,8 +498,8 @@ SELECT r.conv_id, r.turn, r.role, r.chars, p.news_role, p.news_chars FROM r JOIN
 def q_reply_to_post_join(spark, sf):
     conv = _table(spark, sf, "conversations")
     p = conv.filter(F.col("turn") == 0).select(
-        "conv_id", F.col("role").alias("news_role"), F.length("text").alias("news_chars"))
-    r = conv.filter(F.col("turn") > 0).select("conv_id", "turn", "role", F.length("text").alias("chars"))
+        "conv_id", F.col("role").alias("news_role"), F.length("text").cast("bigint").alias("news_chars"))
+    r = conv.filter(F.col("turn") > 0).select("conv_id", "turn", "role", F.length("text").cast("bigint").alias("chars"))
     return r.join(p, "conv_id")
 
 
@@ -644,7 +645,7 @@ def q_top_n_per_group(spark, sf):
     from ..operators.ranking import top_n_per_group
     c = _table(spark, sf, "customer").join(_table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     out = top_n_per_group(c, "n_name", [F.col("c_acctbal").desc(), F.col("c_custkey")], 3, rank_col="rn")
-    return out.select("n_name", "c_custkey", "c_name", "c_acctbal", "rn")
+    return out.select("n_name", "c_custkey", "c_name", "c_acctbal", F.col("rn").cast("bigint").alias("rn"))
 
 
 def _city_rows(spark, sf):
@@ -993,7 +994,7 @@ SELECT min(o_orderdate) AS first_date, max(o_orderdate) AS last_date,
        sum(cast(round(o_totalprice * 100) AS BIGINT))::BIGINT AS total_cents, round(avg(o_totalprice), 6) AS mean_price,
        round(max(o_totalprice), 6) AS max_price,
        count(*) AS n_rows, count(DISTINCT o_custkey) AS n_accounts,
-       count_if(o_orderpriority IS NULL) AS null_priority
+       count_if(o_orderpriority IS NULL)::BIGINT AS null_priority
 FROM orders
 """)
 def q_summary_stats(spark, sf):
@@ -1045,7 +1046,7 @@ FROM customer
 def q_near_equal_chunks(spark, sf):
     from ..operators.ranking import near_equal_chunks
     c = _table(spark, sf, "customer").select("c_nationkey", "c_custkey")
-    return near_equal_chunks(c, "c_custkey", 4, "c_nationkey")
+    return near_equal_chunks(c, "c_custkey", 4, "c_nationkey").withColumn("chunk", F.col("chunk").cast("bigint"))
 
 
 @register("head_and_tail", """

@@ -32,6 +32,7 @@ from ..functions.emotions import decode_subtheme, with_prevalent
 from ..operators.dedupe import first_per_key_agg
 from ..schemas import ACCOUNT_SCHEMA, EMOTIONS, ERROR_SCORE, POST_SCHEMA, SUBTHEME_CODES
 from ..sources import lookups
+from ..session import maybe_broadcast
 from ..sources.sinks import conform
 
 
@@ -61,7 +62,7 @@ def mentioned_accounts(raw: DataFrame) -> DataFrame:
 
 def news_accounts(accounts: DataFrame, media_list: DataFrame) -> DataFrame:
     """Accounts that appear in the media list (inner on the case-sensitive username)."""
-    return accounts.join(F.broadcast(media_list), "username", "inner")
+    return accounts.join(maybe_broadcast(media_list, 100_000), "username", "inner")
 
 
 def clean_scores(scores: DataFrame, include_error_rows: bool = False) -> DataFrame:
@@ -84,7 +85,7 @@ def consolidate_posts(posts: DataFrame, accounts: DataFrame, media_list: DataFra
                       subtheme_codes=SUBTHEME_CODES) -> DataFrame:
     """Consolidated news posts (one per conversation, scored, themed, dated)."""
     acc = news_accounts(accounts, media_list).select("userId", "country")
-    p = posts.filter(F.col("lang") == "en").join(F.broadcast(acc), "userId", "inner")
+    p = posts.filter(F.col("lang") == "en").join(maybe_broadcast(acc, 1_000_000), "userId", "inner")
     p = p.join(clean_scores(scores, include_error_rows), "tweetId", "inner")
     p = p.filter(F.col("conversationId").isNotNull())
     p = first_per_key_agg(p, "conversationId", ["date", "tweetId"])

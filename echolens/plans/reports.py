@@ -16,6 +16,7 @@ from ..operators import shares as S
 from ..operators.ranking import cascade_top, cumulative_share_top, top_n_per_group
 from ..schemas import (EMOTIONS, KEYWORDS, LESS_FREQUENT_KEYWORDS, MAIN_KEYWORDS, OUTLET_RENAMES,
                        THEME_DESC, UNDEFINED_LABEL)
+from ..session import maybe_broadcast
 from ..sources import lookups
 
 
@@ -93,7 +94,7 @@ def country_polarity(replies: DataFrame, coords: DataFrame | None = None, countr
     out = agg.select("*", (F.col("positive") - F.col("negative")).alias("mean_emotion"),
                      (F.col("n") / 1000).alias("n_thousands"))
     if coords is not None:
-        out = out.join(F.broadcast(coords), on=country, how="inner")
+        out = out.join(maybe_broadcast(coords, 100_000), on=country, how="inner")
     return out
 
 
@@ -238,7 +239,8 @@ def mention_counts(posts: DataFrame, mentions_col: str = "mentioned", denominato
     m = (posts.select(*keys, F.explode(mentions_col).alias("account"))
               .filter(F.col("account").isNotNull())
               .groupBy(*keys, "account").agg(F.count(F.lit(1)).alias("count")))
-    j = m.join(F.broadcast(n), on=keys) if keys else m.crossJoin(F.broadcast(n))
+    # per-region post counts: one row per region (size-checked); one row without regions
+    j = m.join(maybe_broadcast(n, 100_000), on=keys) if keys else m.crossJoin(F.broadcast(n))
     return j.filter(F.col("count") > F.ceil(F.col("_posts") / F.lit(denominator))).drop("_posts")
 
 
