@@ -1262,3 +1262,126 @@ def q_subtheme_totals(spark, sf):
     from ..schemas import SUBTHEME_CODES
     out = TP.subtheme_flags(_themed_docs(spark, sf), "tokens", "theme")
     return out.groupBy("subtheme").agg(F.count(F.lit(1)).alias("n_docs"))
+
+
+# ---------------------------------------------------------------------------
+# The consolidation pipeline itself (J02-J06, W01, F01, F02, N5, N13) over
+# landed-style inputs bound to the driver tables:
+#   news posts  = orders (conversation = order key // 2, every tenth post French)
+#   accounts    = customers; media list = customers outside one segment, with a
+#                 country code chosen by nation key
+#   post scores = the posts view's measures, with error (-1) and skipped rows
+#   topics      = theme and one-hot subtheme flags of the posts view
+#   replies     = line items (conversation = order key // 2); reply scores
+#                 derived from the reply id
+# ---------------------------------------------------------------------------
+
+from ..plans import consolidate as CN  # noqa: E402
+from ..schemas import CONTINENT_OF, SUBTHEME_CODES  # noqa: E402
+
+_CODES = [c for c, _ in CONTINENT_OF]
+
+
+def _landed(spark, sf):
+    o = _table(spark, sf, "orders")
+    posts = o.select(F.col("o_orderkey").alias("tweetId"), F.floor(F.col("o_orderkey") / 2).alias("conversationId"),
+                     F.col("o_custkey").alias("userId"), F.col("o_orderdate").cast("timestamp").alias("date"),
+                     F.when(F.col("o_orderkey") % 10 == 3, F.lit("fr")).otherwise(F.lit("en")).alias("lang"))
+    c = _table(spark, sf, "customer")
+    accounts = c.select(F.col("c_custkey").alias("userId"), F.col("c_name").alias("username"))
+    codes = F.array(*[F.lit(x) for x in _CODES])
+    media = c.filter(F.col("c_mktsegment") != "HOUSEHOLD").select(
+        F.col("c_name").alias("username"),
+        F.element_at(codes, (F.col("c_nationkey") % 12 + 1).cast("int")).alias("country"),
+        F.col("c_mktsegment").alias("media_outlet"), F.lit("Television").alias("media_category"))
+    pv = V.posts(spark, sf)
+    k = F.col("post_id") % 50
+    scores = pv.select(F.col("post_id").alias("tweetId"), *[
+        F.when(k == 7, F.lit(-1.0)).when(k == 13, F.lit(None).cast("double")).otherwise(F.col(m)).alias(m)
+        for m in ["anger", "joy", "optimism", "sadness"]])
+    topics = pv.select(F.col("post_id").alias("tweetId"), "theme",
+                       *[(F.col("subtheme") == c).alias(f"subtheme{c}") for c in SUBTHEME_CODES])
+    li = _table(spark, sf, "lineitem")
+    rid = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    replies = li.select(rid.alias("tweetId"), F.floor(F.col("l_orderkey") / 2).alias("conversationId"),
+                        F.col("l_suppkey").alias("userId"), F.col("l_shipdate").cast("timestamp").alias("date"),
+                        F.lit("en").alias("lang"))
+    xs = [(F.col("tweetId") * m) % q + 1 for m, q in [(7, 97), (13, 89), (17, 83), (19, 79)]]
+    cubes = [x.cast("double") * x * x for x in xs]
+    tot = cubes[0] + cubes[1] + cubes[2] + cubes[3]
+    rscores = replies.select("tweetId").distinct().select(
+        "tweetId", *[(cb / tot).alias(m) for cb, m in zip(cubes, ["anger", "joy", "optimism", "sadness"])])
+    # landed inputs are stored tables in the real pipeline: write the derived
+    # ones to the shared checkpoint folder so the consolidation plans over
+    # plain columns (as it would over the landed files)
+    from ..session import cut_lineage
+    scores, topics, rscores = cut_lineage(scores), cut_lineage(topics), cut_lineage(rscores)
+    return posts, accounts, media, scores, topics, replies, rscores
+
+
+def _landed_sql() -> str:
+    codes = "[" + ", ".join(f"'{c}'" for c in _CODES) + "]"
+    flags = ", ".join(f"subtheme = {c} AS subtheme{c}" for c in SUBTHEME_CODES)
+    case = "CASE " + " ".join(f"WHEN subtheme{c} THEN {c}" for c in SUBTHEME_CODES) + " ELSE theme * 10 END"
+    cont = ", ".join(f"('{c}', '{n}')" for c, n in CONTINENT_OF)
+    def cube(m, q):
+        x = f"((tweetId * {m}) % {q} + 1)"
+        return f"cast({x} AS double) * {x} * {x}"
+    c1, c2, c3, c4 = cube(7, 97), cube(13, 89), cube(17, 83), cube(19, 79)
+    tot = f"({c1} + {c2} + {c3} + {c4})"
+    return V.VIEWS_SQL + f""",
+np AS (SELECT o_orderkey AS tweetId, o_orderkey // 2 AS conversationId, o_custkey AS userId, o_orderdate AS date,
+              CASE WHEN o_orderkey % 10 = 3 THEN 'fr' ELSE 'en' END AS lang FROM orders),
+media AS (SELECT c_name AS username, {codes}[c_nationkey % 12 + 1] AS country FROM customer
+          WHERE c_mktsegment <> 'HOUSEHOLD'),
+acc AS (SELECT c_custkey AS userId, media.country FROM customer JOIN media ON c_name = media.username),
+ps AS (SELECT post_id AS tweetId,
+              CASE WHEN post_id % 50 = 7 THEN -1.0 WHEN post_id % 50 = 13 THEN NULL ELSE anger END AS anger,
+              CASE WHEN post_id % 50 = 7 THEN -1.0 WHEN post_id % 50 = 13 THEN NULL ELSE joy END AS joy,
+              CASE WHEN post_id % 50 = 7 THEN -1.0 WHEN post_id % 50 = 13 THEN NULL ELSE optimism END AS optimism,
+              CASE WHEN post_id % 50 = 7 THEN -1.0 WHEN post_id % 50 = 13 THEN NULL ELSE sadness END AS sadness
+       FROM posts),
+ps_ok AS (SELECT * FROM ps WHERE anger IS NOT NULL AND anger <> -1.0),
+tp AS (SELECT post_id AS tweetId, theme, {flags} FROM posts),
+n1 AS (SELECT np.*, acc.country, ps_ok.anger, ps_ok.joy, ps_ok.optimism, ps_ok.sadness
+       FROM np JOIN acc ON np.userId = acc.userId JOIN ps_ok ON np.tweetId = ps_ok.tweetId
+       WHERE np.lang = 'en' AND np.conversationId IS NOT NULL),
+n2 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY conversationId ORDER BY date, tweetId) AS rn FROM n1)
+       WHERE rn = 1),
+news AS (SELECT n2.*, {_argmax_plain()} AS prevalent_emotion, greatest(anger, joy, optimism, sadness) AS emotion_score,
+                tp.theme, cast({case} AS int) AS subtheme
+         FROM n2 JOIN tp ON n2.tweetId = tp.tweetId),
+rp AS (SELECT DISTINCT l_orderkey * 10 + l_linenumber AS tweetId, l_orderkey // 2 AS conversationId,
+              l_shipdate AS date FROM lineitem),
+rs AS (SELECT DISTINCT tweetId, {c1} / {tot} AS anger, {c2} / {tot} AS joy, {c3} / {tot} AS optimism,
+              {c4} / {tot} AS sadness FROM (SELECT DISTINCT l_orderkey * 10 + l_linenumber AS tweetId FROM lineitem)),
+r1 AS (SELECT * FROM (SELECT rp.*, rs.anger, rs.joy, rs.optimism, rs.sadness,
+                             row_number() OVER (PARTITION BY rp.tweetId ORDER BY rp.date, rp.conversationId) AS rn
+                      FROM rp JOIN rs ON rp.tweetId = rs.tweetId) WHERE rn = 1),
+cont AS (SELECT * FROM (VALUES {cont}) AS c(country, continent))
+SELECT r1.tweetId, r1.conversationId, news.userId AS news_id, news.country, cont.continent, news.theme,
+       news.subtheme, news.prevalent_emotion AS news_prevalent_emotion,
+       {_argmax_plain('r1.')} AS prevalent_emotion,
+       round(r1.anger, 6) AS anger, round(r1.joy, 6) AS joy, round(r1.optimism, 6) AS optimism,
+       round(r1.sadness, 6) AS sadness, cast(news.date AS date) AS ds,
+       {V._dsw('cast(news.date as date)')} AS dsw, cast(date_trunc('month', news.date) AS date) AS dsm
+FROM r1 JOIN news ON r1.conversationId = news.conversationId JOIN cont ON news.country = cont.country
+"""
+
+
+def _argmax_plain(p: str = "") -> str:
+    a, j, o, s = (p + "anger", p + "joy", p + "optimism", p + "sadness")
+    m = f"greatest({a},{j},{o},{s})"
+    return (f"CASE WHEN {m} > 0.5 THEN (CASE WHEN {a}={m} THEN 'anger' WHEN {j}={m} THEN 'joy' "
+            f"WHEN {o}={m} THEN 'optimism' ELSE 'sadness' END) ELSE 'undefined' END")
+
+
+@register("consolidated_replies", _landed_sql())
+def q_consolidated_replies(spark, sf):
+    posts, accounts, media, scores, topics, replies, rscores = _landed(spark, sf)
+    news = CN.consolidate_posts(posts, accounts, media, scores, topics)
+    rep = CN.consolidate_replies(replies, rscores, news)
+    return round_doubles(rep.select(
+        "tweetId", F.col("conversationId").cast("bigint").alias("conversationId"), "news_id", "country",
+        "continent", "theme", "subtheme", "news_prevalent_emotion", "prevalent_emotion",
+        "anger", "joy", "optimism", "sadness", "ds", "dsw", "dsm"))

@@ -104,7 +104,7 @@ def consolidate_replies(replies: DataFrame, scores: DataFrame, news: DataFrame,
     """Consolidated replies joined to their consolidated post."""
     spark = replies.sparkSession
     r = replies.filter(F.col("lang") == "en").join(clean_scores(scores, include_error_rows), "tweetId")
-    r = first_per_key_agg(r.filter(F.col("tweetId").isNotNull()), "tweetId", ["date"])
+    r = first_per_key_agg(r.filter(F.col("tweetId").isNotNull()), "tweetId", ["date", "conversationId"])
     r = r.dropna(how="any", subset=EMOTIONS)
     n = news.select(
         "conversationId", F.col("date").alias("news_date"), F.col("userId").alias("news_id"),
