@@ -100,24 +100,57 @@ def cumulative_share_top(df: DataFrame, key: str, n: int, share_col: str = "shar
                .withColumn("position", F.row_number().over(Window.orderBy(F.col("cnt").desc(), F.col(key)))))
 
 
-def fixed_size_batches(df: DataFrame, id_col: str, size: int, group: str | list | None = None,
-                       batch_col: str = "batch") -> DataFrame:
-    """Number consecutive ids (ascending) into batches of ``size`` inside each group.
-
-    Without a group a single global numbering would be one task; give a
-    group (e.g. the account, or a hash bucket of the id) to keep it parallel.
+def rank_in_group(df: DataFrame, id_col: str, group: str | list | None = None,
+                  slices: int | None = None) -> DataFrame:
+    """Add ``_rank`` (0-based position by ascending id inside the group) and ``_total``.
+
+    Skew-safe global numbering: rows are range-partitioned by (group, id)
+    into ``slices`` slices (a hot group spans many), ranked inside their
+    slice, and shifted by the slice offsets taken from a per-(group, slice)
+    count table (one row per slice).  No task ever holds a whole group and
+    no single-task global window is used.  Ids must be unique in a group.
     """
+    from ..session import cut_lineage
     groups = ([group] if isinstance(group, str) else list(group)) if group else []
-    w = (Window.partitionBy(*groups) if groups else Window).orderBy(F.col(id_col))
-    return df.withColumn(batch_col, F.floor((F.row_number().over(w) - 1) / size).cast("long"))
+    spark = df.sparkSession
+    slices = slices or max(spark.sparkContext.defaultParallelism,
+                           int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    # written once: the slice ids must be the same for the counts and the ranks
+    ranged = cut_lineage(df.repartitionByRange(slices, *groups, id_col)
+                           .withColumn("_slice", F.spark_partition_id()))
+    counts = ranged.groupBy(*groups, "_slice").agg(F.count(F.lit(1)).alias("_cnt"))
+    wg = (Window.partitionBy(*groups) if groups else Window).orderBy("_slice")
+    wt = Window.partitionBy(*groups) if groups else Window.partitionBy()
+    offsets = counts.select(
+        *groups, "_slice",
+        (F.sum("_cnt").over(wg.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_cnt")).alias("_off"),
+        F.sum("_cnt").over(wt).alias("_total"))
+    local = ranged.withColumn("_rk", F.row_number().over(
+        Window.partitionBy(*groups, "_slice").orderBy(F.col(id_col))) - 1)
+    j = local.join(offsets, [*groups, "_slice"])
+    return j.withColumn("_rank", F.col("_off") + F.col("_rk")).drop("_slice", "_cnt", "_off", "_rk")
+
+
+def fixed_size_batches(df: DataFrame, id_col: str, size: int, group: str | list | None = None,
+                       batch_col: str = "batch", slices: int | None = None) -> DataFrame:
+    """Number consecutive ids (ascending) into batches of ``size`` inside each group
+    (the last batch of a group may be shorter)."""
+    r = rank_in_group(df, id_col, group, slices)
+    return r.withColumn(batch_col, F.floor(F.col("_rank") / size).cast("long")).drop("_rank", "_total")
 
 
 def near_equal_chunks(df: DataFrame, id_col: str, n: int, group: str | list,
-                      chunk_col: str = "chunk") -> DataFrame:
-    """Split each group into ``n`` near-equal chunks; the first chunks get one extra row."""
-    groups = [group] if isinstance(group, str) else list(group)
-    w = Window.partitionBy(*groups).orderBy(F.col(id_col))
-    return df.withColumn(chunk_col, F.ntile(n).over(w) - 1)
+                      chunk_col: str = "chunk", slices: int | None = None) -> DataFrame:
+    """Split each group into ``n`` near-equal chunks by ascending id; the first
+    chunks get one extra row (the numbering of SQL ``ntile``).  Skew-safe
+    (see ``rank_in_group``)."""
+    r = rank_in_group(df, id_col, group, slices)
+    k = F.col("_rank")
+    q = F.floor(F.col("_total") / n)
+    rem = F.col("_total") % n
+    big = rem * (q + 1)
+    chunk = F.when(k < big, F.floor(k / (q + 1))).otherwise(rem + F.floor((k - big) / F.greatest(q, F.lit(1))))
+    return r.withColumn(chunk_col, chunk.cast("int")).drop("_rank", "_total")
 
 
 def repeatable_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:

@@ -81,3 +81,15 @@ def test_salted_top_n_equals_plain_on_skew(spark):
     a = RK.top_n_per_group(df, "g", order, 5, rank_col="r", salt_buckets=16).orderBy("g", "r").collect()
     b = RK.top_n_per_group(df, "g", order, 5, rank_col="r", salt_buckets=0).orderBy("g", "r").collect()
     assert [tuple(x) for x in a] == [tuple(x) for x in b]
+
+
+def test_near_equal_chunks_match_ntile_on_skew(spark):
+    from pyspark.sql import Window
+    rows = [(0 if i % 3 else 1 + i % 5, i) for i in range(5000)]
+    df = spark.createDataFrame(rows, "g int, id long")
+    got = RK.near_equal_chunks(df, "id", 7, "g", slices=12).select("g", "id", "chunk")
+    want = df.withColumn("chunk", F.ntile(7).over(Window.partitionBy("g").orderBy("id")) - 1)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    small = spark.createDataFrame([(1, 1), (1, 2), (2, 3)], "g int, id long")
+    got2 = sorted(map(tuple, RK.near_equal_chunks(small, "id", 4, "g").select("g", "id", "chunk").collect()))
+    assert got2 == [(1, 1, 0), (1, 2, 1), (2, 3, 0)]
