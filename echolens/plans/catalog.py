@@ -825,15 +825,25 @@ def q_rule_themes(spark, sf):
 _LDA_CACHE: dict = {}
 
 
-def _lda(spark, sf, k: int = 20, max_iter: int = 10):
-    from ..schemas import LDA_SEED
-    ck = (spark.sparkContext.applicationId, sf, k, max_iter)
+def _lda_input(spark, sf):
+    """Tokens -> dictionary -> bag of words, written once per (session, tables)."""
+    from ..session import cut_lineage
+    ck = (spark.sparkContext.applicationId, sf, "bow")
     if ck not in _LDA_CACHE:
         docs = _en_docs(spark, sf)
         dic = TP.doc_freq_dictionary(docs, "tokens", "doc_id")
         vocab = TP.vocabulary(dic)
-        bow = TP.bag_of_words(docs, vocab, "tokens", "bow")
-        model, data = TP.fit_lda(bow, k=k, seed=LDA_SEED, max_iter=max_iter)
+        bow = cut_lineage(TP.bag_of_words(docs, vocab, "tokens", "bow").select("doc_id", "tokens", "bow"))
+        _LDA_CACHE[ck] = (bow, vocab)
+    return _LDA_CACHE[ck]
+
+
+def _lda(spark, sf, k: int = 20, max_iter: int = 10):
+    from ..schemas import LDA_SEED
+    ck = (spark.sparkContext.applicationId, sf, k, max_iter)
+    if ck not in _LDA_CACHE:
+        bow, vocab = _lda_input(spark, sf)
+        model, data = TP.fit_lda(bow, k=k, seed=LDA_SEED, max_iter=max_iter, materialize=False)
         _LDA_CACHE[ck] = (model, data, vocab)
     return _LDA_CACHE[ck]
 
