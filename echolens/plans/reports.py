@@ -6,7 +6,7 @@ Column names are parameters; the defaults are the consolidated-table names
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.emotions import polarity, theme_of_subtheme
@@ -16,7 +16,7 @@ from ..operators import shares as S
 from ..operators.ranking import cascade_top, cumulative_share_top, top_n_per_group
 from ..schemas import (EMOTIONS, KEYWORDS, LESS_FREQUENT_KEYWORDS, MAIN_KEYWORDS, OUTLET_RENAMES,
                        THEME_DESC, UNDEFINED_LABEL)
-from ..session import maybe_broadcast
+from ..session import cut_lineage, maybe_broadcast
 from ..sources import lookups
 
 
@@ -55,10 +55,11 @@ def theme_share_by_country(posts: DataFrame, country: str = "country", theme: st
     counts = named.filter(F.col(country).isNotNull()).groupBy(country, "theme_desc").agg(
         F.count_distinct(id_col).alias("tweet_count"))
     descs = [d for _, d in THEME_DESC]
-    wide = S.pivot_wide(counts, country, "theme_desc", "tweet_count", descs)
-    wide = S.row_normalise(wide, descs)
+    wide = S.row_normalise(S.pivot_wide(counts, country, "theme_desc", "tweet_count", descs), descs)
     if order_columns:
-        wide = S.order_columns_by_total(wide, country, descs)
+        # the column order needs the totals first: write the (one row per
+        # country) table once instead of computing it for the totals and again
+        wide = S.order_columns_by_total(cut_lineage(wide), country, descs)
     return wide.orderBy(F.col(f"`{sort_by}`").asc_nulls_first(), F.col(country)) if sort_by else wide
 
 
@@ -187,10 +188,20 @@ def global_theme_mix(posts: DataFrame, theme: str = "theme", pct_digits: int = 2
 # R12 -----------------------------------------------------------------------
 def subtheme_vs_global(posts: DataFrame, subtheme: str = "subtheme",
                        label: str = "prevalent_emotion", pct_digits: int = 2) -> DataFrame:
-    """Subtheme share (%) among posts of each prevalent emotion, next to the global share."""
+    """Subtheme share (%) among posts of each prevalent emotion, next to the global share.
+
+    One pass over the posts: counts per (label, subtheme) are aggregated once
+    (with a per-group 'is an emotion' flag), written to the checkpoint folder,
+    and both the global and the per-emotion shares are rolled up from them.
+    """
     spark = posts.sparkSession
-    glob = S.share(posts, subtheme, "global")
-    per = S.share_within(posts.filter(F.col(label).isin(EMOTIONS)), label, subtheme, "prop")
+    counts = cut_lineage(posts.filter(F.col(subtheme).isNotNull()).groupBy(label, subtheme).agg(
+        F.count(F.lit(1)).alias("_n"), F.max(F.col(label).isin(EMOTIONS)).alias("_emo")))
+    gcount = counts.groupBy(subtheme).agg(F.sum("_n").alias("_n"))
+    glob = gcount.crossJoin(F.broadcast(gcount.agg(F.sum("_n").alias("_t")))).select(
+        subtheme, (F.col("_n") / F.col("_t")).alias("global"))
+    emo = counts.filter(F.coalesce(F.col("_emo"), F.lit(False)))
+    per = emo.select(label, subtheme, (F.col("_n") / F.sum("_n").over(Window.partitionBy(label))).alias("prop"))
     wide = S.pivot_wide(per, subtheme, label, "prop", EMOTIONS)
     sd = lookups.subtheme_desc(spark)
     td = lookups.theme_desc(spark)
