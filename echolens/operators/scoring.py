@@ -131,17 +131,17 @@ def score_with_python(df: DataFrame, make_scorer: Callable[[], Callable], key: s
 
 def train_classifier(df: DataFrame, features, label: str = "label", seed: int = 50,
                      vector_cols=(), max_iter: int = 100) -> PipelineModel:
-    """Logistic-regression classifier over numeric/boolean features plus optional
-    vector columns (e.g. bag-of-words counts)."""
-    num = [F.col(c).cast("double").alias(c) for c in features]
+    """Logistic-regression classifier over numeric/boolean features (null -> 0) plus
+    optional vector columns (e.g. bag-of-words counts)."""
+    num = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features]
     d = df.select(*num, *vector_cols, F.col(label).cast("double").alias("_y"))
-    asm = VectorAssembler(inputCols=list(features) + list(vector_cols), outputCol="_x", handleInvalid="keep")
+    asm = VectorAssembler(inputCols=list(features) + list(vector_cols), outputCol="_x")
     lr = LogisticRegression(featuresCol="_x", labelCol="_y", maxIter=max_iter, regParam=0.01)
     return Pipeline(stages=[asm, lr]).fit(d)
 
 
 def predict_classifier(model: PipelineModel, df: DataFrame, features, key: str, vector_cols=()) -> DataFrame:
-    num = [F.col(c).cast("double").alias(c) for c in features]
+    num = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features]
     d = df.select(key, *num, *vector_cols)
     out = model.transform(d)
     return out.select(key, (F.col("prediction") > 0.5).alias("pred"),

@@ -1395,3 +1395,28 @@ def q_consolidated_replies(spark, sf):
         "tweetId", F.col("conversationId").cast("bigint").alias("conversationId"), "news_id", "country",
         "continent", "theme", "subtheme", "news_prevalent_emotion", "prevalent_emotion",
         "anger", "joy", "optimism", "sadness", "ds", "dsw", "dsm"))
+
+
+@register("news_account_classifier")
+def q_news_account_classifier(spark, sf):
+    """Account classifier on the 12 profile features plus bio word counts.
+
+    Profiles come from customers; an account's bio is the document with the
+    same id; the training label is that document's quality label (the
+    published model's labels were not shipped).  Predicts every account.
+    """
+    from ..functions.profile import PROFILE_FEATURES, with_profile_features
+    from ..operators.scoring import predict_classifier, train_classifier
+    prof = with_profile_features(V.profiles(spark, sf), AS_OF)
+    bios = TK.bio_tokens(_docs(spark, sf, "doc_id", "text"), "text", "bio")
+    vocab = TP.vocabulary(TP.doc_freq_dictionary(bios, "bio", "doc_id", 0.01, 0.5, 2000), 2000)
+    bow = TP.bag_of_words(bios.select(F.col("doc_id").alias("userId"), "bio"), vocab, "bio", "bio_counts")
+    feats = prof.join(bow.select("userId", "bio_counts"), "userId", "left")
+    from pyspark.ml.functions import array_to_vector
+    empty = array_to_vector(F.array_repeat(F.lit(0.0), len(vocab)))
+    feats = feats.withColumn("bio_counts", F.coalesce(F.col("bio_counts"), empty))
+    lab = _table(spark, sf, "labels").select(F.col("doc_id").alias("userId"), F.col("quality").alias("label"))
+    train = feats.join(lab, "userId")
+    model = train_classifier(train, PROFILE_FEATURES, "label", vector_cols=["bio_counts"])
+    return predict_classifier(model, feats, PROFILE_FEATURES, "userId", vector_cols=["bio_counts"]).select(
+        "userId", "pred", F.round("p_true", 6).alias("p_true"))
