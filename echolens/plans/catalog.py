@@ -24,8 +24,15 @@ ORACLES: dict[str, str] = {}
 
 
 def register(name: str, sql: str | None = None):
+    """Register ``fn(spark, sf_dir) -> DataFrame`` (run on a UTC session) with its oracle SQL."""
     def deco(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            from ..session import ensure_utc
+            ensure_utc(spark)
+            return fn(spark, sf_dir)
+        run.__name__ = fn.__name__
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn
