@@ -733,13 +733,19 @@ def q_phrases(spark, sf):
     return round_doubles(PH.learn_phrases(_en_docs(spark, sf), "tokens"))
 
 
-@register("phrase_merged_tokens")
-def q_phrase_merged_tokens(spark, sf):
+def _phrased_docs(spark, sf):
+    """Cleaned tokens with bigrams merged, then trigrams learned on the merged
+    tokens and merged (the corpus the topic model is trained on)."""
     docs = _en_docs(spark, sf)
     bi = PH.learn_phrases(docs, "tokens")
     d2 = PH.apply_phrases(docs, bi, "doc_id", "tokens")
     tri = PH.learn_phrases(d2, "tokens")
-    d3 = PH.apply_phrases(d2, tri, "doc_id", "tokens")
+    return PH.apply_phrases(d2, tri, "doc_id", "tokens")
+
+
+@register("phrase_merged_tokens")
+def q_phrase_merged_tokens(spark, sf):
+    d3 = _phrased_docs(spark, sf)
     return d3.select("doc_id", F.size("tokens").alias("n_tokens"), F.array_join("tokens", " ").alias("tokens"))
 
 
@@ -837,7 +843,7 @@ def _lda_input(spark, sf):
     from ..session import cut_lineage
     ck = (spark.sparkContext.applicationId, sf, "bow")
     if ck not in _LDA_CACHE:
-        docs = _en_docs(spark, sf)
+        docs = _phrased_docs(spark, sf)
         dic = TP.doc_freq_dictionary(docs, "tokens", "doc_id")
         vocab = TP.vocabulary(dic)
         bow = cut_lineage(TP.bag_of_words(docs, vocab, "tokens", "bow").select("doc_id", "tokens", "bow"))

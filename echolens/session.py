@@ -28,6 +28,7 @@ def build_session(master: str | None = None, app: str = "echolens",
         "spark.sql.shuffle.partitions": str(shuffle_partitions or 8),
         "spark.driver.memory": "16g",
         "spark.sql.codegen.hugeMethodLimit": "8000",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     for k, v in conf.items():
         b = b.config(k, v)
