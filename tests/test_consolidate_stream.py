@@ -88,3 +88,20 @@ def test_stream_weekly_windows_match_batch(spark, tmp_path):
         F.count(F.lit(1)).alias("n"), F.avg("value").alias("value"))
     want = {r.dsw: (r.n, round(r.value, 9)) for r in b.collect()}
     assert got == want
+
+
+def test_stream_dedupe_and_score_append(spark, tmp_path):
+    import time
+    src = tmp_path / "replies"
+    t0 = dt.datetime(2021, 1, 1)
+    batches = [[(1, t0), (2, t0), (1, t0)], [(2, t0 + dt.timedelta(hours=1)), (3, t0 + dt.timedelta(hours=2))]]
+    for b in batches:
+        spark.createDataFrame(b, "tweetId long, date timestamp").coalesce(1).write.mode("append").parquet(str(src))
+        time.sleep(1.1)
+    schema = spark.read.parquet(str(src)).schema
+    st = SJ.file_stream(spark, str(src), schema, max_files=1)
+    out = SJ.run_append_to_parquet(SJ.dedupe_stream(st, "tweetId", "date", "1 day"), "test_dedupe")
+    assert sorted(r.tweetId for r in out.collect()) == [1, 2, 3]
+    st2 = SJ.file_stream(spark, str(src), schema, max_files=1)
+    scored = SJ.score_stream(st2, lambda b: b.withColumn("score", F.col("tweetId") * 2), "test_scores")
+    assert sorted((r.tweetId, r.score) for r in scored.collect()) == [(1, 2), (1, 2), (2, 4), (2, 4), (3, 6)]
