@@ -8,8 +8,8 @@ Scale notes
 -----------
 * Every group-by is a hash aggregate with a map-side partial step, so the
   shuffle carries one row per (task, group), not one per input row.
-* The global baseline is a one-row aggregate joined with a broadcast
-  (its size is one row by construction).
+* The global baseline is a one-row aggregate used as scalar subqueries
+  (no join at all).
 * ``lift_cube`` answers all key sets in ONE pass: the rows are first
   pre-aggregated to the finest key combination (sums and counts), then a
   single GROUPING SETS aggregate rolls them up.  The 17-way expansion
@@ -112,8 +112,9 @@ def emotion_lift(df: DataFrame, keys, measures=EMOTIONS, id_col: str = "tweetId"
     agg = _once(df.groupBy(*keys).agg(*_sums(measures, id_col), *flags), materialize)
     grp = _means(agg.filter(~F.col("_nk")).drop("_nk", "_nb"), measures)
     if not baseline_keys:
-        base = F.broadcast(_base_from(agg, measures, "_g_"))
-        joined = grp.crossJoin(base)
+        base = _base_from(agg, measures, "_g_")
+        # the global means enter as scalar subqueries (merged into one by the optimizer)
+        joined = grp.select("*", *[base.select(f"_g_{m}").scalar().alias(f"_g_{m}") for m in measures])
     elif set(baseline_keys) <= set(keys):
         b = _means(agg.filter(~F.col("_nb")).groupBy(*baseline_keys).agg(*_resum(measures)),
                    measures).select(*baseline_keys, *[F.col(m).alias(f"_g_{m}") for m in measures])
@@ -215,7 +216,7 @@ def lift_cube(df: DataFrame, sets: dict | None = None, measures=EMOTIONS,
     rolled = rolled.filter(keep_row).withColumn("set_name", F.explode(names))
     means = _means(rolled.drop(*[f"_g_{k}" for k in all_keys]), measures)
     # the global baseline rolls up the finest aggregate: no second pass over df
-    base = F.broadcast(_base_from(fine, measures, "_b_"))
-    return means.crossJoin(base).select(
+    base = _base_from(fine, measures, "_b_")
+    return means.select("*", *[base.select(f"_b_{m}").scalar().alias(f"_b_{m}") for m in measures]).select(
         "set_name", *all_keys, "n", *measures,
         *[F.try_divide(F.col(m), F.col(f"_b_{m}")).alias(f"lift_{m}") for m in measures])

@@ -91,11 +91,10 @@ def cumulative_share_top(df: DataFrame, key: str, n: int, share_col: str = "shar
     """
     src = df.filter(F.col(key).isNotNull())
     counts = src.groupBy(key).agg(F.count(F.lit(1)).alias("cnt"))
-    total = F.broadcast(counts.agg(F.sum("cnt").alias("_t")))
+    total = counts.agg(F.sum("cnt")).scalar()
     top = counts.orderBy(F.col("cnt").desc(), F.col(key)).limit(n)
     w = Window.orderBy(F.col("cnt").desc(), F.col(key)).rowsBetween(Window.unboundedPreceding, 0)
-    return (top.crossJoin(total)
-               .select(key, "cnt", (F.col("cnt") / F.col("_t")).alias(share_col))
+    return (top.select(key, "cnt", (F.col("cnt") / total).alias(share_col))
                .withColumn(cum_col, F.sum(share_col).over(w))
                .withColumn("position", F.row_number().over(Window.orderBy(F.col("cnt").desc(), F.col(key)))))
 

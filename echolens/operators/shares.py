@@ -1,9 +1,8 @@
 """Frequency shares, within-group shares and wide pivots.
 
 Scale notes: counts are hash aggregates with map-side combine.  Totals
-are one-row aggregates joined by broadcast (one row by construction) or a
-window over the already aggregated counts (one row per group value, not
-per input row).  Pivots always list their values, so the wide schema is
+are scalar subqueries over the aggregated counts (no join) or a window over
+the already aggregated counts (one row per group value, not per input row).  Pivots always list their values, so the wide schema is
 fixed and no extra job is run to discover the values.
 """
 
@@ -22,8 +21,8 @@ def value_counts(df: DataFrame, col: str, name: str = "count") -> DataFrame:
 def share(df: DataFrame, col: str, name: str = "prop") -> DataFrame:
     """Share of each non-null value among the non-null rows."""
     counts = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
-    total = F.broadcast(counts.agg(F.sum("_n").alias("_t")))
-    return counts.crossJoin(total).select(col, (F.col("_n") / F.col("_t")).alias(name))
+    total = counts.agg(F.sum("_n")).scalar()   # scalar subquery over the counts: no join
+    return counts.select(col, (F.col("_n") / total).alias(name))
 
 
 def share_within(df: DataFrame, group: str | list, col: str, name: str = "prop",

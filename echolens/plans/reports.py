@@ -198,8 +198,8 @@ def subtheme_vs_global(posts: DataFrame, subtheme: str = "subtheme",
     counts = cut_lineage(posts.filter(F.col(subtheme).isNotNull()).groupBy(label, subtheme).agg(
         F.count(F.lit(1)).alias("_n"), F.max(F.col(label).isin(EMOTIONS)).alias("_emo")))
     gcount = counts.groupBy(subtheme).agg(F.sum("_n").alias("_n"))
-    glob = gcount.crossJoin(F.broadcast(gcount.agg(F.sum("_n").alias("_t")))).select(
-        subtheme, (F.col("_n") / F.col("_t")).alias("global"))
+    total = gcount.agg(F.sum("_n")).scalar()
+    glob = gcount.select(subtheme, (F.col("_n") / total).alias("global"))
     emo = counts.filter(F.coalesce(F.col("_emo"), F.lit(False)))
     per = emo.select(label, subtheme, (F.col("_n") / F.sum("_n").over(Window.partitionBy(label))).alias("prop"))
     wide = S.pivot_wide(per, subtheme, label, "prop", EMOTIONS)
@@ -251,8 +251,11 @@ def mention_counts(posts: DataFrame, mentions_col: str = "mentioned", denominato
               .filter(F.col("account").isNotNull())
               .groupBy(*keys, "account").agg(F.count(F.lit(1)).alias("count")))
     # per-region post counts: one row per region (size-checked); one row without regions
-    j = m.join(maybe_broadcast(n, 100_000), on=keys) if keys else m.crossJoin(F.broadcast(n))
-    return j.filter(F.col("count") > F.ceil(F.col("_posts") / F.lit(denominator))).drop("_posts")
+    if keys:
+        j = m.join(maybe_broadcast(n, 100_000), on=keys)
+        return j.filter(F.col("count") > F.ceil(F.col("_posts") / F.lit(denominator))).drop("_posts")
+    posts_n = n.select("_posts").scalar()
+    return m.filter(F.col("count") > F.ceil(posts_n / F.lit(denominator)))
 
 
 def news_like(desc: str = "description", verified: str = "verified"):
