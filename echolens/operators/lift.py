@@ -112,9 +112,9 @@ def emotion_lift(df: DataFrame, keys, measures=EMOTIONS, id_col: str = "tweetId"
     agg = _once(df.groupBy(*keys).agg(*_sums(measures, id_col), *flags), materialize)
     grp = _means(agg.filter(~F.col("_nk")).drop("_nk", "_nb"), measures)
     if not baseline_keys:
-        base = _base_from(agg, measures, "_g_")
-        # the global means enter as scalar subqueries (merged into one by the optimizer)
-        joined = grp.select("*", *[base.select(f"_g_{m}").scalar().alias(f"_g_{m}") for m in measures])
+        # the global means enter as ONE scalar subquery (a struct) over the aggregate
+        base = _base_from(agg, measures, "_g_").select(F.struct("*").alias("b")).scalar()
+        joined = grp.select("*", *[base.getField(f"_g_{m}").alias(f"_g_{m}") for m in measures])
     elif set(baseline_keys) <= set(keys):
         b = _means(agg.filter(~F.col("_nb")).groupBy(*baseline_keys).agg(*_resum(measures)),
                    measures).select(*baseline_keys, *[F.col(m).alias(f"_g_{m}") for m in measures])
@@ -216,7 +216,7 @@ def lift_cube(df: DataFrame, sets: dict | None = None, measures=EMOTIONS,
     rolled = rolled.filter(keep_row).withColumn("set_name", F.explode(names))
     means = _means(rolled.drop(*[f"_g_{k}" for k in all_keys]), measures)
     # the global baseline rolls up the finest aggregate: no second pass over df
-    base = _base_from(fine, measures, "_b_")
-    return means.select("*", *[base.select(f"_b_{m}").scalar().alias(f"_b_{m}") for m in measures]).select(
+    base = _base_from(fine, measures, "_b_").select(F.struct("*").alias("b")).scalar()
+    return means.select("*", *[base.getField(f"_b_{m}").alias(f"_b_{m}") for m in measures]).select(
         "set_name", *all_keys, "n", *measures,
         *[F.try_divide(F.col(m), F.col(f"_b_{m}")).alias(f"lift_{m}") for m in measures])
