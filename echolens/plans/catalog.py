@@ -1,1435 +1,7 @@
-"""Registered queries over the driver tables, each with its DuckDB oracle SQL.
+"""The query catalog: every registered query and its DuckDB oracle SQL.
 
-Every query reads whole tables (no id subsets, no row caps); limits appear
-only where the limit is the feature (top-k reports).  Doubles are rounded
-to 6 decimals on both sides so the two engines compare equal despite
-different summation orders.
+The queries live in ``echolens.plans.queries`` (one module per operator
+family); importing that package registers them.
 """
 
-from __future__ import annotations
-
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from ..operators import lift as L
-from ..schemas import EMOTIONS, THEME_DESC
-from . import reports as R
-from . import views as V
-from ..sources.tables import table as _table
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None):
-    """Register ``fn(spark, sf_dir) -> DataFrame`` (run on a UTC session) with its oracle SQL."""
-    def deco(fn):
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            from ..session import ensure_utc
-            ensure_utc(spark)
-            return fn(spark, sf_dir)
-        run.__name__ = fn.__name__
-        run.__doc__ = fn.__doc__
-        QUERIES[name] = run
-        if sql is not None:
-            ORACLES[name] = sql
-        return fn
-    return deco
-
-
-def r6(c):
-    c = F.col(c) if isinstance(c, str) else c
-    return F.round(c, 6)
-
-
-def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every double column (the compare contract, not part of the operator)."""
-    cols = []
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        cols.append(F.round(c, digits).alias(f.name) if f.dataType.typeName() == "double" else c)
-    return df.select(*cols)
-
-
-def _theme_values_sql() -> str:
-    rows = ", ".join(f"({c}, '{d}')" for c, d in THEME_DESC)
-    return f"(VALUES {rows}) AS td(theme, theme_desc)"
-
-
-_EM = EMOTIONS
-
-
-def _mean_cols_sql(prefix="") -> str:
-    return ", ".join(f"avg({m}) AS {prefix}{m}" for m in _EM)
-
-
-# ---------------------------------------------------------------------------
-# Lift family
-# ---------------------------------------------------------------------------
-
-@register("lift_by_theme", V.VIEWS_SQL + f""",
-g AS (SELECT {_mean_cols_sql('g_')} FROM replies),
-t AS (SELECT theme, count(reply_id) AS n, {_mean_cols_sql()} FROM replies
-      WHERE theme IS NOT NULL GROUP BY theme)
-SELECT t.theme, td.theme_desc, t.n,
-       {", ".join(f"round_even(t.{m}/g.g_{m}, 2) AS lift_{m}" for m in _EM)}
-FROM t CROSS JOIN g JOIN {_theme_values_sql()} ON t.theme = td.theme
-""")
-def q_lift_by_theme(spark, sf):
-    return R.lift_by_theme(V.replies(spark, sf), id_col="reply_id")
-
-
-@register("lift_by_country", V.VIEWS_SQL + f""",
-g AS (SELECT {_mean_cols_sql('g_')} FROM replies),
-t AS (SELECT country, count(reply_id) AS n, {_mean_cols_sql()} FROM replies
-      WHERE country IS NOT NULL GROUP BY country)
-SELECT t.country, t.n, {", ".join(f"round(t.{m}, 6) AS {m}" for m in _EM)},
-       {", ".join(f"round(t.{m}/g.g_{m}, 6) AS lift_{m}" for m in _EM)}
-FROM t CROSS JOIN g
-""")
-def q_lift_by_country(spark, sf):
-    return round_doubles(L.emotion_lift(V.replies(spark, sf), ["country"], EMOTIONS, "reply_id"))
-
-
-@register("lift_continent_month", V.VIEWS_SQL + f""",
-gen AS (SELECT dsm, {", ".join(f"avg({m}) AS {m}_general" for m in _EM)} FROM replies
-        WHERE dsm IS NOT NULL GROUP BY dsm),
-grp AS (SELECT continent, dsm, count(reply_id) AS n, {", ".join(f"avg({m}) AS {m}_continent" for m in _EM)}
-        FROM replies WHERE continent IS NOT NULL AND dsm IS NOT NULL GROUP BY continent, dsm)
-SELECT grp.dsm, grp.continent, grp.n,
-       {", ".join(f"round({m}_continent, 6) AS {m}_continent" for m in _EM)},
-       {", ".join(f"round({m}_general, 6) AS {m}_general" for m in _EM)},
-       {", ".join(f"round({m}_continent/{m}_general, 6) AS lift_{m}" for m in _EM)}
-FROM grp JOIN gen ON grp.dsm = gen.dsm
-""")
-def q_lift_continent_month(spark, sf):
-    return round_doubles(R.lift_continent_month(V.replies(spark, sf), id_col="reply_id"))
-
-
-def _cube_sql() -> str:
-    all_keys = []
-    for ks in L.LIFT_SETS.values():
-        for k in ks:
-            if k not in all_keys:
-                all_keys.append(k)
-    parts = []
-    for name, ks in L.LIFT_SETS.items():
-        sel = ", ".join(k if k in ks else f"NULL AS {k}" for k in all_keys)
-        where = " AND ".join(f"{k} IS NOT NULL" for k in ks)
-        parts.append(f"SELECT '{name}' AS set_name, {sel}, count(reply_id) AS n, "
-                     f"{_mean_cols_sql()} FROM replies WHERE {where} GROUP BY {', '.join(ks)}")
-    body = "\nUNION ALL\n".join(parts)
-    keys = ", ".join(all_keys)
-    return V.VIEWS_SQL + f""",
-g AS (SELECT {_mean_cols_sql('g_')} FROM replies),
-u AS ({body})
-SELECT set_name, {keys}, n, {", ".join(f"round({m}, 6) AS {m}" for m in _EM)},
-       {", ".join(f"round({m}/g_{m}, 6) AS lift_{m}" for m in _EM)}
-FROM u CROSS JOIN g
-"""
-
-
-@register("lift_cube17", _cube_sql())
-def q_lift_cube17(spark, sf):
-    return round_doubles(L.lift_cube(V.replies(spark, sf), id_col="reply_id"))
-
-
-# ---------------------------------------------------------------------------
-# Shares and pivots (A04, A07-A11, R03, R04, R11, R12), engagement
-# ---------------------------------------------------------------------------
-
-def _pivot_sql(src: str, index: str, col: str, val: str, values, names=None) -> str:
-    names = names or values
-    cells = ", ".join(f"max(CASE WHEN {col} = '{v}' THEN {val} END) AS \"{n}\""
-                      for v, n in zip(values, names))
-    return f"SELECT {index}, {cells} FROM {src} GROUP BY {index}"
-
-
-def _row_norm_sql(src: str, index: str, cols) -> str:
-    tot = " + ".join(f'coalesce("{c}", 0)' for c in cols)
-    cells = ", ".join(f'round(cast("{c}" AS double) / ({tot}), 6) AS "{c}"' for c in cols)
-    return f"SELECT {index}, {cells} FROM {src}"
-
-
-_EMO5 = EMOTIONS + ["undefined"]
-_DESCS = [d for _, d in THEME_DESC]
-
-
-@register("prevalent_emotion_share", V.VIEWS_SQL + f""",
-c AS (SELECT country, prevalent_emotion, count(DISTINCT reply_id) AS n FROM replies
-      WHERE country IS NOT NULL AND prevalent_emotion IS NOT NULL GROUP BY 1, 2),
-w AS ({_pivot_sql('c', 'country', 'prevalent_emotion', 'n', _EMO5)})
-{_row_norm_sql('w', 'country', _EMO5)}
-""")
-def q_prevalent_emotion_share(spark, sf):
-    return round_doubles(R.prevalent_emotion_share(V.replies(spark, sf), id_col="reply_id"))
-
-
-@register("theme_share_by_country", V.VIEWS_SQL + f""",
-c AS (SELECT country, theme_desc, count(DISTINCT post_id) AS n
-      FROM posts JOIN {_theme_values_sql()} ON posts.theme = td.theme
-      WHERE country IS NOT NULL GROUP BY 1, 2),
-w AS ({_pivot_sql('c', 'country', 'theme_desc', 'n', _DESCS)})
-{_row_norm_sql('w', 'country', _DESCS)}
-""")
-def q_theme_share_by_country(spark, sf):
-    return round_doubles(R.theme_share_by_country(V.posts(spark, sf), id_col="post_id"))
-
-
-def _subtheme_values_sql() -> str:
-    from ..schemas import SUBTHEME_DESC
-    rows = ", ".join(f"({c}, '{d}')" for c, d in SUBTHEME_DESC)
-    return f"(VALUES {rows}) AS sd(subtheme, subtheme_desc)"
-
-
-@register("subtheme_vs_global", V.VIEWS_SQL + f""",
-gl AS (SELECT subtheme, cast(count(*) AS double) / sum(count(*)) OVER () AS "global"
-         FROM posts WHERE subtheme IS NOT NULL GROUP BY subtheme),
-per AS (SELECT prevalent_emotion, subtheme,
-               cast(count(*) AS double) / sum(count(*)) OVER (PARTITION BY prevalent_emotion) AS prop
-        FROM posts WHERE prevalent_emotion IN ('anger', 'sadness', 'optimism', 'joy')
-              AND subtheme IS NOT NULL GROUP BY 1, 2),
-w AS ({_pivot_sql('per', 'subtheme', 'prevalent_emotion', 'prop', EMOTIONS)})
-SELECT w.subtheme, sd.subtheme_desc, td.theme_desc,
-       {", ".join(f"round_even(w.{e} * 100, 2) AS {e}" for e in EMOTIONS)},
-       round_even(gl."global" * 100, 2) AS "global"
-FROM w JOIN {_subtheme_values_sql()} ON w.subtheme = sd.subtheme
-       JOIN gl ON w.subtheme = gl.subtheme
-       JOIN {_theme_values_sql()} ON td.theme = cast(floor(w.subtheme / 10) AS int)
-""")
-def q_subtheme_vs_global(spark, sf):
-    return R.subtheme_vs_global(V.posts(spark, sf))
-
-
-@register("engagement_by_label", V.VIEWS_SQL + """
-SELECT prevalent_emotion, round_even(avg(engagement), 1) AS engagement
-FROM posts WHERE prevalent_emotion IS NOT NULL GROUP BY prevalent_emotion
-""")
-def q_engagement_by_label(spark, sf):
-    return R.engagement_by_label(V.posts(spark, sf), ["engagement"])
-
-
-@register("global_theme_mix", V.VIEWS_SQL + f""",
-s AS (SELECT theme, cast(count(*) AS double) / sum(count(*)) OVER () AS prop
-      FROM posts WHERE theme IS NOT NULL GROUP BY theme)
-SELECT s.theme, td.theme_desc, round_even(prop * 100, 2) AS pct
-FROM s JOIN {_theme_values_sql()} ON s.theme = td.theme
-""")
-def q_global_theme_mix(spark, sf):
-    return R.global_theme_mix(V.posts(spark, sf))
-
-
-# ---------------------------------------------------------------------------
-# Accounts: engagement cut-off, cascade, theme mix, outlet rollup (A13, A14,
-# W04, R07, R09, R10, R11)
-# ---------------------------------------------------------------------------
-
-# Test-data cut-offs (accounts here have at most 25 posts and 93 replies;
-# the published cut-off of 484 applies to the full collection).
-MIN_POSTS, MIN_REPLIES = 15, 60
-
-
-@register("engaged_accounts", V.VIEWS_SQL + f"""
-SELECT account_id AS userId, count(post_id) AS n_posts FROM posts
-WHERE account_id IS NOT NULL GROUP BY account_id HAVING count(post_id) > {MIN_POSTS}
-""")
-def q_engaged_accounts(spark, sf):
-    return R.engaged_accounts(V.posts(spark, sf).withColumnRenamed("account_id", "userId"),
-                              "userId", "post_id", MIN_POSTS)
-
-
-def _cascade_sql() -> str:
-    cols = ", ".join(f"round({m}, 6) AS {m}" for m in EMOTIONS)
-    lifts = ", ".join(f"round({m}/g_{m}, 6) AS lift_{m}" for m in EMOTIONS)
-    steps, prev = [], []
-    for i, m in enumerate(EMOTIONS):
-        excl = (" WHERE " + " AND ".join(f"news_id NOT IN (SELECT news_id FROM t{j})" for j in prev)
-                if prev else "")
-        steps.append(f"""t{i} AS (SELECT *, '{m}' AS main_emotion,
-            6 - row_number() OVER (ORDER BY {m} DESC, news_id) AS rank_emotion, {m} AS score_emotion
-          FROM cand{excl} ORDER BY {m} DESC, news_id LIMIT 5)""")
-        prev.append(i)
-    return V.VIEWS_SQL + f""",
-g AS (SELECT {_mean_cols_sql('g_')} FROM replies),
-acc AS (SELECT continent, country, news_id, count(reply_id) AS n, {_mean_cols_sql()} FROM replies
-        WHERE continent IS NOT NULL AND country IS NOT NULL AND news_id IS NOT NULL GROUP BY 1, 2, 3),
-eng AS (SELECT account_id FROM posts WHERE account_id IS NOT NULL GROUP BY account_id
-        HAVING count(post_id) > {MIN_POSTS}),
-cand AS (SELECT acc.*, {lifts.replace('round(', 'round(acc.')} FROM acc CROSS JOIN g
-         WHERE news_id IN (SELECT account_id FROM eng) AND n > {MIN_REPLIES}),
-{", ".join(steps)},
-u AS (SELECT * FROM t0 UNION ALL SELECT * FROM t1 UNION ALL SELECT * FROM t2 UNION ALL SELECT * FROM t3)
-SELECT continent, country, news_id, n, {cols}, {", ".join(f"lift_{m}" for m in EMOTIONS)},
-       main_emotion, rank_emotion, round(score_emotion, 6) AS score_emotion
-FROM u
-"""
-
-
-def _cascade(spark, sf):
-    p = V.posts(spark, sf).withColumnRenamed("account_id", "userId")
-    return R.top_accounts_cascade(V.replies(spark, sf), p, 5, news_id="news_id",
-                                  post_account="userId", reply_id="reply_id", post_id="post_id",
-                                  min_posts=MIN_POSTS, min_replies=MIN_REPLIES)
-
-
-@register("top_accounts_cascade", _cascade_sql())
-def q_top_accounts_cascade(spark, sf):
-    return round_doubles(_cascade(spark, sf).select(
-        "continent", "country", "news_id", "n", *EMOTIONS, *[f"lift_{m}" for m in EMOTIONS],
-        "main_emotion", F.col("rank_emotion").cast("bigint").alias("rank_emotion"), "score_emotion"))
-
-
-def _mix_sql(group_sql: str, group: str, digits: int) -> str:
-    return f"""
-sh AS (SELECT {group}, theme, cast(count(*) AS double) / sum(count(*)) OVER (PARTITION BY {group}) AS prop
-       FROM ({group_sql}) x WHERE {group} IS NOT NULL AND theme IS NOT NULL GROUP BY 1, 2),
-shd AS (SELECT sh.*, td.theme_desc FROM sh JOIN {_theme_values_sql()} ON sh.theme = td.theme),
-mix AS (SELECT {group}, {", ".join(f"round_even(max(CASE WHEN theme_desc = '{d}' THEN prop END) * 100, {digits}) AS \"{d}\"" for d in _DESCS)}
-        FROM shd GROUP BY {group})"""
-
-
-@register("account_theme_mix", _cascade_sql().replace("\nSELECT continent, country, news_id, n,", ",\ntop_sel AS (SELECT continent, country, news_id, n,", 1).rstrip() + ")," + _mix_sql(
-    "SELECT account_id AS userId, theme FROM posts WHERE account_id IN (SELECT news_id FROM top_sel)", "userId", 1) + """
-SELECT mix.*, a.displayname, a.country, round(a.followersCount, 6) AS followersCount, a.description,
-       t.main_emotion, t.rank_emotion, round_even(t.score_emotion * 100, 1) AS score_emotion
-FROM mix JOIN accounts a ON mix.userId = a.userId JOIN top_sel t ON mix.userId = t.news_id
-""")
-def q_account_theme_mix(spark, sf):
-    top = _cascade(spark, sf)
-    p = V.posts(spark, sf).withColumnRenamed("account_id", "userId")
-    out = R.account_theme_mix(p, top, V.accounts(spark, sf), "userId", "news_id")
-    return round_doubles(out.withColumn("rank_emotion", F.col("rank_emotion").cast("bigint")))
-
-
-@register("group_theme_mix", _cascade_sql().replace("\nSELECT continent, country, news_id, n,", ",\ntop_sel AS (SELECT continent, country, news_id, n,", 1).rstrip() + ")," + _mix_sql(
-    "SELECT t.main_emotion, p.theme FROM posts p JOIN top_sel t ON p.account_id = t.news_id", "main_emotion", 1) + """
-SELECT * FROM mix
-""")
-def q_group_theme_mix(spark, sf):
-    top = _cascade(spark, sf)
-    p = V.posts(spark, sf).withColumnRenamed("account_id", "userId")
-    return R.group_theme_mix(p, top, "userId", "news_id")
-
-
-@register("outlet_rollup", V.VIEWS_SQL + """,
-per AS (SELECT news_id, count(reply_id) AS n FROM replies WHERE news_id IS NOT NULL GROUP BY news_id)
-SELECT a.media_outlet, sum(per.n)::BIGINT AS replies FROM per JOIN accounts a ON per.news_id = a.userId
-GROUP BY a.media_outlet
-""")
-def q_outlet_rollup(spark, sf):
-    return R.outlet_rollup(V.replies(spark, sf), V.accounts(spark, sf), "news_id", "userId",
-                           "media_outlet", "reply_id")
-
-
-# ---------------------------------------------------------------------------
-# Drill-down concentration (F09, W05, R16), polarity (R06), weekly
-# ---------------------------------------------------------------------------
-
-SEGMENT = {"continent": "AFRICA", "prevalent_emotion": "anger"}
-
-
-@register("concentration_top25", V.VIEWS_SQL + """,
-c AS (SELECT conversation_id, count(*) AS cnt FROM replies
-      WHERE continent = 'AFRICA' AND prevalent_emotion = 'anger' AND conversation_id IS NOT NULL
-      GROUP BY conversation_id),
-t AS (SELECT sum(cnt) AS tot FROM c),
-top AS (SELECT * FROM c ORDER BY cnt DESC, conversation_id LIMIT 25)
-SELECT conversation_id, cnt, round(cnt / tot, 6) AS share,
-       round(sum(cnt / tot) OVER (ORDER BY cnt DESC, conversation_id
-                                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS cum_share,
-       row_number() OVER (ORDER BY cnt DESC, conversation_id) AS position
-FROM top CROSS JOIN t
-""")
-def q_concentration_top25(spark, sf):
-    out = R.concentration(V.replies(spark, sf), SEGMENT, "conversation_id", 25)
-    return round_doubles(out.withColumn("position", F.col("position").cast("bigint")))
-
-
-def nation_coordinates(spark, sf):
-    """Per-country coordinates derived from the nation key (the coordinate file is not shipped)."""
-    n = _table(spark, sf, "nation")
-    return n.select(F.col("n_name").alias("country"),
-                    ((F.col("n_nationkey") * 7) % 160 - 80).cast("double").alias("lat"),
-                    ((F.col("n_nationkey") * 37) % 360 - 180).cast("double").alias("lng"))
-
-
-@register("country_polarity", V.VIEWS_SQL + """,
-a AS (SELECT country, avg(joy + optimism) AS positive, avg(anger + sadness) AS negative,
-             count(reply_id) AS n FROM replies WHERE country IS NOT NULL GROUP BY country),
-co AS (SELECT n_name AS country, cast((n_nationkey * 7) % 160 - 80 AS double) AS lat,
-              cast((n_nationkey * 37) % 360 - 180 AS double) AS lng FROM nation)
-SELECT a.country, round(positive, 6) AS positive, round(negative, 6) AS negative, n,
-       round(positive - negative, 6) AS mean_emotion, round(n / 1000, 6) AS n_thousands, lat, lng
-FROM a JOIN co ON a.country = co.country
-""")
-def q_country_polarity(spark, sf):
-    return round_doubles(R.country_polarity(V.replies(spark, sf), nation_coordinates(spark, sf),
-                                            id_col="reply_id"))
-
-
-@register("weekly_reply_means", V.VIEWS_SQL + f"""
-SELECT dsw, {", ".join(f"round(avg({m}), 6) AS {m}" for m in EMOTIONS)}
-FROM replies WHERE dsw IS NOT NULL GROUP BY dsw
-""")
-def q_weekly_reply_means(spark, sf):
-    return round_doubles(R.weekly_means(V.replies(spark, sf)))
-
-
-@register("weekly_event_means", f"""
-WITH e AS (SELECT {V._dsw('cast(ts as date)')} AS dsw, value,
-                  cast(json_extract_string(props, '$.k') AS double) AS k FROM events)
-SELECT dsw, round(avg(value), 6) AS value, round(avg(k), 6) AS k, count(*) AS n
-FROM e WHERE dsw IS NOT NULL GROUP BY dsw
-""")
-def q_weekly_event_means(spark, sf):
-    from ..functions.calendar import week_ending_sunday
-    ev = _table(spark, sf, "events").select(
-        week_ending_sunday("ts").alias("dsw"), "value",
-        F.get_json_object("props", "$.k").cast("double").alias("k"))
-    out = R.weekly_means(ev, "dsw", ["value", "k"])
-    n = ev.filter(F.col("dsw").isNotNull()).groupBy("dsw").agg(F.count(F.lit(1)).alias("n"))
-    return round_doubles(out.join(n, "dsw"))
-
-
-# Frequent words of the test prose stand in for the topical keywords (which
-# never occur in it); the operator is the same.
-TEST_MAIN_KEYWORDS = ["the", "and", "of", "que", "der", "les"]
-TEST_LESS_FREQUENT = ["with", "para", "und", "pour", "that", "dans"]
-
-
-@register("weekly_keyword_counts", V.VIEWS_SQL + f""",
-pc AS (SELECT p.dsw, d.text AS content FROM posts p JOIN documents d ON p.post_id = d.doc_id),
-f AS (SELECT dsw, {", ".join(f"cast(instr(lower(content), '{k}') > 0 AS BIGINT) AS \"{k}\"" for k in dict.fromkeys(TEST_MAIN_KEYWORDS + TEST_LESS_FREQUENT))} FROM pc),
-s AS (SELECT dsw, {", ".join(f"sum(\"{k}\")::BIGINT AS \"{k}\"" for k in dict.fromkeys(TEST_MAIN_KEYWORDS + TEST_LESS_FREQUENT))}
-      FROM f WHERE dsw IS NOT NULL GROUP BY dsw)
-SELECT dsw, {", ".join(f'"{k}"' for k in TEST_MAIN_KEYWORDS)}, {" + ".join(f'"{k}"' for k in TEST_LESS_FREQUENT)} AS other FROM s
-""")
-def q_weekly_keyword_counts(spark, sf):
-    return R.weekly_keyword_volumes(V.posts_with_content(spark, sf), "content", "dsw",
-                                    TEST_MAIN_KEYWORDS + TEST_LESS_FREQUENT, TEST_MAIN_KEYWORDS,
-                                    TEST_LESS_FREQUENT)
-
-
-# ---------------------------------------------------------------------------
-# Dedupe, merge, work queue, reply -> post
-# ---------------------------------------------------------------------------
-
-from ..operators import dedupe as D  # noqa: E402
-from ..operators import search as SR  # noqa: E402
-from ..functions import text as TX  # noqa: E402
-
-
-def _reply_rows(spark, sf):
-    li = _table(spark, sf, "lineitem")
-    return li.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("reply_id"),
-                     F.col("l_shipdate").alias("date"), "l_partkey", "l_suppkey", "l_quantity")
-
-
-_FIRST_SQL = """
-WITH r AS (SELECT l_orderkey*10 + l_linenumber AS reply_id, l_shipdate AS date, l_partkey, l_suppkey,
-                  l_quantity FROM lineitem),
-n AS (SELECT *, row_number() OVER (PARTITION BY reply_id ORDER BY date, l_partkey, l_suppkey,
-                                   l_quantity) AS rn FROM r)
-SELECT reply_id, date, l_partkey, l_suppkey, l_quantity FROM n WHERE rn = 1
-"""
-
-
-@register("first_per_key", _FIRST_SQL)
-def q_first_per_key(spark, sf):
-    return D.first_per_key(_reply_rows(spark, sf), "reply_id",
-                           ["date", "l_partkey", "l_suppkey", "l_quantity"])
-
-
-@register("first_per_key_agg", _FIRST_SQL)
-def q_first_per_key_agg(spark, sf):
-    return D.first_per_key_agg(_reply_rows(spark, sf), "reply_id",
-                               ["date", "l_partkey", "l_suppkey", "l_quantity"])
-
-
-@register("upsert_first_wins", """
-WITH ex AS (SELECT event_id, ts, user_id, event_type, value FROM events WHERE ts < TIMESTAMP '2024-01-20'),
-inc AS (SELECT event_id, ts, user_id, event_type, value + 1000 AS value FROM events
-        WHERE ts >= TIMESTAMP '2024-01-10'
-        UNION ALL
-        SELECT event_id, ts, user_id, event_type, value + 2000 AS value FROM events
-        WHERE ts >= TIMESTAMP '2024-01-25'),
-fresh AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY value) AS rn FROM inc
-          WHERE event_id NOT IN (SELECT event_id FROM ex))
-SELECT event_id, ts, user_id, event_type, round(value, 6) AS value FROM ex
-UNION ALL
-SELECT event_id, ts, user_id, event_type, round(value, 6) AS value FROM fresh WHERE rn = 1
-""")
-def q_upsert_first_wins(spark, sf):
-    ev = _table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    ex = ev.filter(F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz"))
-    inc = (ev.filter(F.col("ts") >= F.lit("2024-01-10").cast("timestamp_ntz"))
-             .withColumn("value", F.col("value") + 1000)
-             .unionByName(ev.filter(F.col("ts") >= F.lit("2024-01-25").cast("timestamp_ntz"))
-                            .withColumn("value", F.col("value") + 2000)))
-    return round_doubles(D.upsert_first_wins(ex, inc, "event_id", order_by=["value"]))
-
-
-# Threads are bucketed by id range (width 32) so batch numbering runs in
-# parallel with a bounded sort per bucket.
-PENDING_BUCKET_WIDTH = 32
-
-
-@register("pending_batches", f"""
-WITH posts AS (SELECT conv_id FROM conversations WHERE turn = 0),
-rc AS (SELECT conv_id, count(*) AS reply_count FROM conversations WHERE turn > 0 GROUP BY conv_id),
-collected AS (SELECT DISTINCT conv_id FROM conversations WHERE turn > 0 AND role = 'user'),
-todo AS (SELECT DISTINCT p.conv_id, p.conv_id // {PENDING_BUCKET_WIDTH} AS bucket FROM posts p JOIN rc ON p.conv_id = rc.conv_id
-         WHERE rc.reply_count > 0 AND p.conv_id NOT IN (SELECT conv_id FROM collected)),
-nb AS (SELECT *, floor((row_number() OVER (PARTITION BY bucket ORDER BY conv_id) - 1) / 12)::BIGINT AS batch
-       FROM todo)
-SELECT bucket, batch, count(*) AS n_ids,
-       'conversation_id:' || string_agg(cast(conv_id AS varchar), ' OR ' ORDER BY conv_id) AS query
-FROM nb GROUP BY bucket, batch
-""")
-def q_pending_batches(spark, sf):
-    conv = _table(spark, sf, "conversations")
-    rc = conv.filter(F.col("turn") > 0).groupBy("conv_id").agg(F.count(F.lit(1)).alias("replyCount"))
-    posts = conv.filter(F.col("turn") == 0).select("conv_id").join(rc, "conv_id")
-    collected = conv.filter((F.col("turn") > 0) & (F.col("role") == "user")).select("conv_id")
-    return SR.pending_batches(posts, collected, "conv_id", "replyCount", 12,
-                              F.floor(F.col("conv_id") / PENDING_BUCKET_WIDTH))
-
-
-@register("reply_to_post_join", """
-WITH p AS (SELECT conv_id, role AS news_role, length(text) AS news_chars FROM conversations WHERE turn = 0),
-r AS (SELECT conv_id, turn, role, length(text) AS chars FROM conversations WHERE turn > 0)
-SELECT r.conv_id, r.turn, r.role, r.chars, p.news_role, p.news_chars FROM r JOIN p ON r.conv_id = p.conv_id
-""")
-def q_reply_to_post_join(spark, sf):
-    conv = _table(spark, sf, "conversations")
-    p = conv.filter(F.col("turn") == 0).select(
-        "conv_id", F.col("role").alias("news_role"), F.length("text").cast("bigint").alias("news_chars"))
-    r = conv.filter(F.col("turn") > 0).select("conv_id", "turn", "role", F.length("text").cast("bigint").alias("chars"))
-    return r.join(p, "conv_id")
-
-
-# ---------------------------------------------------------------------------
-# Account discovery: mentions and thresholds (A15, F06, F07), radius
-# ---------------------------------------------------------------------------
-
-@register("mention_threshold", f"""
-WITH m AS (SELECT unnest(regexp_extract_all(text, '@(\\w+)', 1)) AS account FROM documents),
-c AS (SELECT account, count(*) AS count FROM m WHERE account IS NOT NULL GROUP BY account),
-n AS (SELECT count(*) AS posts FROM documents)
-SELECT account, count FROM c, n WHERE count > ceil(posts / 5000)
-""")
-def q_mention_threshold(spark, sf):
-    docs = _table(spark, sf, "documents").select(TX.mentions("text").alias("mentioned"))
-    return R.mention_counts(docs, "mentioned", 5000)
-
-
-def _points(spark, sf):
-    c = _table(spark, sf, "customer")
-    return c.select(F.col("c_custkey").alias("point_id"),
-                    ((F.col("c_custkey") * 37) % 180 - 90 + F.col("c_nationkey") / 10).alias("latitude"),
-                    ((F.col("c_custkey") * 91) % 360 - 180 + F.col("c_nationkey") / 7).alias("longitude"))
-
-
-def _regions_sql() -> str:
-    from ..schemas import SEARCH_REGIONS
-    rows = ", ".join(f"('{n}', {la!r}, {lo!r}, {r!r})" for n, la, lo, r in SEARCH_REGIONS)
-    return f"(VALUES {rows}) AS rg(region, lat, lng, radius_km)"
-
-
-@register("radius_filter", f"""
-WITH pts AS (SELECT c_custkey AS point_id, (c_custkey * 37) % 180 - 90 + c_nationkey / 10 AS latitude,
-                    (c_custkey * 91) % 360 - 180 + c_nationkey / 7 AS longitude FROM customer),
-d AS (SELECT region, point_id, latitude, longitude, radius_km,
-             2 * 6371.0088 * asin(sqrt(least(1.0,
-               sin((radians(lat) - radians(latitude)) / 2) * sin((radians(lat) - radians(latitude)) / 2)
-               + cos(radians(latitude)) * cos(radians(lat)) * (sin((radians(lng) - radians(longitude)) / 2) * sin((radians(lng) - radians(longitude)) / 2)))))
-             AS distance_km
-      FROM pts CROSS JOIN {_regions_sql()})
-SELECT region, point_id, round(distance_km, 6) AS distance_km FROM d WHERE distance_km <= radius_km
-""")
-def q_radius_filter(spark, sf):
-    from ..sources.lookups import search_regions
-    out = SR.radius_filter(_points(spark, sf), search_regions(spark))
-    return round_doubles(out.select("region", "point_id", "distance_km"))
-
-
-# ---------------------------------------------------------------------------
-# Text functions
-# ---------------------------------------------------------------------------
-
-@register("masked_text", """
-SELECT doc_id, array_to_string(list_transform(string_split(text, ' '), lambda t:
-         CASE WHEN starts_with(t, '@') AND length(t) > 1 THEN '@user'
-              WHEN starts_with(t, 'http') THEN 'http' ELSE t END), ' ') AS masked
-FROM documents
-""")
-def q_masked_text(spark, sf):
-    d = _docs(spark, sf, "doc_id", "text")
-    return d.select("doc_id", TX.mask_handles_and_links("text").alias("masked"))
-
-
-@register("symbol_guard", f"""
-SELECT doc_id, len(regexp_extract_all(text, '{TX.SYMBOL_PATTERN}')) AS n_symbols,
-       len(regexp_extract_all(text, '{TX.SYMBOL_PATTERN}')) > 150 AS over_limit
-FROM documents
-""")
-def q_symbol_guard(spark, sf):
-    d = _docs(spark, sf, "doc_id", "text")
-    n = TX.symbol_count("text")
-    return d.select("doc_id", n.cast("bigint").alias("n_symbols"), (n > 150).alias("over_limit"))
-
-
-@register("keyword_flags", f"""
-SELECT doc_id, {", ".join(f"cast(instr(lower(text), '{k}') > 0 AS int) AS \"{TX.keyword_col_name(k)}\"" for k in dict.fromkeys(TEST_MAIN_KEYWORDS + TEST_LESS_FREQUENT))},
-       ({" OR ".join(f"instr(lower(text), '{k}') > 0" for k in dict.fromkeys(TEST_MAIN_KEYWORDS + TEST_LESS_FREQUENT))}) AS any_keyword
-FROM documents
-""")
-def q_keyword_flags(spark, sf):
-    kws = list(dict.fromkeys(TEST_MAIN_KEYWORDS + TEST_LESS_FREQUENT))
-    d = _docs(spark, sf, "doc_id", "text")
-    return TX.keyword_flags(d, "text", kws).withColumn("any_keyword", TX.any_keyword("text", kws)).drop("text")
-
-
-@register("link_posts", """
-WITH u AS (SELECT 'doc' AS kind, doc_id AS id, text AS content FROM documents
-           UNION ALL SELECT 'page' AS kind, page_id AS id, url AS content FROM pages)
-SELECT kind, id, len(string_split(content, ' ')) = 1 AND starts_with(content, 'http') AS link_only FROM u
-""")
-def q_link_posts(spark, sf):
-    d = _table(spark, sf, "documents").select(F.lit("doc").alias("kind"), F.col("doc_id").alias("id"),
-                                             F.col("text").alias("content"))
-    p = _table(spark, sf, "pages").select(F.lit("page").alias("kind"), F.col("page_id").alias("id"),
-                                         F.col("url").alias("content"))
-    return d.unionByName(p).select("kind", "id", TX.is_link_only("content").alias("link_only"))
-
-
-def _title_sql(html: str) -> str:
-    raw = f"regexp_extract({html}, '(?is)<title[^>]*>(.*?)</title>', 1)"
-    t = raw
-    for ent, ch in TX.HTML_ENTITIES:
-        t = f"replace({t}, '{ent}', '{ch.replace(chr(39), chr(39) * 2)}')"
-    for a, b in TX.TITLE_CHAR_MAP:
-        t = f"replace({t}, '{a}', '{b}')"
-    t = f"regexp_replace(regexp_replace({t}, '[{TX._WS}]+', ' ', 'g'), '^ | $', '', 'g')"
-    return f"CASE WHEN length({raw}) = 0 THEN '[no-title]' ELSE {t} END"
-
-
-@register("page_titles", f"""
-SELECT page_id, {_title_sql('html')} AS title FROM pages
-""")
-def q_page_titles(spark, sf):
-    return _table(spark, sf, "pages").select("page_id", TX.html_title("html").alias("title"))
-
-
-@register("headline_enrichment", f"""
-WITH posts AS (SELECT page_id AS post_id, url AS content FROM pages),
-heads AS (SELECT url, {_title_sql('html')} AS full_title FROM pages),
-links AS (SELECT * FROM posts WHERE len(string_split(content, ' ')) = 1 AND starts_with(content, 'http')),
-j AS (SELECT links.post_id, heads.full_title AS content FROM links JOIN heads ON links.content = heads.url)
-SELECT post_id, content FROM j WHERE content IS NOT NULL
-  AND ({" OR ".join(f"instr(lower(content), '{k}') > 0" for k in TEST_MAIN_KEYWORDS)})
-""")
-def q_headline_enrichment(spark, sf):
-    pg = _table(spark, sf, "pages")
-    posts = pg.select(F.col("page_id").alias("post_id"), F.col("url").alias("content"))
-    heads = pg.select("url", TX.html_title("html").alias("full_title"))
-    return R.headline_enrichment(posts, heads, keywords=TEST_MAIN_KEYWORDS).select("post_id", "content")
-
-
-# ---------------------------------------------------------------------------
-# Top-n per group and the city-style union
-# ---------------------------------------------------------------------------
-
-@register("top_n_per_group", """
-WITH c AS (SELECT c_custkey, c_name, n_name, c_acctbal,
-                  row_number() OVER (PARTITION BY n_name ORDER BY c_acctbal DESC, c_custkey) AS rn
-           FROM customer JOIN nation ON c_nationkey = n_nationkey)
-SELECT n_name, c_custkey, c_name, c_acctbal, rn FROM c WHERE rn <= 3
-""")
-def q_top_n_per_group(spark, sf):
-    from ..operators.ranking import top_n_per_group
-    c = _table(spark, sf, "customer").join(_table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    out = top_n_per_group(c, "n_name", [F.col("c_acctbal").desc(), F.col("c_custkey")], 3, rank_col="rn")
-    return out.select("n_name", "c_custkey", "c_name", "c_acctbal", F.col("rn").cast("bigint").alias("rn"))
-
-
-def _city_rows(spark, sf):
-    c = _table(spark, sf, "customer").join(_table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    x = F.floor(F.abs(F.col("c_acctbal")) * 100).cast("long")
-    pop = F.concat((x / 1000).cast("long").cast("string"), F.lit("."), F.lpad((x % 1000).cast("string"), 3, "0"))
-    return c.select(F.col("c_custkey").cast("int").alias("Rank"),
-                    F.concat(F.col("c_name"), F.when(F.col("c_custkey") % 2 == 0, F.lit(" city")).otherwise(F.lit(""))).alias("City"),
-                    F.concat(F.lit(" "), F.col("n_name"), F.lit(" ")).alias("State"), pop.alias("2019"))
-
-
-@register("city_style_union", """
-WITH raw AS (SELECT cast(c_custkey AS int) AS Rank,
-                    c_name || CASE WHEN c_custkey % 2 = 0 THEN ' city' ELSE '' END AS City,
-                    trim(' ' || n_name || ' ') AS State,
-                    cast(floor(abs(c_acctbal) * 100) AS BIGINT) AS Population
-             FROM customer JOIN nation ON c_nationkey = n_nationkey),
-top3 AS (SELECT Rank, City, State, Population FROM
-           (SELECT *, row_number() OVER (PARTITION BY State ORDER BY Rank) AS rn FROM raw) WHERE rn <= 3),
-u AS (SELECT Rank, City, State, Population FROM raw WHERE Population > 800000
-      UNION SELECT * FROM top3)
-SELECT Rank, City, State, Population, replace(City, ' city', '') || ', ' || State AS loctag
-FROM u WHERE Population > 50000
-""")
-def q_city_style_union(spark, sf):
-    return R.city_selection(_city_rows(spark, sf), big=800000, min_pop=50000, per_state=3)
-
-
-# ---------------------------------------------------------------------------
-# Tokens, phrases, dictionary, subtheme and rule tagging
-# ---------------------------------------------------------------------------
-
-from ..operators import tokens as TK  # noqa: E402
-from ..operators import phrases as PH  # noqa: E402
-from ..operators import topics as TP  # noqa: E402
-
-
-def _docs(spark, sf, *cols):
-    """Documents, spread over the cores when the file gives too few splits."""
-    from ..session import spread
-    d = _table(spark, sf, "documents")
-    return spread(d.select(*cols) if cols else d)
-
-
-def _en_docs(spark, sf):
-    d = _docs(spark, sf, "doc_id", "text", "source", "lang").filter(F.col("lang") == "en").drop("lang")
-    return TK.clean_tokens(d, "text", "tokens")
-
-
-@register("clean_tokens", f"""
-SELECT doc_id, len(tok) AS n_tokens, array_to_string(tok, ' ') AS tokens
-FROM (SELECT doc_id, {TK.clean_tokens_sql('text')} AS tok FROM documents WHERE lang = 'en')
-""")
-def q_clean_tokens(spark, sf):
-    return _en_docs(spark, sf).select("doc_id", F.size("tokens").cast("bigint").alias("n_tokens"),
-                                      F.array_join("tokens", " ").alias("tokens"))
-
-
-def _phrases_sql(min_count=5, threshold=10.0) -> str:
-    return f"""
-WITH d AS (SELECT doc_id, {TK.clean_tokens_sql('text')} AS tok FROM documents WHERE lang = 'en'),
-u AS (SELECT w, count(*) AS cnt FROM (SELECT unnest(tok) AS w FROM d WHERE len(tok) > 0) GROUP BY w),
-p AS (SELECT tok[i] AS word_a, tok[i + 1] AS word_b
-      FROM (SELECT tok, unnest(generate_series(1, len(tok) - 1)) AS i FROM d WHERE len(tok) > 1) x),
-pc AS (SELECT word_a, word_b, count(*) AS pair_count FROM p GROUP BY 1, 2),
-v AS (SELECT (SELECT count(*) FROM u) + (SELECT count(*) FROM pc) AS len_vocab),
-s AS (SELECT pc.word_a, pc.word_b, pair_count, ua.cnt AS count_a, ub.cnt AS count_b,
-             (pair_count - {min_count}) / ua.cnt / ub.cnt * len_vocab AS score
-      FROM pc JOIN u ua ON pc.word_a = ua.w JOIN u ub ON pc.word_b = ub.w CROSS JOIN v
-      WHERE pair_count > {min_count})
-SELECT word_a, word_b, word_a || '_' || word_b AS phrase, pair_count, count_a, count_b, round(score, 6) AS score
-FROM s WHERE score > {threshold}
-"""
-
-
-@register("phrases", _phrases_sql())
-def q_phrases(spark, sf):
-    return round_doubles(PH.learn_phrases(_en_docs(spark, sf), "tokens"))
-
-
-def _phrased_docs(spark, sf):
-    """Cleaned tokens with bigrams merged, then trigrams learned on the merged
-    tokens and merged (the corpus the topic model is trained on)."""
-    docs = _en_docs(spark, sf)
-    bi = PH.learn_phrases(docs, "tokens")
-    d2 = PH.apply_phrases(docs, bi, "doc_id", "tokens")
-    tri = PH.learn_phrases(d2, "tokens")
-    return PH.apply_phrases(d2, tri, "doc_id", "tokens")
-
-
-@register("phrase_merged_tokens")
-def q_phrase_merged_tokens(spark, sf):
-    d3 = _phrased_docs(spark, sf)
-    return d3.select("doc_id", F.size("tokens").alias("n_tokens"), F.array_join("tokens", " ").alias("tokens"))
-
-
-@register("doc_freq_dictionary", f"""
-WITH d AS (SELECT doc_id, {TK.clean_tokens_sql('text')} AS tok FROM documents WHERE lang = 'en'),
-n AS (SELECT count(*) AS n_docs FROM d),
-df AS (SELECT w AS token, count(DISTINCT doc_id) AS df FROM (SELECT doc_id, unnest(tok) AS w FROM d) GROUP BY w)
-SELECT token, df FROM df, n WHERE df >= 0.0005 * n_docs AND df <= 0.33 * n_docs
-""")
-def q_doc_freq_dictionary(spark, sf):
-    return TP.doc_freq_dictionary(_en_docs(spark, sf), "tokens", "doc_id")
-
-
-def _themed_docs(spark, sf):
-    p = V.posts(spark, sf).select(F.col("post_id").alias("doc_id"), "theme")
-    return _en_docs(spark, sf).join(p, "doc_id")
-
-
-def _subtheme_sql() -> str:
-    from ..schemas import SUBTHEME_CODES, SUBTHEME_RULES
-    rules = {code: (th, kws) for th, code, kws in SUBTHEME_RULES}
-    flags = []
-    for code in SUBTHEME_CODES:
-        th, kws = rules[code]
-        lst = "[" + ", ".join(f"'{k}'" for k in kws) + "]"
-        flags.append(f"(theme = {th} AND list_has_any(tok, {lst}))")
-    case = "CASE " + " ".join(f"WHEN {f} THEN {c}" for f, c in zip(flags, SUBTHEME_CODES)) + " ELSE theme * 10 END"
-    n = " + ".join(f"cast({f} AS int)" for f in flags)
-    return V.VIEWS_SQL + f""",
-d AS (SELECT doc_id, {TK.clean_tokens_sql('text')} AS tok FROM documents WHERE lang = 'en'),
-t AS (SELECT d.doc_id, d.tok, p.theme FROM d JOIN posts p ON d.doc_id = p.post_id)
-SELECT doc_id, theme, cast({case} AS int) AS subtheme, ({n}) AS n_flags FROM t
-"""
-
-
-@register("subtheme_tags", _subtheme_sql())
-def q_subtheme_tags(spark, sf):
-    from ..schemas import SUBTHEME_CODES
-    out = TP.subtheme_flags(_themed_docs(spark, sf), "tokens", "theme")
-    n = None
-    for c in SUBTHEME_CODES:
-        v = F.col(f"subtheme{c}").cast("int")
-        n = v if n is None else n + v
-    return out.select("doc_id", "theme", "subtheme", n.alias("n_flags"))
-
-
-# Test rules, built from a rule over frequent tokens of the test prose:
-# per topic t two ordered keyword rules and a default.
-_RULE_POOL = ["ha", "er", "th", "re", "nd", "es", "en", "ed", "ing", "ti",
-              "ea", "st", "nt", "ble", "ly", "ther", "tion", "ou", "sh", "thon"]
-
-
-def test_topic_rules():
-    rows = []
-    for t in range(20):
-        rows.append((t, 1 + t % 8, "rule a", f"{_RULE_POOL[t % 20]}, {_RULE_POOL[(t + 1) % 20]}", "F", 1))
-        rows.append((t, 1 + (t + 3) % 8, "rule b", _RULE_POOL[(t + 7) % 20], "F", 2))
-        rows.append((t, 1 + (t + 5) % 8, "default", "", "T", 0))
-    return rows
-
-
-def _rule_sql() -> str:
-    vals = ", ".join(f"({t}, {th}, '{kw}', '{df}', {o})" for t, th, _, kw, df, o in test_topic_rules())
-    return f"""
-WITH rules AS (SELECT * FROM (VALUES {vals}) AS r(topic, theme_id, keywords, dflt, rule_order)),
-d AS (SELECT doc_id, cast(substr(source, 4) AS int) AS num_topic, {TK.clean_tokens_sql('text')} AS tok
-      FROM documents WHERE lang = 'en'),
-hits AS (SELECT d.doc_id, r.theme_id, r.rule_order FROM d JOIN rules r ON d.num_topic = r.topic
-         WHERE r.dflt = 'F' AND list_has_any(d.tok, string_split(replace(r.keywords, ' ', ''), ','))),
-last AS (SELECT doc_id, arg_max(theme_id, rule_order) AS theme FROM hits GROUP BY doc_id)
-SELECT d.doc_id, d.num_topic, coalesce(last.theme, df.theme_id) AS theme
-FROM d LEFT JOIN last ON d.doc_id = last.doc_id
-       LEFT JOIN (SELECT topic, theme_id FROM rules WHERE dflt = 'T') df ON d.num_topic = df.topic
-"""
-
-
-@register("rule_themes", _rule_sql())
-def q_rule_themes(spark, sf):
-    rules = spark.createDataFrame(test_topic_rules(),
-                                  "topic int, theme_id int, themes string, keywords string, default string, rule_order int")
-    docs = _en_docs(spark, sf).withColumn("num_topic", F.substring("source", 4, 10).cast("int"))
-    return TP.rule_themes(docs, rules, "tokens", "num_topic").select("doc_id", "num_topic", "theme")
-
-
-# ---------------------------------------------------------------------------
-# Topic model, coherence, scorer, classifier
-# rows-only: different inference than the published sampler, seeds fixed.
-# ---------------------------------------------------------------------------
-
-_LDA_CACHE: dict = {}
-
-
-def _lda_input(spark, sf):
-    """Tokens -> dictionary -> bag of words, written once per (session, tables)."""
-    from ..session import cut_lineage
-    ck = (spark.sparkContext.applicationId, sf, "bow")
-    if ck not in _LDA_CACHE:
-        docs = _phrased_docs(spark, sf)
-        dic = TP.doc_freq_dictionary(docs, "tokens", "doc_id")
-        vocab = TP.vocabulary(dic)
-        bow = cut_lineage(TP.bag_of_words(docs, vocab, "tokens", "bow").select("doc_id", "tokens", "bow"))
-        _LDA_CACHE[ck] = (bow, vocab)
-    return _LDA_CACHE[ck]
-
-
-def _lda(spark, sf, k: int = 20, max_iter: int = 10):
-    from ..schemas import LDA_SEED
-    ck = (spark.sparkContext.applicationId, sf, k, max_iter)
-    if ck not in _LDA_CACHE:
-        bow, vocab = _lda_input(spark, sf)
-        model, data = TP.fit_lda(bow, k=k, seed=LDA_SEED, max_iter=max_iter, materialize=False)
-        _LDA_CACHE[ck] = (model, data, vocab)
-    return _LDA_CACHE[ck]
-
-
-@register("lda_prevalence")
-def q_lda_prevalence(spark, sf):
-    model, data, _ = _lda(spark, sf)
-    return TP.topic_prevalence(TP.dominant_topic(model, data, "doc_id"))
-
-
-@register("lda_topic_themes")
-def q_lda_topic_themes(spark, sf):
-    """Documents with dominant topic, weight, topic keywords, theme and subtheme."""
-    model, data, vocab = _lda(spark, sf)
-    dt = TP.dominant_topic(model, data, "doc_id")
-    terms = TP.topic_terms(model, TP.vocab_frame(spark, vocab), 10)
-    kw = terms.groupBy(F.col("topic").alias("num_topic")).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "word"))), lambda s: s["word"]),
-                     ", ").alias("topic_keywords"))
-    th = TP.topics_to_themes(dt.join(F.broadcast(kw), "num_topic", "left"), spark)
-    tagged = TP.subtheme_flags(th.join(data.select("doc_id", "tokens"), "doc_id"), "tokens", "theme")
-    return tagged.select("doc_id", "num_topic", F.round("topic_weight", 4).alias("topic_weight"),
-                         "topic_keywords", "theme", "subtheme")
-
-
-@register("theme_words")
-def q_theme_words(spark, sf):
-    model, _, vocab = _lda(spark, sf)
-    terms = TP.topic_terms(model, TP.vocab_frame(spark, vocab), 40)
-    from ..sources.lookups import topic_themes
-    tw = TP.theme_words(terms, topic_themes(spark), 40)
-    return tw.select("theme", F.size("words").alias("n_words"), F.array_join("words", " ").alias("words"))
-
-
-@register("top_docs_per_topic")
-def q_top_docs_per_topic(spark, sf):
-    from ..operators.ranking import top_n_per_group
-    model, data, _ = _lda(spark, sf)
-    dt = TP.dominant_topic(model, data, "doc_id")
-    return top_n_per_group(dt, "num_topic", [F.col("topic_weight").desc(), F.col("doc_id")], 10,
-                           rank_col="rank").select("num_topic", "rank", "doc_id",
-                                                   F.round("topic_weight", 4).alias("topic_weight"))
-
-
-def _top_words(model, spark, vocab, topn=20):
-    t = TP.topic_terms(model, TP.vocab_frame(spark, vocab), topn)
-    return t.select("topic", "rank", "word")
-
-
-@register("coherence")
-def q_coherence(spark, sf):
-    from ..operators.coherence import coherence_cv
-    model, data, vocab = _lda(spark, sf)
-    per, overall = coherence_cv(data, _top_words(model, spark, vocab), "tokens", "doc_id")
-    return per.select(F.col("topic").cast("int").alias("topic"), F.round("c_v", 6).alias("c_v")).unionByName(
-        overall.select(F.lit(-1).alias("topic"), F.round("c_v", 6).alias("c_v")))
-
-
-@register("coherence_sweep")
-def q_coherence_sweep(spark, sf):
-    from ..operators.coherence import coherence_cv
-    from ..schemas import COHERENCE_SWEEP
-    rows = []
-    for k in COHERENCE_SWEEP:
-        model, data, vocab = _lda(spark, sf, k=k, max_iter=5)
-        _, overall = coherence_cv(data, _top_words(model, spark, vocab), "tokens", "doc_id")
-        rows.append((k, float(overall.first()["c_v"])))
-    return spark.createDataFrame(rows, "k int, c_v double")
-
-
-def _labelled_docs(spark, sf):
-    d = _table(spark, sf, "documents").select("doc_id", "text")
-    lab = _table(spark, sf, "labels")
-    from ..operators.scoring import MODEL_LABELS
-    label = F.element_at(F.array(*[F.lit(x) for x in MODEL_LABELS]),
-                         (F.col("quality") * 2 + F.col("toxic") + 1).cast("int"))
-    return d.join(lab, "doc_id").select("doc_id", F.col("text").alias("content"), label.alias("label"))
-
-
-@register("emotion_scores")
-def q_emotion_scores(spark, sf):
-    from ..operators.scoring import score_with_model, train_text_scorer
-    model = train_text_scorer(_labelled_docs(spark, sf), "content", "label", num_features=1 << 16)
-    docs = _table(spark, sf, "documents").select("doc_id", F.col("text").alias("content"))
-    return score_with_model(docs, model, "doc_id", "content")
-
-
-_DOC_FEATURES = ["n_chars", "n_symbols", "n_tokens", "has_mention", "log_chars"]
-
-
-def _doc_features(spark, sf):
-    d = _docs(spark, sf, "doc_id", "text", "n_chars")
-    toks = TK.clean_tokens(d, "text", "tokens")
-    return toks.select("doc_id", F.col("n_chars").cast("double").alias("n_chars"),
-                       TX.symbol_count("text").cast("double").alias("n_symbols"),
-                       F.size("tokens").cast("double").alias("n_tokens"),
-                       (F.size(TX.mentions("text")) > 0).alias("has_mention"),
-                       F.log10(F.col("n_chars") + 1).alias("log_chars"))
-
-
-@register("account_classifier")
-def q_account_classifier(spark, sf):
-    from ..operators.scoring import predict_classifier, train_classifier
-    feats = _doc_features(spark, sf)
-    train = feats.join(_table(spark, sf, "labels").select("doc_id", "quality"), "doc_id")
-    model = train_classifier(train, _DOC_FEATURES, "quality")
-    return predict_classifier(model, feats, _DOC_FEATURES, "doc_id").select(
-        "doc_id", "pred", F.round("p_true", 6).alias("p_true"))
-
-
-# ---------------------------------------------------------------------------
-# Structured Streaming (X01-X03): run to completion, read the sink back.
-# ---------------------------------------------------------------------------
-
-from ..streaming import jobs as SJ  # noqa: E402
-
-
-def _schema_of(spark, sf, name):
-    return _table(spark, sf, name).schema
-
-
-@register("stream_weekly_event_means", f"""
-WITH e AS (SELECT {V._dsw('cast(ts as date)')} AS dsw, value FROM events)
-SELECT dsw, count(*) AS n, round(avg(value), 6) AS value FROM e GROUP BY dsw
-""")
-def q_stream_weekly_event_means(spark, sf):
-    st = SJ.file_stream(spark, sf, _schema_of(spark, sf, "events"), glob="events.parquet")
-    ev = st.select(F.col("ts").cast("timestamp").alias("ts"), "value")
-    return round_doubles(SJ.weekly_window_stream(ev, "ts", ["value"], "weekly_events"))
-
-
-@register("stream_dedupe_replies", """
-SELECT DISTINCT l_orderkey*10 + l_linenumber AS reply_id FROM lineitem
-""")
-def q_stream_dedupe_replies(spark, sf):
-    st = SJ.file_stream(spark, sf, _schema_of(spark, sf, "lineitem"), glob="lineitem.parquet")
-    r = st.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("reply_id"),
-                  F.col("l_shipdate").cast("timestamp").alias("event_time"))
-    out = SJ.run_append_to_parquet(SJ.dedupe_stream(r, "reply_id", "event_time", "3650 days"), "dedupe")
-    return out.select("reply_id")
-
-
-@register("stream_emotion_scores")
-def q_stream_emotion_scores(spark, sf):
-    from ..operators.scoring import score_with_model, train_text_scorer
-    model = train_text_scorer(_labelled_docs(spark, sf), "content", "label", num_features=1 << 16)
-    st = SJ.file_stream(spark, sf, _schema_of(spark, sf, "documents"), glob="documents.parquet")
-    docs = st.select("doc_id", F.col("text").alias("content"))
-    return SJ.score_stream(docs, lambda b: score_with_model(b, model, "doc_id", "content"), "scores")
-
-
-# ---------------------------------------------------------------------------
-# Summaries, set operators, chunks, sorting
-# ---------------------------------------------------------------------------
-
-@register("summary_stats", """
-SELECT min(o_orderdate) AS first_date, max(o_orderdate) AS last_date,
-       sum(cast(round(o_totalprice * 100) AS BIGINT))::BIGINT AS total_cents, round(avg(o_totalprice), 6) AS mean_price,
-       round(max(o_totalprice), 6) AS max_price,
-       count(*) AS n_rows, count(DISTINCT o_custkey) AS n_accounts,
-       count_if(o_orderpriority IS NULL)::BIGINT AS null_priority
-FROM orders
-""")
-def q_summary_stats(spark, sf):
-    o = _table(spark, sf, "orders")
-    return round_doubles(o.agg(
-        F.min("o_orderdate").alias("first_date"), F.max("o_orderdate").alias("last_date"),
-        F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("total_cents"),
-        F.avg("o_totalprice").alias("mean_price"), F.max("o_totalprice").alias("max_price"),
-        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("o_custkey").alias("n_accounts"),
-        F.count_if(F.col("o_orderpriority").isNull()).alias("null_priority")))
-
-
-@register("posts_without_replies", """
-SELECT o_orderkey AS post_id, o_custkey AS account_id FROM orders
-WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)
-""")
-def q_posts_without_replies(spark, sf):
-    o = _table(spark, sf, "orders").select(F.col("o_orderkey").alias("post_id"),
-                                          F.col("o_custkey").alias("account_id"))
-    li = _table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("post_id"))
-    return D.difference(o, li, "post_id")
-
-
-@register("engaged_replies", V.VIEWS_SQL + f"""
-SELECT news_id, count(reply_id) AS n_replies FROM replies
-WHERE news_id IN (SELECT account_id FROM posts GROUP BY account_id HAVING count(post_id) > {MIN_POSTS})
-GROUP BY news_id
-""")
-def q_engaged_replies(spark, sf):
-    p = V.posts(spark, sf).withColumnRenamed("account_id", "userId")
-    eng = R.engaged_accounts(p, "userId", "post_id", MIN_POSTS).select(F.col("userId").alias("news_id"))
-    r = V.replies(spark, sf).join(eng, "news_id", "left_semi")
-    return r.groupBy("news_id").agg(F.count("reply_id").alias("n_replies"))
-
-
-@register("prevalent_value_counts", V.VIEWS_SQL + """
-SELECT prevalent_emotion, count(*) AS count FROM posts WHERE prevalent_emotion IS NOT NULL
-GROUP BY prevalent_emotion
-""")
-def q_prevalent_value_counts(spark, sf):
-    from ..operators.shares import value_counts
-    return value_counts(V.posts(spark, sf), "prevalent_emotion")
-
-
-@register("near_equal_chunks", """
-SELECT c_nationkey, c_custkey, ntile(4) OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS chunk
-FROM customer
-""")
-def q_near_equal_chunks(spark, sf):
-    from ..operators.ranking import near_equal_chunks
-    c = _table(spark, sf, "customer").select("c_nationkey", "c_custkey")
-    return near_equal_chunks(c, "c_custkey", 4, "c_nationkey").withColumn("chunk", F.col("chunk").cast("bigint"))
-
-
-@register("head_and_tail", """
-(SELECT 'head' AS side, o_orderkey, round(o_totalprice, 6) AS o_totalprice FROM orders
- ORDER BY o_totalprice DESC, o_orderkey LIMIT 10)
-UNION ALL
-(SELECT 'tail' AS side, o_orderkey, round(o_totalprice, 6) AS o_totalprice FROM orders
- ORDER BY o_totalprice ASC, o_orderkey LIMIT 10)
-""")
-def q_head_and_tail(spark, sf):
-    from ..operators.ranking import top_n
-    o = _table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-    h = top_n(o, [F.col("o_totalprice").desc(), F.col("o_orderkey")], 10).select(F.lit("head").alias("side"), "*")
-    t = top_n(o, [F.col("o_totalprice").asc(), F.col("o_orderkey")], 10).select(F.lit("tail").alias("side"), "*")
-    return round_doubles(h.unionByName(t))
-
-
-@register("repeatable_sample")
-def q_repeatable_sample(spark, sf):
-    from ..operators.ranking import repeatable_sample
-    return repeatable_sample(V.posts(spark, sf).select("post_id", "account_id", "country"), "post_id", 25, 99)
-
-
-# ---------------------------------------------------------------------------
-# Scores as softmax, link stems, profile features, bios, news flag (P20-P22,
-# P26, T15, F07, R18)
-# ---------------------------------------------------------------------------
-
-@register("softmax_scores", """
-WITH l AS (SELECT l_orderkey*10 + l_linenumber AS reply_id, l_linenumber,
-                  [l_quantity / 10, l_discount * 20, l_tax * 25, l_extendedprice / 20000] AS logits FROM lineitem),
-m AS (SELECT *, list_max(logits) AS mx FROM l),
-e AS (SELECT reply_id, l_linenumber, list_transform(logits, lambda x: exp(x - mx)) AS ex FROM m)
-SELECT reply_id, l_linenumber,
-       round_even(ex[1] / list_sum(ex), 3) AS anger, round_even(ex[2] / list_sum(ex), 3) AS joy,
-       round_even(ex[3] / list_sum(ex), 3) AS optimism, round_even(ex[4] / list_sum(ex), 3) AS sadness
-FROM e
-""")
-def q_softmax_scores(spark, sf):
-    from ..functions.emotions import softmax_rounded
-    li = _table(spark, sf, "lineitem")
-    logits = F.array(F.col("l_quantity") / 10, F.col("l_discount") * 20, F.col("l_tax") * 25,
-                     F.col("l_extendedprice") / 20000)
-    p = li.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("reply_id"), "l_linenumber",
-                  softmax_rounded(logits).alias("p"))
-    return p.select("reply_id", "l_linenumber", *[F.col("p")[i].alias(n) for i, n in
-                                                  enumerate(["anger", "joy", "optimism", "sadness"])])
-
-
-@register("link_stems", """
-SELECT page_id,
-       split_part(trim(trim(trim(url, 'https://'), 'http://'), 'www.'), '.', 1) AS stem_charset,
-       split_part(regexp_replace(url, '^(https?://)?(www\\.)?', ''), '.', 1) AS stem_prefix
-FROM pages
-""")
-def q_link_stems(spark, sf):
-    p = _table(spark, sf, "pages")
-    return p.select("page_id", TX.link_stem("url", "charset").alias("stem_charset"),
-                    TX.link_stem("url", "prefix").alias("stem_prefix"))
-
-
-AS_OF = "2002-01-01 00:00:00"
-
-
-@register("profile_features", "WITH " + V.PROFILES_SQL.strip() + f""",
-f AS (SELECT *, cast(floor(epoch_us(TIMESTAMP '{AS_OF}' - created) / 86400000000) AS BIGINT) AS age_in_days FROM profiles)
-SELECT userId, verified,
-       coalesce(split_part(trim(trim(trim(linkUrl, 'https://'), 'http://'), 'www.'), '.', 1) = username, false) AS usernameLink,
-       age_in_days,
-       round(statusesCount / (1 + age_in_days), 6) AS tweets_per_day,
-       round(mediaCount / (1 + statusesCount), 6) AS media_per_tweet,
-       round(listedCount / (1 + followersCount), 6) AS listed_per_followers,
-       round(favouritesCount / (1 + statusesCount), 6) AS favourites_per_tweet,
-       round(log10(1 + followersCount), 6) AS logFollowers, round(log10(1 + listedCount), 6) AS logListed,
-       location IS NOT NULL AS hasLocation, linkUrl IS NOT NULL AS hasLink, profileBannerUrl IS NOT NULL AS hasBanner
-FROM f
-""")
-def q_profile_features(spark, sf):
-    from ..functions.profile import PROFILE_FEATURES, with_profile_features
-    f = with_profile_features(V.profiles(spark, sf), AS_OF)
-    return round_doubles(f.select("userId", *PROFILE_FEATURES))
-
-
-def _bio_sql() -> str:
-    from ..schemas import BIO_EXTRA_STOPWORDS
-    stop = TK.default_stopwords() + BIO_EXTRA_STOPWORDS
-    lst = "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in stop) + "]"
-    return f"""
-SELECT doc_id, array_to_string(list_filter(string_split(lower(regexp_replace(coalesce(text, ''), '[^a-zA-Z0-9]+', ' ', 'g')), ' '),
-         lambda t: length(t) > 2 AND NOT regexp_full_match(t, '[0-9]+') AND NOT list_contains({lst}, t)), ' ') AS bio_tokens
-FROM documents
-"""
-
-
-@register("bio_tokens", _bio_sql())
-def q_bio_tokens(spark, sf):
-    d = _docs(spark, sf, "doc_id", "text")
-    return TK.bio_tokens(d, "text", "bio_tokens").select("doc_id", F.array_join("bio_tokens", " ").alias("bio_tokens"))
-
-
-@register("news_account_flag", """
-SELECT d.doc_id, (instr(d.text, 'news') > 0 OR instr(d.text, 'News') > 0) AND coalesce(l.quality = 1, false) AS news_like
-FROM documents d JOIN labels l ON d.doc_id = l.doc_id
-""")
-def q_news_account_flag(spark, sf):
-    d = _table(spark, sf, "documents").select("doc_id", F.col("text").alias("description"))
-    lab = _table(spark, sf, "labels").select("doc_id", (F.col("quality") == 1).alias("verified"))
-    return d.join(lab, "doc_id").select("doc_id", R.news_like("description", "verified").alias("news_like"))
-
-
-@register("mentions_per_source", """
-WITH m AS (SELECT source, unnest(regexp_extract_all(text, '@(\\w+)', 1)) AS account FROM documents),
-c AS (SELECT source, account, count(*) AS count FROM m WHERE account IS NOT NULL GROUP BY 1, 2),
-n AS (SELECT source, count(*) AS posts FROM documents GROUP BY source)
-SELECT c.source, account, count FROM c JOIN n ON c.source = n.source WHERE count > ceil(posts / 1000)
-""")
-def q_mentions_per_source(spark, sf):
-    docs = _table(spark, sf, "documents").select("source", TX.mentions("text").alias("mentioned"))
-    return R.mention_counts(docs, "mentioned", 1000, region="source").select("source", "account", "count")
-
-
-# ---------------------------------------------------------------------------
-# Sinks: text-free monthly export and schema-enforced appends
-# ---------------------------------------------------------------------------
-
-from ..sources import sinks as SK  # noqa: E402
-from ..session import scratch_path  # noqa: E402
-
-
-def _fresh(spark, name):
-    import uuid
-    return scratch_path(spark, f"sinks/{name}/{uuid.uuid4().hex[:12]}")
-
-
-@register("monthly_export", V.VIEWS_SQL + """
-SELECT post_id, account_id, date, country, round(engagement, 6) AS engagement,
-       round(anger, 6) AS anger, round(sadness, 6) AS sadness, round(optimism, 6) AS optimism, round(joy, 6) AS joy,
-       strftime(date, '%Y-%m') AS month_year
-FROM posts
-""")
-def q_monthly_export(spark, sf):
-    cols = ["post_id", "account_id", "date", "country", "engagement", "anger", "sadness", "optimism", "joy"]
-    p = V.posts(spark, sf)
-    path = _fresh(spark, "export")
-    SK.export_monthly(p, path, "date", cols)
-    schema = round_doubles(p.select(*cols)).schema
-    from pyspark.sql import types as T
-    back = (spark.read.schema(T.StructType(schema.fields + [T.StructField("month_year", T.StringType())]))
-            .option("header", True).csv(path))
-    return round_doubles(back)
-
-
-@register("incremental_append", """
-SELECT event_id, ts, user_id, event_type, round(value, 6) AS value FROM events
-""")
-def q_incremental_append(spark, sf):
-    from pyspark.sql import types as T
-    ev = _table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
-                           T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
-                           T.StructField("value", T.DoubleType())])
-    path = _fresh(spark, "append")
-    bounds = ["2024-01-10", "2024-01-20"]
-    ts = F.col("ts")
-    chunks = [ev.filter(ts < F.lit(bounds[0]).cast("timestamp_ntz")),
-              ev.filter((ts >= F.lit(bounds[0]).cast("timestamp_ntz")) & (ts < F.lit(bounds[1]).cast("timestamp_ntz"))),
-              ev.filter(ts >= F.lit(bounds[1]).cast("timestamp_ntz")),
-              ev.filter(ts.isNull())]
-    for c in chunks:
-        SK.append_parquet(c, path, schema)
-    return round_doubles(spark.read.schema(schema).parquet(path))
-
-
-@register("bigrams_appended")
-def q_bigrams_appended(spark, sf):
-    """Bio tokens with the detected bigrams appended (min count 3)."""
-    d = TK.bio_tokens(_docs(spark, sf, "doc_id", "text"), "text", "tokens")
-    bi = PH.learn_phrases(d, "tokens", min_count=3)
-    out = PH.append_bigrams(d, bi, "doc_id", "tokens")
-    return out.select("doc_id", F.size("tokens").alias("n_tokens"),
-                      F.size(F.filter("tokens", lambda t: t.contains("_"))).alias("n_bigrams"))
-
-
-@register("dense_word_counts")
-def q_dense_word_counts(spark, sf):
-    """Bag of words over the dictionary, with dense counts for its ten most frequent words."""
-    docs = _en_docs(spark, sf)
-    vocab = TP.vocabulary(TP.doc_freq_dictionary(docs, "tokens", "doc_id"))
-    bow = TP.bag_of_words(docs, vocab, "tokens", "bow")
-    return TP.dense_counts(bow, vocab, vocab[:10]).drop("bow", "tokens", "text", "source")
-
-
-@register("search_posts", V.VIEWS_SQL + """
-SELECT p.post_id, d.source AS author, p.date
-FROM posts p JOIN documents d ON p.post_id = d.doc_id
-WHERE (instr(lower(d.text), 'the') > 0 OR instr(lower(d.text), 'que') > 0)
-  AND d.source = 'src3' AND p.date >= TIMESTAMP '1996-01-01' AND p.date < TIMESTAMP '2000-01-01'
-  AND d.lang IN ('en', 'es')
-""")
-def q_search_posts(spark, sf):
-    """Stored-post search: any keyword AND author AND since <= date < until AND language."""
-    p = V.posts_with_content(spark, sf).filter(F.col("lang").isin("en", "es"))
-    out = SR.search_posts(p, keywords=["the", "que"], author="src3", since="1996-01-01",
-                          until="2000-01-01", author_col="author")
-    return out.select("post_id", "author", "date")
-
-
-@register("subtheme_totals", _subtheme_sql().replace(
-    "SELECT doc_id, theme, cast(", "SELECT subtheme, count(*) AS n_docs FROM (SELECT doc_id, theme, cast(", 1).rstrip()
-    + ") GROUP BY subtheme\n")
-def q_subtheme_totals(spark, sf):
-    """Documents per decoded subtheme (the subtheme totals of the topic report)."""
-    from ..schemas import SUBTHEME_CODES
-    out = TP.subtheme_flags(_themed_docs(spark, sf), "tokens", "theme")
-    return out.groupBy("subtheme").agg(F.count(F.lit(1)).alias("n_docs"))
-
-
-# ---------------------------------------------------------------------------
-# The consolidation pipeline itself (J02-J06, W01, F01, F02, N5, N13) over
-# landed-style inputs bound to the driver tables:
-#   news posts  = orders (conversation = order key // 2, every tenth post French)
-#   accounts    = customers; media list = customers outside one segment, with a
-#                 country code chosen by nation key
-#   post scores = the posts view's measures, with error (-1) and skipped rows
-#   topics      = theme and one-hot subtheme flags of the posts view
-#   replies     = line items (conversation = order key // 2); reply scores
-#                 derived from the reply id
-# ---------------------------------------------------------------------------
-
-from ..plans import consolidate as CN  # noqa: E402
-from ..schemas import CONTINENT_OF, SUBTHEME_CODES  # noqa: E402
-
-_CODES = [c for c, _ in CONTINENT_OF]
-
-
-def _landed(spark, sf):
-    o = _table(spark, sf, "orders")
-    posts = o.select(F.col("o_orderkey").alias("tweetId"), F.floor(F.col("o_orderkey") / 2).alias("conversationId"),
-                     F.col("o_custkey").alias("userId"), F.col("o_orderdate").cast("timestamp").alias("date"),
-                     F.when(F.col("o_orderkey") % 10 == 3, F.lit("fr")).otherwise(F.lit("en")).alias("lang"))
-    c = _table(spark, sf, "customer")
-    accounts = c.select(F.col("c_custkey").alias("userId"), F.col("c_name").alias("username"))
-    codes = F.array(*[F.lit(x) for x in _CODES])
-    media = c.filter(F.col("c_mktsegment") != "HOUSEHOLD").select(
-        F.col("c_name").alias("username"),
-        F.element_at(codes, (F.col("c_nationkey") % 12 + 1).cast("int")).alias("country"),
-        F.col("c_mktsegment").alias("media_outlet"), F.lit("Television").alias("media_category"))
-    pv = V.posts(spark, sf)
-    k = F.col("post_id") % 50
-    scores = pv.select(F.col("post_id").alias("tweetId"), *[
-        F.when(k == 7, F.lit(-1.0)).when(k == 13, F.lit(None).cast("double")).otherwise(F.col(m)).alias(m)
-        for m in ["anger", "joy", "optimism", "sadness"]])
-    topics = pv.select(F.col("post_id").alias("tweetId"), "theme",
-                       *[(F.col("subtheme") == c).alias(f"subtheme{c}") for c in SUBTHEME_CODES])
-    li = _table(spark, sf, "lineitem")
-    rid = F.col("l_orderkey") * 10 + F.col("l_linenumber")
-    replies = li.select(rid.alias("tweetId"), F.floor(F.col("l_orderkey") / 2).alias("conversationId"),
-                        F.col("l_suppkey").alias("userId"), F.col("l_shipdate").cast("timestamp").alias("date"),
-                        F.lit("en").alias("lang"))
-    xs = [(F.col("tweetId") * m) % q + 1 for m, q in [(7, 97), (13, 89), (17, 83), (19, 79)]]
-    cubes = [x.cast("double") * x * x for x in xs]
-    tot = cubes[0] + cubes[1] + cubes[2] + cubes[3]
-    rscores = replies.select("tweetId").distinct().select(
-        "tweetId", *[(cb / tot).alias(m) for cb, m in zip(cubes, ["anger", "joy", "optimism", "sadness"])])
-    # landed inputs are stored tables in the real pipeline: write the derived
-    # ones to the shared checkpoint folder so the consolidation plans over
-    # plain columns (as it would over the landed files)
-    from ..session import cut_lineage
-    scores, topics, rscores = cut_lineage(scores), cut_lineage(topics), cut_lineage(rscores)
-    return posts, accounts, media, scores, topics, replies, rscores
-
-
-def _landed_sql() -> str:
-    codes = "[" + ", ".join(f"'{c}'" for c in _CODES) + "]"
-    flags = ", ".join(f"subtheme = {c} AS subtheme{c}" for c in SUBTHEME_CODES)
-    case = "CASE " + " ".join(f"WHEN subtheme{c} THEN {c}" for c in SUBTHEME_CODES) + " ELSE theme * 10 END"
-    cont = ", ".join(f"('{c}', '{n}')" for c, n in CONTINENT_OF)
-    def cube(m, q):
-        x = f"((tweetId * {m}) % {q} + 1)"
-        return f"cast({x} AS double) * {x} * {x}"
-    c1, c2, c3, c4 = cube(7, 97), cube(13, 89), cube(17, 83), cube(19, 79)
-    tot = f"({c1} + {c2} + {c3} + {c4})"
-    return V.VIEWS_SQL + f""",
-np AS (SELECT o_orderkey AS tweetId, o_orderkey // 2 AS conversationId, o_custkey AS userId, o_orderdate AS date,
-              CASE WHEN o_orderkey % 10 = 3 THEN 'fr' ELSE 'en' END AS lang FROM orders),
-media AS (SELECT c_name AS username, {codes}[c_nationkey % 12 + 1] AS country FROM customer
-          WHERE c_mktsegment <> 'HOUSEHOLD'),
-acc AS (SELECT c_custkey AS userId, media.country FROM customer JOIN media ON c_name = media.username),
-ps AS (SELECT post_id AS tweetId,
-              CASE WHEN post_id % 50 = 7 THEN -1.0 WHEN post_id % 50 = 13 THEN NULL ELSE anger END AS anger,
-              CASE WHEN post_id % 50 = 7 THEN -1.0 WHEN post_id % 50 = 13 THEN NULL ELSE joy END AS joy,
-              CASE WHEN post_id % 50 = 7 THEN -1.0 WHEN post_id % 50 = 13 THEN NULL ELSE optimism END AS optimism,
-              CASE WHEN post_id % 50 = 7 THEN -1.0 WHEN post_id % 50 = 13 THEN NULL ELSE sadness END AS sadness
-       FROM posts),
-ps_ok AS (SELECT * FROM ps WHERE anger IS NOT NULL AND anger <> -1.0),
-tp AS (SELECT post_id AS tweetId, theme, {flags} FROM posts),
-n1 AS (SELECT np.*, acc.country, ps_ok.anger, ps_ok.joy, ps_ok.optimism, ps_ok.sadness
-       FROM np JOIN acc ON np.userId = acc.userId JOIN ps_ok ON np.tweetId = ps_ok.tweetId
-       WHERE np.lang = 'en' AND np.conversationId IS NOT NULL),
-n2 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY conversationId ORDER BY date, tweetId) AS rn FROM n1)
-       WHERE rn = 1),
-news AS (SELECT n2.*, {_argmax_plain()} AS prevalent_emotion, greatest(anger, joy, optimism, sadness) AS emotion_score,
-                tp.theme, cast({case} AS int) AS subtheme
-         FROM n2 JOIN tp ON n2.tweetId = tp.tweetId),
-rp AS (SELECT DISTINCT l_orderkey * 10 + l_linenumber AS tweetId, l_orderkey // 2 AS conversationId,
-              l_shipdate AS date FROM lineitem),
-rs AS (SELECT DISTINCT tweetId, {c1} / {tot} AS anger, {c2} / {tot} AS joy, {c3} / {tot} AS optimism,
-              {c4} / {tot} AS sadness FROM (SELECT DISTINCT l_orderkey * 10 + l_linenumber AS tweetId FROM lineitem)),
-r1 AS (SELECT * FROM (SELECT rp.*, rs.anger, rs.joy, rs.optimism, rs.sadness,
-                             row_number() OVER (PARTITION BY rp.tweetId ORDER BY rp.date, rp.conversationId) AS rn
-                      FROM rp JOIN rs ON rp.tweetId = rs.tweetId) WHERE rn = 1),
-cont AS (SELECT * FROM (VALUES {cont}) AS c(country, continent))
-SELECT r1.tweetId, r1.conversationId, news.userId AS news_id, news.country, cont.continent, news.theme,
-       news.subtheme, news.prevalent_emotion AS news_prevalent_emotion,
-       {_argmax_plain('r1.')} AS prevalent_emotion,
-       round(r1.anger, 6) AS anger, round(r1.joy, 6) AS joy, round(r1.optimism, 6) AS optimism,
-       round(r1.sadness, 6) AS sadness, cast(news.date AS date) AS ds,
-       {V._dsw('cast(news.date as date)')} AS dsw, cast(date_trunc('month', news.date) AS date) AS dsm
-FROM r1 JOIN news ON r1.conversationId = news.conversationId JOIN cont ON news.country = cont.country
-"""
-
-
-def _argmax_plain(p: str = "") -> str:
-    a, j, o, s = (p + "anger", p + "joy", p + "optimism", p + "sadness")
-    m = f"greatest({a},{j},{o},{s})"
-    return (f"CASE WHEN {m} > 0.5 THEN (CASE WHEN {a}={m} THEN 'anger' WHEN {j}={m} THEN 'joy' "
-            f"WHEN {o}={m} THEN 'optimism' ELSE 'sadness' END) ELSE 'undefined' END")
-
-
-@register("consolidated_replies", _landed_sql())
-def q_consolidated_replies(spark, sf):
-    posts, accounts, media, scores, topics, replies, rscores = _landed(spark, sf)
-    news = CN.consolidate_posts(posts, accounts, media, scores, topics)
-    rep = CN.consolidate_replies(replies, rscores, news)
-    return round_doubles(rep.select(
-        "tweetId", F.col("conversationId").cast("bigint").alias("conversationId"), "news_id", "country",
-        "continent", "theme", "subtheme", "news_prevalent_emotion", "prevalent_emotion",
-        "anger", "joy", "optimism", "sadness", "ds", "dsw", "dsm"))
-
-
-@register("news_account_classifier")
-def q_news_account_classifier(spark, sf):
-    """Account classifier on the 12 profile features plus bio word counts.
-
-    Profiles come from customers; an account's bio is the document with the
-    same id; the training label is that document's quality label (the
-    published model's labels were not shipped).  Predicts every account.
-    """
-    from ..functions.profile import PROFILE_FEATURES, with_profile_features
-    from ..operators.scoring import predict_classifier, train_classifier
-    prof = with_profile_features(V.profiles(spark, sf), AS_OF)
-    bios = TK.bio_tokens(_docs(spark, sf, "doc_id", "text"), "text", "bio")
-    vocab = TP.vocabulary(TP.doc_freq_dictionary(bios, "bio", "doc_id", 0.01, 0.5, 2000), 2000)
-    bow = TP.bag_of_words(bios.select(F.col("doc_id").alias("userId"), "bio"), vocab, "bio", "bio_counts")
-    feats = prof.join(bow.select("userId", "bio_counts"), "userId", "left")
-    from pyspark.ml.functions import array_to_vector
-    empty = array_to_vector(F.array_repeat(F.lit(0.0), len(vocab)))
-    feats = feats.withColumn("bio_counts", F.coalesce(F.col("bio_counts"), empty))
-    lab = _table(spark, sf, "labels").select(F.col("doc_id").alias("userId"), F.col("quality").alias("label"))
-    train = feats.join(lab, "userId")
-    model = train_classifier(train, PROFILE_FEATURES, "label", vector_cols=["bio_counts"])
-    return predict_classifier(model, feats, PROFILE_FEATURES, "userId", vector_cols=["bio_counts"]).select(
-        "userId", "pred", F.round("p_true", 6).alias("p_true"))
+from .queries import ORACLES, QUERIES, register, round_doubles  # noqa: F401
