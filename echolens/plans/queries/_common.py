@@ -2,23 +2,16 @@
 
 from __future__ import annotations
 
-from ...schemas import CONTINENT_OF
 from collections.abc import Callable
-from pyspark.sql import DataFrame
-from ...schemas import EMOTIONS
-from pyspark.sql import functions as F
-from ...operators import lift as L
-from ...operators import phrases as PH
-from .. import reports as R
-from ...schemas import SUBTHEME_CODES
-from pyspark.sql import SparkSession
-from ...schemas import THEME_DESC
-from ...operators import tokens as TK
-from ...operators import topics as TP
-from ...functions import text as TX
-from .. import views as V
+
+from pyspark.sql import DataFrame, functions as F, SparkSession
+
 from ...sources.tables import table as _table
+from ...functions import text as TX
+from ...operators import lift as L, phrases as PH, tokens as TK, topics as TP
+from ...schemas import CONTINENT_OF, EMOTIONS, SUBTHEME_CODES, THEME_DESC
 from ...session import scratch_path
+from .. import reports as R, views as V
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from ...schemas import EMOTIONS
 from pyspark.sql import functions as F
-from .. import reports as R
-from .. import views as V
-from ._common import (MIN_POSTS, _cascade, _cascade_sql, _mix_sql, register, round_doubles)
+
+from ...schemas import EMOTIONS
+from .. import reports as R, views as V
+from ._common import _cascade, _cascade_sql, _mix_sql, MIN_POSTS, register, round_doubles
 
 
 @register("engaged_accounts", V.VIEWS_SQL + f"""

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from ...plans import consolidate as CN
 from pyspark.sql import functions as F
-from ._common import (_landed, _landed_sql, register, round_doubles)
+
+from ...plans import consolidate as CN
+from ._common import _landed, _landed_sql, register, round_doubles
 
 
 @register("consolidated_replies", _landed_sql())

@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from .. import reports as R
-from ...operators import search as SR
-from ...operators import tokens as TK
-from ...operators import topics as TP
-from ...functions import text as TX
-from .. import views as V
+
 from ...sources.tables import table as _table
-from ._common import (AS_OF, _docs, _points, _regions_sql, register, round_doubles)
+from ...functions import text as TX
+from ...operators import search as SR, tokens as TK, topics as TP
+from .. import reports as R, views as V
+from ._common import _docs, _points, _regions_sql, AS_OF, register, round_doubles
 
 
 @register("mention_threshold", f"""

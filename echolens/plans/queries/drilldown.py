@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from ...schemas import EMOTIONS
 from pyspark.sql import functions as F
-from .. import reports as R
-from ...operators import search as SR
-from .. import views as V
+
 from ...sources.tables import table as _table
-from ._common import (SEGMENT, TEST_LESS_FREQUENT, TEST_MAIN_KEYWORDS, nation_coordinates, register, round_doubles)
+from ...operators import search as SR
+from ...schemas import EMOTIONS
+from .. import reports as R, views as V
+from ._common import (
+    nation_coordinates, register, round_doubles, SEGMENT, TEST_LESS_FREQUENT, TEST_MAIN_KEYWORDS
+)
 
 
 @register("concentration_top25", V.VIEWS_SQL + """,

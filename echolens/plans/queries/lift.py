@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from ...schemas import EMOTIONS
 from ...operators import lift as L
-from .. import reports as R
-from .. import views as V
-from ._common import (_EM, _cube_sql, _mean_cols_sql, _theme_values_sql, register, round_doubles)
+from ...schemas import EMOTIONS
+from .. import reports as R, views as V
+from ._common import _cube_sql, _EM, _mean_cols_sql, _theme_values_sql, register, round_doubles
 
 
 @register("lift_by_theme", V.VIEWS_SQL + f""",

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from ...operators import dedupe as D
 from pyspark.sql import functions as F
+
+from ...sources.tables import table as _table
+from ...operators import dedupe as D, search as SR
 from ...sources import sinks as SK
-from ...operators import search as SR
 from .. import views as V
-from ...sources.tables import table as _table
-from ._common import (PENDING_BUCKET_WIDTH, _FIRST_SQL, _fresh, _reply_rows, register, round_doubles)
+from ._common import _FIRST_SQL, _fresh, _reply_rows, PENDING_BUCKET_WIDTH, register, round_doubles
 
 
 @register("first_per_key", _FIRST_SQL)

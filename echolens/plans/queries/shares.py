@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from ...schemas import EMOTIONS
-from .. import reports as R
-from .. import views as V
-from ._common import (_DESCS, _EMO5, _pivot_sql, _row_norm_sql, _subtheme_values_sql, _theme_values_sql, register, round_doubles)
+from .. import reports as R, views as V
+from ._common import (
+    _DESCS, _EMO5, _pivot_sql, _row_norm_sql, _subtheme_values_sql, _theme_values_sql, register,
+    round_doubles
+)
 
 
 @register("prevalent_emotion_share", V.VIEWS_SQL + f""",

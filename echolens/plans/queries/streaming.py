@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+
 from ...streaming import jobs as SJ
 from .. import views as V
-from ._common import (_labelled_docs, _schema_of, register, round_doubles)
+from ._common import _labelled_docs, _schema_of, register, round_doubles
 
 
 @register("stream_weekly_event_means", f"""

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from .. import reports as R
-from ...operators import tokens as TK
-from ...functions import text as TX
+
 from ...sources.tables import table as _table
-from ._common import (TEST_LESS_FREQUENT, TEST_MAIN_KEYWORDS, _bio_sql, _city_rows, _docs, _title_sql, register)
+from ...functions import text as TX
+from ...operators import tokens as TK
+from .. import reports as R
+from ._common import (
+    _bio_sql, _city_rows, _docs, _title_sql, register, TEST_LESS_FREQUENT, TEST_MAIN_KEYWORDS
+)
 
 
 @register("masked_text", """

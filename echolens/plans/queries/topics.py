@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from ...operators import phrases as PH
-from ...schemas import SUBTHEME_CODES
-from ...operators import tokens as TK
-from ...operators import topics as TP
+
 from ...sources.tables import table as _table
-from ._common import (_DOC_FEATURES, _doc_features, _docs, _en_docs, _labelled_docs, _lda, _phrased_docs, _phrases_sql, _rule_sql, _subtheme_sql, _themed_docs, _top_words, register, round_doubles, test_topic_rules)
+from ...operators import phrases as PH, tokens as TK, topics as TP
+from ...schemas import SUBTHEME_CODES
+from ._common import (
+    _DOC_FEATURES, _doc_features, _docs, _en_docs, _labelled_docs, _lda, _phrased_docs,
+    _phrases_sql, _rule_sql, _subtheme_sql, _themed_docs, _top_words, register, round_doubles,
+    test_topic_rules
+)
 
 
 @register("clean_tokens", f"""
