@@ -14,12 +14,14 @@ SELECT account_id AS userId, count(post_id) AS n_posts FROM posts
 WHERE account_id IS NOT NULL GROUP BY account_id HAVING count(post_id) > {MIN_POSTS}
 """)
 def q_engaged_accounts(spark, sf):
+    """Accounts above the post-count cut-off."""
     return R.engaged_accounts(V.posts(spark, sf).withColumnRenamed("account_id", "userId"),
                               "userId", "post_id", MIN_POSTS)
 
 
 @register("top_accounts_cascade", _cascade_sql())
 def q_top_accounts_cascade(spark, sf):
+    """Exclusive cascaded top-5 accounts per emotion with rank and score."""
     return round_doubles(_cascade(spark, sf).select(
         "continent", "country", "news_id", "n", *EMOTIONS, *[f"lift_{m}" for m in EMOTIONS],
         "main_emotion", F.col("rank_emotion").cast("bigint").alias("rank_emotion"), "score_emotion"))
@@ -32,6 +34,7 @@ SELECT mix.*, a.displayname, a.country, round(a.followersCount, 6) AS followersC
 FROM mix JOIN accounts a ON mix.userId = a.userId JOIN top_sel t ON mix.userId = t.news_id
 """)
 def q_account_theme_mix(spark, sf):
+    """Theme mix (%) of the cascade's accounts with account info."""
     top = _cascade(spark, sf)
     p = V.posts(spark, sf).withColumnRenamed("account_id", "userId")
     out = R.account_theme_mix(p, top, V.accounts(spark, sf), "userId", "news_id")
@@ -43,6 +46,7 @@ def q_account_theme_mix(spark, sf):
 SELECT * FROM mix
 """)
 def q_group_theme_mix(spark, sf):
+    """Theme mix (%) of all posts by the accounts picked for each emotion."""
     top = _cascade(spark, sf)
     p = V.posts(spark, sf).withColumnRenamed("account_id", "userId")
     return R.group_theme_mix(p, top, "userId", "news_id")
@@ -54,6 +58,7 @@ SELECT a.media_outlet, sum(per.n)::BIGINT AS replies FROM per JOIN accounts a ON
 GROUP BY a.media_outlet
 """)
 def q_outlet_rollup(spark, sf):
+    """Replies per media outlet, outlets renamed before grouping."""
     return R.outlet_rollup(V.replies(spark, sf), V.accounts(spark, sf), "news_id", "userId",
                            "media_outlet", "reply_id")
 
@@ -64,6 +69,7 @@ WHERE news_id IN (SELECT account_id FROM posts GROUP BY account_id HAVING count(
 GROUP BY news_id
 """)
 def q_engaged_replies(spark, sf):
+    """Replies per engaged account (semi join, F04)."""
     p = V.posts(spark, sf).withColumnRenamed("account_id", "userId")
     eng = R.engaged_accounts(p, "userId", "post_id", MIN_POSTS).select(F.col("userId").alias("news_id"))
     r = V.replies(spark, sf).join(eng, "news_id", "left_semi")

@@ -10,6 +10,7 @@ from ._common import _landed, _landed_sql, register, round_doubles
 
 @register("consolidated_replies", _landed_sql())
 def q_consolidated_replies(spark, sf):
+    """The whole consolidation pipeline over landed-style inputs."""
     posts, accounts, media, scores, topics, replies, rscores = _landed(spark, sf)
     news = CN.consolidate_posts(posts, accounts, media, scores, topics)
     rep = CN.consolidate_replies(replies, rscores, news)

@@ -18,6 +18,7 @@ n AS (SELECT count(*) AS posts FROM documents)
 SELECT account, count FROM c, n WHERE count > ceil(posts / 5000)
 """)
 def q_mention_threshold(spark, sf):
+    """Mentioned handles counted above ceil(N/5000)."""
     docs = _table(spark, sf, "documents").select(TX.mentions("text").alias("mentioned"))
     return R.mention_counts(docs, "mentioned", 5000)
 
@@ -34,6 +35,7 @@ d AS (SELECT region, point_id, latitude, longitude, radius_km,
 SELECT region, point_id, round(distance_km, 6) AS distance_km FROM d WHERE distance_km <= radius_km
 """)
 def q_radius_filter(spark, sf):
+    """Points within each search region's radius, grid-cell equi-join."""
     from ...sources.lookups import search_regions
     out = SR.radius_filter(_points(spark, sf), search_regions(spark))
     return round_doubles(out.select("region", "point_id", "distance_km"))
@@ -46,6 +48,7 @@ SELECT page_id,
 FROM pages
 """)
 def q_link_stems(spark, sf):
+    """Profile link stems, character-set and prefix modes (P20)."""
     p = _table(spark, sf, "pages")
     return p.select("page_id", TX.link_stem("url", "charset").alias("stem_charset"),
                     TX.link_stem("url", "prefix").alias("stem_prefix"))
@@ -65,6 +68,7 @@ SELECT userId, verified,
 FROM f
 """)
 def q_profile_features(spark, sf):
+    """Account profile features at a fixed as-of time."""
     from ...functions.profile import PROFILE_FEATURES, with_profile_features
     f = with_profile_features(V.profiles(spark, sf), AS_OF)
     return round_doubles(f.select("userId", *PROFILE_FEATURES))
@@ -75,6 +79,7 @@ SELECT d.doc_id, (instr(d.text, 'news') > 0 OR instr(d.text, 'News') > 0) AND co
 FROM documents d JOIN labels l ON d.doc_id = l.doc_id
 """)
 def q_news_account_flag(spark, sf):
+    """'news'/'News' in the description and verified."""
     d = _table(spark, sf, "documents").select("doc_id", F.col("text").alias("description"))
     lab = _table(spark, sf, "labels").select("doc_id", (F.col("quality") == 1).alias("verified"))
     return d.join(lab, "doc_id").select("doc_id", R.news_like("description", "verified").alias("news_like"))
@@ -87,6 +92,7 @@ n AS (SELECT source, count(*) AS posts FROM documents GROUP BY source)
 SELECT c.source, account, count FROM c JOIN n ON c.source = n.source WHERE count > ceil(posts / 1000)
 """)
 def q_mentions_per_source(spark, sf):
+    """Mentions per source above ceil(N/1000) of that source (F06 per region)."""
     docs = _table(spark, sf, "documents").select("source", TX.mentions("text").alias("mentioned"))
     return R.mention_counts(docs, "mentioned", 1000, region="source").select("source", "account", "count")
 

@@ -26,6 +26,7 @@ SELECT conversation_id, cnt, round(cnt / tot, 6) AS share,
 FROM top CROSS JOIN t
 """)
 def q_concentration_top25(spark, sf):
+    """Top 25 posts by share of a segment's anger replies, with running share."""
     out = R.concentration(V.replies(spark, sf), SEGMENT, "conversation_id", 25)
     return round_doubles(out.withColumn("position", F.col("position").cast("bigint")))
 
@@ -40,6 +41,7 @@ SELECT a.country, round(positive, 6) AS positive, round(negative, 6) AS negative
 FROM a JOIN co ON a.country = co.country
 """)
 def q_country_polarity(spark, sf):
+    """Mean positive/negative polarity per country with coordinates."""
     return round_doubles(R.country_polarity(V.replies(spark, sf), nation_coordinates(spark, sf),
                                             id_col="reply_id"))
 
@@ -49,6 +51,7 @@ SELECT dsw, {", ".join(f"round(avg({m}), 6) AS {m}" for m in EMOTIONS)}
 FROM replies WHERE dsw IS NOT NULL GROUP BY dsw
 """)
 def q_weekly_reply_means(spark, sf):
+    """Weekly (Sunday-ending) mean reply emotions."""
     return round_doubles(R.weekly_means(V.replies(spark, sf)))
 
 
@@ -59,6 +62,7 @@ SELECT dsw, round(avg(value), 6) AS value, round(avg(k), 6) AS k, count(*) AS n
 FROM e WHERE dsw IS NOT NULL GROUP BY dsw
 """)
 def q_weekly_event_means(spark, sf):
+    """Weekly means of event values and a JSON field (R02 on events)."""
     from ...functions.calendar import week_ending_sunday
     ev = _table(spark, sf, "events").select(
         week_ending_sunday("ts").alias("dsw"), "value",
@@ -76,6 +80,7 @@ s AS (SELECT dsw, {", ".join(f"sum(\"{k}\")::BIGINT AS \"{k}\"" for k in dict.fr
 SELECT dsw, {", ".join(f'"{k}"' for k in TEST_MAIN_KEYWORDS)}, {" + ".join(f'"{k}"' for k in TEST_LESS_FREQUENT)} AS other FROM s
 """)
 def q_weekly_keyword_counts(spark, sf):
+    """Weekly keyword volumes with an 'other' fold."""
     return R.weekly_keyword_volumes(V.posts_with_content(spark, sf), "content", "dsw",
                                     TEST_MAIN_KEYWORDS + TEST_LESS_FREQUENT, TEST_MAIN_KEYWORDS,
                                     TEST_LESS_FREQUENT)

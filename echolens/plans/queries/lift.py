@@ -17,6 +17,7 @@ SELECT t.theme, td.theme_desc, t.n,
 FROM t CROSS JOIN g JOIN {_theme_values_sql()} ON t.theme = td.theme
 """)
 def q_lift_by_theme(spark, sf):
+    """Emotion lift of replies per post theme, half-even to 2 places."""
     return R.lift_by_theme(V.replies(spark, sf), id_col="reply_id")
 
 
@@ -29,6 +30,7 @@ SELECT t.country, t.n, {", ".join(f"round(t.{m}, 6) AS {m}" for m in _EM)},
 FROM t CROSS JOIN g
 """)
 def q_lift_by_country(spark, sf):
+    """Reply means and lift per country against the global means (A12, c3)."""
     return round_doubles(L.emotion_lift(V.replies(spark, sf), ["country"], EMOTIONS, "reply_id"))
 
 
@@ -44,9 +46,11 @@ SELECT grp.dsm, grp.continent, grp.n,
 FROM grp JOIN gen ON grp.dsm = gen.dsm
 """)
 def q_lift_continent_month(spark, sf):
+    """Continent x month means against that month's mean over all replies."""
     return round_doubles(R.lift_continent_month(V.replies(spark, sf), id_col="reply_id"))
 
 
 @register("lift_cube17", _cube_sql())
 def q_lift_cube17(spark, sf):
+    """All 17 published lift key sets in one GROUPING SETS pass."""
     return round_doubles(L.lift_cube(V.replies(spark, sf), id_col="reply_id"))

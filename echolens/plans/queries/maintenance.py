@@ -13,12 +13,14 @@ from ._common import _FIRST_SQL, _fresh, _reply_rows, PENDING_BUCKET_WIDTH, regi
 
 @register("first_per_key", _FIRST_SQL)
 def q_first_per_key(spark, sf):
+    """Earliest reply per reply id, deterministic ties."""
     return D.first_per_key(_reply_rows(spark, sf), "reply_id",
                            ["date", "l_partkey", "l_suppkey", "l_quantity"])
 
 
 @register("first_per_key_agg", _FIRST_SQL)
 def q_first_per_key_agg(spark, sf):
+    """Earliest reply per reply id via the combinable min_by aggregate."""
     return D.first_per_key_agg(_reply_rows(spark, sf), "reply_id",
                                ["date", "l_partkey", "l_suppkey", "l_quantity"])
 
@@ -37,6 +39,7 @@ UNION ALL
 SELECT event_id, ts, user_id, event_type, round(value, 6) AS value FROM fresh WHERE rn = 1
 """)
 def q_upsert_first_wins(spark, sf):
+    """Incremental merge where a stored row wins."""
     ev = _table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value")
     ex = ev.filter(F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz"))
     inc = (ev.filter(F.col("ts") >= F.lit("2024-01-10").cast("timestamp_ntz"))
@@ -59,6 +62,7 @@ SELECT bucket, batch, count(*) AS n_ids,
 FROM nb GROUP BY bucket, batch
 """)
 def q_pending_batches(spark, sf):
+    """Work queue: uncollected threads with replies, batches of 12 and search strings."""
     conv = _table(spark, sf, "conversations")
     rc = conv.filter(F.col("turn") > 0).groupBy("conv_id").agg(F.count(F.lit(1)).alias("replyCount"))
     posts = conv.filter(F.col("turn") == 0).select("conv_id").join(rc, "conv_id")
@@ -73,6 +77,7 @@ r AS (SELECT conv_id, turn, role, length(text) AS chars FROM conversations WHERE
 SELECT r.conv_id, r.turn, r.role, r.chars, p.news_role, p.news_chars FROM r JOIN p ON r.conv_id = p.conv_id
 """)
 def q_reply_to_post_join(spark, sf):
+    """Replies joined to their post with renamed post columns."""
     conv = _table(spark, sf, "conversations")
     p = conv.filter(F.col("turn") == 0).select(
         "conv_id", F.col("role").alias("news_role"), F.length("text").cast("bigint").alias("news_chars"))
@@ -89,6 +94,7 @@ SELECT min(o_orderdate) AS first_date, max(o_orderdate) AS last_date,
 FROM orders
 """)
 def q_summary_stats(spark, sf):
+    """Min/max/sum/mean and distinct/null/row counts."""
     o = _table(spark, sf, "orders")
     return round_doubles(o.agg(
         F.min("o_orderdate").alias("first_date"), F.max("o_orderdate").alias("last_date"),
@@ -103,6 +109,7 @@ SELECT o_orderkey AS post_id, o_custkey AS account_id FROM orders
 WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)
 """)
 def q_posts_without_replies(spark, sf):
+    """Posts with no reply (anti join, F05, U03)."""
     o = _table(spark, sf, "orders").select(F.col("o_orderkey").alias("post_id"),
                                           F.col("o_custkey").alias("account_id"))
     li = _table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("post_id"))
@@ -114,6 +121,7 @@ SELECT c_nationkey, c_custkey, ntile(4) OVER (PARTITION BY c_nationkey ORDER BY
 FROM customer
 """)
 def q_near_equal_chunks(spark, sf):
+    """Near-equal chunks per group by ascending id, SQL ntile numbering."""
     from ...operators.ranking import near_equal_chunks
     c = _table(spark, sf, "customer").select("c_nationkey", "c_custkey")
     return near_equal_chunks(c, "c_custkey", 4, "c_nationkey").withColumn("chunk", F.col("chunk").cast("bigint"))
@@ -127,6 +135,7 @@ UNION ALL
  ORDER BY o_totalprice ASC, o_orderkey LIMIT 10)
 """)
 def q_head_and_tail(spark, sf):
+    """Ten highest and ten lowest posts by engagement."""
     from ...operators.ranking import top_n
     o = _table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
     h = top_n(o, [F.col("o_totalprice").desc(), F.col("o_orderkey")], 10).select(F.lit("head").alias("side"), "*")
@@ -136,6 +145,7 @@ def q_head_and_tail(spark, sf):
 
 @register("repeatable_sample")
 def q_repeatable_sample(spark, sf):
+    """25 posts by a seeded hash of the id, same at any partitioning."""
     from ...operators.ranking import repeatable_sample
     return repeatable_sample(V.posts(spark, sf).select("post_id", "account_id", "country"), "post_id", 25, 99)
 
@@ -147,6 +157,7 @@ SELECT post_id, account_id, date, country, round(engagement, 6) AS engagement,
 FROM posts
 """)
 def q_monthly_export(spark, sf):
+    """Text-free export partitioned by month, read back."""
     cols = ["post_id", "account_id", "date", "country", "engagement", "anger", "sadness", "optimism", "joy"]
     p = V.posts(spark, sf)
     path = _fresh(spark, "export")
@@ -162,6 +173,7 @@ def q_monthly_export(spark, sf):
 SELECT event_id, ts, user_id, event_type, round(value, 6) AS value FROM events
 """)
 def q_incremental_append(spark, sf):
+    """Schema-enforced gzip appends in chunks, read back."""
     from pyspark.sql import types as T
     ev = _table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value")
     schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),

@@ -17,6 +17,7 @@ w AS ({_pivot_sql('c', 'country', 'prevalent_emotion', 'n', _EMO5)})
 {_row_norm_sql('w', 'country', _EMO5)}
 """)
 def q_prevalent_emotion_share(spark, sf):
+    """Share of distinct replies per prevalent emotion inside each country."""
     return round_doubles(R.prevalent_emotion_share(V.replies(spark, sf), id_col="reply_id"))
 
 
@@ -28,6 +29,7 @@ w AS ({_pivot_sql('c', 'country', 'theme_desc', 'n', _DESCS)})
 {_row_norm_sql('w', 'country', _DESCS)}
 """)
 def q_theme_share_by_country(spark, sf):
+    """Share of distinct posts per theme inside each country, columns by total."""
     return round_doubles(R.theme_share_by_country(V.posts(spark, sf), id_col="post_id"))
 
 
@@ -47,6 +49,7 @@ FROM w JOIN {_subtheme_values_sql()} ON w.subtheme = sd.subtheme
        JOIN {_theme_values_sql()} ON td.theme = cast(floor(w.subtheme / 10) AS int)
 """)
 def q_subtheme_vs_global(spark, sf):
+    """Subtheme share (%) per prevalent emotion next to the global share."""
     return R.subtheme_vs_global(V.posts(spark, sf))
 
 
@@ -55,6 +58,7 @@ SELECT prevalent_emotion, round_even(avg(engagement), 1) AS engagement
 FROM posts WHERE prevalent_emotion IS NOT NULL GROUP BY prevalent_emotion
 """)
 def q_engagement_by_label(spark, sf):
+    """Mean engagement per prevalent emotion, one decimal."""
     return R.engagement_by_label(V.posts(spark, sf), ["engagement"])
 
 
@@ -65,6 +69,7 @@ SELECT s.theme, td.theme_desc, round_even(prop * 100, 2) AS pct
 FROM s JOIN {_theme_values_sql()} ON s.theme = td.theme
 """)
 def q_global_theme_mix(spark, sf):
+    """Global theme shares (%) of the posts."""
     return R.global_theme_mix(V.posts(spark, sf))
 
 
@@ -73,5 +78,6 @@ SELECT prevalent_emotion, count(*) AS count FROM posts WHERE prevalent_emotion I
 GROUP BY prevalent_emotion
 """)
 def q_prevalent_value_counts(spark, sf):
+    """Posts per prevalent emotion, largest first."""
     from ...operators.shares import value_counts
     return value_counts(V.posts(spark, sf), "prevalent_emotion")

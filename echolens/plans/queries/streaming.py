@@ -14,6 +14,7 @@ WITH e AS (SELECT {V._dsw('cast(ts as date)')} AS dsw, value FROM events)
 SELECT dsw, count(*) AS n, round(avg(value), 6) AS value FROM e GROUP BY dsw
 """)
 def q_stream_weekly_event_means(spark, sf):
+    """Streaming weekly windows of event values."""
     st = SJ.file_stream(spark, sf, _schema_of(spark, sf, "events"), glob="events.parquet")
     ev = st.select(F.col("ts").cast("timestamp").alias("ts"), "value")
     return round_doubles(SJ.weekly_window_stream(ev, "ts", ["value"], "weekly_events"))
@@ -23,6 +24,7 @@ def q_stream_weekly_event_means(spark, sf):
 SELECT DISTINCT l_orderkey*10 + l_linenumber AS reply_id FROM lineitem
 """)
 def q_stream_dedupe_replies(spark, sf):
+    """Streaming dedupe of reply ids within a watermark."""
     st = SJ.file_stream(spark, sf, _schema_of(spark, sf, "lineitem"), glob="lineitem.parquet")
     r = st.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("reply_id"),
                   F.col("l_shipdate").cast("timestamp").alias("event_time"))
@@ -32,6 +34,7 @@ def q_stream_dedupe_replies(spark, sf):
 
 @register("stream_emotion_scores")
 def q_stream_emotion_scores(spark, sf):
+    """Streaming score-and-append with foreachBatch."""
     from ...operators.scoring import score_with_model, train_text_scorer
     model = train_text_scorer(_labelled_docs(spark, sf), "content", "label", num_features=1 << 16)
     st = SJ.file_stream(spark, sf, _schema_of(spark, sf, "documents"), glob="documents.parquet")

@@ -20,6 +20,7 @@ SELECT doc_id, array_to_string(list_transform(string_split(text, ' '), lambda t:
 FROM documents
 """)
 def q_masked_text(spark, sf):
+    """Handles and links masked as the scorer expects."""
     d = _docs(spark, sf, "doc_id", "text")
     return d.select("doc_id", TX.mask_handles_and_links("text").alias("masked"))
 
@@ -30,6 +31,7 @@ SELECT doc_id, len(regexp_extract_all(text, '{TX.SYMBOL_PATTERN}')) AS n_symbols
 FROM documents
 """)
 def q_symbol_guard(spark, sf):
+    """Symbol count and the >150 guard (P25)."""
     d = _docs(spark, sf, "doc_id", "text")
     n = TX.symbol_count("text")
     return d.select("doc_id", n.cast("bigint").alias("n_symbols"), (n > 150).alias("over_limit"))
@@ -41,6 +43,7 @@ SELECT doc_id, {", ".join(f"cast(instr(lower(text), '{k}') > 0 AS int) AS \"{TX.
 FROM documents
 """)
 def q_keyword_flags(spark, sf):
+    """One substring flag per keyword plus any-keyword."""
     kws = list(dict.fromkeys(TEST_MAIN_KEYWORDS + TEST_LESS_FREQUENT))
     d = _docs(spark, sf, "doc_id", "text")
     return TX.keyword_flags(d, "text", kws).withColumn("any_keyword", TX.any_keyword("text", kws)).drop("text")
@@ -52,6 +55,7 @@ WITH u AS (SELECT 'doc' AS kind, doc_id AS id, text AS content FROM documents
 SELECT kind, id, len(string_split(content, ' ')) = 1 AND starts_with(content, 'http') AS link_only FROM u
 """)
 def q_link_posts(spark, sf):
+    """Link-only post test over documents and page urls."""
     d = _table(spark, sf, "documents").select(F.lit("doc").alias("kind"), F.col("doc_id").alias("id"),
                                              F.col("text").alias("content"))
     p = _table(spark, sf, "pages").select(F.lit("page").alias("kind"), F.col("page_id").alias("id"),
@@ -63,6 +67,7 @@ def q_link_posts(spark, sf):
 SELECT page_id, {_title_sql('html')} AS title FROM pages
 """)
 def q_page_titles(spark, sf):
+    """Page title extraction with entity decoding."""
     return _table(spark, sf, "pages").select("page_id", TX.html_title("html").alias("title"))
 
 
@@ -75,6 +80,7 @@ SELECT post_id, content FROM j WHERE content IS NOT NULL
   AND ({" OR ".join(f"instr(lower(content), '{k}') > 0" for k in TEST_MAIN_KEYWORDS)})
 """)
 def q_headline_enrichment(spark, sf):
+    """Link-only posts replaced by their page headline, keyword filter."""
     pg = _table(spark, sf, "pages")
     posts = pg.select(F.col("page_id").alias("post_id"), F.col("url").alias("content"))
     heads = pg.select("url", TX.html_title("html").alias("full_title"))
@@ -88,6 +94,7 @@ WITH c AS (SELECT c_custkey, c_name, n_name, c_acctbal,
 SELECT n_name, c_custkey, c_name, c_acctbal, rn FROM c WHERE rn <= 3
 """)
 def q_top_n_per_group(spark, sf):
+    """Top 3 customers per nation by balance, skew-safe."""
     from ...operators.ranking import top_n_per_group
     c = _table(spark, sf, "customer").join(_table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     out = top_n_per_group(c, "n_name", [F.col("c_acctbal").desc(), F.col("c_custkey")], 3, rank_col="rn")
@@ -108,6 +115,7 @@ SELECT Rank, City, State, Population, replace(City, ' city', '') || ', ' || Stat
 FROM u WHERE Population > 50000
 """)
 def q_city_style_union(spark, sf):
+    """Top 3 per state union large cities, filter, label."""
     return R.city_selection(_city_rows(spark, sf), big=800000, min_pop=50000, per_state=3)
 
 
@@ -122,6 +130,7 @@ SELECT reply_id, l_linenumber,
 FROM e
 """)
 def q_softmax_scores(spark, sf):
+    """Softmax of four logits, half-even to 3 places."""
     from ...functions.emotions import softmax_rounded
     li = _table(spark, sf, "lineitem")
     logits = F.array(F.col("l_quantity") / 10, F.col("l_discount") * 20, F.col("l_tax") * 25,
@@ -134,5 +143,6 @@ def q_softmax_scores(spark, sf):
 
 @register("bio_tokens", _bio_sql())
 def q_bio_tokens(spark, sf):
+    """Account-bio token cleaning."""
     d = _docs(spark, sf, "doc_id", "text")
     return TK.bio_tokens(d, "text", "bio_tokens").select("doc_id", F.array_join("bio_tokens", " ").alias("bio_tokens"))

@@ -19,17 +19,20 @@ SELECT doc_id, len(tok) AS n_tokens, array_to_string(tok, ' ') AS tokens
 FROM (SELECT doc_id, {TK.clean_tokens_sql('text')} AS tok FROM documents WHERE lang = 'en')
 """)
 def q_clean_tokens(spark, sf):
+    """Post token cleaning."""
     return _en_docs(spark, sf).select("doc_id", F.size("tokens").cast("bigint").alias("n_tokens"),
                                       F.array_join("tokens", " ").alias("tokens"))
 
 
 @register("phrases", _phrases_sql())
 def q_phrases(spark, sf):
+    """Bigram phrase table with scores above the threshold."""
     return round_doubles(PH.learn_phrases(_en_docs(spark, sf), "tokens"))
 
 
 @register("phrase_merged_tokens")
 def q_phrase_merged_tokens(spark, sf):
+    """Tokens with bigrams, then trigrams, merged left to right."""
     d3 = _phrased_docs(spark, sf)
     return d3.select("doc_id", F.size("tokens").alias("n_tokens"), F.array_join("tokens", " ").alias("tokens"))
 
@@ -41,11 +44,13 @@ df AS (SELECT w AS token, count(DISTINCT doc_id) AS df FROM (SELECT doc_id, unne
 SELECT token, df FROM df, n WHERE df >= 0.0005 * n_docs AND df <= 0.33 * n_docs
 """)
 def q_doc_freq_dictionary(spark, sf):
+    """Dictionary with document-frequency limits."""
     return TP.doc_freq_dictionary(_en_docs(spark, sf), "tokens", "doc_id")
 
 
 @register("subtheme_tags", _subtheme_sql())
 def q_subtheme_tags(spark, sf):
+    """Subtheme keyword tags within the document's theme, decoded."""
     from ...schemas import SUBTHEME_CODES
     out = TP.subtheme_flags(_themed_docs(spark, sf), "tokens", "theme")
     n = None
@@ -57,6 +62,7 @@ def q_subtheme_tags(spark, sf):
 
 @register("rule_themes", _rule_sql())
 def q_rule_themes(spark, sf):
+    """Rule-based themes: last matching keyword rule of the topic wins."""
     rules = spark.createDataFrame(test_topic_rules(),
                                   "topic int, theme_id int, themes string, keywords string, default string, rule_order int")
     docs = _en_docs(spark, sf).withColumn("num_topic", F.substring("source", 4, 10).cast("int"))
@@ -65,6 +71,7 @@ def q_rule_themes(spark, sf):
 
 @register("lda_prevalence")
 def q_lda_prevalence(spark, sf):
+    """LDA (k=20, seed 50) dominant-topic prevalence."""
     model, data, _ = _lda(spark, sf)
     return TP.topic_prevalence(TP.dominant_topic(model, data, "doc_id"))
 
@@ -86,6 +93,7 @@ def q_lda_topic_themes(spark, sf):
 
 @register("theme_words")
 def q_theme_words(spark, sf):
+    """Top 40 words per theme pooled from its topics."""
     model, _, vocab = _lda(spark, sf)
     terms = TP.topic_terms(model, TP.vocab_frame(spark, vocab), 40)
     from ...sources.lookups import topic_themes
@@ -95,6 +103,7 @@ def q_theme_words(spark, sf):
 
 @register("top_docs_per_topic")
 def q_top_docs_per_topic(spark, sf):
+    """Ten highest-weight documents per dominant topic."""
     from ...operators.ranking import top_n_per_group
     model, data, _ = _lda(spark, sf)
     dt = TP.dominant_topic(model, data, "doc_id")
@@ -105,6 +114,7 @@ def q_top_docs_per_topic(spark, sf):
 
 @register("coherence")
 def q_coherence(spark, sf):
+    """C_v coherence per topic and overall."""
     from ...operators.coherence import coherence_cv
     model, data, vocab = _lda(spark, sf)
     per, overall = coherence_cv(data, _top_words(model, spark, vocab), "tokens", "doc_id")
@@ -114,6 +124,7 @@ def q_coherence(spark, sf):
 
 @register("coherence_sweep")
 def q_coherence_sweep(spark, sf):
+    """C_v over k = 2, 5, ..., 38."""
     from ...operators.coherence import coherence_cv
     from ...schemas import COHERENCE_SWEEP
     rows = []
@@ -126,6 +137,7 @@ def q_coherence_sweep(spark, sf):
 
 @register("emotion_scores")
 def q_emotion_scores(spark, sf):
+    """Emotion scores of every document from a scorer trained on labels."""
     from ...operators.scoring import score_with_model, train_text_scorer
     model = train_text_scorer(_labelled_docs(spark, sf), "content", "label", num_features=1 << 16)
     docs = _table(spark, sf, "documents").select("doc_id", F.col("text").alias("content"))
@@ -134,6 +146,7 @@ def q_emotion_scores(spark, sf):
 
 @register("account_classifier")
 def q_account_classifier(spark, sf):
+    """Classifier over document features trained on quality labels."""
     from ...operators.scoring import predict_classifier, train_classifier
     feats = _doc_features(spark, sf)
     train = feats.join(_table(spark, sf, "labels").select("doc_id", "quality"), "doc_id")
