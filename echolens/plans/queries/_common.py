@@ -492,3 +492,48 @@ def _argmax_plain(p: str = "") -> str:
     m = f"greatest({a},{j},{o},{s})"
     return (f"CASE WHEN {m} > 0.5 THEN (CASE WHEN {a}={m} THEN 'anger' WHEN {j}={m} THEN 'joy' "
             f"WHEN {o}={m} THEN 'optimism' ELSE 'sadness' END) ELSE 'undefined' END")
+
+
+def _phrase_ctes(src: str, p: str, min_count: int = 5, threshold: float = 10.0) -> str:
+    """CTEs learning the phrase pairs ``{p}ph(word_a, word_b)`` from ``src(doc_id, tok)``."""
+    return f"""
+{p}u AS (SELECT w, count(*) AS cnt FROM (SELECT unnest(tok) AS w FROM {src} WHERE len(tok) > 0) GROUP BY w),
+{p}p AS (SELECT tok[i] AS word_a, tok[i + 1] AS word_b
+         FROM (SELECT tok, unnest(generate_series(1, len(tok) - 1)) AS i FROM {src} WHERE len(tok) > 1) x),
+{p}pc AS (SELECT word_a, word_b, count(*) AS pair_count FROM {p}p GROUP BY 1, 2),
+{p}v AS (SELECT (SELECT count(*) FROM {p}u) + (SELECT count(*) FROM {p}pc) AS len_vocab),
+{p}ph AS (SELECT pc.word_a, pc.word_b
+          FROM {p}pc pc JOIN {p}u ua ON pc.word_a = ua.w JOIN {p}u ub ON pc.word_b = ub.w CROSS JOIN {p}v
+          WHERE pair_count > {min_count}
+            AND (pair_count - {min_count}) / ua.cnt / ub.cnt * len_vocab > {threshold})"""
+
+
+def _merge_ctes(src: str, ph: str, out: str) -> str:
+    """CTEs merging phrase pairs left to right: ``out(doc_id, tok)``.
+
+    A hit at i merges unless position i-1 merged; inside a run of consecutive
+    hits that means every second hit from the run's start (gaps and islands).
+    """
+    q = out + "_"
+    return f"""
+{q}u AS (SELECT doc_id, i, tok[i] AS w, CASE WHEN i < len(tok) THEN tok[i + 1] END AS nx
+         FROM (SELECT doc_id, tok, unnest(generate_series(1, len(tok))) AS i FROM {src} WHERE len(tok) > 0) x),
+{q}h AS (SELECT u.*, ph.word_a IS NOT NULL AS hit FROM {q}u u LEFT JOIN {ph} ph ON u.w = ph.word_a AND u.nx = ph.word_b),
+{q}g AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, hit ORDER BY i) AS grp FROM {q}h),
+{q}r AS (SELECT *, CASE WHEN hit THEN (i - min(i) OVER (PARTITION BY doc_id, hit, grp)) % 2 = 0 ELSE false END AS merged
+         FROM {q}g),
+{q}c AS (SELECT *, coalesce(lag(merged) OVER (PARTITION BY doc_id ORDER BY i), false) AS consumed FROM {q}r),
+{q}o AS (SELECT doc_id, list(CASE WHEN merged THEN w || '_' || nx ELSE w END ORDER BY i) FILTER (WHERE NOT consumed) AS tok
+         FROM {q}c GROUP BY doc_id),
+{out} AS (SELECT s.doc_id, coalesce(o.tok, []) AS tok FROM {src} s LEFT JOIN {q}o o ON s.doc_id = o.doc_id)"""
+
+
+def _phrase_merge_sql() -> str:
+    return f"""
+WITH d0 AS (SELECT doc_id, {TK.clean_tokens_sql('text')} AS tok FROM documents WHERE lang = 'en'),
+{_phrase_ctes('d0', 'a_').strip()},
+{_merge_ctes('d0', 'a_ph', 'd1').strip()},
+{_phrase_ctes('d1', 'b_').strip()},
+{_merge_ctes('d1', 'b_ph', 'd2').strip()}
+SELECT doc_id, len(tok) AS n_tokens, array_to_string(tok, ' ') AS tokens FROM d2
+"""

@@ -8,7 +8,7 @@ from ...sources.tables import table as _table
 from ...operators import phrases as PH, tokens as TK, topics as TP
 from ...schemas import SUBTHEME_CODES
 from ._common import (
-    _DOC_FEATURES, _doc_features, _docs, _en_docs, _labelled_docs, _lda, _phrased_docs,
+    _DOC_FEATURES, _doc_features, _docs, _en_docs, _labelled_docs, _lda, _phrase_merge_sql, _phrased_docs,
     _phrases_sql, _rule_sql, _subtheme_sql, _themed_docs, _top_words, register, round_doubles,
     test_topic_rules
 )
@@ -30,11 +30,12 @@ def q_phrases(spark, sf):
     return round_doubles(PH.learn_phrases(_en_docs(spark, sf), "tokens"))
 
 
-@register("phrase_merged_tokens")
+@register("phrase_merged_tokens", _phrase_merge_sql())
 def q_phrase_merged_tokens(spark, sf):
     """Tokens with bigrams, then trigrams, merged left to right."""
     d3 = _phrased_docs(spark, sf)
-    return d3.select("doc_id", F.size("tokens").alias("n_tokens"), F.array_join("tokens", " ").alias("tokens"))
+    return d3.select("doc_id", F.size("tokens").cast("bigint").alias("n_tokens"),
+                     F.array_join("tokens", " ").alias("tokens"))
 
 
 @register("doc_freq_dictionary", f"""
