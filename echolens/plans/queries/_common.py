@@ -537,3 +537,23 @@ WITH d0 AS (SELECT doc_id, {TK.clean_tokens_sql('text')} AS tok FROM documents W
 {_merge_ctes('d1', 'b_ph', 'd2').strip()}
 SELECT doc_id, len(tok) AS n_tokens, array_to_string(tok, ' ') AS tokens FROM d2
 """
+
+
+def _bio_list_sql(text: str) -> str:
+    """The bio-token list of ``text`` in SQL (same rules as ``tokens.bio_tokens``)."""
+    from ...schemas import BIO_EXTRA_STOPWORDS
+    stop = TK.default_stopwords() + BIO_EXTRA_STOPWORDS
+    lst = "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in stop) + "]"
+    return (f"list_filter(string_split(lower(regexp_replace(coalesce({text}, ''), '[^a-zA-Z0-9]+', ' ', 'g')), ' '), "
+            f"lambda t: length(t) > 2 AND NOT regexp_full_match(t, '[0-9]+') AND NOT list_contains({lst}, t))")
+
+
+def _bigrams_appended_sql() -> str:
+    return f"""
+WITH d0 AS (SELECT doc_id, {_bio_list_sql('text')} AS tok FROM documents),
+{_phrase_ctes('d0', 'a_', min_count=3).strip()},
+{_merge_ctes('d0', 'a_ph', 'd1').strip()}
+SELECT d0.doc_id, len(d0.tok) + len(list_filter(d1.tok, lambda t: contains(t, '_'))) AS n_tokens,
+       len(list_filter(d1.tok, lambda t: contains(t, '_'))) AS n_bigrams
+FROM d0 JOIN d1 ON d0.doc_id = d1.doc_id
+"""

@@ -8,7 +8,7 @@ from ...sources.tables import table as _table
 from ...operators import phrases as PH, tokens as TK, topics as TP
 from ...schemas import SUBTHEME_CODES
 from ._common import (
-    _DOC_FEATURES, _doc_features, _docs, _en_docs, _labelled_docs, _lda, _phrase_merge_sql, _phrased_docs,
+    _bigrams_appended_sql, _DOC_FEATURES, _doc_features, _docs, _en_docs, _labelled_docs, _lda, _phrase_merge_sql, _phrased_docs,
     _phrases_sql, _rule_sql, _subtheme_sql, _themed_docs, _top_words, register, round_doubles,
     test_topic_rules
 )
@@ -156,14 +156,14 @@ def q_account_classifier(spark, sf):
         "doc_id", "pred", F.round("p_true", 6).alias("p_true"))
 
 
-@register("bigrams_appended")
+@register("bigrams_appended", _bigrams_appended_sql())
 def q_bigrams_appended(spark, sf):
-    """Bio tokens with the detected bigrams appended (min count 3)."""
+    """Bio tokens with the detected bigrams appended (min count 3)."""
     d = TK.bio_tokens(_docs(spark, sf, "doc_id", "text"), "text", "tokens")
     bi = PH.learn_phrases(d, "tokens", min_count=3)
     out = PH.append_bigrams(d, bi, "doc_id", "tokens")
-    return out.select("doc_id", F.size("tokens").alias("n_tokens"),
-                      F.size(F.filter("tokens", lambda t: t.contains("_"))).alias("n_bigrams"))
+    return out.select("doc_id", F.size("tokens").cast("bigint").alias("n_tokens"),
+                      F.size(F.filter("tokens", lambda t: t.contains("_"))).cast("bigint").alias("n_bigrams"))
 
 
 @register("dense_word_counts")
