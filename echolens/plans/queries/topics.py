@@ -166,13 +166,24 @@ def q_bigrams_appended(spark, sf):
                       F.size(F.filter("tokens", lambda t: t.contains("_"))).cast("bigint").alias("n_bigrams"))
 
 
-@register("dense_word_counts")
+@register("dense_word_counts", f"""
+WITH d AS (SELECT doc_id, {TK.clean_tokens_sql('text')} AS tok FROM documents WHERE lang = 'en'),
+n AS (SELECT count(*) AS n_docs FROM d),
+df AS (SELECT w AS token, count(DISTINCT doc_id) AS df FROM (SELECT doc_id, unnest(tok) AS w FROM d) GROUP BY w),
+top AS (SELECT token FROM df, n WHERE df >= 0.0005 * n_docs AND df <= 0.33 * n_docs
+        ORDER BY df DESC, token LIMIT 10)
+SELECT d.doc_id, top.token AS word, len(list_filter(d.tok, lambda t: t = top.token)) AS n
+FROM d CROSS JOIN top
+""")
 def q_dense_word_counts(spark, sf):
-    """Bag of words over the dictionary, with dense counts for its ten most frequent words."""
+    """Bag of words over the dictionary; dense counts of its ten most frequent words, long form."""
     docs = _en_docs(spark, sf)
     vocab = TP.vocabulary(TP.doc_freq_dictionary(docs, "tokens", "doc_id"))
     bow = TP.bag_of_words(docs, vocab, "tokens", "bow")
-    return TP.dense_counts(bow, vocab, vocab[:10]).drop("bow", "tokens", "text", "source")
+    top = vocab[:10]
+    wide = TP.dense_counts(bow, vocab, top).select("doc_id", *[f"n_{w}" for w in top])
+    long = wide.unpivot("doc_id", [f"n_{w}" for w in top], "word", "n")
+    return long.select("doc_id", F.regexp_replace("word", "^n_", "").alias("word"), F.col("n").cast("bigint").alias("n"))
 
 
 @register("subtheme_totals", _subtheme_sql().replace(
