@@ -125,15 +125,25 @@ def q_coherence(spark, sf):
 
 @register("coherence_sweep")
 def q_coherence_sweep(spark, sf):
-    """C_v over k = 2, 5, ..., 38."""
+    """C_v over k = 2, 5, ..., 38.
+
+    One LDA fit per k (a driver loop of Spark jobs), but ONE coherence pass:
+    the top-word lists of all k are tagged with their k and scored together,
+    so the corpus windows are counted once for the union of their words.
+    """
+    from functools import reduce
+
     from ...operators.coherence import coherence_cv
     from ...schemas import COHERENCE_SWEEP
-    rows = []
+    lists = []
     for k in COHERENCE_SWEEP:
         model, data, vocab = _lda(spark, sf, k=k, max_iter=5)
-        _, overall = coherence_cv(data, _top_words(model, spark, vocab), "tokens", "doc_id")
-        rows.append((k, float(overall.first()["c_v"])))
-    return spark.createDataFrame(rows, "k int, c_v double")
+        tw = _top_words(model, spark, vocab)
+        lists.append(tw.select((F.lit(k * 1000) + F.col("topic")).alias("topic"), "rank", "word"))
+    top = reduce(lambda a, b: a.unionByName(b), lists)
+    per, _ = coherence_cv(data, top, "tokens", "doc_id")
+    return (per.groupBy(F.floor(F.col("topic") / 1000).cast("int").alias("k"))
+               .agg(F.round(F.avg("c_v"), 6).alias("c_v")))
 
 
 @register("emotion_scores")
