@@ -27,16 +27,14 @@ def top_n_per_group(df: DataFrame, group: str | list, order_by, n: int,
     (at most n x salt_buckets per group) are ranked per group.  A group
     holding a third of the table is thus sorted by ``salt_buckets`` tasks.
     ``order_by`` must be a total order (end it with a unique key) for the
-    two phases to agree; ``salt_key`` (default: the order columns) picks the
+    two phases to agree; ``salt_key`` (default: the whole row) picks the
     slice.
     """
     groups = [group] if isinstance(group, str) else list(group)
     order = _cols(order_by)
     src = df
     if salt_buckets and salt_buckets > 1:
-        key_cols = _cols(salt_key) if salt_key is not None else [
-            F.col(o) if isinstance(o, str) else o for o in order_by if isinstance(o, str)] or None
-        salt_src = key_cols if key_cols else [F.struct(*df.columns)]
+        salt_src = _cols(salt_key) if salt_key is not None else [F.struct(*df.columns)]
         salt = F.pmod(F.xxhash64(*salt_src), F.lit(salt_buckets))
         src = (df.withColumn("_salt", salt)
                  .withColumn("_rn1", F.row_number().over(Window.partitionBy(*groups, "_salt").orderBy(*order)))

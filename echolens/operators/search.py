@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import KM_PER_DEGREE, haversine_km
@@ -114,7 +114,6 @@ def pending_batches(posts: DataFrame, collected: DataFrame, key: str = "conversa
     todo = (posts.filter(F.col(reply_count) > 0).select(key, grp.alias("_grp"))
         .join(collected.select(key).filter(F.col(key).isNotNull()), on=key, how="left_anti")
         .dropDuplicates([key]))
-    from pyspark.sql import Window
     w = Window.partitionBy("_grp").orderBy(F.col(key))
     numbered = todo.withColumn("batch", F.floor((F.row_number().over(w) - 1) / size).cast("long"))
     return numbered.groupBy(F.col("_grp").alias("bucket"), "batch").agg(
