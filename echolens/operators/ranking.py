@@ -114,7 +114,7 @@ def rank_in_group(df: DataFrame, id_col: str, group: str | list | None = None,
                            int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
     # written once: the slice ids must be the same for the counts and the ranks
     ranged = cut_lineage(df.repartitionByRange(slices, *groups, id_col)
-                           .withColumn("_slice", F.spark_partition_id()))
+                           .withColumn("_slice", F.spark_partition_id()), large=True)
     counts = ranged.groupBy(*groups, "_slice").agg(F.count(F.lit(1)).alias("_cnt"))
     wg = (Window.partitionBy(*groups) if groups else Window).orderBy("_slice")
     wt = Window.partitionBy(*groups) if groups else Window.partitionBy()

@@ -332,7 +332,8 @@ def _lda_input(spark, sf):
         docs = _phrased_docs(spark, sf)
         dic = TP.doc_freq_dictionary(docs, "tokens", "doc_id")
         vocab = TP.vocabulary(dic)
-        bow = cut_lineage(TP.bag_of_words(docs, vocab, "tokens", "bow").select("doc_id", "tokens", "bow"))
+        bow = cut_lineage(TP.bag_of_words(docs, vocab, "tokens", "bow").select("doc_id", "tokens", "bow"),
+                          large=True)
         _LDA_CACHE[ck] = (bow, vocab)
     return _LDA_CACHE[ck]
 
@@ -433,7 +434,7 @@ def _landed(spark, sf):
     # ones to the shared checkpoint folder so the consolidation plans over
     # plain columns (as it would over the landed files)
     from ...session import cut_lineage
-    scores, topics, rscores = cut_lineage(scores), cut_lineage(topics), cut_lineage(rscores)
+    scores, topics, rscores = (cut_lineage(x, large=True) for x in (scores, topics, rscores))
     return posts, accounts, media, scores, topics, replies, rscores
 
 

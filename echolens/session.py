@@ -68,9 +68,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
+def cut_lineage(df: DataFrame, large: bool = False) -> DataFrame:
+    """Cut the lineage of ``df`` inside the shared checkpoint folder (survives executor loss).
+
+    Small intermediates (group aggregates) use a reliable checkpoint.  With
+    ``large`` the table is written once as Parquet and read back: columnar
+    and compressed, so re-reading it stays cheap when it is big (phrase pair
+    counts, bags of words, landed inputs).  Types Parquet cannot hold fall
+    back to the reliable checkpoint.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    if large:
+        path = scratch_path(spark, f"lineage/{uuid.uuid4().hex}")
+        try:
+            df.write.mode("overwrite").parquet(path)
+            return spark.read.parquet(path)
+        except Exception:  # noqa: BLE001 - e.g. a NullType column
+            pass
+    ensure_checkpoint_dir(spark)
     return df.checkpoint(eager=True)
 
 
