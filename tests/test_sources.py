@@ -55,3 +55,11 @@ def test_model_save_load(spark, tmp_path):
     a = SC.score_with_model(df, m).orderBy("tweetId").collect()
     b = SC.score_with_model(df, m2).orderBy("tweetId").collect()
     assert a == b
+
+
+def test_cli_list(capsys):
+    from echolens.__main__ import main
+    assert main(["list"]) == 0
+    out = capsys.readouterr().out.splitlines()
+    assert any(line.startswith("lift_cube17") and "oracle" in line for line in out)
+    assert len(out) >= 70
