@@ -58,6 +58,14 @@ def run_append_to_parquet(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(out)
 
 
+def _read_sink(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The batches written by ``foreachBatch``; empty (with ``schema``) when none arrived."""
+    try:
+        return spark.read.parquet(path)
+    except Exception:  # noqa: BLE001 - the folder only exists once a batch was written
+        return spark.createDataFrame([], schema)
+
+
 def weekly_windows(stream: DataFrame, ts: str, measures, delay: str = "7 days",
                    keys=()) -> DataFrame:
     """Weekly (Sunday-ending) tumbling windows: row count and per-measure sum/count."""
@@ -80,7 +88,7 @@ def run_update_to_parquet(df: DataFrame, name: str, key_cols) -> DataFrame:
     q = (df.writeStream.outputMode("update").foreachBatch(write)
            .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
-    res = spark.read.parquet(out)
+    res = _read_sink(spark, out, T.StructType(df.schema.fields + [T.StructField("_batch", T.IntegerType())]))
     w = Window.partitionBy(*key_cols).orderBy(F.col("_batch").desc())
     return res.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "_batch")
 
@@ -105,4 +113,7 @@ def score_stream(stream: DataFrame, score_batch: Callable[[DataFrame], DataFrame
     q = (stream.writeStream.foreachBatch(write).option("checkpointLocation", ckpt)
                .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out).drop("_batch")
+    try:
+        return spark.read.parquet(out).drop("_batch")
+    except Exception:  # noqa: BLE001 - nothing arrived: no batch was written
+        return score_batch(spark.createDataFrame([], stream.schema))

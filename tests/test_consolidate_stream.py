@@ -105,3 +105,13 @@ def test_stream_dedupe_and_score_append(spark, tmp_path):
     st2 = SJ.file_stream(spark, str(src), schema, max_files=1)
     scored = SJ.score_stream(st2, lambda b: b.withColumn("score", F.col("tweetId") * 2), "test_scores")
     assert sorted((r.tweetId, r.score) for r in scored.collect()) == [(1, 2), (1, 2), (2, 4), (2, 4), (3, 6)]
+
+
+def test_stream_without_data(spark, tmp_path):
+    src = tmp_path / "empty"
+    src.mkdir()
+    schema = "ts timestamp, value double"
+    from pyspark.sql import types as T
+    st = SJ.file_stream(spark, str(src), T._parse_datatype_string(schema))
+    out = SJ.weekly_window_stream(st, "ts", ["value"], "empty_weekly")
+    assert out.count() == 0 and out.columns == ["dsw", "n", "value"]
