@@ -31,6 +31,19 @@ def _digest(cols, rows):
     return hashlib.sha1("\n".join(sorted("|".join(_norm(r[i]) for i in order) for r in rows)).encode()).hexdigest()
 
 
+PYTHON_ALLOWED = {"phrase_merged_tokens", "bigrams_appended", "lda_prevalence", "lda_topic_themes",
+                  "theme_words", "top_docs_per_topic", "coherence", "dense_word_counts"}
+
+
+def _check_plan(name, df):
+    """Scale properties every registered plan must keep: no cross products, and
+    Python only where a sequential per-document walk needs it."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan, name
+    if name not in PYTHON_ALLOWED:
+        assert "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan, name
+
+
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
@@ -48,6 +61,7 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_oracle(spark, con, name):
     df = QUERIES[name](spark, SF_SMALL)
+    _check_plan(name, df)
     rows = [tuple(r) for r in df.collect()]
     res = con.execute(ORACLES[name])
     ocols = [d[0] for d in res.description]
@@ -60,6 +74,7 @@ def test_oracle(spark, con, name):
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - {"coherence_sweep"}))
 def test_rows_only(spark, name):
     df = QUERIES[name](spark, SF_SMALL)
+    _check_plan(name, df)
     schema = df.schema
     assert df.count() >= 0
     assert QUERIES[name](spark, SF_SMALL).schema == schema
