@@ -16,8 +16,6 @@ Scale notes
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -119,7 +117,3 @@ def pending_batches(posts: DataFrame, collected: DataFrame, key: str = "conversa
     return numbered.groupBy(F.col("_grp").alias("bucket"), "batch").agg(
         F.count(F.lit(1)).alias("n_ids"), id_query(F.collect_list(key), prefix).alias("query"))
 
-
-def region_cell_count(cell_deg: float = 2.0) -> int:
-    """Upper bound of cells one region can expand to (grid size)."""
-    return int(math.ceil(180 / cell_deg) + 1) * int(round(360 / cell_deg))

@@ -36,9 +36,6 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def r6(c):
-    c = F.col(c) if isinstance(c, str) else c
-    return F.round(c, 6)
 
 
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:

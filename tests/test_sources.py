@@ -1,4 +1,5 @@
 import json
+import os
 
 from pyspark.sql import functions as F
 
@@ -63,3 +64,33 @@ def test_cli_list(capsys):
     out = capsys.readouterr().out.splitlines()
     assert any(line.startswith("lift_cube17") and "oracle" in line for line in out)
     assert len(out) >= 70
+
+
+def test_sinks_round_trip(spark, tmp_path):
+    import datetime as dt
+    from echolens.functions.calendar import with_calendar
+    from echolens.functions.text import keyword_query
+    from echolens.operators.dedupe import union_distinct
+    from echolens.schemas import POST_SCHEMA, SCORE_SCHEMA
+    from echolens.sources import lookups, sinks
+
+    rows = [(1, 1, 7, dt.datetime(2020, 10, 4), "covid", "en", "web", 0, 0, 0, 0, None, None, None)]
+    posts = spark.createDataFrame(rows, POST_SCHEMA)
+    sinks.overwrite_parquet(posts, str(tmp_path / "posts"))
+    back = TB.read_posts(spark, str(tmp_path / "posts"))
+    assert back.schema == POST_SCHEMA and back.count() == 1
+    cal = with_calendar(back, "date").first()
+    assert str(cal.dsw) == "2020-10-11" and str(cal.dsm) == "2020-10-01"
+    new = spark.createDataFrame(rows + [(2, 1, 7, dt.datetime(2020, 10, 5), "x", "en", "web", 0, 0, 0, 0, None,
+                                         None, None)], POST_SCHEMA)
+    sinks.merge_first_wins(back, new, "tweetId", str(tmp_path / "merged"))
+    assert sorted(r.tweetId for r in TB.read_posts(spark, str(tmp_path / "merged")).collect()) == [1, 2]
+    sc = spark.createDataFrame([(1, 0.1, 0.2, 0.3, 0.4)], SCORE_SCHEMA)
+    sinks.write_delimited(sc, str(tmp_path / "scores"), sep=",")
+    assert TB.read_scores(spark, str(tmp_path / "scores")).first().sadness == 0.4
+    sinks.write_per_key(new.withColumn("batch", F.col("tweetId") % 2), str(tmp_path / "per"), "batch")
+    assert [d for d in sorted(os.listdir(tmp_path / "per")) if d.startswith("batch=")] == ["batch=0", "batch=1"]
+    assert union_distinct(back, back).count() == 1
+    assert keyword_query(["covid", "lockdown"], "2020-06-01", "2020-12-31", "bbc") == \
+        '("covid" OR "lockdown") from:bbc since:2020-06-01 until:2020-12-31'
+    assert lookups.country_names(spark).count() == 12
