@@ -93,3 +93,20 @@ def test_near_equal_chunks_match_ntile_on_skew(spark):
     small = spark.createDataFrame([(1, 1), (1, 2), (2, 3)], "g int, id long")
     got2 = sorted(map(tuple, RK.near_equal_chunks(small, "id", 4, "g").select("g", "id", "chunk").collect()))
     assert got2 == [(1, 1, 0), (1, 2, 1), (2, 3, 0)]
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 5), st.integers(0, 3), st.integers(0, 1000)), min_size=1, max_size=80))
+def test_first_per_key_window_agg_agree_and_idempotent(spark, rows):
+    import datetime as dt
+    t0 = dt.datetime(2021, 1, 1)
+    data = [(k, t0 + dt.timedelta(days=d), i) for k, d, i in rows]
+    df = spark.createDataFrame(data, "k long, date timestamp, id long")
+    a = D.first_per_key(df, "k", [F.col("date"), F.col("id")])      # window path (Column order)
+    b = D.first_per_key(df, "k", ["date", "id"])                      # aggregate path
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    again = D.first_per_key(b, "k", ["date", "id"])
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, b.collect()))
