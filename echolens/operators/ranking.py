@@ -151,5 +151,8 @@ def near_equal_chunks(df: DataFrame, id_col: str, n: int, group: str | list,
 
 
 def repeatable_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
-    """``n`` rows chosen by a seeded hash of the key: same rows at any partitioning."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(n)
+    """``n`` rows chosen by a seeded hash of the key: the same rows at any
+    partitioning, on any engine (MD5 of 'seed:key', a standard digest any SQL
+    engine can recompute).  A top-n, so each task keeps only n rows."""
+    h = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+    return df.orderBy(h, F.col(key)).limit(n)

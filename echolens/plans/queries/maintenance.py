@@ -143,7 +143,10 @@ def q_head_and_tail(spark, sf):
     return round_doubles(h.unionByName(t))
 
 
-@register("repeatable_sample")
+@register("repeatable_sample", V.VIEWS_SQL + """
+SELECT post_id, account_id, country FROM posts
+ORDER BY md5('99:' || cast(post_id AS varchar)), post_id LIMIT 25
+""")
 def q_repeatable_sample(spark, sf):
     """25 posts by a seeded hash of the id, same at any partitioning."""
     from ...operators.ranking import repeatable_sample
