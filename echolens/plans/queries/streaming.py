@@ -6,7 +6,11 @@ from pyspark.sql import functions as F
 
 from ...streaming import jobs as SJ
 from .. import views as V
-from ._common import _labelled_docs, _schema_of, register, round_doubles
+from ...functions.text import contains_keyword
+from ._common import (
+    TEST_LESS_FREQUENT, TEST_MAIN_KEYWORDS, _labelled_docs, _schema_of, register, round_doubles,
+)
+from .drilldown import q_weekly_keyword_counts  # noqa: F401  (same oracle as the batch report)
 
 
 @register("stream_weekly_event_means", f"""
@@ -40,3 +44,25 @@ def q_stream_emotion_scores(spark, sf):
     st = SJ.file_stream(spark, sf, _schema_of(spark, sf, "documents"), glob="documents.parquet")
     docs = st.select("doc_id", F.col("text").alias("content"))
     return SJ.score_stream(docs, lambda b: score_with_model(b, model, "doc_id", "content"), "scores")
+
+
+def _keyword_sql() -> str:
+    from ._common import ORACLES
+    return ORACLES["weekly_keyword_counts"]
+
+
+@register("stream_weekly_keyword_counts", _keyword_sql())
+def q_stream_weekly_keyword_counts(spark, sf):
+    """Streaming weekly keyword volumes: post texts arrive as a stream, joined to
+    the stored posts (stream-static join) for their date, counted in Sunday-ending
+    tumbling windows with an 'other' fold (X02, R01)."""
+    kws = list(dict.fromkeys(TEST_MAIN_KEYWORDS + TEST_LESS_FREQUENT))
+    st = SJ.file_stream(spark, sf, _schema_of(spark, sf, "documents"), glob="documents.parquet")
+    posts = V.posts(spark, sf).select(F.col("post_id").alias("doc_id"), F.col("date").cast("timestamp").alias("ts"))
+    flags = st.select("doc_id", "text").join(posts, "doc_id").select(
+        "ts", *[contains_keyword("text", k).cast("long").alias(k) for k in kws])
+    sums = SJ.weekly_window_sums(flags, "ts", kws, "weekly_keywords")
+    other = None
+    for k in TEST_LESS_FREQUENT:
+        other = F.col(k) if other is None else other + F.col(k)
+    return sums.select("dsw", *[F.col(k) for k in TEST_MAIN_KEYWORDS], other.alias("other"))

@@ -100,6 +100,13 @@ def weekly_window_stream(stream: DataFrame, ts: str, measures, name: str = "week
                       *[F.try_divide(F.col(f"_s_{m}"), F.col(f"_c_{m}")).alias(m) for m in measures])
 
 
+def weekly_window_sums(stream: DataFrame, ts: str, measures, name: str = "weekly_sums") -> DataFrame:
+    """Weekly (Sunday-ending) tumbling-window sums of ``measures`` (e.g. keyword flags)."""
+    agg = weekly_windows(stream, ts, measures)
+    res = run_update_to_parquet(agg, name, ["w"])
+    return res.select(F.to_date(F.col("w.end")).alias("dsw"), *[F.col(f"_s_{m}").alias(m) for m in measures])
+
+
 def score_stream(stream: DataFrame, score_batch: Callable[[DataFrame], DataFrame],
                  name: str = "scores") -> DataFrame:
     """foreachBatch(score_batch) appended per batch (idempotent on retry); returns the sink."""
