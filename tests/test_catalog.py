@@ -78,3 +78,18 @@ def test_rows_only(spark, name):
     schema = df.schema
     assert df.count() >= 0
     assert QUERIES[name](spark, SF_SMALL).schema == schema
+
+
+def test_model_query_invariants(spark):
+    """Rows-only queries still obey their contracts on the driver tables."""
+    sc = QUERIES["emotion_scores"](spark, SF_SMALL).toPandas()
+    ok = sc[sc.score_status == "ok"]
+    assert len(ok) > 0 and set(sc.score_status) <= {"ok", "skipped"}
+    assert ((ok[["anger", "joy", "optimism", "sadness"]].sum(axis=1) - 1).abs() <= 0.005).all()
+    assert sc[sc.score_status == "skipped"][["anger", "joy"]].isna().all().all()
+    prev = QUERIES["lda_prevalence"](spark, SF_SMALL).toPandas()
+    assert abs(prev.pct.sum() - 100) < 1e-6 and prev.num_topic.between(0, 19).all()
+    coh = QUERIES["coherence"](spark, SF_SMALL).toPandas()
+    assert coh.c_v.between(-1, 1).all() and (coh.topic == -1).sum() == 1
+    clf = QUERIES["account_classifier"](spark, SF_SMALL).toPandas()
+    assert clf.p_true.between(0, 1).all()
