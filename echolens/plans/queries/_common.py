@@ -267,8 +267,10 @@ def _phrased_docs(spark, sf):
 
 
 def _themed_docs(spark, sf):
+    """Phrase-merged tokens of each English post with the post's theme (multi-word
+    subtheme keywords such as 'death_toll_rise' can then match)."""
     p = V.posts(spark, sf).select(F.col("post_id").alias("doc_id"), "theme")
-    return _en_docs(spark, sf).join(p, "doc_id")
+    return _phrased_docs(spark, sf).join(p, "doc_id")
 
 
 def _subtheme_sql() -> str:
@@ -282,7 +284,11 @@ def _subtheme_sql() -> str:
     case = "CASE " + " ".join(f"WHEN {f} THEN {c}" for f, c in zip(flags, SUBTHEME_CODES)) + " ELSE theme * 10 END"
     n = " + ".join(f"cast({f} AS int)" for f in flags)
     return V.VIEWS_SQL + f""",
-d AS (SELECT doc_id, {TK.clean_tokens_sql('text')} AS tok FROM documents WHERE lang = 'en'),
+d0 AS (SELECT doc_id, {TK.clean_tokens_sql('text')} AS tok FROM documents WHERE lang = 'en'),
+{_phrase_ctes('d0', 'a_').strip()},
+{_merge_ctes('d0', 'a_ph', 'd1').strip()},
+{_phrase_ctes('d1', 'b_').strip()},
+{_merge_ctes('d1', 'b_ph', 'd').strip()},
 t AS (SELECT d.doc_id, d.tok, p.theme FROM d JOIN posts p ON d.doc_id = p.post_id)
 SELECT doc_id, theme, cast({case} AS int) AS subtheme, ({n}) AS n_flags FROM t
 """
