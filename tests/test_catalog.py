@@ -32,7 +32,8 @@ def _digest(cols, rows):
 
 
 PYTHON_ALLOWED = {"phrase_merged_tokens", "bigrams_appended", "lda_prevalence", "lda_topic_themes",
-                  "theme_words", "top_docs_per_topic", "coherence", "dense_word_counts"}
+                  "theme_words", "top_docs_per_topic", "coherence", "dense_word_counts", "subtheme_tags",
+                  "subtheme_totals"}
 
 
 def _check_plan(name, df):
