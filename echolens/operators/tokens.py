@@ -15,6 +15,7 @@ words plus the extra bio list, drop numeric tokens and tokens of length <= 2.
 from __future__ import annotations
 
 import functools
+from importlib import resources
 
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame
@@ -31,22 +32,12 @@ NON_LETTER = r"[^\p{L}]"
 
 @functools.lru_cache(maxsize=None)
 def _stopwords(language: str) -> tuple:
-    import glob
-    import os
-    import zipfile
-
-    import pyspark
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    for j in jars:
-        with zipfile.ZipFile(j) as z:
-            name = f"org/apache/spark/ml/feature/stopwords/{language}.txt"
-            if name in z.namelist():
-                return tuple(w for w in z.read(name).decode("utf-8").split("\n") if w)
-    return tuple(StopWordsRemover.loadDefaultStopWords(language))
+    text = resources.files("echolens.data").joinpath(f"stopwords_{language}.txt").read_text("utf-8")
+    return tuple(w for w in text.split("\n") if w and not w.startswith("#"))
 
 
 def default_stopwords(language: str = "english") -> list[str]:
-    """Spark ML's built-in stop-word list (read from the Spark ML jar, no JVM needed)."""
+    """Spark ML's built-in stop-word list, shipped as package data (no JVM, no session needed)."""
     return list(_stopwords(language))
 
 
