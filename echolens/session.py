@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +25,7 @@ def build_session(master: str | None = None, app: str = "echolens",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.shuffle.partitions": str(shuffle_partitions or 8),
-        "spark.driver.memory": "16g",
+        "spark.driver.memory": "8g",
         "spark.sql.codegen.hugeMethodLimit": "8000",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
@@ -56,15 +55,21 @@ def ensure_utc(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when it is unset
-    (local tests) do we pick a scratch folder of our own.
+    The cluster names it in ``spark.checkpoint.dir``.  Only a ``local``
+    master (one process, one disk) may leave it unset: then a scratch folder
+    of our own is taken.  On any other master an unset folder is an error,
+    because a machine-local one would not be seen by the other executors.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on master {master}")
         d = tempfile.mkdtemp(prefix="echolens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(d)
     return d
 
 
@@ -74,27 +79,34 @@ def cut_lineage(df: DataFrame, large: bool = False) -> DataFrame:
     Small intermediates (group aggregates) use a reliable checkpoint.  With
     ``large`` the table is written once as Parquet and read back: columnar
     and compressed, so re-reading it stays cheap when it is big (phrase pair
-    counts, bags of words, landed inputs).  Types Parquet cannot hold fall
-    back to the reliable checkpoint.
+    counts, bags of words, landed inputs).
     """
-    import uuid
-
-    spark = df.sparkSession
     if large:
-        path = scratch_path(spark, f"lineage/{uuid.uuid4().hex}")
-        try:
-            df.write.mode("overwrite").parquet(path)
-            return spark.read.parquet(path)
-        except Exception:  # noqa: BLE001 - e.g. a NullType column
-            pass
-    ensure_checkpoint_dir(spark)
+        return write_table(df, "lineage")
+    ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "tables", name)
+    """A path for intermediate tables: a folder of this application under the shared checkpoint
+    folder, removed when the application ends."""
+    root = "/".join([ensure_checkpoint_dir(spark).rstrip("/"), "tables", spark.sparkContext.applicationId])
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+    return f"{root}/{name}"
+
+
+def write_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet in the scratch folder and return the stored table."""
+    import uuid
+
+    path = scratch_path(df.sparkSession, f"{name}/{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def bounded_rows(df: DataFrame, limit: int) -> int | None:
