@@ -95,21 +95,17 @@ def _forest(classes: DataFrame, trees: int, depth: int) -> DataFrame:
     return classes.select("doc", "sig").mapInPandas(run, "region long, d1 long, d2 long, doc long")
 
 
-def _neighbours(reach: int, edge: bool):
-    """Over sorted rows: pairs of one region at most ``reach`` places apart; with ``edge`` instead
-    the first and last ``reach`` rows of the partition, whose partners may lie in the next one."""
+def _neighbours(reach: int):
+    """Over sorted rows: pairs of one region at most ``reach`` places apart (``apart`` > 0), and the first and last
+    ``reach`` rows of the partition (``apart`` = 0), whose partners may lie in the next one."""
     def run(batches):
-        head, tail, n = None, None, 0
+        tail, seen = None, 0
         for b in batches:
             if not len(b):
                 continue
-            if edge:
-                if n < reach:
-                    first = b.iloc[:reach - n]
-                    head = first if head is None else pd.concat([head, first])
-                n += len(b)
-                tail = b.iloc[-reach:] if tail is None else pd.concat([tail, b]).iloc[-reach:]
-                continue
+            if seen < reach:
+                yield b.iloc[:reach - seen].assign(a=0, b=0, apart=0)
+            seen += len(b)
             old = 0 if tail is None else len(tail)
             x = b if tail is None else pd.concat([tail, b])
             region, doc = x["region"].to_numpy(), x["doc"].to_numpy()
@@ -118,25 +114,26 @@ def _neighbours(reach: int, edge: bool):
                 same = np.flatnonzero(region[lo:len(x) - d] == region[lo + d:]) + lo
                 if len(same):
                     a, c = doc[same], doc[same + d]
-                    yield pd.DataFrame({"a": np.minimum(a, c), "b": np.maximum(a, c), "apart": d})
+                    yield pd.DataFrame({"region": 0, "d1": 0, "d2": 0, "doc": 0,
+                                        "a": np.minimum(a, c), "b": np.maximum(a, c), "apart": d})
             tail = x.iloc[-reach:]
-        if edge and n:
-            yield pd.concat([head, tail]).drop_duplicates()
+        if tail is not None:
+            yield tail.assign(a=0, b=0, apart=0)
     return run
 
 
 def candidates(classes: DataFrame, trees: int = TREES, depth: int = DEPTH, reach: int = REACH) -> DataFrame:
     """(a, b, apart): texts that are neighbours in some order, with the fewest places between them."""
     order = ["region", "d1", "d2", "doc"]
+    schema = "region long, d1 long, d2 long, doc long, a long, b long, apart int"
     forest = write_table(_forest(classes, trees, depth), "forest")
     n = max(1, int(forest.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ranged = forest.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    inner = ranged.mapInPandas(_neighbours(reach, False), "a long, b long, apart int")
+    found = write_table(ranged.mapInPandas(_neighbours(reach), schema), "neighbours")
     # At most 2 * reach rows per partition meet in one task: a number of partitions, not of texts.
-    edges = ranged.mapInPandas(_neighbours(reach, True), forest.schema)
-    across = edges.coalesce(1).sortWithinPartitions(*order).mapInPandas(
-        _neighbours(reach, False), "a long, b long, apart int")
-    return inner.union(across).filter("a <> b").groupBy("a", "b").agg(F.min("apart").alias("apart"))
+    edges = found.filter("apart = 0").select(*order).distinct().repartition(1).sortWithinPartitions(*order)
+    pairs = found.union(edges.mapInPandas(_neighbours(reach), schema)).filter("apart > 0 AND a <> b")
+    return pairs.groupBy("a", "b").agg(F.min("apart").alias("apart"))
 
 
 def _confirm(percent: int):
@@ -184,9 +181,8 @@ def _probes(pairs: DataFrame, comps: DataFrame, links: DataFrame, hubs: int) ->
     best = degree.join(comps.withColumnRenamed("node", "doc"), "doc", "left").withColumn(
         "component", F.coalesce("component", "doc")).withColumn("r", F.row_number().over(w)).filter(F.col("r") <= hubs)
     best = write_table(best.select("component", F.col("doc").alias("hub")), "hubs")
-    out = split.join(best.withColumnRenamed("component", "cb"), "cb").select("a", F.col("hub").alias("b")).union(
-        split.join(best.withColumnRenamed("component", "ca"), "ca").select("b", "hub"))
-    return out.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    met = split.select(F.col("a").alias("doc"), F.col("cb").alias("component")).union(split.select("b", "ca")).distinct()
+    return met.join(best, "component").select(F.least("doc", "hub").alias("a"), F.greatest("doc", "hub").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", words: int = 5, percent: int = 80, trees: int = TREES,

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from . import near_dedup, quality_rules
+from . import mixing, near_dedup, packing, quality_classifier, quality_rules
 
 QUERIES = {
+    "op3_quality_classifier": quality_classifier.query,
+    "op6_best_fit_packing": packing.query,
+    "op7_source_mixing": mixing.query,
     "op8_minhash_near_dedup": near_dedup.query,
     "op10_quality_rules": quality_rules.query,
 }
