@@ -128,8 +128,8 @@ def mix(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, limit: float =
     for level in range(levels):
         groups = F.ceil(F.col("left") / group)
         last = level == levels - 1
-        dealt = rows.withColumn("left", groups).withColumn("bucket", F.when(F.lit(last), F.lit(0)).otherwise(
-            F.pmod(F.xxhash64("doc_id", "size", F.lit(level)), F.greatest(groups, F.lit(1)))).cast("long"))
+        dealt = rows.withColumn("bucket", F.when(F.lit(last), F.lit(0)).otherwise(
+            F.pmod(F.xxhash64("doc_id", "size", F.lit(level)), F.greatest(groups, F.lit(1)))).cast("long")).withColumn("left", groups)
         worked = write_table(dealt.groupBy("source", "bucket").applyInPandas(_level(level, last, seed), schema), "level")
         settled = worked.filter("NOT open")
         done = settled if done is None else done.union(settled)
