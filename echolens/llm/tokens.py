@@ -2,8 +2,8 @@
 
 A byte-level vocabulary splits at white space before it merges, so a text's
 ids are the ids of its space-separated chunks, each with its leading space,
-joined; chunks recur, and each worker process keeps the ids of those it met
-(the oldest go first beyond ``CACHE`` of them, which bounds memory and
+joined; chunks recur, and each worker process keeps the ids of the first
+``CACHE`` that it met, the frequent ones among them (which bounds memory and
 changes no result).  Texts in which a space stands between other white
 space are encoded as a whole, because there the cut would not be safe.
 """
@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE = 400_000
+CACHE = 1_000_000
 LENGTH = 2048
 END = b"\0\0\0\0"      # id 0, little-endian
 _UNSAFE = re.compile(r"\s \s")
@@ -42,18 +42,15 @@ class Encoder:
             return b""
         if "<|" in text or _UNSAFE.search(text):
             return self._encode([text])[0]
-        chunks = text.replace(" ", "\0 ").split("\0") if "\0" not in text else None
-        if chunks is None:
-            return self._encode([text])[0]
+        head, *rest = text.split(" ")
         known = self.known
-        new = [c for c in dict.fromkeys(chunks) if c not in known]
-        if new:
-            if len(known) + len(new) > CACHE:
-                for c in list(known)[:CACHE // 2]:
-                    del known[c]
-                new = [c for c in dict.fromkeys(chunks) if c not in known]
-            known.update(zip(new, self._encode(new)))
-        return b"".join([known[c] for c in chunks])
+        new = list(set(rest).difference(known))
+        made = dict(zip(new, self._encode([" " + w for w in new]))) if new else {}
+        first = self._encode([head])[0] if head else b""
+        if len(known) < CACHE:
+            known.update(made)
+            return first + b"".join(map(known.__getitem__, rest))
+        return first + b"".join([known[w] if w in known else made[w] for w in rest])
 
 
 def encoder(path: str) -> Encoder:
