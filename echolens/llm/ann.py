@@ -102,6 +102,23 @@ def _best(k: int, kind: str):
     return run
 
 
+def _in_blocks(index: DataFrame, probed: DataFrame, k: int, kind: str, block: int) -> DataFrame:
+    """Per pair of a query block and a candidate block of one bucket: each query's best ``k``."""
+    place = ["dims", "t", "bucket"]
+    counts = index.groupBy(*place).agg(F.ceil(F.count(F.lit(1)) / block).alias("cbs")).join(
+        probed.groupBy(*place).agg(F.ceil(F.count(F.lit(1)) / 1024).alias("qbs")), place)
+    counts = write_table(counts, "counts")
+
+    def dealt(side, own, other):
+        d = side.join(counts, place).withColumn(own, F.pmod(F.xxhash64("id"), F.col(own + "s")))
+        return d.withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.col(other + "s") - 1))).select(
+            *place, "cb", "qb", "id", "v")
+
+    key = [*place, "cb", "qb"]
+    return dealt(probed, "qb", "cb").groupBy(*key).cogroup(dealt(index, "cb", "qb").groupBy(*key)).applyInPandas(
+        _best(k, kind), "query_id long, vec_id long, score double")
+
+
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, tables: int = TABLES, probes: int = PROBES, axes: int = AXES,
             block: int = BLOCK) -> DataFrame:
     """``queries`` and ``vectors`` are (id, v): per query its ``k`` nearest vectors of another id."""
@@ -120,20 +137,15 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, tables: int = T
     norm = float(np.sqrt(every.agg(F.max(square)).first()[0] or 1.0)) * (1 + 1e-12)
     index = write_table(_hashed(every, kind, norm, tables, axes, 1, True), "index")
     probed = write_table(_hashed(asked, kind, norm, tables, axes, min(probes, 2 * axes), False), "probes")
-    place = ["dims", "t", "bucket"]
-    counts = index.groupBy(*place).agg(F.ceil(F.count(F.lit(1)) / block).alias("cbs")).join(
-        probed.groupBy(*place).agg(F.ceil(F.count(F.lit(1)) / 1024).alias("qbs")), place)
-    counts = write_table(counts, "counts")
-
-    def dealt(side, own, other):
-        d = side.join(counts, place).withColumn(own, F.pmod(F.xxhash64("id"), F.col(own + "s")))
-        return d.withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.col(other + "s") - 1))).select(
-            *place, "cb", "qb", "id", "v")
-
-    key = [*place, "cb", "qb"]
-    found = dealt(probed, "qb", "cb").groupBy(*key).cogroup(dealt(index, "cb", "qb").groupBy(*key)).applyInPandas(
-        _best(k, kind), "query_id long, vec_id long, score double")
-    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    best = ["query_id", "vec_id"]
+    found = write_table(_in_blocks(index, probed, k, kind, block).groupBy(*best).agg(F.max("score").alias("score")), "found")
+    # Queries that met fewer than k vectors are held against every vector of their length, in blocks too.
+    full = found.groupBy("query_id").count().filter(F.col("count") >= k).select(F.col("query_id").alias("id"))
+    short = probed.filter("t = 0").join(full, "id", "left_anti").select("dims", "t", F.lit(-1).alias("bucket"), "id", "v").distinct()
+    short = write_table(short, "short")
+    if not short.isEmpty():
+        every_one = index.filter("t = 0").withColumn("bucket", F.lit(-1))
+        found = found.union(_in_blocks(every_one, short, k, kind, block)).groupBy(*best).agg(F.max("score").alias("score"))
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")
