@@ -31,7 +31,7 @@ def first_per_key(df: DataFrame, key: str | list, order_by, drop_null_key: bool
             src = src.filter(F.col(k).isNotNull())
     if all(isinstance(o, str) for o in order_by):
         return first_per_key_agg(src, keys, list(order_by))
-    order = [F.col(o) if isinstance(o, str) else o for o in order_by]
+    order = [F.col(o).asc_nulls_last() if isinstance(o, str) else o for o in order_by]
     w = Window.partitionBy(*keys).orderBy(*order)
     return src.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
@@ -43,7 +43,7 @@ def first_per_key_agg(df: DataFrame, key: str | list, order_cols) -> DataFrame:
     """
     keys = [key] if isinstance(key, str) else list(key)
     others = [c for c in df.columns if c not in keys]
-    order_struct = F.struct(*[F.col(c) for c in order_cols])
+    order_struct = F.struct(*[x for c in order_cols for x in (F.col(c).isNull().alias(f"{c}_null"), F.col(c))])
     payload = F.struct(*[F.col(c) for c in others])
     agg = df.groupBy(*keys).agg(F.min_by(payload, order_struct).alias("_row"))
     return agg.select(*keys, *[F.col("_row")[c].alias(c) for c in others]).select(*df.columns)
@@ -76,10 +76,12 @@ def upsert_first_wins(existing: DataFrame, incoming: DataFrame, key: str | list,
     """Merge where a stored row always wins over a new row with the same key.
 
     New rows that are not stored yet are deduped among themselves (first
-    by ``order_by`` when given, else any one).  Idempotent: merging the
+    by ``order_by`` when given, else any one).  Null keys match null keys.  Idempotent: merging the
     result with the same ``incoming`` again gives the same table.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    fresh = incoming.join(existing.select(*keys), on=keys, how="left_anti")
+    stored = existing.select(*[F.col(k).alias(f"_stored_{k}") for k in keys])
+    same = reduce(lambda a, b: a & b, [incoming[k].eqNullSafe(stored[f"_stored_{k}"]) for k in keys])
+    fresh = incoming.join(stored, same, "left_anti")
     fresh = first_per_key(fresh, keys, order_by) if order_by else fresh.dropDuplicates(keys)
     return existing.unionByName(fresh.select(*existing.columns))

@@ -110,3 +110,12 @@ def test_first_per_key_window_agg_agree_and_idempotent(spark, rows):
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
     again = D.first_per_key(b, "k", ["date", "id"])
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_null_dates_come_last_and_null_keys_merge_once(spark):
+    from echolens.operators import dedupe
+    d = spark.createDataFrame([(1, None, "a"), (1, "2020", "b"), (2, None, "c")], "k int, d string, v string")
+    assert sorted(r.v for r in dedupe.first_per_key_agg(d, "k", ["d"]).collect()) == ["b", "c"]
+    x = spark.createDataFrame([(None, "x"), (3, "y")], "k int, v string")
+    once = dedupe.upsert_first_wins(x.limit(0), x, "k")
+    assert once.count() == dedupe.upsert_first_wins(once, x, "k").count() == 2
