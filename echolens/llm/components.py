@@ -1,8 +1,8 @@
 """Connected components by alternating large-star and small-star steps.
 
-Every step is a min-aggregate and an equi-join over the edge table; its
-result is written to the shared scratch folder, so lineage stays short and
-a lost executor costs at most one step.  Nothing is collected but one
+Every step is a min-aggregate and an equi-join over the edge table; the
+result of each pair of steps is written to the shared scratch folder, so
+lineage stays short and a lost executor costs at most one pair.  Nothing is collected but one
 checksum row per step.
 """
 
@@ -25,7 +25,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         near = edges.select("hi", "lo").union(edges.select(F.col("lo").alias("hi"), F.col("hi").alias("lo")))
     else:
         near = edges
-    least = write_table(near.groupBy("hi").agg(F.least(F.first("hi"), F.min("lo")).alias("m")), "star")
+    least = near.groupBy("hi").agg(F.min("lo").alias("m")).withColumn("m", F.least("hi", "m"))
     j = near.join(least, "hi")
     if large:
         out = j.filter("lo > hi").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
@@ -42,7 +42,7 @@ def components(links: DataFrame) -> DataFrame:
     edges = write_table(edges, "edges")
     before = _checksum(edges)
     while before[0]:
-        edges = write_table(_star(write_table(_star(edges, True), "large"), False), "edges")
+        edges = write_table(_star(_star(edges, True), False), "edges")
         after = _checksum(edges)
         if after == before:
             break

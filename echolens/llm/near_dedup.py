@@ -175,13 +175,14 @@ def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
 
 def _probes(pairs: DataFrame, comps: DataFrame, links: DataFrame, hubs: int) -> DataFrame:
     """For texts of a pair that no link joined yet: each against the other's component's best-linked texts."""
-    split = write_table(_apart(pairs, comps), "split")
+    split = _apart(pairs, comps)
     degree = links.select(F.col("a").alias("doc")).union(links.select("b")).groupBy("doc").agg(F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("component").orderBy(F.col("n").desc(), "doc")
     best = degree.join(comps.withColumnRenamed("node", "doc"), "doc", "left").withColumn(
         "component", F.coalesce("component", "doc")).withColumn("r", F.row_number().over(w)).filter(F.col("r") <= hubs)
-    best = write_table(best.select("component", F.col("doc").alias("hub")), "hubs")
-    met = split.select(F.col("a").alias("doc"), F.col("cb").alias("component")).union(split.select("b", "ca")).distinct()
+    best = best.select("component", F.col("doc").alias("hub"))
+    met = split.select(F.inline(F.array(F.struct(F.col("a").alias("doc"), F.col("cb").alias("component")),
+                                        F.struct(F.col("b").alias("doc"), F.col("ca").alias("component"))))).distinct()
     return met.join(best, "component").select(F.least("doc", "hub").alias("a"), F.greatest("doc", "hub").alias("b")).distinct()
 
 
@@ -194,7 +195,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", words: int = 5, percent
     classes = write_table(named.groupBy("p1", "p2", "n_shingles").agg(
         F.min("doc_id").alias("doc"), F.first("sig").alias("sig")), "classes")
     pairs = write_table(candidates(classes, trees, depth, reach), "pairs")
-    ids = write_table(pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct(), "ids")
+    ids = pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct()
     sets = write_table(_full_sets(docs, text, ids, words), "sets")
 
     links = write_table(confirmed(pairs.filter("apart = 1"), sets, percent), "links")
@@ -211,7 +212,6 @@ def near_duplicates(docs: DataFrame, text: str = "text", words: int = 5, percent
     found = classes.select("p1", "p2", "n_shingles", F.col("doc").alias("rep")).join(
         comps.withColumnRenamed("node", "rep"), "rep", "left").join(degree, "rep", "left").select(
         "p1", "p2", "n_shingles", F.coalesce("component", "rep").alias("c"), F.coalesce("n", F.lit(0)).alias("n_links"))
-    found = write_table(found, "classes")
     full = sigs.select("doc_id", "n_shingles", "p1", "p2").join(found, ["p1", "p2", "n_shingles"], "left")
     own = F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("c")).otherwise(F.col("doc_id"))
     return full.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")) \
