@@ -10,10 +10,12 @@ region.  The neighbours within ``reach`` places are candidates.
 Copies are folded first (one class per distinct shingle set), so a group of
 a million copies is one entry of the forest.  Candidates are confirmed on
 full shingle sets, in rounds: the nearest neighbours first; then the farther
-ones whose texts are not in one component yet; then, as long as that finds
+ones, for which the forest is sorted again with each text's component, so
+that a crowd of linked texts forms no pairs; then, as long as that finds
 links, texts that met a component in some region without a link are held
 against that component's best-linked texts.  Each round writes its links to
-the shared folder; pairs within a component are never formed again.
+the shared folder; pairs within a component are never formed again, and
+later links join whole components.
 
 No task gets a whole region or group: the sorted orders are dealt by range,
 and the pairs by their ids.
@@ -77,7 +79,7 @@ def signatures(docs: DataFrame, text: str = "text", words: int = 5, trees: int =
 
 
 def _forest(classes: DataFrame, trees: int, depth: int) -> DataFrame:
-    """(region, d1, d2, doc): one row per text and order; sorting by it is the forest."""
+    """(region, d1, d2, doc, comp): one row per text and order; sorting by it is the forest."""
     def run(batches):
         for b in batches:
             if not len(b):
@@ -90,14 +92,15 @@ def _forest(classes: DataFrame, trees: int, depth: int) -> DataFrame:
                 for i in at[:depth]:
                     key = mix64(key * np.uint64(0xD6E8FEB86659FD93) + s[:, i])
                 d = [((s[:, at[depth + i]] << np.uint64(32)) | s[:, at[depth + i + 1]]).view(np.int64) for i in (0, 2)]
-                yield pd.DataFrame({"region": key.view(np.int64), "d1": d[0], "d2": d[1], "doc": b["doc"].to_numpy()})
+                yield pd.DataFrame({"region": key.view(np.int64), "d1": d[0], "d2": d[1], "doc": b["doc"].to_numpy(),
+                                    "comp": b["comp"].to_numpy()})
 
-    return classes.select("doc", "sig").mapInPandas(run, "region long, d1 long, d2 long, doc long")
+    return classes.select("doc", "comp", "sig").mapInPandas(run, "region long, d1 long, d2 long, doc long, comp long")
 
 
 def _neighbours(reach: int):
-    """Over sorted rows: pairs of one region at most ``reach`` places apart (``apart`` > 0), and the first and last
-    ``reach`` rows of the partition (``apart`` = 0), whose partners may lie in the next one."""
+    """Over sorted rows: pairs of one region and two components at most ``reach`` places apart (``apart`` > 0), and the
+    first and last ``reach`` rows of the partition (``apart`` = 0), whose partners may lie in the next one."""
     def run(batches):
         tail, seen = None, 0
         for b in batches:
@@ -108,13 +111,13 @@ def _neighbours(reach: int):
             seen += len(b)
             old = 0 if tail is None else len(tail)
             x = b if tail is None else pd.concat([tail, b])
-            region, doc = x["region"].to_numpy(), x["doc"].to_numpy()
+            region, doc, comp = (x[c].to_numpy() for c in ("region", "doc", "comp"))
             for d in range(1, reach + 1):
                 lo = max(0, old - d)
-                same = np.flatnonzero(region[lo:len(x) - d] == region[lo + d:]) + lo
+                same = np.flatnonzero((region[lo:len(x) - d] == region[lo + d:]) & (comp[lo:len(x) - d] != comp[lo + d:])) + lo
                 if len(same):
                     a, c = doc[same], doc[same + d]
-                    yield pd.DataFrame({"region": 0, "d1": 0, "d2": 0, "doc": 0,
+                    yield pd.DataFrame({"region": 0, "d1": 0, "d2": 0, "doc": 0, "comp": 0,
                                         "a": np.minimum(a, c), "b": np.maximum(a, c), "apart": d})
             tail = x.iloc[-reach:]
         if tail is not None:
@@ -123,17 +126,17 @@ def _neighbours(reach: int):
 
 
 def candidates(classes: DataFrame, trees: int = TREES, depth: int = DEPTH, reach: int = REACH) -> DataFrame:
-    """(a, b, apart): texts that are neighbours in some order, with the fewest places between them."""
+    """(a, b): texts of different ``comp`` that are neighbours in some order."""
     order = ["region", "d1", "d2", "doc"]
-    schema = "region long, d1 long, d2 long, doc long, a long, b long, apart int"
-    forest = write_table(_forest(classes, trees, depth), "forest")
+    schema = "region long, d1 long, d2 long, doc long, comp long, a long, b long, apart int"
+    forest = _forest(classes, trees, depth)
     n = max(1, int(forest.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ranged = forest.repartitionByRange(n, *order).sortWithinPartitions(*order)
     found = write_table(ranged.mapInPandas(_neighbours(reach), schema), "neighbours")
     # At most 2 * reach rows per partition meet in one task: a number of partitions, not of texts.
-    edges = found.filter("apart = 0").select(*order).distinct().repartition(1).sortWithinPartitions(*order)
+    edges = found.filter("apart = 0").select(*order, "comp").distinct().repartition(1).sortWithinPartitions(*order)
     pairs = found.union(edges.mapInPandas(_neighbours(reach), schema)).filter("apart > 0 AND a <> b")
-    return pairs.groupBy("a", "b").agg(F.min("apart").alias("apart"))
+    return pairs.select("a", "b").distinct()
 
 
 def _confirm(percent: int):
@@ -173,6 +176,13 @@ def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
     return pairs.filter("ca <> cb")
 
 
+def _joined(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """``comps`` after more links: only the components that these touch are worked on."""
+    to = components(_apart(links, comps).select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    moved = comps.join(to.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left")
+    return write_table(moved.select("node", F.coalesce("to", "component").alias("component")).union(to), "components")
+
+
 def _probes(pairs: DataFrame, comps: DataFrame, links: DataFrame, hubs: int) -> DataFrame:
     """For texts of a pair that no link joined yet: each against the other's component's best-linked texts."""
     split = _apart(pairs, comps)
@@ -194,20 +204,25 @@ def near_duplicates(docs: DataFrame, text: str = "text", words: int = 5, percent
     named = sigs.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = write_table(named.groupBy("p1", "p2", "n_shingles").agg(
         F.min("doc_id").alias("doc"), F.first("sig").alias("sig")), "classes")
-    pairs = write_table(candidates(classes, trees, depth, reach), "pairs")
-    ids = pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct()
+    tested = write_table(candidates(classes.withColumn("comp", F.col("doc")), trees, depth, 1), "pairs")
+    # Whoever has a neighbour farther off has one beside it, so these are all texts of later rounds too.
+    ids = tested.select(F.col("a").alias("doc")).union(tested.select("b")).distinct()
     sets = write_table(_full_sets(docs, text, ids, words), "sets")
 
-    links = write_table(confirmed(pairs.filter("apart = 1"), sets, percent), "links")
+    links = write_table(confirmed(tested, sets, percent), "links")
     comps = components(links)
-    more = write_table(confirmed(_apart(pairs.filter("apart > 1"), comps), sets, percent), "links")
-    tested = pairs
+    placed = classes.select("doc", "sig").join(comps.withColumnRenamed("node", "doc"), "doc", "left").withColumn(
+        "comp", F.coalesce("component", "doc"))
+    pairs = write_table(candidates(placed, trees, depth, reach), "pairs")
+    new = pairs.join(tested, ["a", "b"], "left_anti")
+    more = write_table(confirmed(new, sets, percent), "links")
+    tested = tested.union(new)
     while not more.isEmpty():
         links = links.union(more)
-        comps = components(links)
-        probes = write_table(_probes(pairs, comps, links, hubs).join(tested.select("a", "b"), ["a", "b"], "left_anti"), "probes")
+        comps = _joined(comps, more)
+        probes = write_table(_probes(pairs, comps, links, hubs).join(tested, ["a", "b"], "left_anti"), "probes")
         more = write_table(confirmed(_apart(probes, comps), sets, percent), "links")
-        tested = tested.select("a", "b").union(probes)
+        tested = tested.union(probes)
     degree = links.select(F.col("a").alias("rep")).union(links.select("b")).groupBy("rep").agg(F.count(F.lit(1)).alias("n"))
     found = classes.select("p1", "p2", "n_shingles", F.col("doc").alias("rep")).join(
         comps.withColumnRenamed("node", "rep"), "rep", "left").join(degree, "rep", "left").select(
