@@ -9,9 +9,9 @@ region.  The neighbours within ``reach`` places are candidates.
 
 Copies are folded first (one class per distinct shingle set), so a group of
 a million copies is one entry of the forest.  Candidates are confirmed on
-full shingle sets, in rounds: the nearest neighbours first; then the farther
-ones, for which the forest is sorted again with each text's component, so
-that a crowd of linked texts forms no pairs; then, as long as that finds
+full shingle sets, in rounds: the nearest neighbours in the first ``FIRST``
+orders; then all neighbours in all orders, which are sorted with each text's
+component, so that a crowd of linked texts forms no pairs; then, as long as that finds
 links, texts that met a component in some region without a link are held
 against that component's best-linked texts.  Each round writes its links to
 the shared folder; pairs within a component are never formed again, and
@@ -43,6 +43,7 @@ from .shingles import shingle_set
 TREES = 20
 DEPTH = 4
 REACH = 6
+FIRST = 4
 HUBS = 8
 
 
@@ -204,17 +205,19 @@ def near_duplicates(docs: DataFrame, text: str = "text", words: int = 5, percent
     named = sigs.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = write_table(named.groupBy("p1", "p2", "n_shingles").agg(
         F.min("doc_id").alias("doc"), F.first("sig").alias("sig")), "classes")
-    tested = write_table(candidates(classes.withColumn("comp", F.col("doc")), trees, depth, 1), "pairs")
-    # Whoever has a neighbour farther off has one beside it, so these are all texts of later rounds too.
-    ids = tested.select(F.col("a").alias("doc")).union(tested.select("b")).distinct()
-    sets = write_table(_full_sets(docs, text, ids, words), "sets")
+    def ends(pairs):
+        return pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct()
 
+    tested = write_table(candidates(classes.withColumn("comp", F.col("doc")), min(FIRST, trees), depth, 1), "pairs")
+    sets = write_table(_full_sets(docs, text, ends(tested), words), "sets")
     links = write_table(confirmed(tested, sets, percent), "links")
     comps = components(links)
     placed = classes.select("doc", "sig").join(comps.withColumnRenamed("node", "doc"), "doc", "left").withColumn(
         "comp", F.coalesce("component", "doc"))
     pairs = write_table(candidates(placed, trees, depth, reach), "pairs")
     new = pairs.join(tested, ["a", "b"], "left_anti")
+    missing = ends(new).join(sets.select("doc"), "doc", "left_anti")
+    sets = sets.union(write_table(_full_sets(docs, text, missing, words), "sets"))
     more = write_table(confirmed(new, sets, percent), "links")
     tested = tested.union(new)
     while not more.isEmpty():
