@@ -5,9 +5,9 @@ task sorts only the rows of its own keys (one shuffle on the key; a hot
 key is still one sort group, which spills rather than failing — and the
 key is the natural dedupe grain, so there is no way to split it without
 changing the answer).  When only the earliest row is needed,
-``first_per_key_agg`` does the same with a hash aggregate over
-``min_by(struct)``, which combines map-side and never gathers a group:
-that is the variant to use for skewed keys.
+``first_per_key_agg`` does the same with ``min_by(struct)``, a sort
+aggregate that combines map-side and never gathers a group: that is the
+variant to use for skewed keys.
 """
 
 from __future__ import annotations

@@ -37,20 +37,25 @@ from ..sources.sinks import conform
 
 
 def normalise_posts(raw: DataFrame) -> DataFrame:
-    """Raw nested results -> posts table (POST_SCHEMA), one row per tweetId."""
+    """Raw nested results -> posts table (POST_SCHEMA), one row per tweetId: its first in column order."""
     flat = raw.select(
         F.col("id").cast("long").alias("tweetId"), F.col("conversationId").cast("long").alias("conversationId"),
         F.col("user.id").cast("long").alias("userId"), F.col("date"), F.col("content"), F.col("lang"),
         F.col("sourceLabel"), "replyCount", "retweetCount", "likeCount", "quoteCount",
         F.col("coordinates.longitude").alias("longitude"), F.col("coordinates.latitude").alias("latitude"),
         "place")
-    return conform(flat, POST_SCHEMA).dropDuplicates(["tweetId"])
+    return _one_per_id(conform(flat, POST_SCHEMA), "tweetId")
 
 
 def normalise_accounts(raw: DataFrame) -> DataFrame:
     """Raw nested results -> accounts table (ACCOUNT_SCHEMA), one row per userId."""
     users = raw.select("user.*").withColumnRenamed("id", "userId")
-    return conform(users, ACCOUNT_SCHEMA).filter(F.col("userId").isNotNull()).dropDuplicates(["userId"])
+    return _one_per_id(conform(users, ACCOUNT_SCHEMA).filter(F.col("userId").isNotNull()), "userId")
+
+
+def _one_per_id(rows: DataFrame, key: str) -> DataFrame:
+    """The same row per id in every run, also where the repeated rows differ."""
+    return first_per_key_agg(rows, key, [c for c in rows.columns if c != key])
 
 
 def mentioned_accounts(raw: DataFrame) -> DataFrame:
@@ -65,32 +70,42 @@ def news_accounts(accounts: DataFrame, media_list: DataFrame) -> DataFrame:
     return accounts.join(maybe_broadcast(media_list, 100_000), "username", "inner")
 
 
-def clean_scores(scores: DataFrame, include_error_rows: bool = False) -> DataFrame:
-    """One score row per tweetId with a ``score_status`` (ok / skipped / error).
-
-    Skipped rows (null scores) never reach the means.  Error rows (-1) are
-    dropped unless ``include_error_rows`` (which reproduces the published
-    means, where they pass the null filter).
-    """
-    s = scores.filter(F.col("tweetId").isNotNull())
+def score_rows(scores: DataFrame) -> DataFrame:
+    """One score row per tweetId (the smallest one where they differ) with a ``score_status`` (ok / skipped / error)."""
+    s = scores.filter(F.col("tweetId").isNotNull()).select("tweetId", *EMOTIONS)
     status = (F.when(F.col("anger").isNull(), F.lit("skipped"))
                .when(F.col("anger") == F.lit(ERROR_SCORE), F.lit("error")).otherwise(F.lit("ok")))
-    s = s.select("tweetId", *EMOTIONS, status.alias("score_status")).dropDuplicates(["tweetId"])
+    return first_per_key_agg(s, "tweetId", EMOTIONS).withColumn("score_status", status)
+
+
+def usable_scores(scored: DataFrame, include_error_rows: bool = False) -> DataFrame:
+    """Rows whose scores reach the means.
+
+    Skipped rows (null scores) never do.  Error rows (-1) are dropped unless
+    ``include_error_rows`` (which reproduces the published means, where they
+    pass the null filter).
+    """
     keep = ["ok", "error"] if include_error_rows else ["ok"]
-    return s.filter(F.col("score_status").isin(keep))
+    return scored.filter(F.col("score_status").isin(keep)).dropna(how="any", subset=EMOTIONS)
+
+
+def clean_scores(scores: DataFrame, include_error_rows: bool = False) -> DataFrame:
+    """The usable score rows, one per tweetId."""
+    return usable_scores(score_rows(scores), include_error_rows)
 
 
 def consolidate_posts(posts: DataFrame, accounts: DataFrame, media_list: DataFrame, scores: DataFrame,
                       topics: DataFrame, include_error_rows: bool = False,
                       subtheme_codes=SUBTHEME_CODES) -> DataFrame:
-    """Consolidated news posts (one per conversation, scored, themed, dated)."""
+    """Consolidated news posts (one per conversation, scored, themed, dated).
+
+    The first post stands for its conversation: if its scores are not usable, the conversation is dropped."""
     acc = news_accounts(accounts, media_list).select("userId", "country")
     p = posts.filter(F.col("lang") == "en").join(maybe_broadcast(acc, 1_000_000), "userId", "inner")
-    p = p.join(clean_scores(scores, include_error_rows), "tweetId", "inner")
+    p = p.join(score_rows(scores), "tweetId", "inner")
     p = p.filter(F.col("conversationId").isNotNull())
     p = first_per_key_agg(p, "conversationId", ["date", "tweetId"])
-    p = p.dropna(how="any", subset=EMOTIONS)
-    p = with_prevalent(p)
+    p = with_prevalent(usable_scores(p, include_error_rows))
     flags = [f"subtheme{c}" for c in subtheme_codes]
     t = topics.select("tweetId", "theme", *flags)
     p = p.join(t, "tweetId", "inner").dropna(how="any", subset=flags)
@@ -103,9 +118,9 @@ def consolidate_replies(replies: DataFrame, scores: DataFrame, news: DataFrame,
                         include_error_rows: bool = False) -> DataFrame:
     """Consolidated replies joined to their consolidated post."""
     spark = replies.sparkSession
-    r = replies.filter(F.col("lang") == "en").join(clean_scores(scores, include_error_rows), "tweetId")
-    r = first_per_key_agg(r.filter(F.col("tweetId").isNotNull()), "tweetId", ["date", "conversationId"])
-    r = r.dropna(how="any", subset=EMOTIONS)
+    r = replies.filter((F.col("lang") == "en") & F.col("tweetId").isNotNull())
+    r = first_per_key_agg(r, "tweetId", ["date", "conversationId"])
+    r = usable_scores(r.join(score_rows(scores), "tweetId"), include_error_rows)
     n = news.select(
         "conversationId", F.col("date").alias("news_date"), F.col("userId").alias("news_id"),
         F.col("prevalent_emotion").alias("news_prevalent_emotion"),

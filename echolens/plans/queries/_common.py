@@ -341,7 +341,7 @@ def _lda_input(spark, sf):
     return _LDA_CACHE[ck]
 
 
-def _lda(spark, sf, k: int = 20, max_iter: int = 10):
+def _lda(spark, sf, k: int = 20, max_iter: int = 20):
     from ...schemas import LDA_SEED
     ck = (spark.sparkContext.applicationId, sf, k, max_iter)
     if ck not in _LDA_CACHE:
@@ -463,16 +463,15 @@ ps AS (SELECT post_id AS tweetId,
               CASE WHEN post_id % 50 = 7 THEN -1.0 WHEN post_id % 50 = 13 THEN NULL ELSE optimism END AS optimism,
               CASE WHEN post_id % 50 = 7 THEN -1.0 WHEN post_id % 50 = 13 THEN NULL ELSE sadness END AS sadness
        FROM posts),
-ps_ok AS (SELECT * FROM ps WHERE anger IS NOT NULL AND anger <> -1.0),
 tp AS (SELECT post_id AS tweetId, theme, {flags} FROM posts),
-n1 AS (SELECT np.*, acc.country, ps_ok.anger, ps_ok.joy, ps_ok.optimism, ps_ok.sadness
-       FROM np JOIN acc ON np.userId = acc.userId JOIN ps_ok ON np.tweetId = ps_ok.tweetId
+n1 AS (SELECT np.*, acc.country, ps.anger, ps.joy, ps.optimism, ps.sadness
+       FROM np JOIN acc ON np.userId = acc.userId JOIN ps ON np.tweetId = ps.tweetId
        WHERE np.lang = 'en' AND np.conversationId IS NOT NULL),
 n2 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY conversationId ORDER BY date, tweetId) AS rn FROM n1)
        WHERE rn = 1),
 news AS (SELECT n2.*, {_argmax_plain()} AS prevalent_emotion, greatest(anger, joy, optimism, sadness) AS emotion_score,
                 tp.theme, cast({case} AS int) AS subtheme
-         FROM n2 JOIN tp ON n2.tweetId = tp.tweetId),
+         FROM n2 JOIN tp ON n2.tweetId = tp.tweetId WHERE n2.anger IS NOT NULL AND n2.anger <> -1.0),
 rp AS (SELECT DISTINCT l_orderkey * 10 + l_linenumber AS tweetId, l_orderkey // 2 AS conversationId,
               l_shipdate AS date FROM lineitem),
 rs AS (SELECT DISTINCT tweetId, {c1} / {tot} AS anger, {c2} / {tot} AS joy, {c3} / {tot} AS optimism,

@@ -76,13 +76,13 @@ def q_profile_features(spark, sf):
 
 @register("news_account_flag", """
 SELECT d.doc_id, (instr(d.text, 'news') > 0 OR instr(d.text, 'News') > 0) AND coalesce(l.quality = 1, false) AS news_like
-FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 """)
 def q_news_account_flag(spark, sf):
     """'news'/'News' in the description and verified."""
     d = _table(spark, sf, "documents").select("doc_id", F.col("text").alias("description"))
     lab = _table(spark, sf, "labels").select("doc_id", (F.col("quality") == 1).alias("verified"))
-    return d.join(lab, "doc_id").select("doc_id", R.news_like("description", "verified").alias("news_like"))
+    return d.join(lab, "doc_id", "left").select("doc_id", R.news_like("description", "verified").alias("news_like"))
 
 
 @register("mentions_per_source", """

@@ -13,9 +13,9 @@ from ._common import _FIRST_SQL, _fresh, _reply_rows, PENDING_BUCKET_WIDTH, regi
 
 @register("first_per_key", _FIRST_SQL)
 def q_first_per_key(spark, sf):
-    """Earliest reply per reply id, deterministic ties."""
-    return D.first_per_key(_reply_rows(spark, sf), "reply_id",
-                           ["date", "l_partkey", "l_suppkey", "l_quantity"])
+    """Earliest reply per reply id by a window, deterministic ties."""
+    return D.first_per_key(_reply_rows(spark, sf), "reply_id", [
+        F.col(c).asc_nulls_last() for c in ("date", "l_partkey", "l_suppkey", "l_quantity")])
 
 
 @register("first_per_key_agg", _FIRST_SQL)
@@ -71,6 +71,27 @@ def q_pending_batches(spark, sf):
                               F.floor(F.col("conv_id") / PENDING_BUCKET_WIDTH))
 
 
+@register("pending_batches_per_account", """
+WITH todo AS (SELECT DISTINCT o_custkey, o_orderkey FROM orders
+              WHERE o_orderstatus <> 'F' AND o_orderkey IN (SELECT l_orderkey FROM lineitem)),
+nb AS (SELECT *, floor((row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) / 12)::BIGINT AS batch FROM todo)
+SELECT o_custkey AS account_id, batch, count(*) AS n_ids,
+       'conversation_id:' || string_agg(cast(o_orderkey AS varchar), ' OR ' ORDER BY o_orderkey) AS query
+FROM nb GROUP BY o_custkey, batch
+""")
+def q_pending_batches_per_account(spark, sf):
+    """Work queue per account: its uncollected posts with replies, batches of 12 and search strings."""
+    from ...functions.text import id_query
+    from ...operators.ranking import fixed_size_batches
+    o = _table(spark, sf, "orders")
+    replied = _table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    todo = o.filter(F.col("o_orderstatus") != "F").select("o_custkey", "o_orderkey").distinct().join(
+        replied, "o_orderkey", "left_semi")
+    numbered = fixed_size_batches(todo, "o_orderkey", 12, "o_custkey")
+    return numbered.groupBy(F.col("o_custkey").alias("account_id"), "batch").agg(
+        F.count(F.lit(1)).alias("n_ids"), id_query(F.collect_list("o_orderkey"), "conversation_id:").alias("query"))
+
+
 @register("reply_to_post_join", """
 WITH p AS (SELECT conv_id, role AS news_role, length(text) AS news_chars FROM conversations WHERE turn = 0),
 r AS (SELECT conv_id, turn, role, length(text) AS chars FROM conversations WHERE turn > 0)

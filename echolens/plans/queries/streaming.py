@@ -40,7 +40,7 @@ def q_stream_dedupe_replies(spark, sf):
 def q_stream_emotion_scores(spark, sf):
     """Streaming score-and-append with foreachBatch."""
     from ...operators.scoring import score_with_model, train_text_scorer
-    model = train_text_scorer(_labelled_docs(spark, sf), "content", "label", num_features=1 << 16)
+    model = train_text_scorer(_labelled_docs(spark, sf), "content", "label")
     st = SJ.file_stream(spark, sf, _schema_of(spark, sf, "documents"), glob="documents.parquet")
     docs = st.select("doc_id", F.col("text").alias("content"))
     return SJ.score_stream(docs, lambda b: score_with_model(b, model, "doc_id", "content"), "scores")

@@ -150,7 +150,7 @@ def q_coherence_sweep(spark, sf):
 def q_emotion_scores(spark, sf):
     """Emotion scores of every document from a scorer trained on labels."""
     from ...operators.scoring import score_with_model, train_text_scorer
-    model = train_text_scorer(_labelled_docs(spark, sf), "content", "label", num_features=1 << 16)
+    model = train_text_scorer(_labelled_docs(spark, sf), "content", "label")
     docs = _table(spark, sf, "documents").select("doc_id", F.col("text").alias("content"))
     return score_with_model(docs, model, "doc_id", "content")
 

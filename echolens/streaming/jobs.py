@@ -21,6 +21,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,7 +63,9 @@ def _read_sink(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     """The batches written by ``foreachBatch``; empty (with ``schema``) when none arrived."""
     try:
         return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - the folder only exists once a batch was written
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":      # the folder only exists once a batch was written
+            raise
         return spark.createDataFrame([], schema)
 
 
@@ -120,7 +123,5 @@ def score_stream(stream: DataFrame, score_batch: Callable[[DataFrame], DataFrame
     q = (stream.writeStream.foreachBatch(write).option("checkpointLocation", ckpt)
                .trigger(availableNow=True).start())
     q.awaitTermination()
-    try:
-        return spark.read.parquet(out).drop("_batch")
-    except Exception:  # noqa: BLE001 - nothing arrived: no batch was written
-        return score_batch(spark.createDataFrame([], stream.schema))
+    empty = score_batch(spark.createDataFrame([], stream.schema))
+    return _read_sink(spark, out, empty.schema).select(*empty.columns)

@@ -66,6 +66,32 @@ def test_consolidation_edges(spark):
     assert out == {100: ("Africa", "sadness", "anger")}
 
 
+def test_unusable_first_post_drops_its_conversation(spark):
+    """The first post of a conversation stands for it, also when its scores are skipped or in error."""
+    media = spark.createDataFrame([("us_news", "US", "Paper", "Newspaper")],
+                                  "username string, country string, media_outlet string, media_category string")
+    accounts = spark.createDataFrame([(11, "us_news")], "userId long, username string")
+    posts = spark.createDataFrame(
+        [(i, c, 11, T0 + dt.timedelta(hours=i), "en") for i, c in [(1, 1), (2, 1), (3, 3), (4, 3), (5, 5), (6, 5)]],
+        "tweetId long, conversationId long, userId long, date timestamp, lang string")
+    good, none, error = (0.7, 0.1, 0.1, 0.1), (None,) * 4, (-1.0,) * 4
+    scores = spark.createDataFrame([(1, *none), (2, *good), (3, *error), (4, *good), (5, *good), (6, *none)],
+                                   "tweetId long, anger double, joy double, optimism double, sadness double")
+    topics = spark.createDataFrame([(i, 7, *[False for _ in SUBTHEME_CODES]) for i in range(1, 7)], "tweetId long, theme int, "
+                                   + ", ".join(f"subtheme{c} boolean" for c in SUBTHEME_CODES))
+    news = CN.consolidate_posts(posts, accounts, media, scores, topics)
+    assert [r.tweetId for r in news.collect()] == [5]
+    kept = CN.consolidate_posts(posts, accounts, media, scores, topics, include_error_rows=True)
+    assert sorted(r.tweetId for r in kept.collect()) == [3, 5]
+
+
+def test_repeated_ids_keep_the_same_row(spark):
+    s = [(1, 0.5, 0.2, 0.2, 0.1), (1, 0.4, 0.2, 0.2, 0.2)]
+    schema = "tweetId long, anger double, joy double, optimism double, sadness double"
+    for rows in (s, s[::-1]):
+        assert [r.anger for r in CN.score_rows(spark.createDataFrame(rows, schema)).collect()] == [0.4]
+
+
 def test_error_rows_excluded_by_default(spark):
     s = spark.createDataFrame([(1, -1.0, -1.0, -1.0, -1.0), (2, None, None, None, None), (3, 0.1, 0.2, 0.3, 0.4)],
                               "tweetId long, anger double, joy double, optimism double, sadness double")
