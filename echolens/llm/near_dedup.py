@@ -20,6 +20,12 @@ later links join whole components.
 No task gets a whole region or group: the sorted orders are dealt by range,
 and the pairs by their ids.
 
+Before full sets are shuffled, a pair's whole signatures are compared: a pair
+whose equal minhashes are so few that a link of the required similarity has
+them with a chance below ``MISS`` isn't held against full sets (with 80
+minhashes and 0.8: fewer than 43).  The forest's own chance of a miss is far
+larger; no link is taken from signatures alone.
+
 Defined results: null or empty text has an empty set and is linked with
 nothing; a null ``doc_id`` can't be named by a link, so such a row is its
 own (null) component and is kept; a repeated row gets the same answer each
@@ -30,6 +36,7 @@ result; other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -45,6 +52,7 @@ DEPTH = 4
 REACH = 6
 FIRST = 4
 HUBS = 8
+MISS = 1e-7
 
 
 def _hashers(n: int):
@@ -140,6 +148,31 @@ def candidates(classes: DataFrame, trees: int = TREES, depth: int = DEPTH, reach
     return pairs.select("a", "b").distinct()
 
 
+def least_equal(width: int, percent: int, miss: float = MISS) -> int:
+    """The most equal minhashes of ``width`` that a pair of similarity ``percent`` undercuts with a chance below ``miss``."""
+    p, tail, n = percent / 100, 0.0, 0
+    while n < width and tail + comb(width, n) * p**n * (1 - p)**(width - n) < miss:
+        tail += comb(width, n) * p**n * (1 - p)**(width - n)
+        n += 1
+    return n
+
+
+def plausible(pairs: DataFrame, classes: DataFrame, percent: int, width: int) -> DataFrame:
+    """The pairs whose signatures agree often enough for a link."""
+    least = least_equal(width, percent)
+
+    def run(batches):
+        for b in batches:
+            if not len(b):
+                continue
+            x, y = (np.stack([np.frombuffer(v, np.uint32) for v in b[c]]) for c in ("sa", "sb"))
+            yield b.loc[(x == y).sum(1) >= least, ["a", "b"]]
+
+    j = pairs.select("a", "b").join(classes.select(F.col("doc").alias("a"), F.col("sig").alias("sa")), "a")
+    j = j.join(classes.select(F.col("doc").alias("b"), F.col("sig").alias("sb")), "b").select("a", "b", "sa", "sb")
+    return j.mapInPandas(run, "a long, b long")
+
+
 def _confirm(percent: int):
     def run(batches):
         for b in batches:
@@ -208,23 +241,30 @@ def near_duplicates(docs: DataFrame, text: str = "text", words: int = 5, percent
     def ends(pairs):
         return pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct()
 
+    def likely(pairs):
+        return write_table(plausible(pairs, classes, percent, trees * depth), "likely")
+
     tested = write_table(candidates(classes.withColumn("comp", F.col("doc")), min(FIRST, trees), depth, 1), "pairs")
-    sets = write_table(_full_sets(docs, text, ends(tested), words), "sets")
-    links = write_table(confirmed(tested, sets, percent), "links")
+    held = likely(tested)
+    sets = write_table(_full_sets(docs, text, ends(held), words), "sets")
+    links = write_table(confirmed(held, sets, percent), "links")
     comps = components(links)
     placed = classes.select("doc", "sig").join(comps.withColumnRenamed("node", "doc"), "doc", "left").withColumn(
         "comp", F.coalesce("component", "doc"))
     pairs = write_table(candidates(placed, trees, depth, reach), "pairs")
     new = pairs.join(tested, ["a", "b"], "left_anti")
-    missing = ends(new).join(sets.select("doc"), "doc", "left_anti")
-    sets = sets.union(write_table(_full_sets(docs, text, missing, words), "sets"))
-    more = write_table(confirmed(new, sets, percent), "links")
     tested = tested.union(new)
-    while not more.isEmpty():
+    while True:
+        held = likely(new)
+        missing = ends(held).join(sets.select("doc"), "doc", "left_anti")
+        sets = sets.union(write_table(_full_sets(docs, text, missing, words), "sets"))
+        more = write_table(confirmed(held, sets, percent), "links")
+        if more.isEmpty():
+            break
         links = links.union(more)
         comps = _joined(comps, more)
         probes = write_table(_probes(pairs, comps, links, hubs).join(tested, ["a", "b"], "left_anti"), "probes")
-        more = write_table(confirmed(_apart(probes, comps), sets, percent), "links")
+        new = _apart(probes, comps)
         tested = tested.union(probes)
     degree = links.select(F.col("a").alias("rep")).union(links.select("b")).groupBy("rep").agg(F.count(F.lit(1)).alias("n"))
     found = classes.select("p1", "p2", "n_shingles", F.col("doc").alias("rep")).join(

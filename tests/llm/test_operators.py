@@ -97,6 +97,13 @@ def test_near_duplicates_brute_force(spark, documents, n):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_signature_bound():
+    n = near_dedup.least_equal(80, 80)
+    draws = np.random.default_rng(5).binomial(80, 0.8, 1_000_000)
+    assert n == 43 and draws.min() >= n
+    assert near_dedup.least_equal(80, 100) == 80 and near_dedup.least_equal(4, 80) == 0
+
+
 def test_near_duplicates_awkward(awkward):
     got = near_dedup.near_duplicates(awkward, words=2).collect()
     assert len(got) == len(AWKWARD)
