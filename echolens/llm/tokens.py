@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE = 1_000_000
+CACHE = 250_000         # about 50 MB a worker process
 LENGTH = 2048
 END = b"\0\0\0\0"      # id 0, little-endian
 _UNSAFE = re.compile(r"\s \s")
