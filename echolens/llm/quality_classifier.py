@@ -163,7 +163,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "
     return GatedAttention().fit(x, bags["n"].to_numpy(), (bags["y"] > 0).to_numpy().astype(int))
 
 
-def scored(docs: DataFrame, model: GatedAttention, text: str = "t", out: str = "score", batch: int = 2_000_000) -> DataFrame:
+def scored(docs: DataFrame, model: GatedAttention, text: str = "t", out: str = "score", batch: int = 500_000) -> DataFrame:
     """``docs`` with its score; several texts are encoded at once, up to ``batch`` characters (or one text)."""
     def score(texts) -> np.ndarray:
         parts, sizes, made, held = [], [], [], 0
