@@ -5,14 +5,18 @@ each order the texts are sorted by their signature values; texts that share
 the first ``depth`` values form a region, and inside a region the following
 values go on sorting, so that a text lies beside those with which it shares
 the longest prefix, however crowded the region is: the depth adapts to the
-region.  The neighbours within ``reach`` places are candidates.
+region.  The neighbours within ``reach`` places are candidates.  A region
+with more texts than that, of more than one component, is then held against
+itself whole: its texts are dealt into salted blocks, and each pair of blocks
+compares the signatures of all its texts of different components.  So every
+two texts that share a region in some order are compared.
 
 Copies are folded first (one class per distinct shingle set), so a group of
 a million copies is one entry of the forest.  Candidates are confirmed on
 full shingle sets, in rounds: the nearest neighbours in the first ``FIRST``
 orders; then all neighbours in all orders, which are sorted with each text's
-component, so that a crowd of linked texts forms no pairs; then, as long as that finds
-links, texts that met a component in some region without a link are held
+component, so that a crowd of linked texts forms no pairs; then the crowded
+regions, whole; then, as long as that finds links, texts that met a component in some region without a link are held
 against that component's best-linked texts.  Each round writes its links to
 the shared folder; pairs within a component are never formed again, and
 later links join whole components.
@@ -52,6 +56,7 @@ DEPTH = 4
 REACH = 6
 FIRST = 4
 HUBS = 8
+BLOCK = 1024
 MISS = 1e-7
 
 
@@ -88,7 +93,7 @@ def signatures(docs: DataFrame, text: str = "text", words: int = 5, trees: int =
 
 
 def _forest(classes: DataFrame, trees: int, depth: int) -> DataFrame:
-    """(region, d1, d2, doc, comp): one row per text and order; sorting by it is the forest."""
+    """(region, d1, d2, doc, comp, t): one row per text and order ``t``; sorting by it is the forest."""
     def run(batches):
         for b in batches:
             if not len(b):
@@ -102,9 +107,10 @@ def _forest(classes: DataFrame, trees: int, depth: int) -> DataFrame:
                     key = mix64(key * np.uint64(0xD6E8FEB86659FD93) + s[:, i])
                 d = [((s[:, at[depth + i]] << np.uint64(32)) | s[:, at[depth + i + 1]]).view(np.int64) for i in (0, 2)]
                 yield pd.DataFrame({"region": key.view(np.int64), "d1": d[0], "d2": d[1], "doc": b["doc"].to_numpy(),
-                                    "comp": b["comp"].to_numpy()})
+                                    "comp": b["comp"].to_numpy(), "t": t})
 
-    return classes.select("doc", "comp", "sig").mapInPandas(run, "region long, d1 long, d2 long, doc long, comp long")
+    return classes.select("doc", "comp", "sig").mapInPandas(
+        run, "region long, d1 long, d2 long, doc long, comp long, t int")
 
 
 def _neighbours(reach: int):
@@ -138,7 +144,7 @@ def candidates(classes: DataFrame, trees: int = TREES, depth: int = DEPTH, reach
     """(a, b): texts of different ``comp`` that are neighbours in some order."""
     order = ["region", "d1", "d2", "doc"]
     schema = "region long, d1 long, d2 long, doc long, comp long, a long, b long, apart int"
-    forest = _forest(classes, trees, depth)
+    forest = _forest(classes, trees, depth).drop("t")
     n = max(1, int(forest.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ranged = forest.repartitionByRange(n, *order).sortWithinPartitions(*order)
     found = write_table(ranged.mapInPandas(_neighbours(reach), schema), "neighbours")
@@ -173,6 +179,69 @@ def plausible(pairs: DataFrame, classes: DataFrame, percent: int, width: int) ->
     return j.mapInPandas(run, "a long, b long")
 
 
+def _compare(least: int, trees: int, depth: int):
+    """Over one pair of blocks (``half`` 0 and 1; 2: a block with itself): its pairs of different components whose
+    signatures agree in ``least`` places, if they share no region in an order before ``t``."""
+    def run(g: pd.DataFrame) -> pd.DataFrame:
+        half, doc, comp, t = g["half"].to_numpy(), g["doc"].to_numpy(), g["comp"].to_numpy(), int(g["t"].iloc[0])
+        s = np.stack([np.frombuffer(v, np.uint32) for v in g["sig"]])
+        own = bool((half == 2).any())
+        x, y = (np.arange(len(g)),) * 2 if own else (np.flatnonzero(half == 0), np.flatnonzero(half == 1))
+        across, out = np.ascontiguousarray(s[y].T), [np.zeros((0, 2), np.int64)]
+        for i in range(0, len(x), 256):
+            part = x[i:i + 256]
+            equal = np.zeros((len(part), len(y)), np.uint16)
+            for k in range(s.shape[1]):
+                equal += s[part, k, None] == across[k]
+            a, b = np.nonzero((equal >= least) & (comp[part, None] != comp[y]))
+            a, b = part[a], y[b]
+            keep = ~(s[a] == s[b]).reshape(-1, trees, depth).all(2)[:, :t].any(1)
+            if own:
+                keep &= a < b
+            out.append(np.stack([np.minimum(doc[a], doc[b]), np.maximum(doc[a], doc[b])], axis=1)[keep])
+        return pd.DataFrame(np.concatenate(out), columns=["a", "b"])
+    return run
+
+
+def in_blocks(rows: DataFrame, classes: DataFrame, percent: int, trees: int, depth: int, within: bool,
+              block: int = BLOCK) -> DataFrame:
+    """(a, b) of ``rows`` (grp, t, side, doc, comp): in each group the texts of side 1 against those of side 0, and with
+    ``within`` against each other, in pairs of salted blocks of about ``block`` texts; see :func:`_compare`."""
+    blocks = rows.groupBy("grp").agg(F.ceil(F.sum(1 - F.col("side")) / block).alias("n0"),
+                                     F.ceil(F.sum("side") / block).alias("n1"))
+    d = rows.join(blocks, "grp").withColumn("own", F.pmod(F.xxhash64("doc"), F.when(F.col("side") == 0, F.col("n0")).otherwise(F.col("n1"))))
+
+    def copies(n, make):
+        return F.transform(F.when(F.col(n) > 0, F.sequence(F.lit(0).cast("long"), F.col(n) - 1)).otherwise(
+            F.array().cast("array<bigint>")), make)
+
+    def copy(kind, i, j, half):
+        return F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"), half.alias("half"))
+
+    own = F.col("own")
+    left = copies("n1", lambda k: copy(0, own, k, F.lit(0)))
+    right = copies("n0", lambda k: copy(0, k, own, F.lit(1)))
+    if within:
+        right = F.concat(right, copies("n1", lambda k: copy(1, F.least(own, k), F.greatest(own, k), F.when(
+            own == k, F.lit(2)).when(own < k, F.lit(0)).otherwise(F.lit(1)))))
+    d = d.join(classes.select("doc", "sig"), "doc").select(
+        "grp", "t", "doc", "comp", "sig", F.inline(F.when(F.col("side") == 0, left).otherwise(right)))
+    return d.groupBy("grp", "kind", "i", "j").applyInPandas(
+        _compare(least_equal(trees * depth, percent), trees, depth), "a long, b long")
+
+
+def crowded(classes: DataFrame, trees: int, depth: int, reach: int) -> DataFrame:
+    """(grp, t, side, doc, comp): texts of the regions whose texts aren't all within ``reach`` places and not all of one
+    component; side 0 is the region's largest component, none of whose texts need be compared with each other."""
+    forest = _forest(classes, trees, depth).select(F.col("region").alias("grp"), "t", "doc", "comp")
+    many = forest.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter(
+        (F.col("n") > reach + 1) & (F.col("lo") != F.col("hi")))
+    rows = write_table(forest.join(many, "grp", "left_semi"), "crowded")
+    largest = rows.groupBy("grp", "comp").agg(F.count(F.lit(1)).alias("n")).groupBy("grp").agg(
+        F.max(F.struct("n", "comp"))["comp"].alias("most"))
+    return rows.join(largest, "grp").select("grp", "t", (F.col("comp") != F.col("most")).cast("int").alias("side"), "doc", "comp")
+
+
 def _confirm(percent: int):
     def run(batches):
         for b in batches:
@@ -249,23 +318,35 @@ def near_duplicates(docs: DataFrame, text: str = "text", words: int = 5, percent
     sets = write_table(_full_sets(docs, text, ends(held), words), "sets")
     links = write_table(confirmed(held, sets, percent), "links")
     comps = components(links)
-    placed = classes.select("doc", "sig").join(comps.withColumnRenamed("node", "doc"), "doc", "left").withColumn(
-        "comp", F.coalesce("component", "doc"))
-    pairs = write_table(candidates(placed, trees, depth, reach), "pairs")
+
+    def placed():
+        return classes.select("doc", "sig").join(comps.withColumnRenamed("node", "doc"), "doc", "left").withColumn(
+            "comp", F.coalesce("component", "doc"))
+
+    def confirm(held):
+        nonlocal sets
+        missing = ends(held).join(sets.select("doc"), "doc", "left_anti")
+        sets = sets.union(write_table(_full_sets(docs, text, missing, words), "sets"))
+        return write_table(confirmed(held, sets, percent), "links")
+
+    pairs = write_table(candidates(placed(), trees, depth, reach), "pairs")
     new = pairs.join(tested, ["a", "b"], "left_anti")
     tested = tested.union(new)
+    more = confirm(likely(new))
+    links, comps = links.union(more), _joined(comps, more)
+    crowd = crowded(placed(), trees, depth, reach)
+    held = write_table(in_blocks(crowd, classes, percent, trees, depth, True).join(tested, ["a", "b"], "left_anti"), "likely")
+    more = confirm(held)
+    links, comps = links.union(more), _joined(comps, more)
+    pairs, tested = pairs.union(held), tested.union(held)
     while True:
-        held = likely(new)
-        missing = ends(held).join(sets.select("doc"), "doc", "left_anti")
-        sets = sets.union(write_table(_full_sets(docs, text, missing, words), "sets"))
-        more = write_table(confirmed(held, sets, percent), "links")
+        probes = write_table(_probes(pairs, comps, links, hubs).join(tested, ["a", "b"], "left_anti"), "probes")
+        tested = tested.union(probes)
+        more = confirm(likely(_apart(probes, comps)))
         if more.isEmpty():
             break
         links = links.union(more)
         comps = _joined(comps, more)
-        probes = write_table(_probes(pairs, comps, links, hubs).join(tested, ["a", "b"], "left_anti"), "probes")
-        new = _apart(probes, comps)
-        tested = tested.union(probes)
     degree = links.select(F.col("a").alias("rep")).union(links.select("b")).groupBy("rep").agg(F.count(F.lit(1)).alias("n"))
     found = classes.select("p1", "p2", "n_shingles", F.col("doc").alias("rep")).join(
         comps.withColumnRenamed("node", "rep"), "rep", "left").join(degree, "rep", "left").select(

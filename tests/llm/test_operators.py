@@ -97,6 +97,28 @@ def test_near_duplicates_brute_force(spark, documents, n):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_near_duplicates_in_crowds(spark):
+    """400 texts 0.77 alike, 120 of them with a partner at 0.81, ids far apart: every partner is found, nothing else is linked."""
+    base, rows = [f"c{i}" for i in range(770)], []
+    for i in range(400):
+        shared = [f"p{i % 200}x{k}" for k in range(24)] if i % 200 < 120 else []
+        rows.append((i, " ".join(base + shared + [f"u{i}x{k}" for k in range(115 - len(shared))])))
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=1).collect()}
+    assert got == {i: i % 200 if i % 200 < 120 else i for i in range(400)}
+
+
+def test_blocks_compare_every_pair(spark):
+    """Groups cut into many blocks give each pair of different components once."""
+    sig = np.zeros(8, np.uint32).tobytes()
+    classes = spark.createDataFrame([(i, sig) for i in range(40)], "doc long, sig binary")
+    rows = spark.createDataFrame([(g, 0, int(i >= 15), i, 0 if i < 15 else i // 2) for g in (1, 2) for i in range(40)],
+                                 "grp long, t int, side int, doc long, comp long")
+    for within in (True, False):
+        got = near_dedup.in_blocks(rows, classes, 80, 2, 4, within, block=4).collect()
+        want = [(i, j) for i in range(40) for j in range(max(i + 1, 15), 40) if i < 15 or within and i // 2 != j // 2]
+        assert sorted((r.a, r.b) for r in got) == sorted(want * 2)
+
+
 def test_signature_bound():
     n = near_dedup.least_equal(80, 80)
     draws = np.random.default_rng(5).binomial(80, 0.8, 1_000_000)
