@@ -16,8 +16,9 @@ a million copies is one entry of the forest.  Candidates are confirmed on
 full shingle sets, in rounds: the nearest neighbours in the first ``FIRST``
 orders; then all neighbours in all orders, which are sorted with each text's
 component, so that a crowd of linked texts forms no pairs; then the crowded
-regions, whole; then, as long as that finds links, texts that met a component in some region without a link are held
-against that component's best-linked texts.  Each round writes its links to
+regions, whole; then, at least once and as long as that finds links, texts
+that met a component in some region without a link are held against all of
+its texts, in salted blocks too.  Each round writes its links to
 the shared folder; pairs within a component are never formed again, and
 later links join whole components.
 
@@ -55,7 +56,6 @@ TREES = 20
 DEPTH = 4
 REACH = 6
 FIRST = 4
-HUBS = 8
 BLOCK = 1024
 MISS = 1e-7
 
@@ -286,21 +286,29 @@ def _joined(comps: DataFrame, links: DataFrame) -> DataFrame:
     return write_table(moved.select("node", F.coalesce("to", "component").alias("component")).union(to), "components")
 
 
-def _probes(pairs: DataFrame, comps: DataFrame, links: DataFrame, hubs: int) -> DataFrame:
-    """For texts of a pair that no link joined yet: each against the other's component's best-linked texts."""
-    split = _apart(pairs, comps)
-    degree = links.select(F.col("a").alias("doc")).union(links.select("b")).groupBy("doc").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("component").orderBy(F.col("n").desc(), "doc")
-    best = degree.join(comps.withColumnRenamed("node", "doc"), "doc", "left").withColumn(
-        "component", F.coalesce("component", "doc")).withColumn("r", F.row_number().over(w)).filter(F.col("r") <= hubs)
-    best = best.select("component", F.col("doc").alias("hub"))
-    met = split.select(F.inline(F.array(F.struct(F.col("a").alias("doc"), F.col("cb").alias("component")),
-                                        F.struct(F.col("b").alias("doc"), F.col("ca").alias("component"))))).distinct()
-    return met.join(best, "component").select(F.least("doc", "hub").alias("a"), F.greatest("doc", "hub").alias("b")).distinct()
+def met(pairs: DataFrame, comps: DataFrame) -> DataFrame:
+    """(doc, comp, grp, n): the texts of pairs that no link joined yet, with their own component and the other text's,
+    if that has ``n`` > 1 texts."""
+    large = comps.groupBy("component").agg((F.count(F.lit(1)) + 1).alias("n")).withColumnRenamed("component", "grp")
+    two = _apart(pairs, comps).select(F.inline(F.array(
+        F.struct(F.col("a").alias("doc"), F.col("ca").alias("comp"), F.col("cb").alias("grp")),
+        F.struct(F.col("b").alias("doc"), F.col("cb").alias("comp"), F.col("ca").alias("grp"))))).distinct()
+    return two.join(large, "grp").select("doc", "comp", "grp", "n")
+
+
+def against_members(meetings: DataFrame, comps: DataFrame, classes: DataFrame, percent: int, trees: int, depth: int) -> DataFrame:
+    """(a, b): each text of ``meetings`` with every text of the component that it met, if the signatures allow a link and
+    they share no region (those that do were compared there)."""
+    groups = meetings.select("grp").distinct()
+    members = comps.select("node", "component").union(comps.select("component", "component").distinct())
+    rows = members.join(groups, F.col("component") == F.col("grp")).select(
+        "grp", F.lit(trees).alias("t"), F.lit(0).alias("side"), F.col("node").alias("doc"), F.col("component").alias("comp"))
+    rows = rows.union(meetings.select("grp", F.lit(trees), F.lit(1), "doc", "comp"))
+    return in_blocks(rows, classes, percent, trees, depth, False).distinct()
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", words: int = 5, percent: int = 80, trees: int = TREES,
-                    depth: int = DEPTH, reach: int = REACH, hubs: int = HUBS) -> DataFrame:
+                    depth: int = DEPTH, reach: int = REACH) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept, n_links
     (confirmed links found between its class and others)."""
     sigs = write_table(signatures(docs, text, words, trees, depth), "signatures")
@@ -338,15 +346,21 @@ def near_duplicates(docs: DataFrame, text: str = "text", words: int = 5, percent
     held = write_table(in_blocks(crowd, classes, percent, trees, depth, True).join(tested, ["a", "b"], "left_anti"), "likely")
     more = confirm(held)
     links, comps = links.union(more), _joined(comps, more)
-    pairs, tested = pairs.union(held), tested.union(held)
+    pairs, tested, done = pairs.union(held), tested.union(held), None
     while True:
-        probes = write_table(_probes(pairs, comps, links, hubs).join(tested, ["a", "b"], "left_anti"), "probes")
-        tested = tested.union(probes)
-        more = confirm(likely(_apart(probes, comps)))
+        meetings = met(pairs, comps)
+        if done is not None:   # a component that has as many texts as before has the same ones
+            meetings = meetings.join(done, ["doc", "grp", "n"], "left_anti")
+        meetings = write_table(meetings.select("doc", "comp", "grp", "n"), "met")
+        held = against_members(meetings, comps, classes, percent, trees, depth).join(tested, ["a", "b"], "left_anti")
+        held = write_table(held, "likely")
+        more = confirm(held)
         if more.isEmpty():
             break
-        links = links.union(more)
-        comps = _joined(comps, more)
+        links, comps = links.union(more), _joined(comps, more)
+        pairs, tested = pairs.union(held), tested.union(held)
+        now = meetings.select("doc", "grp", "n")
+        done = now if done is None else done.union(now)
     degree = links.select(F.col("a").alias("rep")).union(links.select("b")).groupBy("rep").agg(F.count(F.lit(1)).alias("n"))
     found = classes.select("p1", "p2", "n_shingles", F.col("doc").alias("rep")).join(
         comps.withColumnRenamed("node", "rep"), "rep", "left").join(degree, "rep", "left").select(

@@ -107,6 +107,30 @@ def test_near_duplicates_in_crowds(spark):
     assert got == {i: i % 200 if i % 200 < 120 else i for i in range(400)}
 
 
+def test_near_duplicates_one_member_of_a_component(spark):
+    """Texts that are like one outlying version of a component only join it if they met any of its texts."""
+    width, rows, sets = 2, [], {}
+    for g in range(40):
+        hub = [f"g{g}h{k}" for k in range(1000)]
+        texts = [hub[:-1] + [f"g{g}v{i}"] for i in range(12)]
+        own = [f"g{g}o{k}" for k in range(100)]
+        texts += [hub[:900] + own, hub[:830] + own[:60] + hub[900:940] + [f"g{g}x{k}" for k in range(70)]]
+        for i, t in enumerate(texts):
+            rows.append((100 * g + i, " ".join(t)))
+            sets[100 * g + i] = near_dedup.shingle_set(rows[-1][1], 1)
+    xor, mul = near_dedup._hashers(width * 4)
+    sig = {i: near_dedup._signature(h, xor, mul).reshape(width, 4) for i, h in sets.items()}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    comp = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs, words=1, trees=width).collect()}
+    far = 0
+    for g in range(0, 4000, 100):
+        share = {i: (sig[g + 13] == sig[g + i]).all(1).any() for i in range(13)}
+        if comp[g + 12] == g and any(share[i] and comp[g + i] == g for i in range(13)):
+            assert comp[g + 13] == g
+            far += not share[12]
+    assert far
+
+
 def test_blocks_compare_every_pair(spark):
     """Groups cut into many blocks give each pair of different components once."""
     sig = np.zeros(8, np.uint32).tobytes()
