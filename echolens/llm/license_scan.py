@@ -1,15 +1,19 @@
 """Licence scans: sentence recognition, then ordered rules over the sentences found.
 
-A text is cut into sentences at line ends and after closing marks, each is
-normalised (lower case, runs of other characters than letters and digits to
-one space), and looked up among the known licence sentences; the known ones
-form the text's identifier sequence.  A rule is an ordered list of
+A text is cut into paragraphs at lines without letters and digits (so a
+comment's empty lines count), and normalised (lower case, runs of other
+characters than letters and digits, comment marks too, to one space; closing
+marks and line ends are kept as two kinds of border).  A known licence
+sentence is one that stands between two borders; it may run over line ends,
+not over closing marks, so wrapped texts and one-line notices are both read.
+A copyright notice's years and holder are left out of it.  The known
+sentences form the text's identifier sequence.  A rule is an ordered list of
 identifiers; it matches where these stand in the sequence in that order
 (other known sentences may lie between).  Rules are tried in their order,
 and all that match are reported.
 
 Everything is one projection of built-in functions: no shuffle, no user
-function.  Only sentences with one of ``STEMS`` are normalised; every known
+function.  Only paragraphs with one of ``STEMS`` are normalised; every known
 sentence has one (checked by a test), so this skips none.
 
 Defined results: null and empty texts have no sentences and no licence; very
@@ -61,6 +65,25 @@ SENTENCES = (
     ("reserved", "copyright all rights reserved"),
 )
 
+# Full sentences of the published texts, which the ones above are the beginnings of or which differ from them.
+_GPL = "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation "
+PUBLISHED = (
+    ("mit-name", "the mit license mit"),
+    ("mit-grant", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+                  "documentation files the software to deal in the software without restriction including without limitation the "
+                  "rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit "
+                  "persons to whom the software is furnished to do so subject to the following conditions"),
+    ("as-is", "the software is provided as is without warranty of any kind express or implied including but not limited to the "
+              "warranties of merchantability fitness for a particular purpose and noninfringement"),
+    *(("gpl-free", start + _GPL + end) for start in ("this program is free software ", "")
+      for v in ("2", "3") for end in (f"either version {v} of the license or at your option any later version",
+                                      f"version {v} of the license", f"version {v}")),
+)
+
+# A copyright notice with years and holder, normalised to "copyright notice".  Many free licences begin with one, so it
+# shows a proprietary text only where no rule matches.
+NOTICE = "copyright(?:[ \x01][a-z0-9]+){1,30}?[ \x01\x02]all[ \x01]rights[ \x01]reserved"
+
 # Ordered rules: licence and the identifiers that show it, in order.
 RULES = (
     ("MIT", ("mit-line",)),
@@ -86,15 +109,30 @@ def pattern(ids: tuple) -> str:
 
 def scan(docs: DataFrame, text: str = "text", sentences=SENTENCES, rules=RULES) -> DataFrame:
     """Per row: doc_id, sentence_ids, licenses (both in order, comma-separated), n_sentences known, license (the first)."""
-    cut = F.split(F.coalesce(F.col(text), F.lit("")), r"\n|[.!?;]+(?=[ \t\r\n]|$)")
-    d = docs.select("doc_id", F.filter(cut, lambda s: s.rlike(f"(?i){STEMS}")).alias("s"))
-    norm = F.transform("s", lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")))
-    d = d.select("doc_id", F.when(F.size("s") > 0, norm).otherwise(F.array().cast("array<string>")).alias("s"))
+    # \x01 is a line end inside a paragraph, \x02 a closing mark or a paragraph's border.
+    lines = F.split(F.translate(F.coalesce(F.col(text), F.lit("")), "\x01\x02", "  "), r"\n[^A-Za-z0-9\n]*(?=\n|$)")
+    d = docs.select("doc_id", F.filter(lines, lambda s: s.rlike(f"(?i){STEMS}")).alias("s"))
+
+    def norm(s):
+        for old, new in ((r"(?:^|\n)[^a-z0-9\n]*(?:(?:dnl|rem)(?![a-z0-9]))?", "\x01"), (r"[.!?;]+(?=[ \t\r\n\x01]|$)", "\x02"),
+                         (r"[^a-z0-9\x01\x02]+", " "), (r"[\x01 ]*\x02[\x01\x02 ]*", "\x02"), (r" *\x01[\x01 ]*", "\x01")):
+            s = F.regexp_replace(s if old[0] != "(" else F.lower(s), old, new)
+        return F.concat(F.lit("\x02"), F.trim(s), F.lit("\x02"))
+
+    sentences = (*sentences, *PUBLISHED) if sentences is SENTENCES else sentences
+    longest = sorted({x for _, x in sentences}, key=lambda x: (-len(x), x))
+    found = rf"(?<=[\x01\x02])(?:{'|'.join(x.replace(' ', '[ \\x01]') for x in longest)}|{NOTICE})(?=[\x01\x02])"
+    own = F.flatten(F.transform("s", lambda s: F.regexp_extract_all(norm(s), F.lit(found), F.lit(0))))
+    own = F.transform(own, lambda m: F.regexp_replace(F.regexp_replace(m, "[\x01\x02]", " "), "^copyright .+ all rights reserved$",
+                                                      "copyright notice"))
+    d = d.select("doc_id", F.when(F.size("s") > 0, own).otherwise(F.array().cast("array<string>")).alias("s"))
+    sentences = (*sentences, ("reserved-notice", "copyright notice"))
     known = F.create_map(*[F.lit(x) for i, s in sentences for x in (s, i)])
     d = d.select("doc_id", F.array_compact(F.transform("s", lambda s: F.try_element_at(known, s))).alias("ids"))
     d = d.select("doc_id", "ids", F.concat(F.lit("|"), F.array_join("ids", "||"), F.lit("|")).alias("line"))
     hits = F.array_distinct(F.array_compact(F.array(*[F.when(F.col("line").like(pattern(ids)), F.lit(name)) for name, ids in rules])))
-    d = d.select("doc_id", "ids", hits.alias("hits"))
+    d = d.select("doc_id", "ids", hits.alias("hits")).withColumn("hits", F.when(
+        (F.size("hits") == 0) & F.array_contains("ids", "reserved-notice"), F.array(F.lit("proprietary"))).otherwise(F.col("hits")))
     return d.select("doc_id", F.array_join("ids", ",").alias("sentence_ids"), F.array_join("hits", ",").alias("licenses"),
                     F.size("ids").cast("long").alias("n_sentences"), F.get("hits", F.lit(0)).alias("license"))
 

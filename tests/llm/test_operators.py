@@ -319,6 +319,51 @@ def test_license(spark, awkward):
     assert all(re.search(license_scan.STEMS, s) for _, s in license_scan.SENTENCES)
 
 
+MIT = """The MIT License (MIT)
+
+Copyright (c) 2014-2020 Jane Doe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in
+all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL
+"""
+GPL = """This program is free software{} you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version {} of the License, or
+(at your option) any later version.
+"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice,
+   this list of conditions and the following disclaimer.
+"""
+
+
+def test_license_wrapped(spark):
+    texts = [MIT, "/*\n" + "".join(f" * {x}\n" for x in MIT.split("\n")) + " */\nint x;", "".join(f"; {x}\r\n" for x in BSD.split("\n")),
+             "\n".join(f"# {x}" for x in GPL.format(":", 3).split("\n")), GPL.format(";", 2), "dnl " + GPL.format(":", 3).replace("\n", "\ndnl "),
+             "Some text\nLicensed under CC BY 4.0\nmore text", "x\nCopyright (c) 2001, 2004 Example\nand Sons. All rights reserved.\ny",
+             "A licence is\nno MIT License here", "Licensed under the\n\nMIT License and more",
+             "Copyright 1994 The Holders. All rights reserved.\n\n" + BSD]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.sentence_ids, r.licenses) for r in license_scan.scan(d).collect()}
+    mit = ("mit-name,mit-grant,mit-notice,as-is", "MIT")
+    assert got == {0: mit, 1: mit, 2: ("bsd-redist,bsd-source", "BSD"), 3: ("gpl-free", "GPL"), 4: ("gpl-free", "GPL"), 5: ("gpl-free", "GPL"),
+                   6: ("cc-by-line", "CC-BY-4.0"), 7: ("reserved-notice", "proprietary"), 8: ("", ""), 9: ("", ""), 10: ("reserved-notice,bsd-redist,bsd-source", "BSD")}
+    assert all(re.search(license_scan.STEMS, s) for _, s in license_scan.PUBLISHED)
+
+
 def test_native_plans(spark):
     for q in (license_scan.query, quality_rules.query):
         plan = q(spark, SF)._jdf.queryExecution().toString()
