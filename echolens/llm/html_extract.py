@@ -16,7 +16,9 @@ most of the host's text.
 A page's text are the text slots under its host's content path, without
 template texts and without the parts that are not the article by their tag,
 role or class (menus, headers, footers, sidebars, notices, adverts, forms,
-scripts, styles, comments).  Inside an article element nothing is dropped
+scripts, styles, comments).  Outside the main part a word of the class or id
+tells these; inside it only roles and whole class names do, as ids there are
+mostly slugs of headings.  Inside an article element nothing is dropped
 for being repeated.  A page without its host's content path falls back to
 its own article or main element, else to its body.
 
@@ -55,6 +57,13 @@ _WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "adsense", "sponsor
           "menu", "breadcrumb", "breadcrumbs", "sidebar", "footer", "masthead", "banner", "cookie", "cookies", "consent", "gdpr",
           "notice", "popup", "modal", "newsletter", "subscribe", "signup", "comment", "comments", "disqus", "respond", "share", "sharing",
           "social", "related", "widget", "toolbar", "pagination", "pager", "copyright", "login", "search", "skip"}
+# Whole class names that also tell them inside the main part.
+_CLASSES = _WORDS | {
+    "comments-area", "comment-list", "commentlist", "comment-respond", "comment-form", "comments-section", "disqus-thread", "share-buttons",
+    "share-links", "share-bar", "sharedaddy", "social-share", "social-links", "social-icons", "related-posts", "related-articles", "related-links",
+    "post-navigation", "posts-navigation", "nav-links", "navigation-links", "cookie-notice", "cookie-banner", "cookie-consent",
+    "newsletter-signup", "newsletter-form", "ad-container", "ad-slot", "ad-unit", "ad-banner", "site-footer", "search-form", "login-form",
+    "skip-link"}
 _CLOSES_P = {"p", "div", "ul", "ol", "dl", "table", "h1", "h2", "h3", "h4", "h5", "h6", "section", "article", "aside", "nav", "header", "footer",
              "main", "form", "blockquote", "pre", "hr", "figure", "address"}
 _SELF_CLOSING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -76,9 +85,14 @@ def _opened(tag: str, raw: str, parent: _Element) -> _Element:
     attrs = {m[0].lower(): m[1] or m[2] or m[3] for m in _ATTR.findall(raw)} if raw.strip(" /") else {}
     names = " ".join(attrs.get(k, "") for k in ("class", "id")).lower()
     role = attrs.get("role", "").lower()
+    if parent.main:
+        named = bool(_CLASSES & set(attrs.get("class", "").lower().split()))
+    else:       # a page's own containers are never told by their names, an article not by its id
+        told = "" if tag in ("html", "body", "main") else attrs.get("class", "").lower() if tag == "article" else names
+        named = bool(_WORDS & set(re.split(r"[^a-z0-9]+", told)))
     skip = (parent.skip or tag in _NOT_MAIN or role in _ROLES or "hidden" in attrs or attrs.get("aria-hidden") == "true"
             or "display:none" in attrs.get("style", "").replace(" ", "").lower()
-            or bool(_WORDS & set(re.split(r"[^a-z0-9]+", names)))
+            or named
             or not parent.main and (tag == "header" or "header" in re.split(r"[^a-z0-9]+", names)))
     main = parent.main or not skip and (tag in ("article", "main") or role in ("main", "article"))
     return _Element(tag, f"{parent.path}/{tag}" + (f".{'.'.join(names.split())}" if names.strip() else ""), main, skip)

@@ -319,6 +319,15 @@ def test_license(spark, awkward):
     assert all(re.search(license_scan.STEMS, s) for _, s in license_scan.SENTENCES)
 
 
+def test_html_slugs_inside_the_article(spark):
+    page = ("<html><body class='has-sidebar' id=search-page><div id=sidebar-left>out</div><article id=login-guide>"
+            "<section id='search-results'><h2 id='related-work'>Related work</h2><p id='comments-on-method'>Method</p></section>"
+            "<div class='share-price big'>Price</div><section id=login-flow>Flow</section><h2 id=search>Search</h2>"
+            "<div class='x comments'>bad</div><div id=comments class=comments-area>bad</div><div role=navigation>bad</div></article></body>")
+    d = spark.createDataFrame([(1, "http://h.example/1", page)], "page_id long, url string, html string")
+    assert html_extract.extract(d).first().text.split("\n\n") == ["Related work", "Method", "Price", "Flow", "Search"]
+
+
 MIT = """The MIT License (MIT)
 
 Copyright (c) 2014-2020 Jane Doe
