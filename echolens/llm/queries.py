@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (ann, html_extract, license_scan, mixing, near_dedup, packing, quality_classifier, quality_rules, token_counts,
-               token_output)
+from . import (ann, html_extract, license_scan, mixing, near_dedup, packing, quality_classifier, quality_rules, resample,
+               token_counts, token_output)
 
 QUERIES = {
     "op1_license_scan": license_scan.query,
@@ -16,10 +16,12 @@ QUERIES = {
     "op8_minhash_near_dedup": near_dedup.query,
     "op9_token_output": token_output.query,
     "op10_quality_rules": quality_rules.query,
+    "op11_target_resampling": resample.query,
 }
 
 ORACLES = {
     "op1_license_scan": license_scan.oracle_sql(),
     "op2_token_counts": token_counts.ORACLE,
     "op10_quality_rules": quality_rules.oracle_sql(),
+    "op11_target_resampling": resample.ORACLE,
 }
