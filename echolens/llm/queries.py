@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import (ann, html_extract, license_scan, mixing, near_dedup, packing, quality_classifier, quality_rules, resample,
+from . import (ann, conversations, html_extract, license_scan, mixing, near_dedup, packing, quality_classifier, quality_rules, resample,
                token_counts, token_output)
 
 QUERIES = {
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_token_output": token_output.query,
     "op10_quality_rules": quality_rules.query,
     "op11_target_resampling": resample.query,
+    "op12_conversation_repair": conversations.query,
 }
 
 ORACLES = {
