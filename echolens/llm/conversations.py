@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .base import table
+from .crc import crc_sql
 
 BLOCK = 512
 KEEP, REROLE, DELETE, INSERT, TRUNCATED = 0, 2, 3, 2, 1
@@ -223,3 +224,57 @@ def damaged(rows: DataFrame) -> DataFrame:
 
 def query(spark, sf_dir):
     return repair(damaged(table(spark, sf_dir, "conversations")))
+
+
+_INSERTED = ", ".join(f"({q}, {to}, {n}, [{made}])" for q, to, n, made in [
+    *((q, q, 0, "") for q in STATES),
+    *((q, to, 1, f"'{ROLES[c]}:'") for q in STATES for c, to in MADE[q]),
+    *((q, to, 2, f"'{ROLES[c]}:', '{ROLES[d]}:'") for q in STATES for c, at in MADE[q] for d, to in MADE[at])])
+_STEPS = ", ".join([*(f"({q}, '{c}', {to}, 'K', '')" for (q, c), to in STEP.items()),
+                    *(f"({q}, NULL, {to}, 'R', '{ROLES[c]}')" for q in STATES for c, to in MADE[q]),
+                    *(f"({q}, NULL, {q}, 'D', '')" for q in STATES)])
+
+# The same damage and faults; the cheapest edits row by row, the least cost and audit kept for every state.
+ORACLE = f"""
+WITH RECURSIVE k AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {crc_sql("hex(encode(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')))")} % 20 AS kind
+  FROM conversations),
+dm AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM k WHERE kind <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM dm),
+fl AS (SELECT *, NOT regexp_matches(text, '[^{_SPACE}]') AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen,
+              NOT regexp_matches(text, '[.!?][{_SPACE}]*$') AS open_end, lag(role) OVER (PARTITION BY conv_id ORDER BY i) AS before
+       FROM o),
+rw AS (SELECT conv_id, turn, i, role, text, substr(role, 1, 1) AS initial, blank OR seen AS must_go, NOT blank AND NOT seen AND open_end AS truncated,
+              blank, NOT blank AND seen AS duplicate,
+              i > 1 AND substr(before, 1, 1) || substr(role, 1, 1) NOT IN ('su', 'ua', 'au') AS illegal
+       FROM fl),
+cv AS (SELECT DISTINCT conv_id FROM conversations),
+n AS (SELECT cv.conv_id, count(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+             count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated,
+             count(*) FILTER (illegal) AS illegal
+      FROM cv LEFT JOIN rw ON cv.conv_id IS NOT DISTINCT FROM rw.conv_id GROUP BY cv.conv_id),
+ins AS (SELECT * FROM (VALUES {_INSERTED}) AS x(q, too, n_made, made)),
+st AS (SELECT * FROM (VALUES {_STEPS}) AS x(q, initial, too, letter, role)),
+lat AS (
+  SELECT conv_id, 0::BIGINT AS i, 0 AS q, 0 AS cost, '' AS audit, []::VARCHAR[] AS kept FROM cv
+  UNION ALL
+  SELECT conv_id, i, q, cost, audit, kept FROM (
+    SELECT l.conv_id, r.i, st.too AS q,
+           l.cost + {INSERT} * ins.n_made + CASE letter WHEN 'D' THEN {DELETE} WHEN 'R' THEN {REROLE} ELSE {KEEP} END
+           + CASE WHEN r.truncated AND letter <> 'D' THEN {TRUNCATED} ELSE 0 END AS cost,
+           l.audit || repeat('I', ins.n_made) || letter AS audit,
+           list_concat(l.kept, list_concat(ins.made, CASE letter WHEN 'D' THEN [] WHEN 'R' THEN [st.role || ':' || r.text] ELSE [r.role || ':' || r.text] END)) AS kept
+    FROM lat l JOIN rw r ON r.conv_id IS NOT DISTINCT FROM l.conv_id AND r.i = l.i + 1
+               JOIN ins ON ins.q = l.q JOIN st ON st.q = ins.too AND coalesce(st.initial, r.initial) = r.initial AND (letter = 'D' OR NOT r.must_go))
+  QUALIFY row_number() OVER (PARTITION BY conv_id, q ORDER BY cost, audit) = 1),
+fin AS (SELECT * FROM (SELECT l.conv_id, l.cost + {INSERT} * ins.n_made AS cost, l.audit || repeat('I', ins.n_made) AS audit, list_concat(l.kept, ins.made) AS kept
+        FROM lat l JOIN n ON n.conv_id IS NOT DISTINCT FROM l.conv_id AND l.i = n.n JOIN ins ON ins.q = l.q AND ins.too IN (0, 3))
+        QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY cost, audit) = 1)
+SELECT n.conv_id, gaps, blank, duplicate, truncated, illegal, cost::BIGINT AS cost, audit, sha256(array_to_string(kept, chr(10))) AS repaired_sha256
+FROM n JOIN fin ON n.conv_id IS NOT DISTINCT FROM fin.conv_id
+"""

@@ -55,3 +55,12 @@ def combine(a: np.ndarray, b: np.ndarray, length: np.ndarray) -> np.ndarray:
 
 
 SPACE = np.uint32(zlib.crc32(b" "))
+
+
+def crc_sql(hexed: str) -> str:
+    """CRC-32 of the bytes that ``hexed`` writes as hexadecimal digits, bit by bit."""
+    digit = f"(instr('0123456789ABCDEF', substr({hexed}, {{}}, 1)) - 1)"
+    byte = f"({digit.format('2 * i - 1')} * 16 + {digit.format('2 * i')})"
+    bits = f"list_reduce(list_prepend(xor(c, v), range(8)), lambda b, k: xor(b >> 1, (b & 1) * {POLYNOMIAL}))"
+    return (f"xor(list_reduce(list_prepend({0xFFFFFFFF}::BIGINT, list_transform(range(1, length({hexed}) // 2 + 1), lambda i: {byte}::BIGINT)), "
+            f"lambda c, v: {bits}), {0xFFFFFFFF})")

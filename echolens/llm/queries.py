@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (ann, conversations, html_extract, license_scan, mixing, near_dedup, packing, quality_classifier, quality_rules, resample,
-               token_counts, token_output)
+from . import (ann, conversations, html_extract, license_scan, mixing, near_dedup, packing, quality_classifier, quality_rules,
+               resample, token_counts, token_output, warc)
 
 QUERIES = {
     "op1_license_scan": license_scan.query,
@@ -18,6 +18,7 @@ QUERIES = {
     "op10_quality_rules": quality_rules.query,
     "op11_target_resampling": resample.query,
     "op12_conversation_repair": conversations.query,
+    "op13_warc": warc.query,
 }
 
 ORACLES = {
@@ -25,4 +26,6 @@ ORACLES = {
     "op2_token_counts": token_counts.ORACLE,
     "op10_quality_rules": quality_rules.oracle_sql(),
     "op11_target_resampling": resample.ORACLE,
+    "op12_conversation_repair": conversations.ORACLE,
+    "op13_warc": warc.ORACLE,
 }

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from ..operators.ranking import rank_in_group
 from .base import table, write_table
-from .crc import SPACE, combine
+from .crc import SPACE, combine, crc_sql
 
 BUCKETS = 10_000
 WORDS = 50_000          # words of a worker's dictionary
@@ -244,15 +244,6 @@ def query(spark, sf_dir):
     return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), "doc_id", "item_id")
 
 
-def _crc_sql(hexed: str) -> str:
-    """CRC-32 of the bytes that ``hexed`` writes as hexadecimal digits, bit by bit."""
-    digit = f"(instr('0123456789ABCDEF', substr({hexed}, {{}}, 1)) - 1)"
-    byte = f"({digit.format('2 * i - 1')} * 16 + {digit.format('2 * i')})"
-    bits = f"list_reduce(list_prepend(xor(c, v), range(8)), lambda b, k: xor(b >> 1, (b & 1) * {0xEDB88320}))"
-    return (f"xor(list_reduce(list_prepend({0xFFFFFFFF}::BIGINT, list_transform(range(1, length({hexed}) // 2 + 1), lambda i: {byte}::BIGINT)), "
-            f"lambda c, v: {bits}), {0xFFFFFFFF})")
-
-
 _WORDS_SQL = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
               r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
 
@@ -260,7 +251,7 @@ ORACLE = f"""
 WITH f AS (SELECT doc_id, unnest({_WORDS_SQL}) AS w FROM documents),
 g AS (SELECT unnest({_WORDS_SQL}) AS w FROM benchmark),
 v AS (SELECT w, hex(encode(w)) AS x FROM (SELECT DISTINCT w FROM f UNION SELECT DISTINCT w FROM g)),
-b AS (SELECT w, {_crc_sql('x')} % {BUCKETS} AS bucket FROM v),
+b AS (SELECT w, {crc_sql('x')} % {BUCKETS} AS bucket FROM v),
 s AS (SELECT bucket, count(*) AS s FROM f JOIN b USING (w) GROUP BY 1),
 t AS (SELECT bucket, count(*) AS t FROM g JOIN b USING (w) GROUP BY 1),
 n AS (SELECT (SELECT coalesce(sum(s), 0) FROM s) AS s_all, (SELECT coalesce(sum(t), 0) FROM t) AS t_all),

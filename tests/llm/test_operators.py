@@ -44,7 +44,7 @@ def words(t):
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_oracles(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "labels", "benchmark", "conversations"):
+    for t in ("documents", "labels", "benchmark", "conversations", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     got = queries.QUERIES[name](spark, SF).toPandas()
     want = con.execute(queries.ORACLES[name]).df()[list(got.columns)]
