@@ -127,7 +127,7 @@ def _neighbours(reach: int):
             old = 0 if tail is None else len(tail)
             x = b if tail is None else pd.concat([tail, b])
             region, doc, comp = (x[c].to_numpy() for c in ("region", "doc", "comp"))
-            for d in range(1, reach + 1):
+            for d in range(1, min(reach + 1, len(x))):
                 lo = max(0, old - d)
                 same = np.flatnonzero((region[lo:len(x) - d] == region[lo + d:]) & (comp[lo:len(x) - d] != comp[lo + d:])) + lo
                 if len(same):

@@ -46,10 +46,11 @@ def test_oracles(spark, name):
     con = duckdb.connect()
     for t in ("documents", "labels", "benchmark", "conversations", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
-    got = queries.QUERIES[name](spark, SF).toPandas()
-    want = con.execute(queries.ORACLES[name]).df()[list(got.columns)]
-    key = list(got.columns)
-    assert sorted(got.astype(str)[key].values.tolist()) == sorted(want.astype(str)[key].values.tolist())
+    got = queries.QUERIES[name](spark, SF)
+    res = con.execute(queries.ORACLES[name])
+    at = [[d[0] for d in res.description].index(c) for c in got.columns]
+    want = [tuple(r[i] for i in at) for r in res.fetchall()]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
 
 
 def repeat_words(w):
@@ -150,6 +151,24 @@ def test_signature_bound():
     assert near_dedup.least_equal(80, 100) == 80 and near_dedup.least_equal(4, 80) == 0
 
 
+@pytest.mark.parametrize("n,partitions", [(1, 8), (2, 1), (3, 64), (4, 8), (5, 2), (8, 16)])
+def test_near_duplicates_few_texts(spark, n, partitions):
+    """Sorted partitions of any number of rows, fewer than the reach included."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        rows = [(i, " ".join(f"w{(i // 2) * 100 + j}" for j in range(30 + i % 2))) for i in range(n)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs, words=2).collect()}
+        assert got == {i: i - i % 2 for i in range(n)}
+        sizes = [list(near_dedup._neighbours(near_dedup.REACH)(iter([pd.DataFrame(
+            {"region": [1] * k, "d1": 0, "d2": 0, "doc": range(k), "comp": range(k)})]))) for k in range(1, 9)]
+        pairs = [sum((f["apart"] > 0).sum() for f in x) for x in sizes]
+        assert pairs == [sum(max(0, k - d) for d in range(1, near_dedup.REACH + 1)) for k in range(1, 9)]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_near_duplicates_awkward(awkward):
     got = near_dedup.near_duplicates(awkward, words=2).collect()
     assert len(got) == len(AWKWARD)
