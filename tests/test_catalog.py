@@ -8,12 +8,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from echolens.plans import catalog
 from echolens.sources.tables import TEST_TABLES
 
 from conftest import SF_SMALL
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+QUERIES = catalog.QUERIES
+ORACLES = catalog.ORACLES
 
 
 def _norm(v):
