@@ -32,7 +32,6 @@ from ..functions.emotions import decode_subtheme, with_prevalent
 from ..operators.dedupe import first_per_key_agg
 from ..schemas import ACCOUNT_SCHEMA, EMOTIONS, ERROR_SCORE, POST_SCHEMA, SUBTHEME_CODES
 from ..sources import lookups
-from ..session import maybe_broadcast
 from ..sources.sinks import conform
 
 
@@ -67,7 +66,7 @@ def mentioned_accounts(raw: DataFrame) -> DataFrame:
 
 def news_accounts(accounts: DataFrame, media_list: DataFrame) -> DataFrame:
     """Accounts that appear in the media list (inner on the case-sensitive username)."""
-    return accounts.join(maybe_broadcast(media_list, 100_000), "username", "inner")
+    return accounts.join(media_list, "username", "inner")
 
 
 def score_rows(scores: DataFrame) -> DataFrame:
@@ -101,7 +100,7 @@ def consolidate_posts(posts: DataFrame, accounts: DataFrame, media_list: DataFra
 
     The first post stands for its conversation: if its scores are not usable, the conversation is dropped."""
     acc = news_accounts(accounts, media_list).select("userId", "country")
-    p = posts.filter(F.col("lang") == "en").join(maybe_broadcast(acc, 1_000_000), "userId", "inner")
+    p = posts.filter(F.col("lang") == "en").join(acc, "userId", "inner")
     p = p.join(score_rows(scores), "tweetId", "inner")
     p = p.filter(F.col("conversationId").isNotNull())
     p = first_per_key_agg(p, "conversationId", ["date", "tweetId"])

@@ -259,9 +259,10 @@ FROM s WHERE score > {threshold}
 def _phrased_docs(spark, sf):
     """Cleaned tokens with bigrams merged, then trigrams learned on the merged
     tokens and merged (the corpus the topic model is trained on)."""
-    docs = _en_docs(spark, sf)
+    from ...session import cut_lineage
+    docs = cut_lineage(_en_docs(spark, sf).select("doc_id", "source", "tokens"), large=True)   # tokenised once
     bi = PH.learn_phrases(docs, "tokens")
-    d2 = PH.apply_phrases(docs, bi, "doc_id", "tokens")
+    d2 = cut_lineage(PH.apply_phrases(docs, bi, "doc_id", "tokens"), large=True)
     tri = PH.learn_phrases(d2, "tokens")
     return PH.apply_phrases(d2, tri, "doc_id", "tokens")
 
@@ -324,36 +325,23 @@ FROM d LEFT JOIN last ON d.doc_id = last.doc_id
 """
 
 
-_LDA_CACHE: dict = {}
+def _topic_corpus(spark, sf):
+    """(documents with tokens and sparse counts, term index) of the phrase-merged tokens, each written once."""
+    from ...session import cut_lineage
+    docs = cut_lineage(_phrased_docs(spark, sf).select("doc_id", "tokens"), large=True)
+    index = TP.term_index(TP.doc_freq_dictionary(docs, "tokens", "doc_id"))
+    return TP.bag_of_words(docs, index, "tokens", "doc_id", keep=["tokens"]), index
 
 
-def _lda_input(spark, sf):
-    """Tokens -> dictionary -> bag of words, written once per (session, tables)."""
-    from ...session import cut_lineage
-    ck = (spark.sparkContext.applicationId, sf, "bow")
-    if ck not in _LDA_CACHE:
-        docs = _phrased_docs(spark, sf)
-        dic = TP.doc_freq_dictionary(docs, "tokens", "doc_id")
-        vocab = TP.vocabulary(dic)
-        bow = cut_lineage(TP.bag_of_words(docs, vocab, "tokens", "bow").select("doc_id", "tokens", "bow"),
-                          large=True)
-        _LDA_CACHE[ck] = (bow, vocab)
-    return _LDA_CACHE[ck]
-
-
-def _lda(spark, sf, k: int = 20, max_iter: int = 20):
+def _lda(spark, sf, k: int = 20):
     from ...schemas import LDA_SEED
-    ck = (spark.sparkContext.applicationId, sf, k, max_iter)
-    if ck not in _LDA_CACHE:
-        bow, vocab = _lda_input(spark, sf)
-        model, data = TP.fit_lda(bow, k=k, seed=LDA_SEED, max_iter=max_iter, materialize=False)
-        _LDA_CACHE[ck] = (model, data, vocab)
-    return _LDA_CACHE[ck]
+    bow, index = _topic_corpus(spark, sf)
+    model, _ = TP.fit_lda(bow, k=k, seed=LDA_SEED, materialize=False)
+    return model, bow, index
 
 
-def _top_words(model, spark, vocab, topn=20):
-    t = TP.topic_terms(model, TP.vocab_frame(spark, vocab), topn)
-    return t.select("topic", "rank", "word")
+def _top_words(model, index, topn=20):
+    return TP.topic_terms(model, index, topn).select("topic", "rank", "word")
 
 
 def _labelled_docs(spark, sf):
@@ -556,7 +544,32 @@ def _bigrams_appended_sql() -> str:
 WITH d0 AS (SELECT doc_id, {_bio_list_sql('text')} AS tok FROM documents),
 {_phrase_ctes('d0', 'a_', min_count=3).strip()},
 {_merge_ctes('d0', 'a_ph', 'd1').strip()}
-SELECT d0.doc_id, len(d0.tok) + len(list_filter(d1.tok, lambda t: contains(t, '_'))) AS n_tokens,
-       len(list_filter(d1.tok, lambda t: contains(t, '_'))) AS n_bigrams
+SELECT d0.doc_id, array_to_string(list_concat(d0.tok, list_filter(d1.tok, lambda t: contains(t, '_'))), ' ') AS tokens
 FROM d0 JOIN d1 ON d0.doc_id = d1.doc_id
 """
+
+
+def _source_coherence_sql(window: int = 110) -> str:
+    """C_v from the sliding windows themselves: one row per window and word in it."""
+    return f"""
+WITH d AS (SELECT doc_id, source, {TK.clean_tokens_sql('text')} AS tok FROM documents WHERE lang = 'en'),
+n_docs AS (SELECT count(*) AS n_docs FROM d),
+u AS (SELECT DISTINCT doc_id, source, unnest(tok) AS w FROM d),
+dic AS (SELECT w FROM u, n_docs GROUP BY w, n_docs HAVING count(*) >= 0.0005 * n_docs AND count(*) <= 0.33 * n_docs),
+top AS (SELECT source AS topic, w FROM (SELECT source, w, count(*) AS n FROM u JOIN dic USING (w) WHERE source IS NOT NULL GROUP BY 1, 2)
+        QUALIFY row_number() OVER (PARTITION BY source ORDER BY n DESC, w) <= 8),
+p AS (SELECT doc_id, len(tok) AS l, unnest(tok) AS w, unnest(range(len(tok))) AS p FROM d),
+win AS (SELECT DISTINCT doc_id, w, unnest(CASE WHEN l < {window} THEN [0] ELSE range(greatest(0, p - {window - 1}), least(p, l - {window}) + 1) END) AS s
+        FROM p WHERE w IN (SELECT w FROM top)),
+nw AS (SELECT sum(greatest(1, len(tok) - {window - 1}))::DOUBLE AS n FROM d),
+c1 AS (SELECT w, count(*)::DOUBLE AS c FROM win GROUP BY w),
+pr AS (SELECT DISTINCT a.w AS wi, b.w AS wj FROM top a JOIN top b USING (topic)),
+c2 AS (SELECT x.w AS wi, y.w AS wj, count(*)::DOUBLE AS c FROM win x JOIN win y USING (doc_id, s) JOIN pr ON pr.wi = x.w AND pr.wj = y.w GROUP BY 1, 2),
+m AS (SELECT a.topic, a.w AS wi, b.w AS wj,
+             ln((coalesce(c2.c, 0) / n + 1e-12) / ((ci.c / n) * (cj.c / n))) / -ln(coalesce(c2.c, 0) / n + 1e-12) AS npmi
+      FROM top a JOIN top b USING (topic) CROSS JOIN nw JOIN c1 ci ON ci.w = a.w JOIN c1 cj ON cj.w = b.w
+           LEFT JOIN c2 ON c2.wi = a.w AND c2.wj = b.w),
+v AS (SELECT topic, wj, sum(npmi) AS vs FROM m GROUP BY 1, 2),
+cs AS (SELECT topic, wi, sum(npmi * vs) / (sqrt(sum(npmi * npmi)) * sqrt(sum(vs * vs))) AS sim FROM m JOIN v USING (topic, wj) GROUP BY 1, 2)
+SELECT topic AS source, round(avg(sim), 6) AS c_v FROM cs GROUP BY topic
+"""

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ...sources.tables import table as _table
 from ...functions import text as TX
+from ...session import cut_lineage
 from ...operators import search as SR, tokens as TK, topics as TP
 from .. import reports as R, views as V
 from ._common import _docs, _points, _regions_sql, AS_OF, register, round_doubles
@@ -108,13 +109,10 @@ def q_news_account_classifier(spark, sf):
     from ...functions.profile import PROFILE_FEATURES, with_profile_features
     from ...operators.scoring import predict_classifier, train_classifier
     prof = with_profile_features(V.profiles(spark, sf), AS_OF)
-    bios = TK.bio_tokens(_docs(spark, sf, "doc_id", "text"), "text", "bio")
-    vocab = TP.vocabulary(TP.doc_freq_dictionary(bios, "bio", "doc_id", 0.01, 0.5, 2000), 2000)
-    bow = TP.bag_of_words(bios.select(F.col("doc_id").alias("userId"), "bio"), vocab, "bio", "bio_counts")
-    feats = prof.join(bow.select("userId", "bio_counts"), "userId", "left")
-    from pyspark.ml.functions import array_to_vector
-    empty = array_to_vector(F.array_repeat(F.lit(0.0), len(vocab)))
-    feats = feats.withColumn("bio_counts", F.coalesce(F.col("bio_counts"), empty))
+    bios = TK.bio_tokens(_docs(spark, sf, "doc_id", "text"), "text", "bio").select(F.col("doc_id").alias("userId"), "bio")
+    accounts = cut_lineage(prof.join(bios, "userId", "left"), large=True)
+    index = TP.term_index(TP.doc_freq_dictionary(accounts.filter(F.col("bio").isNotNull()), "bio", "userId", 0.01, 0.5))
+    feats = TP.bag_of_words(accounts, index, "bio", "userId", "bio_counts", keep=PROFILE_FEATURES)
     lab = _table(spark, sf, "labels").select(F.col("doc_id").alias("userId"), F.col("quality").alias("label"))
     train = feats.join(lab, "userId")
     model = train_classifier(train, PROFILE_FEATURES, "label", vector_cols=["bio_counts"])

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from ...sources.tables import table as _table
 from ...operators import phrases as PH, tokens as TK, topics as TP
 from ...schemas import SUBTHEME_CODES
+from ...session import cut_lineage
 from ._common import (
     _bigrams_appended_sql, _DOC_FEATURES, _doc_features, _docs, _en_docs, _labelled_docs, _lda, _phrase_merge_sql, _phrased_docs,
-    _phrases_sql, _rule_sql, _subtheme_sql, _themed_docs, _top_words, register, round_doubles,
+    _phrases_sql, _rule_sql, _source_coherence_sql, _subtheme_sql, _themed_docs, _top_words, _topic_corpus, register, round_doubles,
     test_topic_rules
 )
 
@@ -80,9 +81,9 @@ def q_lda_prevalence(spark, sf):
 @register("lda_topic_themes")
 def q_lda_topic_themes(spark, sf):
     """Documents with dominant topic, weight, topic keywords, theme and subtheme."""
-    model, data, vocab = _lda(spark, sf)
+    model, data, index = _lda(spark, sf)
     dt = TP.dominant_topic(model, data, "doc_id")
-    terms = TP.topic_terms(model, TP.vocab_frame(spark, vocab), 10)
+    terms = TP.topic_terms(model, index, 10)
     kw = terms.groupBy(F.col("topic").alias("num_topic")).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "word"))), lambda s: s["word"]),
                      ", ").alias("topic_keywords"))
@@ -95,8 +96,8 @@ def q_lda_topic_themes(spark, sf):
 @register("theme_words")
 def q_theme_words(spark, sf):
     """Top 40 words per theme pooled from its topics."""
-    model, _, vocab = _lda(spark, sf)
-    terms = TP.topic_terms(model, TP.vocab_frame(spark, vocab), 40)
+    model, _, index = _lda(spark, sf)
+    terms = TP.topic_terms(model, index, 40)
     from ...sources.lookups import topic_themes
     tw = TP.theme_words(terms, topic_themes(spark), 40)
     return tw.select("theme", F.size("words").alias("n_words"), F.array_join("words", " ").alias("words"))
@@ -117,33 +118,53 @@ def q_top_docs_per_topic(spark, sf):
 def q_coherence(spark, sf):
     """C_v coherence per topic and overall."""
     from ...operators.coherence import coherence_cv
-    model, data, vocab = _lda(spark, sf)
-    per, overall = coherence_cv(data, _top_words(model, spark, vocab), "tokens", "doc_id")
+    model, data, index = _lda(spark, sf)
+    per, overall = coherence_cv(data, _top_words(model, index), "tokens", "doc_id")
     return per.select(F.col("topic").cast("int").alias("topic"), F.round("c_v", 6).alias("c_v")).unionByName(
         overall.select(F.lit(-1).alias("topic"), F.round("c_v", 6).alias("c_v")))
 
 
-@register("coherence_sweep")
-def q_coherence_sweep(spark, sf):
-    """C_v over k = 2, 5, ..., 38.
+@register("theme_coherence")
+def q_theme_coherence(spark, sf):
+    """C_v of the themes' word lists, pooled from their topics."""
+    from ...operators.coherence import coherence_cv
+    from ...sources.lookups import topic_themes
+    model, data, index = _lda(spark, sf)
+    lists = TP.theme_words(TP.topic_terms(model, index, 40), topic_themes(spark), 40).select(
+        F.col("theme").alias("topic"), F.posexplode("words").alias("rank", "word"))
+    per, overall = coherence_cv(data, cut_lineage(lists), "tokens", "doc_id")
+    return per.select(F.col("topic").cast("int").alias("theme"), F.round("c_v", 6).alias("c_v")).unionByName(
+        overall.select(F.lit(-1).alias("theme"), F.round("c_v", 6).alias("c_v")))
 
-    One LDA fit per k (a driver loop of Spark jobs), but ONE coherence pass:
-    the top-word lists of all k are tagged with their k and scored together,
-    so the corpus windows are counted once for the union of their words.
-    """
-    from functools import reduce
 
+@register("source_coherence", _source_coherence_sql())
+def q_source_coherence(spark, sf):
+    """C_v of each source's eight most widespread dictionary words over the whole corpus."""
     from ...operators.coherence import coherence_cv
-    from ...schemas import COHERENCE_SWEEP
-    lists = []
-    for k in COHERENCE_SWEEP:
-        model, data, vocab = _lda(spark, sf, k=k, max_iter=5)
-        tw = _top_words(model, spark, vocab)
-        lists.append(tw.select((F.lit(k * 1000) + F.col("topic")).alias("topic"), "rank", "word"))
-    top = reduce(lambda a, b: a.unionByName(b), lists)
-    per, _ = coherence_cv(data, top, "tokens", "doc_id")
-    return (per.groupBy(F.floor(F.col("topic") / 1000).cast("int").alias("k"))
-               .agg(F.round(F.avg("c_v"), 6).alias("c_v")))
+    from ...operators.ranking import top_n_per_group
+    docs = cut_lineage(_en_docs(spark, sf).select("doc_id", "source", "tokens"), large=True)
+    index = TP.term_index(TP.doc_freq_dictionary(docs, "tokens", "doc_id"))
+    spread = TP.term_counts(docs.select("doc_id", "tokens"), index).join(docs.select("doc_id", "source"), "doc_id").groupBy(
+        "source", F.col("token").alias("word")).agg(F.count(F.lit(1)).alias("n"))
+    lists = top_n_per_group(spread, "source", [F.col("n").desc(), F.col("word")], 8, rank_col="rank").select(
+        F.col("source").alias("topic"), "rank", "word")
+    per, _ = coherence_cv(docs, cut_lineage(lists), "tokens", "doc_id")
+    return per.select(F.col("topic").alias("source"), F.round("c_v", 6).alias("c_v"))
+
+
+@register("term_topics")
+def q_term_topics(spark, sf):
+    """Topics of every dictionary term in which it weighs a thousandth or more."""
+    model, _, index = _lda(spark, sf)
+    return TP.term_topics(model, index, 0.001).select("word", "topic", F.round("weight", 6).alias("weight"))
+
+
+@register("coherence_sweep")
+def q_coherence_sweep(spark, sf):
+    """C_v over k = 2, 5, ..., 38 (T13, R08): full fits, submitted together, all lists scored in one pass."""
+    from ...operators.coherence import sweep
+    bow, index = _topic_corpus(spark, sf)
+    return sweep(bow, index).select("k", F.round("c_v", 6).alias("c_v"))
 
 
 @register("emotion_scores")
@@ -169,11 +190,10 @@ def q_account_classifier(spark, sf):
 @register("bigrams_appended", _bigrams_appended_sql())
 def q_bigrams_appended(spark, sf):
     """Bio tokens with the detected bigrams appended (min count 3)."""
-    d = TK.bio_tokens(_docs(spark, sf, "doc_id", "text"), "text", "tokens")
+    d = TK.bio_tokens(_docs(spark, sf, "doc_id", "text"), "text", "tokens").select("doc_id", "tokens")
+    d = cut_lineage(d, large=True)
     bi = PH.learn_phrases(d, "tokens", min_count=3)
-    out = PH.append_bigrams(d, bi, "doc_id", "tokens")
-    return out.select("doc_id", F.size("tokens").cast("bigint").alias("n_tokens"),
-                      F.size(F.filter("tokens", lambda t: t.contains("_"))).cast("bigint").alias("n_bigrams"))
+    return PH.append_bigrams(d, bi, "doc_id", "tokens").select("doc_id", F.array_join("tokens", " ").alias("tokens"))
 
 
 @register("dense_word_counts", f"""
@@ -186,14 +206,10 @@ SELECT d.doc_id, top.token AS word, len(list_filter(d.tok, lambda t: t = top.tok
 FROM d CROSS JOIN top
 """)
 def q_dense_word_counts(spark, sf):
-    """Bag of words over the dictionary; dense counts of its ten most frequent words, long form."""
-    docs = _en_docs(spark, sf)
-    vocab = TP.vocabulary(TP.doc_freq_dictionary(docs, "tokens", "doc_id"))
-    bow = TP.bag_of_words(docs, vocab, "tokens", "bow")
-    top = vocab[:10]
-    wide = TP.dense_counts(bow, vocab, top).select("doc_id", *[f"n_{w}" for w in top])
-    long = wide.unpivot("doc_id", [f"n_{w}" for w in top], "word", "n")
-    return long.select("doc_id", F.regexp_replace("word", "^n_", "").alias("word"), F.col("n").cast("bigint").alias("n"))
+    """Counts over the dictionary; those of its ten most frequent words for every document."""
+    docs = cut_lineage(_en_docs(spark, sf).select("doc_id", "tokens"), large=True)
+    index = TP.term_index(TP.doc_freq_dictionary(docs, "tokens", "doc_id"))
+    return TP.dense_counts(docs, TP.term_counts(docs, index), index, 10)
 
 
 @register("subtheme_totals", _subtheme_sql().replace(

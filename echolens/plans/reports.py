@@ -16,7 +16,7 @@ from ..operators import shares as S
 from ..operators.ranking import cascade_top, cumulative_share_top, top_n_per_group
 from ..schemas import (EMOTIONS, KEYWORDS, LESS_FREQUENT_KEYWORDS, MAIN_KEYWORDS, OUTLET_RENAMES,
                        THEME_DESC, UNDEFINED_LABEL)
-from ..session import cut_lineage, maybe_broadcast
+from ..session import cut_lineage
 from ..sources import lookups
 
 
@@ -95,7 +95,7 @@ def country_polarity(replies: DataFrame, coords: DataFrame | None = None, countr
     out = agg.select("*", (F.col("positive") - F.col("negative")).alias("mean_emotion"),
                      (F.col("n") / 1000).alias("n_thousands"))
     if coords is not None:
-        out = out.join(maybe_broadcast(coords, 100_000), on=country, how="inner")
+        out = out.join(coords, on=country, how="inner")
     return out
 
 
@@ -251,7 +251,7 @@ def mention_counts(posts: DataFrame, mentions_col: str = "mentioned", denominato
               .groupBy(*keys, "account").agg(F.count(F.lit(1)).alias("count")))
     # per-region post counts: one row per region (size-checked); one row without regions
     if keys:
-        j = m.join(maybe_broadcast(n, 100_000), on=keys)
+        j = m.join(n, on=keys)
         return j.filter(F.col("count") > F.ceil(F.col("_posts") / F.lit(denominator))).drop("_posts")
     posts_n = n.select("_posts").scalar()
     return m.filter(F.col("count") > F.ceil(posts_n / F.lit(denominator)))

@@ -210,7 +210,6 @@ LDA_TOPICS = 20
 LDA_SEED = 50
 MIN_DOC_FRACTION = 0.0005
 MAX_DOC_FRACTION = 0.33
-DICTIONARY_KEEP_N = 100000
 PHRASE_MIN_COUNT = 5
 PHRASE_THRESHOLD = 10.0
 COHERENCE_WINDOW = 110          # boolean sliding window used by C_v

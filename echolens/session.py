@@ -1,14 +1,10 @@
-"""Session helpers: configuration, checkpoint folder, size-checked broadcast."""
+"""Session helpers: configuration, checkpoint folder, stored tables."""
 
 from __future__ import annotations
 
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Sides at or below this many rows may be broadcast; larger ones shuffle.
-DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
 def build_session(master: str | None = None, app: str = "echolens",
@@ -109,21 +105,6 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bounded_rows(df: DataFrame, limit: int) -> int | None:
-    """Row count of ``df`` if it is at most ``limit``, else None.
-
-    Counts at most ``limit + 1`` rows, so the check is cheap even when the
-    side is huge.
-    """
-    n = df.limit(limit + 1).count()
-    return n if n <= limit else None
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when its row count is proven small; else leave it to the planner."""
-    return F.broadcast(df) if bounded_rows(df, max_rows) is not None else df
-
-
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Guard for CPU-heavy per-row work (tokenising long texts) over few, large files.
 

@@ -3,6 +3,7 @@ smallest driver tables; rows-only queries must run and keep their schema."""
 
 import hashlib
 import math
+import re
 
 import duckdb
 import pytest
@@ -32,18 +33,11 @@ def _digest(cols, rows):
     return hashlib.sha1("\n".join(sorted("|".join(_norm(r[i]) for i in order) for r in rows)).encode()).hexdigest()
 
 
-PYTHON_ALLOWED = {"phrase_merged_tokens", "bigrams_appended", "lda_prevalence", "lda_topic_themes",
-                  "theme_words", "top_docs_per_topic", "coherence", "dense_word_counts", "subtheme_tags",
-                  "subtheme_totals"}
-
-
 def _check_plan(name, df):
-    """Scale properties every registered plan must keep: no cross products, and
-    Python only where a sequential per-document walk needs it."""
+    """Scale properties every registered plan must keep: no cross products and no Python."""
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan, name
-    if name not in PYTHON_ALLOWED:
-        assert "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan, name
+    assert not re.search("ArrowEvalPython|BatchEvalPython|MapInPandas|InPandas", plan), name
 
 
 @pytest.fixture(scope="module")
@@ -73,13 +67,11 @@ def test_oracle(spark, con, name):
     assert _digest(df.columns, rows) == _digest(ocols, orows)
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - {"coherence_sweep"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_rows_only(spark, name):
     df = QUERIES[name](spark, SF_SMALL)
     _check_plan(name, df)
-    schema = df.schema
-    assert df.count() >= 0
-    assert QUERIES[name](spark, SF_SMALL).schema == schema
+    assert df.count() >= 0 and df.columns
 
 
 def test_model_query_invariants(spark):

@@ -55,6 +55,30 @@ def test_cv_matches_brute_force(spark):
     assert abs(overall.first().c_v - sum(want.values()) / 2) < 1e-9
 
 
+def test_cv_of_theme_lists_on_long_texts_with_disjoint_runs(spark):
+    rnd = random.Random(8)
+    filler = ["x", "y", "z"]
+    docs = []
+    for i in range(12):      # words far apart: many runs that never overlap
+        d = []
+        for _ in range(60):
+            d += [rnd.choice("abcd")] * rnd.randint(1, 2) + [rnd.choice(filler) for _ in range(rnd.randint(0, 30))]
+        docs.append(d)
+    docs += [[], ["a"], ["b", "c", "d", "a"]]
+    lists = {10: ["a", "b"], 20: ["b", "c", "d"], 30: ["a", "d"]}
+    d = spark.createDataFrame([(i, x) for i, x in enumerate(docs)], "doc_id long, tokens array<string>")
+    tw = spark.createDataFrame([(t, r, x) for t, ws in lists.items() for r, x in enumerate(ws)], "topic int, rank int, word string")
+    n, wc, pc = window_counts(d, tw, window=8)
+    wins = [x for doc in docs for x in _windows(doc, 8)]
+    assert n.first().n_windows == len(wins)
+    assert {r.word: r.cnt for r in wc.collect()} == {w: sum(w in x for x in wins) for w in "abcd"}
+    got = {(r.word_a, r.word_b): r.cnt for r in pc.collect()}
+    assert got == {p: sum(p[0] in x and p[1] in x for x in wins) for p in [("a", "b"), ("b", "c"), ("b", "d"), ("c", "d"), ("a", "d")]}
+    per, _ = coherence_cv(d, tw, window=8)
+    want = _cv_brute(docs, lists, 8)
+    assert all(abs(r.c_v - want[r.topic]) < 1e-9 for r in per.collect())
+
+
 def test_python_scorer_guard_errors_softmax(spark):
     rows = [(1, "fine text @bob"), (2, "!" * 151), (3, "BOOM please"), (4, None)]
     df = spark.createDataFrame(rows, "tweetId long, content string")

@@ -87,8 +87,6 @@ def test_phrases_vs_brute_force_and_greedy_merge(spark):
     ph = spark.createDataFrame([("new", "york"), ("york", "city")], "word_a string, word_b string")
     t = spark.createDataFrame([(1, ["new", "york", "city", "x", "york", "city"])], "doc_id long, tokens array<string>")
     assert PH.apply_phrases(t, ph, "doc_id").first().tokens == ["new_york", "city", "x", "york_city"]
-    # the shuffle path (phrase table too large to broadcast) gives the same tokens
-    assert PH.apply_phrases(t, ph, "doc_id", broadcast_rows=0).first().tokens == ["new_york", "city", "x", "york_city"]
 
 
 def test_dictionary_bounds(spark):
@@ -109,3 +107,32 @@ def test_subtheme_and_rule_themes(spark):
                                  "doc_id long, num_topic int, tokens array<string>")
     got = {r.doc_id: r.theme for r in TP.rule_themes(docs, rules).collect()}
     assert got == {1: 7, 2: 5, 3: 2}
+
+
+def test_native_phrase_walk_equals_the_greedy_walk(spark):
+    rnd = random.Random(11)
+    docs = [(i, None if i == 5 else [rnd.choice("abcd") for _ in range(rnd.choice([0, 1, 2, 3, 9, 40, 300]))]) for i in range(120)]
+    phrases = {("a", "a"), ("a", "b"), ("b", "c"), ("c", "a"), ("d", "d")}
+
+    def walk(toks):
+        out, merged, i = [], [], 0
+        while i < len(toks):
+            if i + 1 < len(toks) and (toks[i], toks[i + 1]) in phrases:
+                merged.append(f"{toks[i]}+{toks[i + 1]}")
+                out.append(merged[-1])
+                i += 2
+            else:
+                out.append(toks[i])
+                i += 1
+        return out, merged
+
+    df = spark.createDataFrame([(*d, "x") for d in docs], "doc_id long, tokens array<string>, _pos string")
+    ph = spark.createDataFrame(sorted(phrases) * 2, "word_a string, word_b string")
+    got = {r.doc_id: r.tokens for r in PH.apply_phrases(df, ph, "doc_id", delimiter="+").collect()}
+    assert got == {i: None if t is None else walk(t)[0] for i, t in docs}
+    got = {r.doc_id: r.tokens for r in PH.append_bigrams(df, ph, "doc_id", delimiter="+").collect()}
+    assert got == {i: None if t is None else t + walk(t)[1] for i, t in docs}
+    none = PH.apply_phrases(df, ph.limit(0), "doc_id")
+    assert {r.doc_id: r.tokens for r in none.collect()} == dict(docs) and none.columns == df.columns
+    plan = none._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
