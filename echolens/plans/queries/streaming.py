@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ...sources.tables import table as _table
 from ...streaming import jobs as SJ
 from .. import views as V
 from ...functions.text import contains_keyword
@@ -36,6 +37,51 @@ def q_stream_dedupe_replies(spark, sf):
     return out.select("reply_id")
 
 
+# Arrivals of the bounded dedupe: one per year; every 37th reply arrives a year late, every 41st is delivered again the
+# year after, every 53rd is posted again 400 days later under its old id.
+_DELAY_DAYS = 30
+_ARRIVALS = range(1992, 2001)
+
+
+def _deliveries(spark, sf):
+    """(arrival, reply_id, event_time): what arrives in which year."""
+    li = _table(spark, sf, "lineitem")
+    r = li.groupBy((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("reply_id")).agg(
+        F.min("l_shipdate").cast("timestamp").alias("event_time"))
+    again = F.col("event_time") + F.expr("INTERVAL 400 DAYS")
+    year, k = F.year("event_time"), F.col("reply_id")
+
+    def delivery(on, arrival, at):
+        return F.struct(on.alias("_on"), arrival.alias("arrival"), at.alias("event_time"))
+
+    all_of = F.array(delivery(F.lit(True), year + F.when(k % 37 == 0, 1).otherwise(0), F.col("event_time")),
+                     delivery(k % 41 == 0, year + 1, F.col("event_time")), delivery(k % 53 == 0, F.year(again), again))
+    return r.select("reply_id", F.inline(F.filter(all_of, lambda d: d["_on"]))).drop("_on")
+
+
+@register("stream_dedupe_late", f"""
+WITH r AS (SELECT l_orderkey * 10 + l_linenumber AS reply_id, min(l_shipdate)::TIMESTAMP AS e FROM lineitem GROUP BY 1),
+d AS (SELECT reply_id, year(e) + CASE WHEN reply_id % 37 = 0 THEN 1 ELSE 0 END AS b, e FROM r
+      UNION ALL SELECT reply_id, year(e) + 1, e FROM r WHERE reply_id % 41 = 0
+      UNION ALL SELECT reply_id, year(e + INTERVAL 400 DAY), e + INTERVAL 400 DAY FROM r WHERE reply_id % 53 = 0),
+w AS (SELECT b, max(max(e)) OVER (ORDER BY b) - INTERVAL {_DELAY_DAYS} DAY AS mark FROM d GROUP BY b),
+p AS (SELECT d.*, (SELECT mark FROM w WHERE w.b < d.b ORDER BY w.b DESC LIMIT 1) AS mark FROM d WHERE b BETWEEN {_ARRIVALS[0]} AND {_ARRIVALS[-1]}),
+ok AS (SELECT DISTINCT reply_id, b, e, mark FROM p WHERE mark IS NULL OR e > mark),
+known AS (SELECT ok.*, EXISTS (SELECT 1 FROM ok o WHERE o.reply_id = ok.reply_id AND o.b < ok.b
+                               AND o.e + INTERVAL {_DELAY_DAYS} DAY > ok.mark) AS held FROM ok)
+SELECT reply_id, e AS event_time FROM known WHERE NOT held
+""")
+def q_stream_dedupe_late(spark, sf):
+    """Dedupe over yearly arrivals with a 30-day watermark: late rows go, repeats go while their key is held, a key
+    comes back once its state has expired (X01)."""
+    from ...session import cut_lineage
+    rows = cut_lineage(_deliveries(spark, sf), large=True)
+    schema = rows.drop("arrival").schema
+    out = SJ.run_arrivals([rows.filter(F.col("arrival") == y) for y in _ARRIVALS], schema,
+                          lambda st: SJ.dedupe_stream(st, "reply_id", "event_time", f"{_DELAY_DAYS} days"), "dedupe_late")
+    return out.select("reply_id", "event_time")
+
+
 @register("stream_emotion_scores")
 def q_stream_emotion_scores(spark, sf):
     """Streaming score-and-append with foreachBatch."""

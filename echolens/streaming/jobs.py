@@ -1,13 +1,18 @@
 """Structured Streaming versions of the collection-side jobs.
 
 X01 ``dedupe_stream``: posts/replies arrive in files; a reply seen again
-    within the watermark is dropped (``dropDuplicatesWithinWatermark``).
+    within the watermark is dropped (``dropDuplicatesWithinWatermark``), a
+    row behind it is late and dropped, and a key is forgotten once the
+    watermark passes its event time by the delay, so state stays bounded.
+    ``run_arrivals`` runs one resumed query per landed arrival.
 X02 ``weekly_window_stream``: weekly tumbling windows ending on Sunday
     (``window(ts, '7 days', '7 days', '3 days')``; the window end equals
     the Sunday-after label of the batch reports) with counts and means.
-    Emitted in update mode through ``foreachBatch``; each micro-batch is
-    written to its own partition (rewritten if the batch is retried), and
-    readers take the latest row per window, so results are exactly-once.
+    Emitted in update mode through ``foreachBatch`` into an update log: each
+    micro-batch is its own folder (rewritten if the batch is retried), and
+    every ``COMPACT`` batches the log is folded into one snapshot with the
+    latest row per key.  Readers take the last snapshot and the fewer than
+    ``COMPACT`` newer batches, however long the stream has run.
 X03 ``score_stream``: score-and-append with ``foreachBatch`` around any
     batch scorer; the checkpoint replaces hand-made resume files.
 
@@ -22,12 +27,14 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import scratch_path
 
+COMPACT = 8     # batches of an update log that are folded into its snapshot at a time
+
 
 def file_stream(spark: SparkSession, directory: str, schema: T.StructType, glob: str | None = None,
                 max_files: int | None = None, fmt: str = "parquet") -> DataFrame:
@@ -79,21 +86,99 @@ def weekly_windows(stream: DataFrame, ts: str, measures, delay: str = "7 days",
                   .groupBy(F.window(ts, "7 days", "7 days", "3 days").alias("w"), *keys).agg(*aggs))
 
 
-def run_update_to_parquet(df: DataFrame, name: str, key_cols) -> DataFrame:
+class UpdateLog:
+    """Latest row per key of an update-mode stream, kept as a snapshot and the batches since.
+
+    A batch is written under its number, so a retried one replaces itself.  A
+    snapshot holds every batch up to its number; it counts once it is
+    complete, and only then is what it replaces deleted, so a crash at any
+    point leaves a readable log.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, keys, schema: T.StructType, compact: int = COMPACT):
+        self.spark, self.path, self.keys, self.compact = spark, path, list(keys), compact
+        self.schema = T.StructType(schema.fields + [T.StructField("_batch", T.LongType())])
+
+    def _numbers(self, kind: str) -> list[int]:
+        """Numbers of the complete folders of ``kind``, ascending."""
+        jvm = self.spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{kind}")
+        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(root):
+            return []
+        done = [x.getPath() for x in fs.listStatus(root) if fs.exists(jvm.org.apache.hadoop.fs.Path(x.getPath(), "_SUCCESS"))]
+        return sorted(int(p.getName()) for p in done)
+
+    def _delete(self, kind: str, number: int) -> None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{kind}/{number}")
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+    def _parts(self) -> list[str]:
+        last = self._numbers("snapshot")[-1:]
+        newer = [b for b in self._numbers("batch") if not last or b > last[0]]
+        return [f"{self.path}/snapshot/{n}" for n in last] + [f"{self.path}/batch/{b}" for b in newer]
+
+    def write(self, batch: DataFrame, batch_id: int) -> None:
+        """``foreachBatch`` sink."""
+        batch.withColumn("_batch", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(f"{self.path}/batch/{batch_id}")
+        if batch_id % self.compact == self.compact - 1:
+            self.fold(batch_id)
+
+    def fold(self, batch_id: int) -> None:
+        """Fold the log into the snapshot ``batch_id`` and delete what it replaces."""
+        if batch_id in self._numbers("snapshot"):
+            return
+        self._latest().write.mode("overwrite").parquet(f"{self.path}/snapshot/{batch_id}")
+        for kind in ("snapshot", "batch"):
+            for n in self._numbers(kind):
+                if n < batch_id or kind == "batch" and n == batch_id:
+                    self._delete(kind, n)
+
+    def _latest(self) -> DataFrame:
+        parts = self._parts()
+        if not parts:
+            return self.spark.createDataFrame([], self.schema)
+        rows = self.spark.read.schema(self.schema).parquet(*parts)
+        rest = [c for c in rows.columns if c not in self.keys]
+        newest = rows.groupBy(*self.keys).agg(F.max_by(F.struct(*rest), "_batch").alias("_row"))
+        return newest.select(*[F.col(c) if c in self.keys else F.col(f"_row.{c}") for c in rows.columns])
+
+    def read(self) -> DataFrame:
+        return self._latest().drop("_batch")
+
+
+def run_update_to_parquet(df: DataFrame, name: str, key_cols, compact: int = COMPACT) -> DataFrame:
     """Run an update-mode aggregate to completion; keep the latest row per key."""
-    spark = df.sparkSession
-    out, ckpt = _run_dir(spark, name)
-
-    def write(batch: DataFrame, batch_id: int):
-        (batch.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite")
-              .option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(out))
-
-    q = (df.writeStream.outputMode("update").foreachBatch(write)
+    out, ckpt = _run_dir(df.sparkSession, name)
+    log = UpdateLog(df.sparkSession, out, key_cols, df.schema, compact)
+    q = (df.writeStream.outputMode("update").foreachBatch(log.write)
            .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
-    res = _read_sink(spark, out, T.StructType(df.schema.fields + [T.StructField("_batch", T.IntegerType())]))
-    w = Window.partitionBy(*key_cols).orderBy(F.col("_batch").desc())
-    return res.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "_batch")
+    return log.read()
+
+
+def run_arrivals(arrivals, schema: T.StructType, build: Callable[[DataFrame], DataFrame], name: str,
+                 progress: list | None = None) -> DataFrame:
+    """Land one arrival after the other and run ``build(stream)`` to completion after each, resumed from the same
+    checkpoint (state and watermark go on); return the append sink.
+
+    ``arrivals``: batch frames, in order of arrival, of any number of files each.  The progress report of every
+    run's last batch is added to ``progress``.
+    """
+    arrivals = list(arrivals)
+    spark = arrivals[0].sparkSession
+    out, ckpt = _run_dir(spark, name)
+    landing = scratch_path(spark, f"stream/{name}/{uuid.uuid4().hex[:12]}/in")
+    spark.createDataFrame([], schema).write.parquet(landing)
+    sink = build(file_stream(spark, landing, schema))
+    for arrived in arrivals:
+        arrived.select(*schema.names).write.mode("append").parquet(landing)
+        q = (build(file_stream(spark, landing, schema)).writeStream.format("parquet").outputMode("append").option("path", out)
+             .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+        q.awaitTermination()
+        if progress is not None:
+            progress.append(q.lastProgress)
+    return spark.read.schema(sink.schema).parquet(out)
 
 
 def weekly_window_stream(stream: DataFrame, ts: str, measures, name: str = "weekly") -> DataFrame:

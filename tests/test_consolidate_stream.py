@@ -1,6 +1,7 @@
 import datetime as dt
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from echolens.plans import consolidate as CN
 from echolens.schemas import RAW_POST_SCHEMA, SUBTHEME_CODES
@@ -141,3 +142,39 @@ def test_stream_without_data(spark, tmp_path):
     st = SJ.file_stream(spark, str(src), T._parse_datatype_string(schema))
     out = SJ.weekly_window_stream(st, "ts", ["value"], "empty_weekly")
     assert out.count() == 0 and out.columns == ["dsw", "n", "value"]
+
+
+def test_update_log_is_bounded_and_keeps_the_latest_row(spark, tmp_path):
+    import os
+    schema = T._parse_datatype_string("k long, g string, n long")
+    log = SJ.UpdateLog(spark, str(tmp_path / "log"), ["k", "g"], schema, compact=3)
+    want = {}
+    for b in range(10):
+        rows = [(k, None if k % 2 else "x", 100 * b + k) for k in range(b % 4, 6)]
+        want |= {(k, g): n for k, g, n in rows}
+        batch = spark.createDataFrame(rows, schema)
+        log.write(batch, b)
+        if b in (2, 4):
+            log.write(batch, b)                      # a retried batch replaces itself, also after it was folded
+        assert {(r.k, r.g): r.n for r in log.read().collect()} == want
+        assert len(log._parts()) <= 3 and len(os.listdir(tmp_path / "log" / "batch")) <= 3
+    assert sorted(os.listdir(tmp_path / "log" / "snapshot")) == ["8"]
+    assert SJ.UpdateLog(spark, str(tmp_path / "none"), ["k"], schema).read().count() == 0
+
+
+def test_dedupe_arrivals_late_rows_and_expired_state(spark):
+    schema = T._parse_datatype_string("id long, at timestamp")
+
+    def arrival(*rows):
+        return spark.createDataFrame([(i, dt.datetime(2021, 1, d)) for i, d in rows], schema)
+
+    progress = []
+    out = SJ.run_arrivals([
+        arrival((1, 1), (2, 2), (2, 2), (3, 10)),    # mark after it: day 8
+        arrival((1, 1), (2, 9), (4, 8), (5, 9), (3, 10), (6, 20)),      # 1 late, 2 forgotten, 4 late (on the mark), 3 held
+        arrival((3, 21), (6, 22), (7, 18)),      # mark 18: 3 forgotten, 6 held (until 22), 7 late
+        arrival((8, 30)),
+    ], schema, lambda st: SJ.dedupe_stream(st, "id", "at", "2 days"), "test_arrivals", progress)
+    got = sorted((r.id, r["at"].day) for r in out.collect())
+    assert got == [(1, 1), (2, 2), (2, 9), (3, 10), (3, 21), (5, 9), (6, 20), (8, 30)]
+    assert [p["stateOperators"][0]["numRowsTotal"] for p in progress][-1] <= 2
