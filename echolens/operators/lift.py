@@ -10,10 +10,9 @@ Scale notes
   shuffle carries one row per (task, group), not one per input row.
 * The global baseline is a one-row aggregate used as scalar subqueries
   (no join at all).
-* ``lift_cube`` answers all key sets in ONE pass: the rows are first
-  pre-aggregated to the finest key combination (sums and counts), then a
-  single GROUPING SETS aggregate rolls them up.  The 17-way expansion
-  therefore runs on the pre-aggregated rows, not on the fact table.
+* ``lift_cube`` answers all key sets in ONE pass over the facts: the few
+  sets that no other contains are aggregated together (sums and counts, map
+  side first), the rest are rolled up from the smallest of those.
 """
 
 from __future__ import annotations
@@ -177,9 +176,31 @@ LIFT_SETS = {
 }
 
 
+def _families(sets) -> list[frozenset]:
+    """The key sets that no other set contains: every set can be rolled up from one of them."""
+    return [ks for ks in sets if not any(ks < other for other in sets)]
+
+
+def _grouping_sets(df: DataFrame, sets, keys, aggs, name: str) -> DataFrame:
+    """``aggs`` for every key set of ``sets`` in one pass; ``name`` numbers the set of each row."""
+    out = df.groupingSets([[F.col(k) for k in keys if k in ks] for ks in sets], *[F.col(k) for k in keys]).agg(
+        *aggs, *[F.grouping(k).alias(f"_g_{k}") for k in keys])
+    number = F.lit(None).cast("int")
+    for i, ks in enumerate(sets):
+        here = reduce(lambda a, b: a & b, [F.col(f"_g_{k}") == (0 if k in ks else 1) for k in keys])
+        number = F.when(here, F.lit(i)).otherwise(number)
+    return out.withColumn(name, number).drop(*[f"_g_{k}" for k in keys])
+
+
 def lift_cube(df: DataFrame, sets: dict | None = None, measures=EMOTIONS,
               id_col: str = "tweetId", materialize: bool = True) -> DataFrame:
-    """All lift key sets in one pass (pre-aggregate, then GROUPING SETS).
+    """All lift key sets from one pass over ``df``, rolled up along the lattice of the sets.
+
+    The sets that no other set contains head a family each and are
+    aggregated together from the rows; every other set is rolled up from
+    the smallest head that contains it, by measured size.  So no aggregate
+    combines keys that no set combines (account, week and month, say), and
+    the roll-ups read group tables, not facts.
 
     Output: ``set_name``, the union of all key columns (null where a key is
     not part of the set), ``n``, the means and ``lift_<m>`` against the
@@ -187,36 +208,37 @@ def lift_cube(df: DataFrame, sets: dict | None = None, measures=EMOTIONS,
     plain group-by over that set would drop them.
     """
     sets = sets or LIFT_SETS
-    all_keys = []
-    for ks in sets.values():
-        for k in ks:
-            if k not in all_keys:
-                all_keys.append(k)
-    # 1) finest grain: one row per distinct key combination (read twice:
-    #    by the roll-up and by the global baseline, so computed once)
-    fine = _once(df.groupBy(*all_keys).agg(*_sums(measures, id_col)), materialize)
-    # 2) roll up all sets at once; sets with the same keys (c2 and c41) are
-    #    aggregated once and fanned out by name afterwards
-    by_keys: dict[frozenset, list[str]] = {}
+    all_keys = list(dict.fromkeys(k for ks in sets.values() for k in ks))
+    by_keys: dict[frozenset, list[str]] = {}      # sets with the same keys (c2 and c41) are computed once
     for nm, ks in sets.items():
         by_keys.setdefault(frozenset(ks), []).append(nm)
-    set_list = [[F.col(k) for k in all_keys if k in ks] for ks in by_keys]
-    gid_cols = [F.grouping(k).alias(f"_g_{k}") for k in all_keys]
-    rolled = fine.groupingSets(set_list, *[F.col(k) for k in all_keys]).agg(
-        *_resum(measures), *gid_cols)
-    # name each set from its grouping bits; drop null keys of grouped columns
-    names = None
-    for ks, nms in by_keys.items():
-        cond = reduce(lambda a, b: a & b,
-                      [F.col(f"_g_{k}") == (0 if k in ks else 1) for k in all_keys])
-        arr = F.array(*[F.lit(n) for n in nms])
-        names = F.when(cond, arr) if names is None else names.when(cond, arr)
-    keep_row = reduce(lambda a, b: a & b,
-                      [(F.col(f"_g_{k}") == 1) | F.col(k).isNotNull() for k in all_keys])
-    rolled = rolled.filter(keep_row).withColumn("set_name", F.explode(names))
-    means = _means(rolled.drop(*[f"_g_{k}" for k in all_keys]), measures)
-    # the global baseline rolls up the finest aggregate: no second pass over df
-    base = _base_from(fine, measures, "_b_").select(F.struct("*").alias("b")).scalar()
+    heads = _families(by_keys)
+    groups = _once(_grouping_sets(df, heads, all_keys, _sums(measures, id_col), "_head"), materialize)
+    rows = {r["_head"]: r["count"] for r in groups.groupBy("_head").count().collect()}    # one row per head
+    size = {i: rows.get(i, 0) for i in range(len(heads))}
+    children: dict[int, list[frozenset]] = {}
+    for ks in by_keys:
+        if ks not in heads:
+            children.setdefault(min((i for i, h in enumerate(heads) if ks < h), key=size.get), []).append(ks)
+
+    parts = []
+    for i, head in enumerate(heads):
+        keys, members = [k for k in all_keys if k in head], [head, *children.get(i, [])]
+        rolled = groups.filter(F.col("_head") == i)
+        if len(members) > 1:
+            rolled = _grouping_sets(rolled, members, keys, _resum(measures), "_set")
+        else:
+            rolled = rolled.withColumn("_set", F.lit(0))
+        names = F.array(*[F.array(*[F.lit(n) for n in by_keys[ks]]) for ks in members])
+        whole = F.get(F.array(*[_not_null(sorted(ks)) for ks in members]), F.col("_set"))
+        parts.append(rolled.filter(whole).select(
+            F.explode(F.get(names, F.col("_set"))).alias("set_name"),
+            *[F.col(k) if k in head else F.lit(None).cast(df.schema[k].dataType).alias(k) for k in all_keys], "n",
+            *[c for c in groups.columns if c.startswith(("_s_", "_c_"))]))
+    means = _means(reduce(DataFrame.unionByName, parts), measures)
+    # every head covers all rows, so the smallest one gives the global baseline
+    base = _base_from(groups.filter(F.col("_head") == min(size, key=size.get)), measures, "_b_").select(
+        F.struct("*").alias("b")).scalar()
     return means.select("*", *[base.getField(f"_b_{m}").alias(f"_b_{m}") for m in measures]).select(
         "set_name", *all_keys, "n", *measures,
         *[F.try_divide(F.col(m), F.col(f"_b_{m}")).alias(f"lift_{m}") for m in measures])

@@ -64,3 +64,14 @@ def test_cube_equals_separate_groupbys(spark):
         for m in EM:
             assert ((merged[f"lift_{m}"] - merged[f"lift_{m}_s"]).abs() < 1e-9).all()
         assert (merged["n"] == merged["n_s"]).all()
+
+
+def test_cube_families(spark):
+    sets = {frozenset(ks) for ks in L.LIFT_SETS.values()}
+    heads = L._families(sets)
+    assert len(heads) == 4 and all(any(ks <= h for h in heads) for ks in sets)
+    df, _ = _frame(spark)
+    cube = L.lift_cube(df, {"a": ["theme", "country"], "b": ["country", "theme"], "c": ["theme"], "d": ["continent"]})
+    got = {r.set_name: r["count"] for r in cube.groupBy("set_name").count().collect()}
+    assert got["a"] == got["b"] and set(got) == set("abcd")
+    assert L.lift_cube(df.limit(0), {"a": ["theme", "country"], "c": ["theme"]}).count() == 0
