@@ -76,13 +76,57 @@ TITLE_CHAR_MAP = [("\u2014", "-"), ("\u2013", "-"), ("\u00a0", " "), ("\u00ab",
 def html_title(html: str | Column) -> Column:
     """Text of the first <title> element, entities decoded, spaces collapsed; '[no-title]' if absent."""
     raw = F.regexp_extract(_c(html), r"(?is)<title[^>]*>(.*?)</title>", 1)
+    return F.when(F.length(raw) == 0, F.lit("[no-title]")).otherwise(_plain(raw))
+
+
+def _plain(raw: Column) -> Column:
+    """Entities decoded, dashes and quotes plain, white space collapsed."""
     t = raw
     for ent, ch in HTML_ENTITIES:
         t = F.replace(t, F.lit(ent), F.lit(ch))
     for a, b in TITLE_CHAR_MAP:
         t = F.replace(t, F.lit(a), F.lit(b))
-    t = F.regexp_replace(F.regexp_replace(t, "[" + _WS + "]+", " "), "^ | $", "")
-    return F.when(F.length(raw) == 0, F.lit("[no-title]")).otherwise(t)
+    return F.regexp_replace(F.regexp_replace(t, "[" + _WS + "]+", " "), "^ | $", "")
+
+
+# What stands between a headline and the name of its site, in order of preference.
+TITLE_DELIMITERS = [" | ", " - ", " :: ", " / "]
+
+
+def short_title(html: str | Column) -> Column:
+    """The headline without the site's name.
+
+    The longest heading (h1 to h3, two words and 15 characters or more) that
+    the full title contains; else the title's first part before a delimiter,
+    or its last part, whichever has four words; else what follows a colon.
+    A result that isn't 16 to 149 characters long is the full title.
+    """
+    full = html_title(html)
+
+    def words(c):
+        return F.size(F.split(c, " "))
+
+    def last(c, d):
+        return F.element_at(F.split(c, _quoted(d)), -1)
+
+    heads = F.transform(F.regexp_extract_all(_c(html), F.lit(r"(?is)<h[1-3][^>]*>(.*?)</h[1-3]>"), F.lit(1)),
+                        lambda h: _plain(F.regexp_replace(h, "<[^>]*>", "")))
+    inside = F.filter(heads, lambda h: (words(h) >= 2) & (F.length(h) >= 15)
+                      & F.contains(F.replace(full, F.lit('"'), F.lit("")), F.replace(h, F.lit('"'), F.lit(""))))
+    longest = F.array_max(F.transform(inside, lambda h: F.struct(F.length(h).alias("n"), h.alias("h"))))["h"]
+    parts = []
+    for d in TITLE_DELIMITERS:
+        first = F.split(full, _quoted(d))[0]
+        parts.append(F.when(F.contains(full, F.lit(d)), F.when(words(first) >= 4, first).when(words(last(full, d)) >= 4, last(full, d))))
+    colon = F.when(F.contains(full, F.lit(": ")), F.when(words(last(full, ": ")) >= 4, last(full, ": ")).otherwise(
+        F.element_at(F.split(full, ": ", 2), -1)))
+    short = F.coalesce(longest, *parts, colon, full)
+    return F.when((F.length(short) > 15) & (F.length(short) < 150), short).otherwise(full)
+
+
+def _quoted(d: str) -> str:
+    """``d`` as a pattern that matches itself."""
+    return d.replace("|", "[|]")
 
 
 def link_stem(url: str | Column, mode: str = "charset") -> Column:

@@ -128,6 +128,19 @@ def rank_in_group(df: DataFrame, id_col: str, group: str | list | None = None,
     return j.withColumn("_rank", F.col("_off") + F.col("_rk")).drop("_slice", "_cnt", "_off", "_rk")
 
 
+def row_numbers(df: DataFrame, id_col: str, name: str = "row_id") -> DataFrame:
+    """Consecutive numbers from 0 in order of a unique ``id_col``, by range slices."""
+    return rank_in_group(df, id_col).withColumnRenamed("_rank", name).drop("_total")
+
+
+def pick_positions(df: DataFrame, id_col: str, positions, name: str = "position") -> DataFrame:
+    """The rows at the given places (from 0; negative ones count from the end) in order of a unique ``id_col``."""
+    r = rank_in_group(df, id_col)
+    wanted = [F.lit(p) if p >= 0 else F.col("_total") + p for p in positions]
+    return r.filter(F.array_contains(F.array(*[w.cast("long") for w in wanted]), F.col("_rank").cast("long"))).withColumnRenamed(
+        "_rank", name).drop("_total")
+
+
 def fixed_size_batches(df: DataFrame, id_col: str, size: int, group: str | list | None = None,
                        batch_col: str = "batch", slices: int | None = None) -> DataFrame:
     """Number consecutive ids (ascending) into batches of ``size`` inside each group

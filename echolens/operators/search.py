@@ -25,10 +25,12 @@ from ..functions.text import any_keyword, id_query
 
 def search_predicate(keywords=None, author: str | None = None, since: str | None = None,
                      until: str | None = None, lang: str | None = None, replies_only: bool | None = None,
-                     min_replies: int | None = None, text: str = "content", author_col: str = "username",
+                     min_replies: int | None = None, verified: bool | None = None, news: bool | None = None,
+                     min_retweets: int | None = None, min_likes: int | None = None, text: str = "content", author_col: str = "username",
                      date: str = "date", lang_col: str = "lang", reply_flag: str = "is_reply",
-                     reply_count: str = "replyCount") -> Column:
-    """AND of the given search parts (``until`` is exclusive)."""
+                     reply_count: str = "replyCount", retweet_count: str = "retweetCount", like_count: str = "likeCount",
+                     verified_flag: str = "verified", news_flag: str = "news_like") -> Column:
+    """AND of the given search parts (``until`` is exclusive; a null flag or counter never matches)."""
     parts = []
     if keywords:
         parts.append(any_keyword(text, keywords))
@@ -42,8 +44,12 @@ def search_predicate(keywords=None, author: str | None = None, since: str | None
         parts.append(F.col(lang_col) == F.lit(lang))
     if replies_only is not None:
         parts.append(F.col(reply_flag) == F.lit(replies_only))
-    if min_replies is not None:
-        parts.append(F.col(reply_count) >= F.lit(min_replies))
+    for flag, want in ((verified_flag, verified), (news_flag, news)):
+        if want is not None:
+            parts.append(F.col(flag) == F.lit(want))
+    for counter, least in ((reply_count, min_replies), (retweet_count, min_retweets), (like_count, min_likes)):
+        if least is not None:
+            parts.append(F.col(counter) >= F.lit(least))
     pred = F.lit(True)
     for p in parts:
         pred = pred & p

@@ -16,3 +16,4 @@ from . import text  # noqa: F401,E402
 from . import topics  # noqa: F401,E402
 from . import streaming  # noqa: F401,E402
 from . import consolidation  # noqa: F401,E402
+from . import landed  # noqa: F401,E402

@@ -207,15 +207,18 @@ def _regions_sql() -> str:
     return f"(VALUES {rows}) AS rg(region, lat, lng, radius_km)"
 
 
-def _title_sql(html: str) -> str:
-    raw = f"regexp_extract({html}, '(?is)<title[^>]*>(.*?)</title>', 1)"
+def _plain_sql(raw: str) -> str:
     t = raw
     for ent, ch in TX.HTML_ENTITIES:
         t = f"replace({t}, '{ent}', '{ch.replace(chr(39), chr(39) * 2)}')"
     for a, b in TX.TITLE_CHAR_MAP:
         t = f"replace({t}, '{a}', '{b}')"
-    t = f"regexp_replace(regexp_replace({t}, '[{TX._WS}]+', ' ', 'g'), '^ | $', '', 'g')"
-    return f"CASE WHEN length({raw}) = 0 THEN '[no-title]' ELSE {t} END"
+    return f"regexp_replace(regexp_replace({t}, '[{TX._WS}]+', ' ', 'g'), '^ | $', '', 'g')"
+
+
+def _title_sql(html: str) -> str:
+    raw = f"regexp_extract({html}, '(?is)<title[^>]*>(.*?)</title>', 1)"
+    return f"CASE WHEN length({raw}) = 0 THEN '[no-title]' ELSE {_plain_sql(raw)} END"
 
 
 def _city_rows(spark, sf):

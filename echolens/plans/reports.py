@@ -257,6 +257,18 @@ def mention_counts(posts: DataFrame, mentions_col: str = "mentioned", denominato
     return m.filter(F.col("count") > F.ceil(posts_n / F.lit(denominator)))
 
 
+def discover_accounts(raw: DataFrame, accounts: DataFrame, region: str = "place", denominator: int = 5000) -> DataFrame:
+    """News accounts per region, in one plan: handles mentioned in a region's posts more often than its threshold,
+    their profiles, and whether these read like news (region, account, count, userId, news_like).
+
+    A region of null is left out; a handle without a profile has nulls.
+    """
+    posts = raw.filter(F.col(region).isNotNull()).select(region, F.col("mentionedUsers.username").alias("_mentioned"))
+    found = mention_counts(posts, "_mentioned", denominator, region=region)
+    profiles = accounts.select(F.col("username").alias("account"), "userId", news_like().alias("news_like"))
+    return found.join(profiles, "account", "left").select(region, "account", "count", "userId", "news_like")
+
+
 def news_like(desc: str = "description", verified: str = "verified"):
     """'news' or 'News' in the description (case-sensitive) and verified."""
     d = F.coalesce(F.col(desc), F.lit(""))

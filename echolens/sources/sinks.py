@@ -13,6 +13,11 @@ from ..operators.dedupe import upsert_first_wins
 from ..schemas import EXPORT_COLS
 
 
+# Options of delimited files that hold any text, the same for writing and reading.
+DELIMITED = {"quote": '"', "escape": '"', "nullValue": "\\N", "emptyValue": '""', "lineSep": "\n",
+             "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select and cast to ``schema`` exactly (missing columns become typed nulls)."""
     cols = []
@@ -38,7 +43,8 @@ def overwrite_parquet(df: DataFrame, path: str, partition_by=None, compression:
 
 def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = True,
                     mode: str = "overwrite", compression: str | None = None) -> None:
-    w = df.write.mode(mode).option("sep", sep).option("header", header)
+    """Fields are quoted where they need it, quotes doubled; nulls and empty texts stay apart."""
+    w = df.write.mode(mode).options(**DELIMITED).option("sep", sep).option("header", header)
     if compression:
         w = w.option("compression", compression)
     w.csv(path)

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..schemas import (ACCOUNT_SCHEMA, CITY_SCHEMA, HEADLINE_SCHEMA, MEDIA_LIST_SCHEMA,
                        POST_SCHEMA, RAW_POST_SCHEMA, SCORE_SCHEMA, TOPIC_RULE_SCHEMA)
+from .sinks import DELIMITED
 
 TEST_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
                "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -36,6 +37,12 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",
             .option("mode", "PERMISSIVE").csv(path))
 
 
+def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",", header: bool = True) -> DataFrame:
+    """What ``sinks.write_delimited`` wrote, line ends inside fields included."""
+    return spark.read.schema(schema).options(**DELIMITED).option("emptyValue", "").option("multiLine", True).option(
+        "header", header).option("sep", sep).csv(path)
+
+
 def read_id_list(spark: SparkSession, path: str, name: str = "value") -> DataFrame:
     """Headerless one-column CSV -> distinct values."""
     sch = T.StructType([T.StructField(name, T.StringType())])
