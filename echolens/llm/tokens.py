@@ -1,16 +1,18 @@
 """Token ids of whole texts with a public tokenizer, and their pieces.
 
-A byte-level vocabulary splits at white space before it merges, so a text's
-ids are the ids of its space-separated chunks, each with its leading space,
-joined; chunks recur, and each worker process keeps the ids of the first
-``CACHE`` that it met, the frequent ones among them (which bounds memory and
-changes no result).  Texts in which a space stands between other white
-space are encoded as a whole, because there the cut would not be safe.
+The tokenizer's own library is the measure.  Where its file describes a plain
+byte-level vocabulary whose merges stand in the order of their ids, and every
+merge's token comes apart into that merge when it is built from bytes by the
+lowest id first, joining the pair of lowest id gives the same ids (what stands
+beside a token's place can't change its inside before its borders are joined);
+then texts are encoded that way, straight into an array, several times faster.
+Texts that hold a special token's content or a piece of over ``PIECE`` bytes
+without a break, and all texts of other tokenizers, go through the library.
 """
 
 from __future__ import annotations
 
-import re
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -19,38 +21,88 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE = 250_000         # about 50 MB a worker process
 LENGTH = 2048
+PIECE = 512
 END = b"\0\0\0\0"      # id 0, little-endian
-_UNSAFE = re.compile(r"\s \s")
+# Fixed value: the byte-level pre-tokenizer's pattern.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_WHITE = np.zeros(256, bool)
+_WHITE[[32, *range(9, 14)]] = True
 _LOADED: dict = {}
 
 
+def _byte_letters() -> dict[str, int]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others for the letters from 256 on, in order."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
+def _apart(token: bytes, ranks: dict[bytes, int]) -> list[bytes]:
+    """``token`` built from bytes by pairs of lowest rank below its own, as far as that goes."""
+    own, parts = ranks[token], [token[i:i + 1] for i in range(len(token))]
+    while len(parts) > 2:
+        at = [ranks.get(a + b, own) for a, b in zip(parts, parts[1:])]
+        low = min(at)
+        if low >= own:
+            break
+        i = at.index(low)
+        parts[i:i + 2] = [parts[i] + parts[i + 1]]
+    return parts
+
+
+def pair_ranks(spec: dict) -> dict[bytes, int] | None:
+    """Token bytes -> id, if joining the pair of lowest id is the tokenizer that ``spec`` (its file) describes."""
+    model, pre = spec["model"], spec.get("pre_tokenizer") or {}
+    plain = (model.get("type") == "BPE" and pre.get("type") == "ByteLevel" and pre.get("use_regex", True)
+             and not pre.get("add_prefix_space") and not any(spec.get(k) for k in ("normalizer", "truncation", "padding", "post_processor"))
+             and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix",
+                                                "byte_fallback", "ignore_merges")))
+    letters = _byte_letters()
+    if not plain or any(c not in letters for t in model["vocab"] for c in t):
+        return None
+    ranks = {bytes(letters[c] for c in t): i for t, i in model["vocab"].items()}
+    pairs = [[bytes(letters[c] for c in x) for x in (m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+    ids = [ranks.get(a + b, -1) for a, b in pairs]
+    whole = all(bytes([b]) in ranks for b in range(256)) and len(ranks) == 256 + len(pairs)
+    if not whole or ids != sorted(set(ids)) or any(_apart(a + b, ranks) != [a, b] for a, b in pairs):
+        return None
+    return ranks
+
+
 class Encoder:
     """Text -> ids as little-endian unsigned 32-bit bytes."""
 
     def __init__(self, path: str):
+        import tiktoken
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        ranks = pair_ranks(spec)
+        self.special = [t["content"] for t in spec.get("added_tokens") or []]
+        self.quick = tiktoken.Encoding("pairs", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}) if ranks else None
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def whole(self, text: str) -> bytes:
+        """By the tokenizer's own library."""
+        e = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
+        return np.array(e.ids, "<u4").tobytes()
 
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if "<|" in text or _UNSAFE.search(text):
-            return self._encode([text])[0]
-        head, *rest = text.split(" ")
-        known = self.known
-        new = list(set(rest).difference(known))
-        made = dict(zip(new, self._encode([" " + w for w in new]))) if new else {}
-        first = self._encode([head])[0] if head else b""
-        if len(known) < CACHE:
-            known.update(made)
-            return first + b"".join(map(known.__getitem__, rest))
-        return first + b"".join([known[w] if w in known else made[w] for w in rest])
+        if not self.quick or any(s in text for s in self.special) or _unbroken(text):
+            return self.whole(text)
+        return self.quick.encode_to_numpy(text).astype("<u4").tobytes()
+
+
+def _unbroken(text: str) -> bool:
+    """Does ``text`` hold over ``PIECE`` bytes without a space, or of nothing but white space?"""
+    if len(text) <= PIECE // 4:
+        return False
+    b = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+    return any(np.diff(np.flatnonzero(breaks), prepend=-1, append=len(b)).max(initial=0) > PIECE
+               for breaks in (b == 32, ~_WHITE[b]))
 
 
 def encoder(path: str) -> Encoder:

@@ -233,6 +233,34 @@ def test_encoder_equals_tokenizer():
     assert [np.frombuffer(e(t), "<u4").tolist() for t in texts] == [tk.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_quick_encoding_equals_the_library(documents):
+    e = tokens.Encoder(PATH)
+    assert e.quick
+    r = np.random.default_rng(3)
+    points = [c for c in range(1, 0x3000) if not 0xD800 <= c < 0xE000] + [0xFF10, 0x1F600, 0x20000, 0x10FFFD]
+    texts = [chr(c).join(["a", "b 1", "2 ", ".", " '"]) for c in points]
+    texts += ["".join(map(chr, r.choice(points, 400))) for _ in range(100)]
+    texts += ["x" * n for n in (127, 128, 511, 512, 513, 5000)] + [" " * 3000, "\n \n" * 900, "a <|endoftext|> b", "don't we'll I'd 'S", " \u3000 " * 400, "é" * 400]
+    texts += [x.text for x in documents.select("text").collect() if x.text]
+    assert all(e(t) == e.whole(t) for t in texts)
+    assert not tokens._unbroken("word " * 1000) and tokens._unbroken("y" * 600) and tokens._unbroken("a" + " \n" * 600)
+
+
+def test_pair_ranks_only_for_consistent_merges():
+    letters = {b: c for c, b in tokens._byte_letters().items()}
+    base = {letters[b]: b for b in range(256)}
+
+    def spec(merges, **model):
+        vocab = base | {a + b: 256 + i for i, (a, b) in enumerate(merges)}
+        return {"model": {"type": "BPE", "vocab": vocab, "merges": merges, **model}, "pre_tokenizer": {"type": "ByteLevel"}}
+
+    assert tokens.pair_ranks(spec([("a", "b"), ("ab", "c")]))[b"abc"] == 257
+    assert tokens.pair_ranks(spec([("b", "c"), ("a", "b"), ("ab", "c")])) is None      # "abc" is built as a + bc
+    assert tokens.pair_ranks(spec([("a", "b")], dropout=0.1)) is None
+    assert tokens.pair_ranks(spec([("a", "b")]) | {"normalizer": {"type": "Lowercase"}}) is None
+    assert tokens.pair_ranks({"model": {"type": "WordPiece", "vocab": {}, "merges": []}}) is None
+
+
 def test_packing(documents, awkward):
     from tokenizers import Tokenizer
     tk = Tokenizer.from_file(PATH)
