@@ -17,10 +17,11 @@ order of falling size (then doc_id), so that the fraction left open tends to
 be a short document's; reruns agree, however the rows are partitioned.
 
 Defined results: null text has size 0 and takes 0 words; a null source is a
-source, the last; sources without words have target 0; rows that repeat a
-doc_id are rounded each on their own; an empty table gives an empty result;
-other columns are not read by :func:`mix`, and :func:`mixed_documents`
-returns all of them untouched.
+source, the last; sources without words have target 0; rows that repeat
+(doc_id, source, size) are one unit whose copies are settled together and
+dealt evenly over them, however many they are; an empty table gives an empty
+result; other columns are not read by :func:`mix`, and
+:func:`mixed_documents` returns all of them untouched.
 """
 
 from __future__ import annotations
@@ -32,12 +33,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.ranking import rank_in_group
 from .base import WORD, write_table
 
 GROUP = 4096
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 LIMIT = 2.0
+CHUNK = 1 << 16     # rows of a unit that are written out at a time
 
 
 def sizes(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -45,14 +48,19 @@ def sizes(docs: DataFrame, text: str = "text") -> DataFrame:
                        F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
 
 
-def targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, limit: float = LIMIT) -> DataFrame:
+def units(sized: DataFrame) -> DataFrame:
+    """(doc_id, source, size, rows): equal rows folded into one, stored."""
+    return write_table(sized.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("rows")), "units")
+
+
+def targets(folded: DataFrame, weights=WEIGHTS, share: float = SHARE, limit: float = LIMIT) -> DataFrame:
     """(source, source_size, n_docs, target): shares by weight, stopped at ``limit`` times the size.
 
     The level of words per unit of weight is raised until the excess of the
     stopped sources is reshared; each step is one aggregate over the sources.
     """
-    by_source = write_table(sized.groupBy("source").agg(F.sum("size").alias("source_size"),
-                                                        F.count(F.lit(1)).alias("n_docs")), "sources")
+    by_source = write_table(folded.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"),
+                                                         F.count(F.lit(1)).alias("n_docs")), "sources")
     # One row per source: sorted in one task, as their weights follow from their places.
     place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), place % len(weights) + 1)
@@ -111,46 +119,70 @@ def _level(level: int, last: bool, seed: int):
     return run
 
 
-def mix(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, limit: float = LIMIT, seed: int = 7,
-        group: int = GROUP) -> DataFrame:
-    """Per row of ``sized`` (doc_id, source, size): source_size, target, copies, taken."""
-    t = write_table(targets(sized, weights, share, limit), "targets")
+def drawn(folded: DataFrame, weights=WEIGHTS, share: float = SHARE, limit: float = LIMIT, seed: int = 7,
+          group: int = GROUP) -> DataFrame:
+    """Per unit: doc_id, source, size, rows, source_size, target and ``copies``, those of all its rows together."""
+    t = write_table(targets(folded, weights, share, limit), "targets")
     levels, n = 1, t.agg(F.max("n_docs")).first()[0] or 0
     while n > group:
         n, levels = -(-n // group), levels + 1
-    d = sized.join(t, sized["source"].eqNullSafe(t["source"])).drop(t["source"])
-    ratio = F.when(F.col("size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    rows = d.select("doc_id", "source", "size", "source_size", "target", F.floor(ratio).alias("whole"),
-                    (ratio - F.floor(ratio)).alias("part"), F.lit(True).alias("open"), F.col("n_docs").alias("left"))
-    schema = ("doc_id long, source string, size long, source_size long, target double, whole long, part double, "
+    d = folded.join(t, folded["source"].eqNullSafe(t["source"])).drop(t["source"])
+    ratio = F.when(F.col("size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)) * F.col("rows")
+    open_rows = d.select("doc_id", "source", "size", "rows", "source_size", "target", F.floor(ratio).alias("whole"),
+                         (ratio - F.floor(ratio)).alias("part"), F.lit(True).alias("open"), F.col("n_docs").alias("left"))
+    schema = ("doc_id long, source string, size long, rows long, source_size long, target double, whole long, part double, "
               "open boolean, left long, bucket long")
     done = None
     for level in range(levels):
         groups = F.ceil(F.col("left") / group)
         last = level == levels - 1
-        dealt = rows.withColumn("bucket", F.when(F.lit(last), F.lit(0)).otherwise(
+        dealt = open_rows.withColumn("bucket", F.when(F.lit(last), F.lit(0)).otherwise(
             F.pmod(F.xxhash64("doc_id", "size", F.lit(level)), F.greatest(groups, F.lit(1)))).cast("long")).withColumn("left", groups)
         worked = write_table(dealt.groupBy("source", "bucket").applyInPandas(_level(level, last, seed), schema), "level")
         settled = worked.filter("NOT open")
         done = settled if done is None else done.union(settled)
-        rows = worked.filter("open").drop("bucket")
-    copies = (F.col("whole") + F.round("part").cast("long")).alias("copies")
-    return done.select("doc_id", "source", "size", "source_size", "target", copies).withColumn(
+        open_rows = worked.filter("open").drop("bucket")
+    return done.select("doc_id", "source", "size", "rows", "source_size", "target",
+                       (F.col("whole") + F.round("part").cast("long")).alias("copies"))
+
+
+def _dealt(i):
+    """Copies of row ``i`` (from 0) of a unit: its ``copies`` spread evenly over its ``rows``."""
+    return F.floor((i + 1) * F.col("copies") / F.col("rows")) - F.floor(i * F.col("copies") / F.col("rows"))
+
+
+def mix(sized: DataFrame, **settings) -> DataFrame:
+    """Per row of ``sized`` (doc_id, source, size): source_size, target, copies, taken."""
+    chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("rows") - 1) / CHUNK)))
+    d = drawn(units(sized), **settings).withColumn("chunk", chunk)
+    d = d.withColumn("i", F.explode(F.sequence(F.col("chunk") * CHUNK, F.least(F.col("rows"), (F.col("chunk") + 1) * CHUNK) - 1)))
+    return d.select("doc_id", "source", "size", "source_size", "target", _dealt(F.col("i")).cast("long").alias("copies")).withColumn(
         "taken", F.col("copies") * F.col("size"))
 
 
 def mixed_documents(docs: DataFrame, text: str = "text", **settings) -> DataFrame:
-    """The mix itself: every row of ``docs`` as often as it is taken.  Rows repeated under one
-    (doc_id, source, size) get the rounded mean of the copies drawn for them."""
-    m = mix(sizes(docs, text), **settings).groupBy("doc_id", "source", "size").agg(
-        F.round(F.avg("copies")).cast("int").alias("copies"))
-    m = write_table(m.filter("copies > 0").select(F.struct("doc_id", "source", "size").alias("k"), "copies"), "copies")
+    """The mix itself: every row of ``docs`` as often as it is taken."""
+    m = drawn(units(sizes(docs, text)), **settings).filter("copies > 0")
+    m = write_table(m.select(F.struct("doc_id", "source", "size").alias("k"), "rows", "copies"), "copies")
     boxed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                         F.struct(F.col("doc_id").cast("long").alias("doc_id"),
                                  F.col("source").cast("string").alias("source"),
                                  F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size")).alias("key"))
-    j = boxed.join(m, F.col("key").eqNullSafe(F.col("k")))
-    return j.withColumn("n", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
+
+    def met(part):
+        """Rows with their unit; joined in one way at every size of the table."""
+        return boxed.join(part.hint("merge"), F.col("key").eqNullSafe(F.col("k"))).select("row", "k", "rows", "copies")
+
+    def repeated(rows, n):
+        return rows.withColumn("n", F.explode(F.sequence(F.lit(1).cast("long"), n))).select("row.*")
+
+    out = repeated(met(m.filter("rows = 1")), F.col("copies"))
+    many = m.filter("rows > 1")
+    if not many.isEmpty():
+        numbered = write_table(met(many).withColumn("id", F.monotonically_increasing_id()).withColumn("unit", F.to_json("k")), "repeated")
+        placed = rank_in_group(numbered, "id", "unit").withColumn("n", _dealt(F.col("_rank")).cast("long")).filter("n > 0")
+        out = out.unionByName(repeated(placed, F.col("n")))
+    return out
 
 
 def query(spark, sf_dir):

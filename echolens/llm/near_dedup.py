@@ -373,10 +373,16 @@ def near_duplicates(docs: DataFrame, text: str = "text", words: int = 5, percent
 
 
 def keep_one_per_group(docs: DataFrame, text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` without the near-duplicates of an earlier document."""
-    gone = write_table(near_duplicates(docs, text, words, percent).filter("NOT kept").select(
-        F.col("doc_id").alias("_gone")).distinct(), "gone")
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
+    """``docs`` with one row of each group of near-duplicate texts; rows without words all stay.
+
+    Rows are told apart by a stored number of their own, so repeated and null
+    ids need no care, and a row never goes for another one's text.
+    """
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.monotonically_increasing_id().alias("doc_id"))
+    rows = write_table(rows, "numbered")
+    texts = rows.select("doc_id", F.col(f"row.`{text}`").alias("text"))
+    gone = write_table(near_duplicates(texts, "text", words, percent).filter("NOT kept").select("doc_id"), "gone")
+    return rows.join(gone, "doc_id", "left_anti").select("row.*")
 
 
 def query(spark, sf_dir):

@@ -225,6 +225,30 @@ def test_pivot_keeps_words_and_settles():
     assert all(out[i] in (0, 1) for i in range(500) if i != at)
 
 
+def test_mixing_repeated_rows(spark):
+    rows = [(1, "words of ten in every one of the same rows", "a", 5, "x")] * 1000 + [(None, "no id has three words", None, 1, "y")] * 7
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, rows long, copies string").repartition(4)
+    d = mixing.mix(mixing.sizes(docs)).toPandas()
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == docs.columns and len(d) == 1007
+    for source, size in (("a", 10), (None, 5)):
+        part = d[d["source"] == source] if source else d[d["source"].isna()]
+        target = part["target"].iloc[0]
+        words_taken = mixed.filter("source = 'a'" if source else "source IS NULL").count() * size
+        assert abs(part["taken"].sum() - target) <= size / 2 and words_taken == part["taken"].sum()
+        assert part["copies"].max() <= 2 and part["copies"].max() - part["copies"].min() <= 1
+
+
+def test_dedup_stage_goes_by_row(spark):
+    same, other = "one two three four five six seven eight", "nine ten eleven twelve thirteen fourteen fifteen"
+    rows = [(1, same, 0, "p"), (1, same, 1, "p"), (1, other, 2, "p"), (None, other, 3, None), (None, other + "!", 4, "q"), (None, None, 5, "r"),
+            (None, None, 6, "r"), (2, "", 7, "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _gone long, row string").coalesce(1)
+    got = sorted(r._gone for r in near_dedup.keep_one_per_group(docs).collect())
+    assert got == [0, 2, 4, 5, 6, 7]
+    assert near_dedup.keep_one_per_group(docs).columns == docs.columns
+
+
 def test_encoder_equals_tokenizer():
     from tokenizers import Tokenizer
     tk, e, r = Tokenizer.from_file(PATH), tokens.Encoder(PATH), np.random.default_rng(0)
