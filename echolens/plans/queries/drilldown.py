@@ -67,9 +67,8 @@ def q_weekly_event_means(spark, sf):
     ev = _table(spark, sf, "events").select(
         week_ending_sunday("ts").alias("dsw"), "value",
         F.get_json_object("props", "$.k").cast("double").alias("k"))
-    out = R.weekly_means(ev, "dsw", ["value", "k"])
-    n = ev.filter(F.col("dsw").isNotNull()).groupBy("dsw").agg(F.count(F.lit(1)).alias("n"))
-    return round_doubles(out.join(n, "dsw"))
+    means = [F.avg(c).alias(c) for c in ("value", "k")]
+    return round_doubles(ev.filter(F.col("dsw").isNotNull()).groupBy("dsw").agg(*means, F.count(F.lit(1)).alias("n")))
 
 
 @register("weekly_keyword_counts", V.VIEWS_SQL + f""",
