@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import scratch_path, table, write_table
+from .base import scratch_path, table
 
 LEAST = 1000            # bytes of the smallest payload that is written only once
 ARCHIVE = 64 << 20      # compressed bytes at which an archive is closed
@@ -132,7 +132,10 @@ def stored(pages: DataFrame, key: str, url: str, payload: str) -> DataFrame:
     body = F.coalesce(F.col(payload).cast("binary"), F.lit("").cast("binary"))
     p = pages.select(F.monotonically_increasing_id().alias("uid"), F.col(key).cast("long").alias("page_id"),
                      F.col(url).cast("string").alias("url"), body.alias("payload"))
-    return write_table(p.withColumn("n", F.octet_length("payload").cast("long")).withColumn("digest", F.sha1("payload")), "pages")
+    p = p.withColumn("n", F.octet_length("payload").cast("long")).withColumn("digest", F.sha1("payload"))
+    path = scratch_path(pages.sparkSession, f"pages/{uuid.uuid4().hex}")
+    p.write.option("compression", "zstd").parquet(path)
+    return pages.sparkSession.read.schema(p.schema).parquet(path)
 
 
 def write_archives(pages: DataFrame, out: str, key: str = "page_id", url: str = "url", payload: str = "html",
