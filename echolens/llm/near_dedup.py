@@ -8,8 +8,10 @@ the longest prefix, however crowded the region is: the depth adapts to the
 region.  The neighbours within ``reach`` places are candidates.  A region
 with more texts than that, of more than one component, is then held against
 itself whole: its texts are dealt into salted blocks, and each pair of blocks
-compares the signatures of all its texts of different components.  So every
-two texts that share a region in some order are compared.
+compares all its texts of different components, first their signatures, then
+their full sets.  So every two texts that share a region in some order are
+compared.  A pair of blocks returns as many links as join its components, so
+a crowd never becomes a table of its pairs.
 
 Copies are folded first (one class per distinct shingle set), so a group of
 a million copies is one entry of the forest.  Candidates are confirmed on
@@ -56,7 +58,8 @@ TREES = 20
 DEPTH = 4
 REACH = 6
 FIRST = 4
-BLOCK = 1024
+BLOCK = 1 << 20   # shingles of a block, each text counted with TEXT more
+TEXT = 256
 MISS = 1e-7
 
 
@@ -93,7 +96,7 @@ def signatures(docs: DataFrame, text: str = "text", words: int = 5, trees: int =
 
 
 def _forest(classes: DataFrame, trees: int, depth: int) -> DataFrame:
-    """(region, d1, d2, doc, comp, t): one row per text and order ``t``; sorting by it is the forest."""
+    """(region, d1, d2, doc, comp): one row per text and order; sorting by it is the forest."""
     def run(batches):
         for b in batches:
             if not len(b):
@@ -107,22 +110,25 @@ def _forest(classes: DataFrame, trees: int, depth: int) -> DataFrame:
                     key = mix64(key * np.uint64(0xD6E8FEB86659FD93) + s[:, i])
                 d = [((s[:, at[depth + i]] << np.uint64(32)) | s[:, at[depth + i + 1]]).view(np.int64) for i in (0, 2)]
                 yield pd.DataFrame({"region": key.view(np.int64), "d1": d[0], "d2": d[1], "doc": b["doc"].to_numpy(),
-                                    "comp": b["comp"].to_numpy(), "t": t})
+                                    "comp": b["comp"].to_numpy()})
 
     return classes.select("doc", "comp", "sig").mapInPandas(
-        run, "region long, d1 long, d2 long, doc long, comp long, t int")
+        run, "region long, d1 long, d2 long, doc long, comp long")
 
 
-def _neighbours(reach: int):
-    """Over sorted rows: pairs of one region and two components at most ``reach`` places apart (``apart`` > 0), and the
-    first and last ``reach`` rows of the partition (``apart`` = 0), whose partners may lie in the next one."""
+def _neighbours(reach: int, crowds: bool = True):
+    """Over sorted rows: pairs of one region and two components at most ``reach`` places apart (``apart`` > 0); with
+    ``crowds`` the rows of regions of more than ``reach + 1`` texts (``apart`` -1, some twice); and the first and last
+    ``reach + 1`` rows of the partition (``apart`` 0), whose partners may lie in the next one."""
+    edge = reach + 1
+
     def run(batches):
         tail, seen = None, 0
         for b in batches:
             if not len(b):
                 continue
-            if seen < reach:
-                yield b.iloc[:reach - seen].assign(a=0, b=0, apart=0)
+            if seen < edge:
+                yield b.iloc[:edge - seen].assign(a=0, b=0, apart=0)
             seen += len(b)
             old = 0 if tail is None else len(tail)
             x = b if tail is None else pd.concat([tail, b])
@@ -134,24 +140,35 @@ def _neighbours(reach: int):
                     a, c = doc[same], doc[same + d]
                     yield pd.DataFrame({"region": 0, "d1": 0, "d2": 0, "doc": 0, "comp": 0,
                                         "a": np.minimum(a, c), "b": np.maximum(a, c), "apart": d})
-            tail = x.iloc[-reach:]
+            if crowds and len(x) > edge:
+                from_here = np.flatnonzero(region[:-edge] == region[edge:])
+                step = np.zeros(len(x) + 1, np.int64)
+                step[from_here] += 1
+                step[from_here + edge + 1] -= 1
+                crowd = np.cumsum(step[:-1]) > 0
+                if crowd.any():
+                    yield x[crowd].assign(d1=0, d2=0, a=0, b=0, apart=-1)
+            tail = x.iloc[-edge:]
         if tail is not None:
             yield tail.assign(a=0, b=0, apart=0)
     return run
 
 
-def candidates(classes: DataFrame, trees: int = TREES, depth: int = DEPTH, reach: int = REACH) -> DataFrame:
-    """(a, b): texts of different ``comp`` that are neighbours in some order."""
+def candidates(classes: DataFrame, trees: int = TREES, depth: int = DEPTH, reach: int = REACH,
+               crowds: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(a, b): texts of different ``comp`` that are neighbours in some order; and with ``crowds`` (grp, doc): the texts of
+    regions that have more than ``reach + 1``."""
     order = ["region", "d1", "d2", "doc"]
     schema = "region long, d1 long, d2 long, doc long, comp long, a long, b long, apart int"
-    forest = _forest(classes, trees, depth).drop("t")
+    forest = _forest(classes, trees, depth)
     n = max(1, int(forest.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ranged = forest.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    found = write_table(ranged.mapInPandas(_neighbours(reach), schema), "neighbours")
-    # At most 2 * reach rows per partition meet in one task: a number of partitions, not of texts.
+    found = write_table(ranged.mapInPandas(_neighbours(reach, crowds), schema), "neighbours")
+    # At most 2 * (reach + 1) rows per partition meet in one task: a number of partitions, not of texts.
     edges = found.filter("apart = 0").select(*order, "comp").distinct().repartition(1).sortWithinPartitions(*order)
-    pairs = found.union(edges.mapInPandas(_neighbours(reach), schema)).filter("apart > 0 AND a <> b")
-    return pairs.select("a", "b").distinct()
+    found = found.union(edges.mapInPandas(_neighbours(reach, crowds), schema))
+    return (found.filter("apart > 0 AND a <> b").select("a", "b").distinct(),
+            found.filter("apart < 0").select(F.col("region").alias("grp"), "doc").distinct())
 
 
 def least_equal(width: int, percent: int, miss: float = MISS) -> int:
@@ -163,6 +180,10 @@ def least_equal(width: int, percent: int, miss: float = MISS) -> int:
     return n
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct()
+
+
 def plausible(pairs: DataFrame, classes: DataFrame, percent: int, width: int) -> DataFrame:
     """The pairs whose signatures agree often enough for a link."""
     least = least_equal(width, percent)
@@ -174,41 +195,77 @@ def plausible(pairs: DataFrame, classes: DataFrame, percent: int, width: int) ->
             x, y = (np.stack([np.frombuffer(v, np.uint32) for v in b[c]]) for c in ("sa", "sb"))
             yield b.loc[(x == y).sum(1) >= least, ["a", "b"]]
 
-    j = pairs.select("a", "b").join(classes.select(F.col("doc").alias("a"), F.col("sig").alias("sa")), "a")
-    j = j.join(classes.select(F.col("doc").alias("b"), F.col("sig").alias("sb")), "b").select("a", "b", "sa", "sb")
+    sigs = classes.select("doc", "sig").join(_ends(pairs), "doc", "left_semi")
+    j = pairs.select("a", "b").join(sigs.select(F.col("doc").alias("a"), F.col("sig").alias("sa")), "a")
+    j = j.join(sigs.select(F.col("doc").alias("b"), F.col("sig").alias("sb")), "b").select("a", "b", "sa", "sb")
     return j.mapInPandas(run, "a long, b long")
 
 
-def _compare(least: int, trees: int, depth: int):
-    """Over one pair of blocks (``half`` 0 and 1; 2: a block with itself): its pairs of different components whose
-    signatures agree in ``least`` places, if they share no region in an order before ``t``."""
+def _linked(percent: int, trees: int, depth: int, members: bool):
+    """Over one pair of blocks (``half`` 0 and 1; 2: a block with itself): links (a, b) of full sets, as many as join the
+    components that its texts' links join; and, not ``linked``, each text with the components of more than one text
+    (``many``) that it was held against without a link.
+
+    The texts of a region agree in one order; a pair that also shares an earlier one is left to that one's region.
+    ``members``: the texts are a component's and those that met it; a pair that shares any region was held there.
+    """
+    least = least_equal(trees * depth, percent)
+
     def run(g: pd.DataFrame) -> pd.DataFrame:
-        half, doc, comp, t = g["half"].to_numpy(), g["doc"].to_numpy(), g["comp"].to_numpy(), int(g["t"].iloc[0])
+        half, doc, many = g["half"].to_numpy(), g["doc"].to_numpy(), g["many"].to_numpy()
+        names, comp = np.unique(g["comp"].to_numpy(), return_inverse=True)
         s = np.stack([np.frombuffer(v, np.uint32) for v in g["sig"]])
+        ids = np.unique(np.frombuffer(b"".join(g["hashes"]), np.uint64), return_inverse=True)[1]
+        size = np.array([len(v) >> 3 for v in g["hashes"]])
+        start = np.cumsum(size) - size
         own = bool((half == 2).any())
         x, y = (np.arange(len(g)),) * 2 if own else (np.flatnonzero(half == 0), np.flatnonzero(half == 1))
-        across, out = np.ascontiguousarray(s[y].T), [np.zeros((0, 2), np.int64)]
-        for i in range(0, len(x), 256):
-            part = x[i:i + 256]
-            equal = np.zeros((len(part), len(y)), np.uint16)
-            for k in range(s.shape[1]):
-                equal += s[part, k, None] == across[k]
-            a, b = np.nonzero((equal >= least) & (comp[part, None] != comp[y]))
-            a, b = part[a], y[b]
-            keep = ~(s[a] == s[b]).reshape(-1, trees, depth).all(2)[:, :t].any(1)
-            if own:
-                keep &= a < b
-            out.append(np.stack([np.minimum(doc[a], doc[b]), np.maximum(doc[a], doc[b])], axis=1)[keep])
-        return pd.DataFrame(np.concatenate(out), columns=["a", "b"])
+        across = np.ascontiguousarray(s[y].T)
+        alike = (s == s[0]).reshape(-1, trees, depth).all((0, 2))
+        before = trees if members else int(alike.argmax()) if alike.any() else 0
+        root, mark = np.arange(len(names)), np.zeros(int(ids.max()) + 1, np.int32)
+        out, met = [], [np.zeros(0, np.int64)]
+        for k, i in enumerate(x):
+            equal = across == s[i][:, None]
+            enough = equal.sum(0, dtype=np.uint16) >= least
+            at = np.flatnonzero(enough & (root[comp[y]] != root[comp[i]])
+                                & (100 * np.minimum(size[y], size[i]) >= percent * np.maximum(size[y], size[i])))
+            at = at[at > k] if own else at
+            at = at[~equal[:, at].reshape(trees, depth, -1).all(1)[:before].any(0)]
+            if not len(at):
+                continue
+            j = y[at]
+            n, mine = size[j], ids[start[i]:start[i] + size[i]]
+            first = np.cumsum(n) - n
+            mark[mine] = 1
+            both = np.add.reduceat(mark[ids[np.repeat(start[j] - first, n) + np.arange(n.sum())]], first)
+            mark[mine] = 0
+            link = 100 * both >= percent * (size[i] + n - both)
+            for r, q in zip(*np.unique(root[comp[j[link]]], return_index=True)):
+                out.append((doc[i], doc[j[link][q]]))
+                root[root == r] = root[comp[i]]
+            j = j[~link]
+            met.append(np.concatenate([i * len(names) + np.unique(comp[j[many[j]]]), (j * len(names) + comp[i])[many[[i]].repeat(len(j))]]))
+            if len(met) > 1000:
+                met = [np.unique(np.concatenate(met))]
+        met = np.unique(np.concatenate(met)) if not members else met[0][:0]
+        row, other = met // len(names), met % len(names)
+        apart = root[comp[row]] != root[other]
+        links = pd.DataFrame(np.array(out, np.int64).reshape(-1, 2), columns=["a", "b"]).assign(linked=True)
+        return pd.concat([links, pd.DataFrame({"a": doc[row[apart]], "b": names[other[apart]], "linked": False})])
     return run
 
 
-def in_blocks(rows: DataFrame, classes: DataFrame, percent: int, trees: int, depth: int, within: bool,
-              block: int = BLOCK) -> DataFrame:
-    """(a, b) of ``rows`` (grp, t, side, doc, comp): in each group the texts of side 1 against those of side 0, and with
-    ``within`` against each other, in pairs of salted blocks of about ``block`` texts; see :func:`_compare`."""
-    blocks = rows.groupBy("grp").agg(F.ceil(F.sum(1 - F.col("side")) / block).alias("n0"),
-                                     F.ceil(F.sum("side") / block).alias("n1"))
+def in_blocks(rows: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, trees: int, depth: int, within: bool,
+              members: bool = False, block: int = BLOCK, text: int = TEXT) -> DataFrame:
+    """(a, b, linked) of ``rows`` (grp, side, doc, comp, many): in each group the texts of side 1 against those of side 0,
+    and with ``within`` against each other, in pairs of salted blocks of about ``block`` shingles; see :func:`_linked`.
+    ``b`` of a row that isn't linked is the name of a component."""
+    def size(side):
+        return F.sum(F.when(F.col("side") == side, F.col("n_shingles") + text).otherwise(0))
+
+    rows = rows.join(classes.select("doc", "n_shingles"), "doc")
+    blocks = rows.groupBy("grp").agg(F.ceil(size(0) / block).alias("n0"), F.ceil(size(1) / block).alias("n1"))
     d = rows.join(blocks, "grp").withColumn("own", F.pmod(F.xxhash64("doc"), F.when(F.col("side") == 0, F.col("n0")).otherwise(F.col("n1"))))
 
     def copies(n, make):
@@ -224,22 +281,24 @@ def in_blocks(rows: DataFrame, classes: DataFrame, percent: int, trees: int, dep
     if within:
         right = F.concat(right, copies("n1", lambda k: copy(1, F.least(own, k), F.greatest(own, k), F.when(
             own == k, F.lit(2)).when(own < k, F.lit(0)).otherwise(F.lit(1)))))
-    d = d.join(classes.select("doc", "sig"), "doc").select(
-        "grp", "t", "doc", "comp", "sig", F.inline(F.when(F.col("side") == 0, left).otherwise(right)))
+    d = d.join(sets.join(classes.select("doc", "sig"), "doc"), "doc").select(
+        "grp", "doc", "comp", "many", "sig", "hashes", F.inline(F.when(F.col("side") == 0, left).otherwise(right)))
     return d.groupBy("grp", "kind", "i", "j").applyInPandas(
-        _compare(least_equal(trees * depth, percent), trees, depth), "a long, b long")
-
-
-def crowded(classes: DataFrame, trees: int, depth: int, reach: int) -> DataFrame:
-    """(grp, t, side, doc, comp): texts of the regions whose texts aren't all within ``reach`` places and not all of one
-    component; side 0 is the region's largest component, none of whose texts need be compared with each other."""
-    forest = _forest(classes, trees, depth).select(F.col("region").alias("grp"), "t", "doc", "comp")
-    many = forest.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter(
-        (F.col("n") > reach + 1) & (F.col("lo") != F.col("hi")))
-    rows = write_table(forest.join(many, "grp", "left_semi"), "crowded")
+        _linked(percent, trees, depth, members), "a long, b long, linked boolean")
+
+
+def crowded(crowd: DataFrame, comps: DataFrame) -> DataFrame:
+    """(grp, side, doc, comp, many): the texts of ``crowd`` (grp, doc) whose regions aren't all of one component; side 0 is
+    the region's largest component, none of whose texts need be compared with each other."""
+    sizes = comps.groupBy("component").agg(F.lit(True).alias("many")).withColumnRenamed("component", "comp")
+    rows = crowd.join(comps.withColumnRenamed("node", "doc"), "doc", "left").withColumn("comp", F.coalesce("component", "doc"))
+    mixed = rows.groupBy("grp").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
+    rows = rows.join(mixed, "grp", "left_semi").join(sizes, "comp", "left").select(
+        "grp", "doc", "comp", F.coalesce("many", F.lit(False)).alias("many"))
+    rows = write_table(rows, "crowded")
     largest = rows.groupBy("grp", "comp").agg(F.count(F.lit(1)).alias("n")).groupBy("grp").agg(
         F.max(F.struct("n", "comp"))["comp"].alias("most"))
-    return rows.join(largest, "grp").select("grp", "t", (F.col("comp") != F.col("most")).cast("int").alias("side"), "doc", "comp")
+    return rows.join(largest, "grp").select("grp", (F.col("comp") != F.col("most")).cast("int").alias("side"), "doc", "comp", "many")
 
 
 def _confirm(percent: int):
@@ -296,15 +355,12 @@ def met(pairs: DataFrame, comps: DataFrame) -> DataFrame:
     return two.join(large, "grp").select("doc", "comp", "grp", "n")
 
 
-def against_members(meetings: DataFrame, comps: DataFrame, classes: DataFrame, percent: int, trees: int, depth: int) -> DataFrame:
-    """(a, b): each text of ``meetings`` with every text of the component that it met, if the signatures allow a link and
-    they share no region (those that do were compared there)."""
-    groups = meetings.select("grp").distinct()
+def with_members(meetings: DataFrame, comps: DataFrame) -> DataFrame:
+    """Rows for :func:`in_blocks`: each text of ``meetings`` (side 1) with every text of the component that it met (side 0)."""
     members = comps.select("node", "component").union(comps.select("component", "component").distinct())
-    rows = members.join(groups, F.col("component") == F.col("grp")).select(
-        "grp", F.lit(trees).alias("t"), F.lit(0).alias("side"), F.col("node").alias("doc"), F.col("component").alias("comp"))
-    rows = rows.union(meetings.select("grp", F.lit(trees), F.lit(1), "doc", "comp"))
-    return in_blocks(rows, classes, percent, trees, depth, False).distinct()
+    rows = members.join(meetings.select("grp").distinct(), F.col("component") == F.col("grp")).select(
+        "grp", F.lit(0).alias("side"), F.col("node").alias("doc"), F.col("component").alias("comp"))
+    return rows.union(meetings.select("grp", F.lit(1), "doc", "comp")).withColumn("many", F.lit(False))
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", words: int = 5, percent: int = 80, trees: int = TREES,
@@ -315,50 +371,60 @@ def near_duplicates(docs: DataFrame, text: str = "text", words: int = 5, percent
     named = sigs.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = write_table(named.groupBy("p1", "p2", "n_shingles").agg(
         F.min("doc_id").alias("doc"), F.first("sig").alias("sig")), "classes")
-    def ends(pairs):
-        return pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct()
 
     def likely(pairs):
         return write_table(plausible(pairs, classes, percent, trees * depth), "likely")
 
-    tested = write_table(candidates(classes.withColumn("comp", F.col("doc")), min(FIRST, trees), depth, 1), "pairs")
+    tested = write_table(candidates(classes.withColumn("comp", F.col("doc")), min(FIRST, trees), depth, 1, False)[0], "pairs")
     held = likely(tested)
-    sets = write_table(_full_sets(docs, text, ends(held), words), "sets")
+    sets = write_table(_full_sets(docs, text, _ends(held), words), "sets")
     links = write_table(confirmed(held, sets, percent), "links")
     comps = components(links)
+    placed = classes.select("doc", "sig").join(comps.withColumnRenamed("node", "doc"), "doc", "left").withColumn(
+        "comp", F.coalesce("component", "doc"))
 
-    def placed():
-        return classes.select("doc", "sig").join(comps.withColumnRenamed("node", "doc"), "doc", "left").withColumn(
-            "comp", F.coalesce("component", "doc"))
-
-    def confirm(held):
+    def with_sets(ids):
         nonlocal sets
-        missing = ends(held).join(sets.select("doc"), "doc", "left_anti")
+        missing = ids.join(sets.select("doc"), "doc", "left_anti")
         sets = sets.union(write_table(_full_sets(docs, text, missing, words), "sets"))
-        return write_table(confirmed(held, sets, percent), "links")
-
-    pairs = write_table(candidates(placed(), trees, depth, reach), "pairs")
-    new = pairs.join(tested, ["a", "b"], "left_anti")
-    tested = tested.union(new)
-    more = confirm(likely(new))
-    links, comps = links.union(more), _joined(comps, more)
-    crowd = crowded(placed(), trees, depth, reach)
-    held = write_table(in_blocks(crowd, classes, percent, trees, depth, True).join(tested, ["a", "b"], "left_anti"), "likely")
-    more = confirm(held)
-    links, comps = links.union(more), _joined(comps, more)
-    pairs, tested, done = pairs.union(held), tested.union(held), None
+        return sets.join(ids, "doc", "left_semi")
+
+    def blocks(rows, within, members=False):
+        rows = write_table(rows, "rows")
+        return write_table(in_blocks(rows, classes, with_sets(rows.select("doc").distinct()), percent, trees, depth, within, members), "blocks")
+
+    def add(more):
+        nonlocal links, comps
+        links, comps = links.union(more), _joined(comps, more)
+
+    pairs, crowd = candidates(placed, trees, depth, reach)
+    pairs, crowd = write_table(pairs, "pairs"), write_table(crowd, "crowd")
+    held = likely(pairs.join(tested, ["a", "b"], "left_anti"))
+    add(write_table(confirmed(held, with_sets(_ends(held)), percent), "links"))
+    single = comps
+    found = blocks(crowded(crowd, comps), True)
+    more = found.filter("linked").select("a", "b")
+    pairs = pairs.union(found.filter("NOT linked").select("a", "b"))
+    if not more.isEmpty():
+        add(more)
+        # Texts that were no component of many before are held against their regions once more, for who met them.
+        known = single.select(F.col("node").alias("doc")).union(single.select("component"))
+        fresh = write_table(_ends(more).join(known, "doc", "left_anti"), "fresh")
+        rows = crowded(crowd, comps).drop("side")
+        new = rows.join(fresh, "doc", "left_semi")
+        again = rows.join(new.select("grp").distinct(), "grp", "left_semi").withColumn("side", F.lit(1))
+        found = blocks(new.withColumn("side", F.lit(0)).unionByName(again), False)
+        pairs = pairs.union(found.filter("NOT linked").select("a", "b"))
+    done = None
     while True:
         meetings = met(pairs, comps)
         if done is not None:   # a component that has as many texts as before has the same ones
             meetings = meetings.join(done, ["doc", "grp", "n"], "left_anti")
         meetings = write_table(meetings.select("doc", "comp", "grp", "n"), "met")
-        held = against_members(meetings, comps, classes, percent, trees, depth).join(tested, ["a", "b"], "left_anti")
-        held = write_table(held, "likely")
-        more = confirm(held)
+        more = blocks(with_members(meetings, comps), False, True).select("a", "b")
         if more.isEmpty():
             break
-        links, comps = links.union(more), _joined(comps, more)
-        pairs, tested = pairs.union(held), tested.union(held)
+        add(more)
         now = meetings.select("doc", "grp", "n")
         done = now if done is None else done.union(now)
     degree = links.select(F.col("a").alias("rep")).union(links.select("b")).groupBy("rep").agg(F.count(F.lit(1)).alias("n"))

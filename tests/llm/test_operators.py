@@ -132,16 +132,38 @@ def test_near_duplicates_one_member_of_a_component(spark):
     assert far
 
 
-def test_blocks_compare_every_pair(spark):
-    """Groups cut into many blocks give each pair of different components once."""
-    sig = np.zeros(8, np.uint32).tobytes()
-    classes = spark.createDataFrame([(i, sig) for i in range(40)], "doc long, sig binary")
-    rows = spark.createDataFrame([(g, 0, int(i >= 15), i, 0 if i < 15 else i // 2) for g in (1, 2) for i in range(40)],
-                                 "grp long, t int, side int, doc long, comp long")
-    for within in (True, False):
-        got = near_dedup.in_blocks(rows, classes, 80, 2, 4, within, block=4).collect()
-        want = [(i, j) for i in range(40) for j in range(max(i + 1, 15), 40) if i < 15 or within and i // 2 != j // 2]
-        assert sorted((r.a, r.b) for r in got) == sorted(want * 2)
+@pytest.mark.parametrize("within", [True, False])
+def test_blocks_join_what_all_pairs_join(spark, within):
+    """Groups cut into many blocks give links that join the texts as all pairs would, no more of them than texts per block
+    pair, and each text with the larger components that it was held against without a link."""
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.choice(60, 40).astype(np.uint64)) for _ in range(10)]
+    sets = [np.union1d(np.delete(s, rng.choice(len(s), 2)), np.uint64(1000 + i)) for i, s in enumerate(sets * 4)]
+    comp = [0 if i < 15 else i // 2 * 2 for i in range(40)]
+    classes = spark.createDataFrame([(i, len(s), bytes(32)) for i, s in enumerate(sets)], "doc long, n_shingles long, sig binary")
+    full = spark.createDataFrame([(i, s.tobytes()) for i, s in enumerate(sets)], "doc long, hashes binary")
+    rows = spark.createDataFrame([(g, int(i >= 15), i, comp[i], True) for g in (1, 2) for i in range(40)],
+                                 "grp long, side int, doc long, comp long, many boolean")
+    got = near_dedup.in_blocks(rows, classes, full, 80, 2, 4, within, block=200, text=0).collect()
+    pairs = [(i, j) for i in range(40) for j in range(max(i + 1, 15), 40) if (i < 15 or within) and comp[i] != comp[j]]
+
+    def alike(i, j):
+        return 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))
+
+    def joined(links):
+        root = list(comp)
+        for i, j in links:
+            root = [root[i] if r == root[j] else r for r in root]
+        return [root.index(r) for r in root]
+
+    want = [p for p in pairs if alike(*p)]
+    links = {(r.a, r.b) for r in got if r.linked}
+    assert want and all(alike(*p) for p in links) and joined(links) == joined(want)
+    met = {(r.a, r.b) for r in got if not r.linked}
+    after = joined(want)
+    assert {(i, c) for i, j in pairs for i, j in ((i, j), (j, i)) for c in [comp[j]] if after[i] != after[c]
+            and 100 * min(len(sets[i]), len(sets[j])) >= 80 * max(len(sets[i]), len(sets[j]))} <= met
+    assert all(comp[i] != c for i, c in met)
 
 
 def test_signature_bound():
