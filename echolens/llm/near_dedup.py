@@ -61,6 +61,7 @@ FIRST = 4
 BLOCK = 1 << 20   # shingles of a block, each text counted with TEXT more
 TEXT = 256
 MISS = 1e-7
+BITS = 1 << 23
 
 
 def _hashers(n: int):
@@ -326,8 +327,14 @@ def _full_sets(docs: DataFrame, text: str, ids: DataFrame, words: int) -> DataFr
         for b in batches:
             yield pd.DataFrame({"doc": b["doc"], "hashes": [shingle_set(t, words).tobytes() for t in b["t"]]})
 
+    # Texts whose id meets no bit of a map of the wanted ids (BITS / 64 rows at most) go before the join shuffles texts.
+    place = F.pmod(F.xxhash64("doc"), F.lit(BITS))
+    word, bit = F.shiftright(place, 6).alias("word"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(doc), {BITS}) & 63 AS int))")
+    bits = write_table(ids.groupBy(word).agg(F.bit_or(bit).alias("bits")), "bits")
     d = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col(text).alias("t"))
-    return d.join(ids, "doc", "left_semi").mapInPandas(run, "doc long, hashes binary")
+    d = d.join(F.broadcast(bits), word == bits["word"]).filter(F.col("bits").bitwiseAND(bit) != 0).select("doc", "t")
+    # An inner join: a semi join would be moved before the one with the map.
+    return d.join(ids.distinct(), "doc").mapInPandas(run, "doc long, hashes binary")
 
 
 def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
@@ -399,7 +406,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", words: int = 5, percent
 
     pairs, crowd = candidates(placed, trees, depth, reach)
     pairs, crowd = write_table(pairs, "pairs"), write_table(crowd, "crowd")
-    held = likely(pairs.join(tested, ["a", "b"], "left_anti"))
+    held = likely(write_table(pairs.join(tested, ["a", "b"], "left_anti"), "new"))
     add(write_table(confirmed(held, with_sets(_ends(held)), percent), "links"))
     single = comps
     found = blocks(crowded(crowd, comps), True)
