@@ -108,3 +108,24 @@ def test_spark_ml_scorer(spark):
     assert ((s - 1).abs() < 0.005).all()
     pred = out[labels].idxmax(axis=1)
     assert (pred == [labels[i % 4] for i in out.tweetId]).mean() > 0.9
+
+
+def test_window_counts_are_no_rows_of_document_pairs(spark):
+    """Pairs are added up inside the tasks; nothing is joined on the documents, rows of one key are one document."""
+    rnd = random.Random(11)
+    rows = [(i // 2 if i < 20 else i, [rnd.choice("abcdefg") for _ in range(rnd.randint(0, 40))]) for i in range(60)]
+    rows += [(900, None), (901, []), (None, ["a", "b"]), (None, ["b"])]
+    rows.append((902, [rnd.choice("abcdefgxyz") for _ in range(9000)]))     # more than one block of windows
+    d = spark.createDataFrame(rows, "doc_id long, tokens array<string>")
+    tw = spark.createDataFrame([(t, r, x) for t, ws in {1: "abc", 2: "cdz", 3: "fg"}.items() for r, x in enumerate(ws)],
+                               "topic int, rank int, word string")
+    _, wc, pc = window_counts(d, tw, window=7)
+    assert "Join" not in pc._jdf.queryExecution().optimizedPlan().toString()
+    wins = {}
+    for k, x in rows:
+        for s in range(max(1, len(x or []) - 6)):
+            wins.setdefault((k, s), set()).update((x or [])[s:s + 7])
+    assert {r.word: r.cnt for r in wc.collect()} == {w: n for w in "abcdfgz" if (n := sum(w in x for x in wins.values()))}
+    want = {p: sum(set(p) <= x for (k, _), x in wins.items() if k is not None)
+            for p in [("a", "b"), ("a", "c"), ("b", "c"), ("c", "d"), ("c", "z"), ("d", "z"), ("f", "g")]}
+    assert {(r.word_a, r.word_b): r.cnt for r in pc.collect()} == {p: n for p, n in want.items() if n}

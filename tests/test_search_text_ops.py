@@ -136,3 +136,31 @@ def test_native_phrase_walk_equals_the_greedy_walk(spark):
     assert {r.doc_id: r.tokens for r in none.collect()} == dict(docs) and none.columns == df.columns
     plan = none._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan
+
+
+def test_clean_tokens_by_patterns_over_the_whole_text(spark):
+    """No pattern is run word by word; every step as the word-by-word rules have it."""
+    import re
+    rnd = random.Random(4)
+    words = ["http", "HTTP://a", "www.", "WWW.x", "@", "@a", '"@a', "the", "Don't", "can't", "x", "-", "--ab--", "1.2", "1a2", "..12",
+             "a1", "A-b_c", "ÉTÉ.", "(word),", "a@b", "\u0660x", "ha\u2028"]
+    rows = [(i, "".join(rnd.choice(words) + rnd.choice([" ", "", "\t", "\x0b", "  ", "\r\n"]) for _ in range(rnd.randint(0, 14))))
+            for i in range(400)]
+    out = TK.clean_tokens(spark.createDataFrame(rows + [(-1, None), (-2, "")], "i long, t string"), "t")
+    assert "lambdafunction(regexp_replace" not in out._jdf.queryExecution().optimizedPlan().toString()
+    stop = set(TK.default_stopwords())
+
+    def want(text):
+        got = []
+        for t in re.split("[ \t\n\r\f\x0b]+", text):
+            t = t.lower()
+            if t.startswith(("@", "http", "www.")):
+                continue
+            t = re.sub(r"^[\W_]+|[\W_]+$", "", t)
+            if len(t) > 1 and t not in stop and (t := re.sub(r"[\W\d_]", "", t)):
+                got.append(t)
+        return got
+
+    texts = dict(rows)
+    for r in out.collect():
+        assert r.tokens == want(texts.get(r.i) or ""), texts.get(r.i)
