@@ -164,3 +164,36 @@ def test_clean_tokens_by_patterns_over_the_whole_text(spark):
     texts = dict(rows)
     for r in out.collect():
         assert r.tokens == want(texts.get(r.i) or ""), texts.get(r.i)
+
+
+def test_phrases_by_a_map_before_the_join(spark):
+    """Pairs that are no phrase go by a map of fixed size before the join; no word-by-word lambda makes the pairs."""
+    rnd = random.Random(12)
+    rows = [(i, [rnd.choice("abcdefgh") for _ in range(rnd.randint(0, 30))]) for i in range(50)] + [(100, []), (101, None)]
+    d = spark.createDataFrame(rows, "doc_id long, tokens array<string>")
+    ph = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "c"), ("a", "b")], "word_a string, word_b string")
+    out = PH.apply_phrases(d, ph, "doc_id")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "shiftleft" in plan and "LeftSemi" not in plan
+    pairs, texts = {("a", "b"), ("b", "c"), ("c", "c")}, dict(rows)
+    for r in out.collect():
+        t, want, i = texts[r.doc_id], [], 0
+        while t and i < len(t):
+            two = tuple(t[i:i + 2]) in pairs
+            want.append("_".join(t[i:i + 1 + two]))
+            i += 1 + two
+        assert r.tokens == (None if t is None else want)
+    learned = PH.learn_phrases(d, "tokens", min_count=1, threshold=0.0, materialize=False)
+    assert "lambdafunction" not in learned._jdf.queryExecution().optimizedPlan().toString()
+    n, two, one = {}, {}, {}
+    for _, t in rows:
+        for w in t or []:
+            one[w] = one.get(w, 0) + 1
+        for p in zip(t or [], (t or [])[1:]):
+            two[p] = two.get(p, 0) + 1
+    for r in learned.collect():
+        p = (r.word_a, r.word_b)
+        assert (r.pair_count, r.count_a, r.count_b) == (two[p], one[p[0]], one[p[1]])
+        assert abs(r.score - (two[p] - 1) / one[p[0]] / one[p[1]] * (len(one) + len(two))) < 1e-9
+        n[p] = 1
+    assert len(n) == sum(v > 1 for v in two.values())
