@@ -87,3 +87,10 @@ def test_model_query_invariants(spark):
     assert coh.c_v.between(-1, 1).all() and (coh.topic == -1).sum() == 1
     clf = QUERIES["account_classifier"](spark, SF_SMALL).toPandas()
     assert clf.p_true.between(0, 1).all()
+
+
+def test_document_features_are_stored_before_a_fit_reads_them(spark):
+    """A fit and its predictions read stored rows: nothing is tokenised again."""
+    from echolens.plans.queries import _common as C
+    plan = C._doc_features(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp" not in plan and "Relation" in plan
