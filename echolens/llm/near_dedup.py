@@ -257,6 +257,11 @@ def _linked(percent: int, trees: int, depth: int, members: bool):
     return run
 
 
+def by_text(rows: DataFrame, *places: str) -> DataFrame:
+    """(doc, places): each text with the ``places`` columns of all its rows, in a list."""
+    return rows.groupBy("doc").agg(F.collect_list(F.struct(*places)).alias("places"))
+
+
 def in_blocks(rows: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, trees: int, depth: int, within: bool,
               members: bool = False, block: int = BLOCK, text: int = TEXT) -> DataFrame:
     """(a, b, linked) of ``rows`` (grp, side, doc, comp, many): in each group the texts of side 1 against those of side 0,
@@ -265,9 +270,10 @@ def in_blocks(rows: DataFrame, classes: DataFrame, sets: DataFrame, percent: int
     def size(side):
         return F.sum(F.when(F.col("side") == side, F.col("n_shingles") + text).otherwise(0))
 
-    rows = rows.join(classes.select("doc", "n_shingles"), "doc")
-    blocks = rows.groupBy("grp").agg(F.ceil(size(0) / block).alias("n0"), F.ceil(size(1) / block).alias("n1"))
-    d = rows.join(blocks, "grp").withColumn("own", F.pmod(F.xxhash64("doc"), F.when(F.col("side") == 0, F.col("n0")).otherwise(F.col("n1"))))
+    # A text's places go beside it, so that the joins on texts have a row per text and not one per text and group.
+    sized = by_text(rows, "grp", "side").join(classes.select("doc", "n_shingles"), "doc").select("n_shingles", F.inline("places"))
+    blocks = sized.groupBy("grp").agg(F.ceil(size(0) / block).alias("n0"), F.ceil(size(1) / block).alias("n1"))
+    placed = by_text(rows.join(blocks, "grp"), "grp", "side", "comp", "many", "n0", "n1")
 
     def copies(n, make):
         return F.transform(F.when(F.col(n) > 0, F.sequence(F.lit(0).cast("long"), F.col(n) - 1)).otherwise(
@@ -282,8 +288,9 @@ def in_blocks(rows: DataFrame, classes: DataFrame, sets: DataFrame, percent: int
     if within:
         right = F.concat(right, copies("n1", lambda k: copy(1, F.least(own, k), F.greatest(own, k), F.when(
             own == k, F.lit(2)).when(own < k, F.lit(0)).otherwise(F.lit(1)))))
-    d = d.join(sets.join(classes.select("doc", "sig"), "doc"), "doc").select(
-        "grp", "doc", "comp", "many", "sig", "hashes", F.inline(F.when(F.col("side") == 0, left).otherwise(right)))
+    d = placed.join(classes.select("doc", "sig"), "doc").join(sets, "doc").select("doc", "sig", "hashes", F.inline("places"))
+    d = d.withColumn("own", F.pmod(F.xxhash64("doc"), F.when(F.col("side") == 0, F.col("n0")).otherwise(F.col("n1"))))
+    d = d.select("grp", "doc", "comp", "many", "sig", "hashes", F.inline(F.when(F.col("side") == 0, left).otherwise(right)))
     return d.groupBy("grp", "kind", "i", "j").applyInPandas(
         _linked(percent, trees, depth, members), "a long, b long, linked boolean")
 
@@ -292,10 +299,11 @@ def crowded(crowd: DataFrame, comps: DataFrame) -> DataFrame:
     """(grp, side, doc, comp, many): the texts of ``crowd`` (grp, doc) whose regions aren't all of one component; side 0 is
     the region's largest component, none of whose texts need be compared with each other."""
     sizes = comps.groupBy("component").agg(F.lit(True).alias("many")).withColumnRenamed("component", "comp")
-    rows = crowd.join(comps.withColumnRenamed("node", "doc"), "doc", "left").withColumn("comp", F.coalesce("component", "doc"))
+    texts = by_text(crowd, "grp").join(comps.withColumnRenamed("node", "doc"), "doc", "left").withColumn("comp", F.coalesce("component", "doc"))
+    texts = texts.join(sizes, "comp", "left").select("doc", "comp", F.coalesce("many", F.lit(False)).alias("many"), "places")
+    rows = write_table(texts, "texts").select(F.inline("places"), "doc", "comp", "many")
     mixed = rows.groupBy("grp").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
-    rows = rows.join(mixed, "grp", "left_semi").join(sizes, "comp", "left").select(
-        "grp", "doc", "comp", F.coalesce("many", F.lit(False)).alias("many"))
+    rows = rows.join(mixed, "grp", "left_semi")
     rows = write_table(rows, "crowded")
     largest = rows.groupBy("grp", "comp").agg(F.count(F.lit(1)).alias("n")).groupBy("grp").agg(
         F.max(F.struct("n", "comp"))["comp"].alias("most"))

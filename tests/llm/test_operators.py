@@ -166,6 +166,22 @@ def test_blocks_join_what_all_pairs_join(spark, within):
     assert all(comp[i] != c for i, c in met)
 
 
+def test_blocks_join_each_text_once(spark):
+    """Joins on texts have a row per text, however many regions it is in."""
+    def most(node):
+        name = node.nodeName()
+        below = [node.executedPlan()] if name == "AdaptiveSparkPlan" else [node.plan()] if "QueryStage" in name else \
+            [node.children().apply(i) for i in range(node.children().size())]
+        own = node.metrics().apply("numOutputRows").value() if "Join" in name and "doc#" in node.simpleString(25).split("]")[0] else 0
+        return max([own, *map(most, below)])
+
+    classes = spark.createDataFrame([(i, 3, bytes(32)) for i in range(40)], "doc long, n_shingles long, sig binary")
+    full = spark.createDataFrame([(i, np.arange(3 * i, 3 * i + 3, dtype=np.uint64).tobytes()) for i in range(40)], "doc long, hashes binary")
+    rows = spark.createDataFrame([(g, 1, i, i, False) for g in range(8) for i in range(40)], "grp long, side int, doc long, comp long, many boolean")
+    found = near_dedup.in_blocks(rows, classes, full, 80, 2, 4, True)
+    assert found.collect() == [] and most(found._jdf.queryExecution().executedPlan()) == 40
+
+
 def test_signature_bound():
     n = near_dedup.least_equal(80, 80)
     draws = np.random.default_rng(5).binomial(80, 0.8, 1_000_000)
