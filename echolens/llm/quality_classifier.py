@@ -26,6 +26,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +38,7 @@ CLASSES = 8
 WIDTH = HASHED + CLASSES + 3
 SAMPLE_ROWS = 4000
 SAMPLE_PASSAGES = 24_000
+STEP = 128                                   # passages encoded, and texts unpacked, at a time
 _CLASS = np.full(256, 6, np.uint8)           # other punctuation
 _CLASS[65:91], _CLASS[97:123], _CLASS[48:58] = 0, 1, 2
 _CLASS[[32, 9, 11, 12, 13]], _CLASS[10], _CLASS[128:] = 3, 4, 7
@@ -49,7 +51,14 @@ def passages(text: str | None) -> list[str]:
 
 
 def encode(parts: list[str]) -> np.ndarray:
-    """One row of ``WIDTH`` features per passage, each from its own characters only."""
+    """One row of ``WIDTH`` features per passage, each from its own characters only, ``STEP`` passages at a time."""
+    x = np.empty((len(parts), WIDTH), np.float32)
+    for i in range(0, len(parts), STEP):
+        x[i:i + STEP] = _encode(parts[i:i + STEP])
+    return x
+
+
+def _encode(parts: list[str]) -> np.ndarray:
     raw = [p.encode("utf-8", "surrogatepass") for p in parts]
     n = np.array([len(r) for r in raw])
     b = np.frombuffer(b"\0\0".join(raw) + b"\0\0", np.uint8)
@@ -156,15 +165,19 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "
                 parts = passages(t)
                 yield pd.DataFrame({"id": [i], "y": [y], "h": [h], "n": [len(parts)], "x": [encode(parts).tobytes()]})
 
-    chosen = docs.sparkSession.createDataFrame(sizes[["id", "h"]].drop_duplicates())
+    # As an Arrow table it takes no Python workers on the executors.
+    chosen = docs.sparkSession.createDataFrame(pa.Table.from_pandas(sizes[["id", "h"]].drop_duplicates(), preserve_index=False))
     bags = found.withColumn("h", F.xxhash64("t")).join(chosen, ["id", "h"], "left_semi").mapInPandas(
         run, "id long, y int, h long, n long, x binary").toPandas().sort_values(["id", "h", "y"])
     x = np.concatenate([np.frombuffer(v, np.float32).reshape(-1, WIDTH) for v in bags["x"]])
     return GatedAttention().fit(x, bags["n"].to_numpy(), (bags["y"] > 0).to_numpy().astype(int))
 
 
-def scored(docs: DataFrame, model: GatedAttention, text: str = "t", out: str = "score", batch: int = 500_000) -> DataFrame:
-    """``docs`` with its score; several texts are encoded at once, up to ``batch`` characters (or one text)."""
+def scored(docs: DataFrame, model: GatedAttention, text="t", out: str = "score", batch: int = 500_000) -> DataFrame:
+    """``docs`` with its score; several texts are encoded at once, up to ``batch`` characters (or one text).
+
+    Texts stay in their Arrow batch until their turn, so that a task holds them once and not also as Python strings.
+    """
     def score(texts) -> np.ndarray:
         parts, sizes, made, held = [], [], [], 0
         for t in texts:
@@ -179,11 +192,11 @@ def scored(docs: DataFrame, model: GatedAttention, text: str = "t", out: str = "
             made.append(model.scores(encode(parts), np.array(sizes)))
         return np.concatenate(made) if made else np.zeros(0)
 
-    @F.pandas_udf("double")
-    def udf(s: pd.Series) -> pd.Series:
-        return pd.Series(np.round(score(s), 6))
+    @F.arrow_udf("double")
+    def udf(s: pa.Array) -> pa.Array:
+        return pa.array(np.round(score(t for i in range(0, len(s), STEP) for t in s.slice(i, STEP).to_pylist()), 6))
 
-    return docs.withColumn(out, udf(F.col(text)))
+    return docs.withColumn(out, udf(F.col(text) if isinstance(text, str) else text))
 
 
 def classify(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
@@ -197,9 +210,9 @@ def classify(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFram
 def keep_good(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` predicted to be good, with their own columns."""
     model = train(docs, labels, text)
-    boxed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                        F.coalesce(F.col(text), F.lit("")).alias("t"))
-    return scored(boxed, model).filter("score >= 0.5").select("row.*")
+    boxed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    # The text is read inside the row: a second column of it would wait beside the row for its score.
+    return scored(boxed, model, F.col("row")[text]).filter("score >= 0.5").select("row.*")
 
 
 def query(spark, sf_dir):

@@ -240,6 +240,26 @@ def test_classifier_awkward(spark, awkward):
     assert quality_classifier.classify(awkward.limit(0), labels).count() == 0
 
 
+def test_classifier_memory(spark, awkward, capsys):
+    import tracemalloc
+    parts = quality_classifier.passages("The quick brown fox; 17 $ über den Zaun.\n" * 150_000)
+    tracemalloc.start()
+    x = quality_classifier.encode(parts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(parts) == 5125 and peak < 30e6                        # 5.5 MB of features, 6 MB of text
+    assert all((x[i] == quality_classifier.encode([parts[i]])[0]).all() for i in (0, 127, 128, 5124))
+    assert quality_classifier.encode([]).shape == (0, quality_classifier.WIDTH)
+    # The text waits for its score in its row only.
+    labels = spark.createDataFrame([(3, 1, 0), (4, 0, 0), (5, 0, 0), (8, 1, 0)], "doc_id long, quality int, toxic int")
+    good = quality_classifier.keep_good(awkward, labels)
+    good.explain()
+    assert "ArrowEvalPython" in (plan := capsys.readouterr().out) and "coalesce(text" not in plan
+    whole = {r.doc_id: r.score for r in quality_classifier.classify(awkward, labels).collect()}
+    assert sorted(r.doc_id for r in good.filter("doc_id is not null").collect()) == sorted(
+        r.doc_id for r in awkward.filter("doc_id is not null").collect() if whole[r.doc_id] >= 0.5)
+
+
 def test_mixing(spark, documents, awkward):
     d = mixing.mix(mixing.sizes(documents)).toPandas()
     again = mixing.mix(mixing.sizes(documents.repartition(5))).toPandas()
