@@ -197,3 +197,31 @@ def test_phrases_by_a_map_before_the_join(spark):
         assert abs(r.score - (two[p] - 1) / one[p[0]] / one[p[1]] * (len(one) + len(two))) < 1e-9
         n[p] = 1
     assert len(n) == sum(v > 1 for v in two.values())
+
+
+def test_rare_pairs_are_not_stored(spark):
+    """Learning stores frequent pairs and one row per word for its others; the walk makes no row of a token and its kind."""
+    from echolens.operators import phrases
+    rnd = random.Random(13)
+    docs = [[rnd.choice("abcdefghijkl") for _ in range(rnd.randint(0, 12))] for _ in range(40)] + [["a", "b"] * 9, [], None, ["z"], [None, "a", None]]
+    d = spark.createDataFrame([(i, t) for i, t in enumerate(docs)], "doc_id long, tokens array<string>")
+    stored, keep = [], phrases.cut_lineage
+    phrases.cut_lineage = lambda x, large=False: (stored.append(keep(x, large)), stored[-1])[1]
+    try:
+        got = phrases.learn_phrases(d, min_count=3, threshold=0.0).collect()
+    finally:
+        phrases.cut_lineage = keep
+    one, two = {}, {}
+    for t in docs:
+        for i, w in enumerate(t or []):
+            one[w] = one.get(w, 0) + 1
+            if i + 1 < len(t) and t[i + 1] is not None:
+                two[w, t[i + 1]] = two.get((w, t[i + 1]), 0) + 1
+    often = {p: n for p, n in two.items() if n > 3}
+    assert 0 < len(often) < len(two) and stored[0].count() <= len(often) + len(one)
+    assert {(r.word_a, r.word_b): r.pair_count for r in got} == often
+    for r in got:
+        assert (r.count_a, r.count_b) == (one[r.word_a], one[r.word_b])
+        assert abs(r.score - (r.pair_count - 3) / r.count_a / r.count_b * (len(one) + len(two))) < 1e-9
+    out = phrases.apply_phrases(d, spark.createDataFrame(got), "doc_id")
+    assert "named_struct" not in out._jdf.queryExecution().optimizedPlan().toString()
